@@ -8,13 +8,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import simhash
+from tickloom.llm import pieces, simhash
 from tickloom.llm.common import table
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pieces.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op10_simhash,)}
+QUERIES = {f.__name__: f for f in (op7_pieces, op10_simhash)}
 ORACLES: dict[str, str] = {}
