@@ -201,12 +201,17 @@ def without_items(
     """
     for items in _blocks(benchmark, item_col, item_text_col, block_chars):
         shared = docs.sparkSession.sparkContext.broadcast(items)
+        docs = docs.where(_free_of(shared, error_rate, least_piece)(F.col(text_col)))
+    return docs
 
-        @F.pandas_udf("boolean")
-        def clean(parts: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
-            matcher = Matcher(shared.value, error_rate, least_piece)
-            for part in parts:
-                yield pd.Series([not matcher.matches(normalise(t)) for t in part], dtype=bool)
 
-        docs = docs.where(clean(F.col(text_col)))
-    return docs
+def _free_of(shared, error_rate: float, least_piece: int):
+    """A function from a text column to whether the text holds none of the broadcast items."""
+
+    @F.pandas_udf("boolean")
+    def free(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        matcher = Matcher(shared.value, error_rate, least_piece)
+        for part in parts:
+            yield pd.Series([not matcher.matches(normalise(t)) for t in part], dtype=bool)
+
+    return free
