@@ -138,43 +138,41 @@ def train(
     text_col: str = "text",
     label_col: str = "toxic",
     bits: int = 20,
-    max_positive: int = 6000,
-    max_unlabelled: int = 12000,
+    max_positive: int = 5000,
+    max_unlabelled: int = 10000,
 ) -> Model:
     """Fit on a bounded sample: about ``max_positive`` confirmed toxic and ``max_unlabelled`` other texts.
 
-    Rows are chosen by a hash of their id, never by place. Ids of the held-out fifth are left out of both
+    Ids are chosen by a hash, never by place, and each once; so the sample, and what is broadcast, is bounded. Ids of the held-out fifth are left out of both
     samples. A document counts as confirmed toxic if any of its label rows says 1; the class prior is the
     share of such documents among the labelled ones that may be learnt from.
     """
-    learnt = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).where(
+    learnt = labels.select(F.col(id_col).cast("string").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where(
         F.col("doc_id").isNotNull() & F.col("label").isNotNull() & ~held_out("doc_id")
     )
     learnt = learnt.groupBy("doc_id").agg(F.max("label").alias("label"))
     labelled, toxic = learnt.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
-    known = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(
+    known = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")).where(
         F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id")
     )
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     texts = known.agg(F.count("*")).first()[0]
     chosen = learnt.where((F.col("label") == 1) & (draw < max_positive / max(toxic, 1))).select("doc_id")
-    positive = known.join(F.broadcast(chosen.limit(2 * max_positive)), "doc_id").withColumn("kind", F.lit(1))
+    positive = known.join(F.broadcast(chosen), "doc_id").withColumn("kind", F.lit(1))
     unlabelled = known.where(1 - draw < max_unlabelled / max(texts, 1)).withColumn("kind", F.lit(0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes(bits)
         for batch in batches:
-            rows = [sorted(features(t, hashes)) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.list_(pa.int32()))], ["kind", "ids"])
-
-    # Repeated rows of one id could be any number; the sample takes at most twice its bound of each kind.
-    both = positive.limit(2 * max_positive).unionByName(unlabelled.limit(2 * max_unlabelled))
-    sample = both.select("text", "kind").mapInArrow(run, "kind int, ids array<int>").toPandas()
-    sample["key"] = sample["ids"].map(lambda x: np.asarray(x, np.int64))
-    order = sorted(range(len(sample)), key=lambda i: (sample["key"][i].size, sample["key"][i].tobytes()))
-    rows, kinds = [sample["key"][i] for i in order], sample["kind"].to_numpy()[order] if len(sample) else []
+            rows = [np.sort(np.fromiter(features(t, hashes), np.int32)).tobytes() for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(rows, pa.binary())], ["doc_id", "kind", "ids"])
+
+    both = positive.unionByName(unlabelled).select("doc_id", "kind", "text")
+    sample = both.mapInArrow(run, "doc_id string, kind int, ids binary").dropDuplicates(["doc_id", "kind"])
+    found = sample.select("kind", "ids").toArrow()
+    rows = sorted(zip(found["ids"].to_pylist(), found["kind"].to_pylist(), strict=True))
     prior = min(max(toxic / max(labelled, 1), 1e-3), 0.9)
-    split = [[r for r, k in zip(rows, kinds, strict=True) if k == kind and len(r)] for kind in (1, 0)]
+    split = [[np.frombuffer(r, np.int32) for r, k in rows if k == kind and r] for kind in (1, 0)]
     return fit_nnpu(*split, prior, bits)
 
 
