@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import decontam, pieces, pii, simhash, toxicity
+from tickloom.llm import ann, decontam, html_text, pieces, pii, secrets, sharding, simhash, substrings, toxicity
 from tickloom.llm.common import table
 
 
@@ -20,12 +20,35 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return secrets.secrets(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.without_repeats(table(spark, sf_dir, "documents"))
+
+
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return pieces.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"), 8)
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
@@ -34,5 +57,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op7_pieces, op9_personal_data, op10_simhash)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_toxicity,
+        op2_decontamination,
+        op3_secrets,
+        op4_main_text,
+        op5_substrings,
+        op6_nearest,
+        op7_pieces,
+        op8_shards,
+        op9_personal_data,
+        op10_simhash,
+    )
+}
 ORACLES: dict[str, str] = {}
