@@ -13,7 +13,7 @@ document's text streams only against the shards that could hold its windows:
   through it; where the matching statistic reaches the window length, the state of that length gives the
   smallest id that holds the window.
 * An anchor with more different segments than a shard may hold (a phrase of everyday words) is settled window
-  by window: aggregated by the window's hash, which combines before the shuffle.
+  by window: aggregated by the window's hash, which combines before the shuffle; only windows of two documents go on.
 
 A shard's automaton is not sent to every executor, as a broadcast would: all shards together grow with the
 corpus, so each is built in the task that streams through it.
@@ -33,9 +33,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import cut
+from tickloom.llm.common import cut, drop_cut
 
 GRAM = 10
+LOWS = "array<struct<i:int,lowest:bigint>>"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
@@ -246,11 +247,12 @@ def _contents(window: int):
                             values = hashes[a:b]
                         else:
                             values = ids[a : b + window - 1]
-                        out.append((s["anchor"], s["content"], doc_id, s["busy"], values.view(np.int64)))
-                columns = list(zip(*out, strict=True)) or [()] * 5
-                kinds = [pa.int64()] * 3 + [pa.bool_(), pa.list_(pa.int64())]
+                        out.append((s["anchor"], s["content"], doc_id, s["high"], s["busy"], values.view(np.int64)))
+                columns = list(zip(*out, strict=True)) or [()] * 6
+                kinds = [pa.int64()] * 4 + [pa.bool_(), pa.list_(pa.int64())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["anchor", "content", "low", "busy", "values"]
+                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                    ["anchor", "content", "low", "high", "busy", "values"],
                 )
 
     return run
@@ -328,43 +330,48 @@ def repeated_windows(docs: DataFrame, window: int = 50, shard_words: int = 20_00
 
     ``docs`` has doc_id, text_key and t (UTF-8).
     """
-    rows = _segment_rows(docs, window)
-    kinds = rows.groupBy("anchor", "content").agg(
-        F.min(F.struct("doc_id", "text_key", "first", "n")).alias("rep"), F.max("doc_id").alias("high")
+    rows = cut(_segment_rows(docs, window))
+    kinds = cut(
+        rows.groupBy("anchor", "content").agg(
+            F.min(F.struct("doc_id", "text_key", "first", "n")).alias("rep"), F.max("doc_id").alias("high")
+        )
     )
     anchors = kinds.groupBy("anchor").agg(
-        F.count("*").alias("kinds"), F.min("rep.doc_id").alias("low"), F.max("high").alias("high")
+        F.count("*").alias("kinds"), F.min("rep.doc_id").alias("low"), F.max("high").alias("highest")
     )
-    shared = anchors.where("low < high").select("anchor", "kinds")
-    found = cut(kinds.join(shared, "anchor").select("anchor", "content", "kinds", "rep.*"))
-    alone = found.where("kinds = 1").select("anchor", "content", F.col("doc_id").alias("low"), F.lit(None).cast("array<long>").alias("lows"))
+    shared = anchors.where("low < highest").select("anchor", "kinds")
+    found = cut(kinds.join(shared, "anchor").select("anchor", "content", "kinds", "high", "rep.*"))
+    drop_cut(kinds)
+    alone = found.where("kinds = 1").select("anchor", "content", F.col("doc_id").alias("low"), F.lit(None).cast(LOWS).alias("lows"))
+    busy = (F.col("kinds") > busy_segments).alias("busy")
     wanted = (
         found.where("kinds > 1")
         .groupBy("doc_id", "text_key")
-        .agg(F.collect_list(F.struct("anchor", "content", "first", "n", (F.col("kinds") > busy_segments).alias("busy"))).alias("wanted"))
+        .agg(F.collect_list(F.struct("anchor", "content", "high", "first", "n", busy)).alias("wanted"))
     )
     contents = _packed(docs).dropDuplicates(["doc_id", "text_key"]).join(wanted, ["doc_id", "text_key"])
     contents = cut(
         contents.select("doc_id", "z", "wanted").mapInArrow(
-            _contents(window), "anchor long, content long, low long, busy boolean, values array<long>"
+            _contents(window), "anchor long, content long, low long, high long, busy boolean, values array<long>"
         )
     )
     dealt = contents.where("NOT busy").select("anchor", "content", "low", "values").repartition("anchor")
     streamed = dealt.sortWithinPartitions("anchor", "content").mapInArrow(
         _stream(window, shard_words), "anchor long, content long, low long, lows array<long>"
     )
-    one = contents.where("busy").select("anchor", "content", "low", F.posexplode("values").alias("i", "hash"))
-    lowest = one.groupBy("hash").agg(F.min("low").alias("lowest"))
-    busy = one.join(lowest, "hash").groupBy("anchor", "content").agg(
-        F.min("low").alias("low"), F.array_sort(F.collect_list(F.struct("i", "lowest"))).alias("lows")
+    streamed = streamed.withColumn("lows", F.transform("lows", lambda low, i: F.struct(i.alias("i"), low.alias("lowest"))))
+    one = contents.where("busy").select("anchor", "content", "low", "high", F.posexplode("values").alias("i", "hash"))
+    lowest = one.groupBy("hash").agg(F.min("low").alias("lowest"), F.max("high").alias("highest"))
+    repeated = lowest.where("lowest < highest").select("hash", "lowest")
+    settled = one.join(repeated, "hash").groupBy("anchor", "content").agg(
+        F.min("low").alias("low"), F.collect_list(F.struct("i", "lowest")).alias("lows")
     )
-    busy = busy.withColumn("lows", F.col("lows.lowest"))
-    known = cut(alone.unionByName(streamed).unionByName(busy))
+    known = cut(alone.unionByName(streamed).unionByName(settled))
     hits = rows.join(known, ["anchor", "content"])
     none = F.lit(0).cast("long")
     bit = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i)
     every = F.when(F.col("low") < F.col("doc_id"), bit(F.col("n")) - 1).otherwise(none)
-    earlier = F.transform("lows", lambda low, i: F.when(low < F.col("doc_id"), bit(i)).otherwise(none))
+    earlier = F.transform("lows", lambda x: F.when(x["lowest"] < F.col("doc_id"), bit(x["i"])).otherwise(none))
     some = F.aggregate(earlier, none, lambda a, b: a + b)
     hits = hits.select("doc_id", "text_key", "first", F.when(F.col("lows").isNull(), every).otherwise(some).alias("mask"))
     return hits.where("mask <> 0")
