@@ -38,7 +38,7 @@ class _Hashes(dict):
 
     def __missing__(self, token: str) -> int:
         found = zlib.crc32(token.strip(_EDGE).encode()) & self.mask
-        if len(self) > 400_000:
+        if len(self) > 150_000:
             self.clear()
         if len(token) < 64:
             self[token] = found
