@@ -21,9 +21,8 @@ def strict_decimal(text: Column, scale: int = PRICE_SCALE) -> Column:
 
     More fraction digits than ``scale`` or more than 38 digits are refused, where a bare cast would round.
     """
-    shape = text.rlike(rf"^-?[0-9]+(\.[0-9]{{1,{scale}}})?$")
-    whole = F.length(F.regexp_replace(F.regexp_extract(text, r"^-?([0-9]+)", 1), "^0+", ""))
-    return F.when(shape & (whole <= MAX_DIGITS - scale), text.try_cast(f"decimal({MAX_DIGITS},{scale})"))
+    shape = text.rlike(rf"^-?[0-9]+(\.[0-9]{{1,{scale}}})?\z")
+    return F.when(shape, text.try_cast(f"decimal({MAX_DIGITS},{scale})"))  # null where the digits don't fit
 
 
 def decimal_text(value: Column) -> Column:

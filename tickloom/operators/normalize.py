@@ -138,18 +138,15 @@ def apply(raw: DataFrame, m: Mapping_, payload: str = "payload", keep: Sequence[
     else:
         rows = rows.withColumns({"message_ordinal": F.lit(0), "__r": F.col("__m")})
     parts += [(f, text_at(F.col("__r"), f.path), state_at(F.col("__r"), f.path)) for f in m.fields]
-    read = {f.name: READERS[f.kind](t, f.name) for f, t, _ in parts}
-    broken = [
-        F.when(read[f.name].isNull(), F.struct(F.lit("field_invalid").alias("code"), F.lit(f.name).alias("bad_field"), s.alias("bad_state")))
-        for f, _, s in parts
-        if f.required
-    ]
-    no_json = F.when(
-        F.col("__r").isNull(), F.struct(F.lit("payload_invalid").alias("code"), F.lit(None).cast("string").alias("bad_field"), F.lit("value").alias("bad_state"))
-    )
+    read = {f"__f{i}": READERS[f.kind](t, f.name) for i, (f, t, _) in enumerate(parts)}
+    rows = rows.withColumns(read)
+    refused = lambda code, name, state: F.struct(F.lit(code).alias("code"), F.lit(name).cast("string").alias("bad_field"), state.alias("bad_state"))
+    no_json = F.when(F.col("__r").isNull(), refused("payload_invalid", None, F.lit("value")))
+    broken = [F.when(F.col(c).isNull(), refused("field_invalid", f.name, s)) for c, (f, _, s) in zip(read, parts, strict=True) if f.required]
     rows = rows.withColumn("__q", F.coalesce(no_json, *broken))
+    values = [F.col(c).alias(f.name) for c, (f, _, _) in zip(read, parts, strict=True)]
     fixed = [F.lit(v).alias(k) for k, v in m.fixed.items()]
-    return rows.select(*keep, F.col("message_ordinal").cast("long"), *(c.alias(n) for n, c in read.items()), *fixed, "__q.code", "__q.bad_field", "__q.bad_state")
+    return rows.select(*keep, F.col("message_ordinal").cast("long"), *values, *fixed, "__q.code", "__q.bad_field", "__q.bad_state")
 
 
 def split(mapped: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -84,21 +84,28 @@ def book_levels(spark: SparkSession, d: str) -> DataFrame:
     """One row per level: the lines of an order are the levels of one book event of an instrument."""
     lines = load(spark, d, "lineitem")
     heads = load(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    money = lambda c: F.col(c).cast("decimal(18,2)").cast("decimal(38,18)")
-    rows = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
-    levels = rows.select(
+    short = lambda c: F.col(c).cast("decimal(18,2)")
+    gone = F.col("l_discount") == 0
+    rows = lines.select(
+        "l_orderkey",
+        F.col("l_linenumber").cast("long").alias("level_ordinal"),
+        short("l_extendedprice").alias("price"),
+        F.when(gone, F.lit(0).cast("decimal(18,2)")).otherwise(short("l_quantity")).alias("amount"),
+        F.when(gone, "delete").otherwise("upsert").alias("action"),
+    )
+    # lines may repeat a line number within an order; the first by price and amount stands
+    w = Window.partitionBy("l_orderkey", "level_ordinal").orderBy("price", "amount")
+    rows = rows.withColumn("n", F.row_number().over(w)).where("n = 1").join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
+    return rows.select(
         F.concat(F.lit("I"), F.col("o_custkey") % 50).alias("instrument_uid"),
         F.col("o_orderkey").alias("event_id"),
         ns_of("o_orderdate").alias("received_time_ns"),
-        F.when(F.col("l_linenumber") % 2 == 0, "buy").otherwise("sell").alias("side"),
-        F.col("l_linenumber").cast("long").alias("level_ordinal"),
-        money("l_extendedprice").alias("price"),
-        F.when(F.col("l_discount") == 0, F.lit(0).cast("decimal(38,18)")).otherwise(money("l_quantity")).alias("amount"),
-        F.when(F.col("l_discount") == 0, "delete").otherwise("upsert").alias("action"),
+        F.when(F.col("level_ordinal") % 2 == 0, "buy").otherwise("sell").alias("side"),
+        "level_ordinal",
+        F.col("price").cast("decimal(38,18)").alias("price"),
+        F.col("amount").cast("decimal(38,18)").alias("amount"),
+        "action",
     )
-    # lines may repeat a line number within an order; the first by price and amount stands
-    w = Window.partitionBy("event_id", "level_ordinal").orderBy("price", "amount")
-    return levels.withColumn("n", F.row_number().over(w)).where("n = 1").drop("n")
 
 
 def book_events(spark: SparkSession, d: str) -> DataFrame:
