@@ -130,11 +130,13 @@ def routed(raw: DataFrame, mappings: Mapping[str, Mapping_]) -> Column:
 
 def apply(raw: DataFrame, m: Mapping_, payload: str = "payload", keep: Sequence[str] = ()) -> DataFrame:
     """Rows of one mapping: ``keep``, its columns, and ``code``, ``bad_field``, ``bad_state`` (null if accepted)."""
-    rows = raw.withColumn("__m", as_map(F.col(payload)))
+    # A message is parsed behind a generator, so that filters on fields aren't pushed below it and parse again.
+    rows = raw.select("*", F.explode(F.array(as_map(F.col(payload)))).alias("__m"))
     parts = [(f, text_at(F.col("__m"), f.path), state_at(F.col("__m"), f.path)) for f in m.header]
     if m.items:
         rows = rows.withColumn("__i", F.from_json(text_at(F.col("__m"), m.items) if m.items != "." else F.col(payload), "array<string>"))
-        rows = rows.select("*", F.posexplode_outer("__i").alias("message_ordinal", "__t")).withColumn("__r", as_map(F.col("__t")))
+        rows = rows.select("*", F.posexplode_outer("__i").alias("message_ordinal", "__t"))
+        rows = rows.select("*", F.explode(F.array(as_map(F.col("__t")))).alias("__r"))
     else:
         rows = rows.withColumns({"message_ordinal": F.lit(0), "__r": F.col("__m")})
     parts += [(f, text_at(F.col("__r"), f.path), state_at(F.col("__r"), f.path)) for f in m.fields]
