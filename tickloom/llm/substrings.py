@@ -325,7 +325,7 @@ def _kept(window: int):
     return run
 
 
-def repeated_windows(docs: DataFrame, window: int = 50, shard_words: int = 20_000, busy_segments: int = 256) -> DataFrame:
+def repeated_windows(docs: DataFrame, window: int = 50, shard_words: int = 20_000, busy_segments: int = 1024) -> DataFrame:
     """(doc_id, text_key, first, mask): bit i of ``mask`` is set if window ``first + i`` starts in a document with a smaller id.
 
     ``docs`` has doc_id, text_key and t (UTF-8).
