@@ -298,14 +298,14 @@ def one_of_each(
     id_col: str = "doc_id",
     text_col: str = "text",
     shingle: int = 5,
-    radius: int = 33,
-    words: int = 3,
+    radius: int = 44,
+    words: int = 4,
     blocks: int = 6,
     kept: int = 2,
 ) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group the row with the smallest id stays.
 
-    The defaults take five-word shingles and link where 33 of 192 bits or fewer differ, about what texts
+    The defaults take five-word shingles and link where 44 of 256 bits or fewer differ, about what texts
     that share 0.8 of their shingles come to. Of repeated rows with one id one stays; rows with a null id
     can't be told apart by id and all stay. Other columns are kept as they were.
     """
