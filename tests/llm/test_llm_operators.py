@@ -15,7 +15,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tickloom.llm import ann, decontam, html_text, pieces, pii, secrets, sharding, simhash, substrings, toxicity
+from tickloom.llm import ann, decontam, html_text, near_copies, pieces, pii, secrets, sharding, simhash, substrings, toxicity
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -128,6 +128,46 @@ def test_one_of_each_group_stays(spark):
     assert sorted((r.doc_id or -1 for r in kept.collect())) == [-1, 2, 7]
 
 
+def test_lone_pairs_join_from_the_bound_on_only(spark):
+    rows, apart = [], set()
+    for n in range(120):
+        changed = 3 + n % 12  # of 296 five-word shingles each takes five: similarities of 0.90 to 0.62
+        words = [f"w{n}x{i}" for i in range(300)]
+        near = [f"{w}y" if i % 20 == 10 and i // 20 < changed else w for i, w in enumerate(words)]
+        rows += [(2 * n, " ".join(words), "a"), (2 * n + 1, " ".join(near), "b")]
+        if (296 - 5 * changed) / (296 + 5 * changed) < 0.8:
+            apart.add(2 * n + 1)
+    kept = {r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert kept == {2 * n for n in range(120)} | apart
+
+
+def test_near_copies_match_brute_force(spark):
+    rng = random.Random(5)
+    base = [[rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(rng.randint(0, 60))] for _ in range(12)]
+    rows = list(ODD)
+    for i in range(240):
+        words = ["one", "very", "common", "line", "stands", "here", "too", *base[i % 12]]
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(len(words))] = rng.choice("xyz")
+        rows.append((100 + i, " ".join(words), "x"))
+    sets = [set(near_copies.shingles((r[1] or "").encode()).tolist()) for r in rows]
+    low = {i: i for i in range(len(rows))}
+    for _ in rows:
+        before = dict(low)
+        for i, a in enumerate(sets):
+            low[i] = min(low[j] for j, b in enumerate(sets) if a == b or len(a & b) >= 0.8 * len(a | b))
+        if low == before:
+            break
+    smallest = {}
+    for i, r in enumerate(rows):
+        smallest[low[i]] = min((x for x in (smallest.get(low[i]), r[0]) if x is not None), default=None)
+    want = [(r[0], smallest[low[i]]) for i, r in enumerate(rows)]
+    found = near_copies.near_copies(spark.createDataFrame(rows, SCHEMA), tile_rows=16)
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(tuple, found.collect()), key=key) == sorted(want, key=key)
+    assert near_copies.near_copies(empty(spark)).count() == 0
+
+
 # ---- 7 -------------------------------------------------------------------------------------------------------
 
 

@@ -294,22 +294,16 @@ def near_duplicates(
 
 
 def one_of_each(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shingle: int = 5,
-    radius: int = 44,
-    words: int = 4,
-    blocks: int = 6,
-    kept: int = 2,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8
 ) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each group the row with the smallest id stays.
+    """The rows of ``docs`` without near copies: of each group the row with the smallest id stays.
 
-    The defaults take five-word shingles and link where 44 of 256 bits or fewer differ, about what texts
-    that share 0.8 of their shingles come to. Of repeated rows with one id one stays; rows with a null id
-    can't be told apart by id and all stay. Other columns are kept as they were.
+    Of repeated rows with one id one stays; rows with a null id can't be told apart by id and all stay. Other
+    columns are kept as they were.
     """
-    found = near_duplicates(docs, id_col, text_col, shingle, radius, words, blocks, kept)
+    from tickloom.llm.near_copies import near_copies
+
+    found = near_copies(docs, id_col, text_col, shingle, similarity)
     first = found.where("doc_id = component_id").select(F.col("doc_id").alias("__first_id")).distinct()
     named = docs.where(F.col(id_col).isNotNull())
     stay = named.join(first, F.col(id_col).cast("long") == F.col("__first_id"), "left_semi").dropDuplicates([id_col])
