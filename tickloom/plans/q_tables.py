@@ -155,13 +155,18 @@ def s14_archive(spark, d):
     return tables.archive(V.opportunities(spark, d), "1996-03-04")[1].select("utc_date", "n")
 
 
-def _trade_stream(spark, d, files: int = 1):
+def _one_batch(spark, rows, *order):
+    """The rows as a stream of one batch, so that none is late, in as many files as a shuffle has tasks."""
     folder = tables.shared_folder(spark)
-    rows = V.trades(spark, d)
-    rows.repartitionByRange(files, "received_time_ns").write.parquet(f"{folder}/in")
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.repartitionByRange(files, *order).write.parquet(f"{folder}/in")
     return folder, jobs.stream_files(spark, f"{folder}/in", rows.schema, files)
 
 
+def _trade_stream(spark, d):
+    return _one_batch(spark, V.trades(spark, d), "received_time_ns")
+
+
 @query(
     "SELECT received_time_ns // 3600000000000 AS hour, count(*) AS n FROM trades WHERE (received_time_ns // 3600000000000 + 1) * 3600000000000 <= (SELECT max(received_time_ns) FROM trades) GROUP BY 1",
     ["trades"],
@@ -220,10 +225,7 @@ def q7_quality_rows(spark, d):
     ["book_levels"],
 )
 def r1_stream_books(spark, d):
-    folder = tables.shared_folder(spark)
-    levels = V.book_levels(spark, d)
-    levels.coalesce(1).write.parquet(f"{folder}/in")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    out = jobs.drain(jobs.books(jobs.stream_files(spark, f"{folder}/in", levels.schema)), folder)
+    folder, stream = _one_batch(spark, V.book_levels(spark, d), "received_time_ns", "event_id")
+    out = jobs.books(stream, folder)
     last = out.join(V.book_events(spark, d).select("event_id", "received_time_ns"), "event_id")
     return last.groupBy("instrument_uid").agg(F.max_by(F.struct("bids", "asks"), F.struct("received_time_ns", "event_id")).alias("b")).select("instrument_uid", "b.*")

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
+from pyspark.sql.window import Window
 
 from tickloom.plans.views import NS_PER_HOUR
 
@@ -51,42 +48,43 @@ def cutover(stream: DataFrame, bindings: DataFrame, time: str = "received_time_n
     return active_at(stream, bindings, ["channel_id"], time, "valid_from_ns", "valid_to_ns", "inner")
 
 
-BOOK_STATE = "side string, price decimal(38,18), amount decimal(38,18)"
-BOOK_OUT = "instrument_uid string, event_id long, bids long, asks long"
-
-
-class LastLevels(StatefulProcessor):
-    """Keeps the levels of one instrument's book and gives their number after each event."""
+LEVEL = ("instrument_uid", "side", "price")
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.levels = handle.getMapState("levels", "side string, price decimal(38,18)", "amount decimal(38,18)")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(rows)).sort_values(["received_time_ns", "event_id", "level_ordinal"])
-        out = []
-        counts = {"buy": 0, "sell": 0}
-        for side, _ in self.levels.keys():
-            counts[side] += 1
-        for event, group in frame.groupby("event_id", sort=False):
-            for side, price, action, amount in zip(group["side"], group["price"], group["action"], group["amount"], strict=True):
-                there = self.levels.containsKey((side, price))
-                if action == "delete":
-                    if there:
-                        self.levels.removeKey((side, price))
-                        counts[side] -= 1
-                else:
-                    self.levels.updateValue((side, price), (amount,))
-                    counts[side] += not there
-            out.append((key[0], event, counts["buy"], counts["sell"]))
-        yield pd.DataFrame(out, columns=["instrument_uid", "event_id", "bids", "asks"])
+def books(stream: DataFrame, folder: str) -> DataFrame:
+    """(instrument_uid, event_id, bids, asks): book sizes after each event of a stream of levels.
 
-    def close(self) -> None:
-        pass
-
-
-def books(stream: DataFrame) -> DataFrame:
-    """Book sizes after each event of a stream of levels; needs the RocksDB state store."""
-    return stream.groupBy("instrument_uid").transformWithStateInPandas(LastLevels(), BOOK_OUT, "Append", "None")
+    Each batch compares every action with the one before it at the same price, in sorted partitions that can spill,
+    and leaves the levels that are held to the next batch. Both go to Parquet under the batch's id, so a replayed
+    batch replaces itself. Sizes are running sums of the changes: over an hour, then over hours.
+    """
+    spark, order = stream.sparkSession, ("received_time_ns", "event_id", "level_ordinal")
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        held = (F.col("action") != "delete").alias("held")
+        rows = batch.select(*LEVEL, *order, held, "amount")
+        if batch_id:  # levels from before come first at their price: they have no time
+            before = batch.sparkSession.read.parquet(f"{folder}/levels/{batch_id - 1}")
+            rows = rows.unionByName(before.withColumn("held", F.lit(True)), allowMissingColumns=True)
+        last = F.lag("held", 1, False).over(Window.partitionBy(*LEVEL).orderBy(*order))
+        change = F.col("held").cast("long") - last.cast("long")
+        sums = [F.sum(F.when(F.col("side") == s, F.col("change")).otherwise(0)).alias(n) for s, n in (("buy", "bids"), ("sell", "asks"))]
+        changes = rows.withColumn("change", change).where("event_id IS NOT NULL")
+        changes.groupBy("instrument_uid", "received_time_ns", "event_id").agg(*sums).write.mode("overwrite").parquet(f"{folder}/changes/batch_id={batch_id}")
+        left = rows.groupBy(*LEVEL).agg(F.max_by(F.struct("held", "amount"), F.struct(*order)).alias("l"))
+        left.where("l.held").select(*LEVEL, "l.amount").write.mode("overwrite").parquet(f"{folder}/levels/{batch_id}")
+
+    stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    schema = "instrument_uid string, received_time_ns long, event_id long, bids long, asks long, batch_id long"
+    rows = spark.read.schema(schema).parquet(f"{folder}/changes")
+    rows = rows.withColumn("hour", F.call_function("div", F.col("received_time_ns"), F.lit(NS_PER_HOUR)))
+    span = ["instrument_uid", "batch_id", "hour"]
+    earlier = Window.partitionBy("instrument_uid").orderBy("batch_id", "hour").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*span).orderBy("received_time_ns", "event_id")
+    hours = rows.groupBy(*span).agg(F.sum("bids").alias("b"), F.sum("asks").alias("a"))
+    hours = hours.select(*span, *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in ("b", "a")))
+    size = lambda n, c: (F.sum(n).over(within) + F.col(c)).alias(n)
+    return rows.join(hours, span).select("instrument_uid", "event_id", size("bids", "b"), size("asks", "a"))
 
 
 def hour_files(stream: DataFrame, staging: str, published: str, time: str, checkpoint: str) -> None:
