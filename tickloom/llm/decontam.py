@@ -108,6 +108,8 @@ class Matcher:
             for begin in sorted(set(begun)):
                 if begin <= checked:  # that window was compared already
                     continue
+                if not k and not whole_words(text, begin, begin + len(item)):
+                    continue
                 low, high = max(0, begin - k), begin + len(item) + 2 * k
                 checked = begin + k
                 distance, end = myers(masks, len(item), text[low:high])
@@ -116,7 +118,7 @@ class Matcher:
                     best = (distance, low + end - back, low + end)
                     if distance == 0:
                         break
-            if best is not None and (k or whole_words(text, best[1], best[2])):
+            if best is not None:
                 found.append((item_id, *best))
         return found
 
