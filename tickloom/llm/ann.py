@@ -192,7 +192,7 @@ def nearest(
             near = shared.value.distances(_matrix(batch.column(1))).argmin(1) if batch.num_rows else []
             yield pa.RecordBatch.from_arrays([pa.array(near, pa.int64()), *batch.columns], ["list", "vec_id", "v"])
 
-    listed = cut(rows.mapInArrow(deal, "list long, vec_id long, v array<double>"))
+    listed = cut(rows.distinct().mapInArrow(deal, "list long, vec_id long, v array<double>"))
     sizes = np.zeros(len(index.centroids), np.int64)
     for r in listed.groupBy("list").count().collect():  # as many rows as lists
         sizes[r.list] = r["count"]
