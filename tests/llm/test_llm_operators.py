@@ -141,6 +141,15 @@ def test_lone_pairs_join_from_the_bound_on_only(spark):
     assert kept == {2 * n for n in range(120)} | apart
 
 
+def test_texts_of_one_id_are_judged_apart(spark):
+    words = [f"word{i}" for i in range(200)]
+    near, other = " ".join(words).replace("word50", "other"), "something else " * 30
+    rows = [(0, near, "a"), (1, " ".join(words), "b"), (1, other, "c"), (1, other, "c")]
+    for order in (rows, rows[::-1]):
+        kept = simhash.one_of_each(spark.createDataFrame(order, SCHEMA).coalesce(1)).collect()
+        assert sorted((r.doc_id, r.text) for r in kept) == [(0, near), (1, other)]
+
+
 def test_near_copies_match_brute_force(spark):
     rng = random.Random(5)
     base = [[rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(rng.randint(0, 60))] for _ in range(12)]
@@ -302,6 +311,12 @@ def test_myers_distance(pattern, text):
     assert decontam.myers(decontam.positions(pattern), len(pattern), text) == (min(row), row.index(min(row)))
 
 
+def test_short_items_are_tried_at_every_hit():
+    matcher = decontam.Matcher([(1, "cat")], 0.08, 12)
+    assert matcher.matches("concatenate the cat") == [(1, 0, 16, 19)]
+    assert matcher.matches("concatenate the category") == []
+
+
 def test_decontamination_finds_edited_items(spark):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8)))
@@ -404,6 +419,18 @@ def test_a_heavier_shard_takes_rows_into_its_subtree_only(spark):
 # ---- 6 -------------------------------------------------------------------------------------------------------
 
 
+def test_repeated_rows_hide_no_neighbour(spark):
+    rng = np.random.default_rng(7)
+    vectors = rng.normal(size=(600, 16))
+    vectors[1] = vectors[0] + 0.001
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame([*rows, *[rows[1]] * 600], "vec_id long, embedding array<double>").coalesce(1)
+    found = {(r.query_id, r.vec_id) for r in ann.nearest(df, recall=1.0, least_candidates=10_000).collect()}
+    for q in range(0, 600, 100):
+        best = np.argsort(((vectors - vectors[q]) ** 2).sum(1), kind="stable")
+        assert {(q, int(i)) for i in best[1:11]} <= found
+
+
 def test_nearest_neighbours(spark):
     rng = np.random.default_rng(6)
     centres = rng.normal(size=(30, 16)) * 4

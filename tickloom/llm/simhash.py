@@ -298,13 +298,15 @@ def one_of_each(
 ) -> DataFrame:
     """The rows of ``docs`` without near copies: of each group the row with the smallest id stays.
 
-    Of repeated rows with one id one stays; rows with a null id can't be told apart by id and all stay. Other
-    columns are kept as they were.
+    Of repeated rows with one id and text one stays. Where one id has several texts, each is judged by itself: those
+    of different groups may all stay, and of those within one group the one with the smallest text hash counts as
+    the first. Rows with a null id can't be told apart by id and all stay. Other columns are kept as they were.
     """
-    from tickloom.llm.near_copies import near_copies
+    from tickloom.llm.near_copies import groups, text_key
 
-    found = near_copies(docs, id_col, text_col, shingle, similarity)
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("__first_id")).distinct()
-    named = docs.where(F.col(id_col).isNotNull())
-    stay = named.join(first, F.col(id_col).cast("long") == F.col("__first_id"), "left_semi").dropDuplicates([id_col])
+    found = groups(docs, id_col, text_col, shingle, similarity).where("doc_id = component_id")
+    first = found.groupBy("root").agg(F.min("doc_id").alias("__first_id"), F.min("text_key").alias("__first_key"))
+    named = docs.where(F.col(id_col).isNotNull()).withColumn("__text_key", text_key(F.col(text_col)))
+    same = (F.col(id_col).cast("long") == F.col("__first_id")) & (F.col("__text_key") == F.col("__first_key"))
+    stay = named.join(first, same, "left_semi").dropDuplicates([id_col, "__text_key"]).drop("__text_key")
     return stay.unionByName(docs.where(F.col(id_col).isNull()))
