@@ -188,6 +188,24 @@ def test_pieces_like_the_library(text):
     ids = library.encode(text)
     assert mine.encode(text) == ids
     assert mine.decode(ids) == library.decode(ids)
+    long = "x" * 30 + text.replace(" ", "") * 3  # the heap and the matrix give the same
+    assert mine.unit_ids(long) == mine.short_ids([long])[0]
+
+
+def test_pieces_of_units_that_decode_otherwise():
+    mine = pieces.BpePieces(MODEL)
+    mine.id_of_byte = {}
+    assert mine.encoded(["a \x01漢 b", "c"])[0][1] == "a \x01" + mine.piece_text([mine.unknown]) + " b"
+    assert mine.recent.keys() >= {"▁b", "▁c"} and "漢" not in mine.recent
+
+
+def test_pieces_forget_old_units(monkeypatch):
+    monkeypatch.setattr(pieces, "_CACHE_UNITS", 4)
+    mine, library = pieces.BpePieces(MODEL), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    for n in range(30):
+        text = f"the word{n % 7} of{n} it"
+        assert mine.encode(text) == library.encode(text)
+    assert len(mine.recent) + len(mine.former) < 20
 
 
 def test_pieces_table(spark):
@@ -197,8 +215,10 @@ def test_pieces_table(spark):
     for doc_id, text, _ in ODD:
         ids = library.encode(text or "")
         want.append((doc_id, len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids)), True, True))
-    found = pieces.encode_decode(odd(spark), MODEL)
-    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, want))
+    for check in ("units", "texts"):
+        found = pieces.encode_decode(odd(spark), MODEL, check=check)
+        assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, want))
+    assert pieces.encode_decode(odd(spark), MODEL, check="").where("library_agrees IS NOT NULL").count() == 0
     assert pieces.encode_decode(empty(spark), MODEL).count() == 0
 
 
