@@ -537,3 +537,15 @@ def test_toxicity_learns_from_positive_and_unlabelled(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in found.values())
     assert toxicity.toxicity(empty(spark), table).count() == 0
     assert toxicity.toxicity(docs, table.limit(0)).where("predicted = 1").count() == 0
+
+
+def test_parities_are_a_lower_bound():
+    rng = np.random.default_rng(8)
+    for n, m in ((40, 40), (500, 600), (900, 1100), (5000, 4200)):
+        common = rng.integers(0, 1 << 62, min(n, m) * 9 // 10, dtype=np.uint64)
+        a, b = (np.unique(np.concatenate([common, rng.integers(0, 1 << 62, k - len(common), dtype=np.uint64)])) for k in (n, m))
+        (short_a, more_a), (short_b, more_b) = near_copies.parities(a), near_copies.parities(b)
+        apart = len(np.setxor1d(a, b))
+        assert np.bitwise_count((short_a ^ short_b).view(np.uint64)).sum() <= apart
+        if more_a and more_b:
+            assert apart / 4 < near_copies.parities_differ(more_a, more_b) <= apart

@@ -305,8 +305,11 @@ def one_of_each(
     from tickloom.llm.near_copies import groups, text_key
 
     found = groups(docs, id_col, text_col, shingle, similarity).where("doc_id = component_id")
-    first = found.groupBy("root").agg(F.min("doc_id").alias("__first_id"), F.min("text_key").alias("__first_key"))
+    first = found.groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("__rows")).groupBy("root")
+    first = first.agg(F.min(F.struct(F.col("doc_id").alias("__first_id"), F.col("text_key").alias("__first_key"), "__rows")).alias("m"))
+    first = first.select("m.*")
     named = docs.where(F.col(id_col).isNotNull()).withColumn("__text_key", text_key(F.col(text_col)))
     same = (F.col(id_col).cast("long") == F.col("__first_id")) & (F.col("__text_key") == F.col("__first_key"))
-    stay = named.join(first, same, "left_semi").dropDuplicates([id_col, "__text_key"]).drop("__text_key")
-    return stay.unionByName(docs.where(F.col(id_col).isNull()))
+    once = named.join(first.where("__rows = 1"), same, "left_semi")
+    repeated = named.join(first.where("__rows > 1"), same, "left_semi").dropDuplicates([id_col, "__text_key"])
+    return once.unionByName(repeated).drop("__text_key").unionByName(docs.where(F.col(id_col).isNull()))
