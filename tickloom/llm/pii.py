@@ -139,7 +139,7 @@ class Crf:
         if (found := self._rows.get(word)) is None:
             ids = [self.index[f] for f in word_features(word) if f in self.index]
             found = self.emit[:, ids].sum(1)
-            if len(self._rows) > 100_000:
+            if len(self._rows) > 20_000:
                 self._rows.clear()
             self._rows[word] = found
         return found
