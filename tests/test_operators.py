@@ -166,4 +166,51 @@ def test_registry_sends_unknown_versions_to_quarantine(spark):
         r.register("s", "c", "v1", None)
     raw = spark.createDataFrame([(1, "s", "c", "v1"), (2, "s", "c", "v2")], "n int, source_id string, channel_id string, mapper_version string")
     rows, bad = r.run(raw)
-    assert [x.n for x in rows.collect()] == [1] and [(x.n, x.code) for x in bad.collect()] == [(2, "binding_missing")]
+    assert [x.n for x in rows.collect()] == [1] and [(x.n, x.code) for x in bad.collect()] == [(2, "mapper_binding_unavailable")]
+
+
+def test_load_leaves_the_old_generation_until_the_new_one_is_whole(spark, tmp_path):
+    rows = spark.createDataFrame([(i, "S") for i in range(20)], "native_trade_id long, source_id string")
+    fewer = rows.where("native_trade_id < 9")
+    assert tables.load_generation(fewer, fewer, str(tmp_path), "g") == "loaded"
+    assert tables.load_generation(rows.limit(3), rows, str(tmp_path), "g") == "refused"
+    assert spark.read.parquet(str(tmp_path)).count() == 9
+    assert tables.load_generation(rows, rows, str(tmp_path), "g") == "loaded"
+    assert spark.read.parquet(str(tmp_path)).count() == 20
+
+
+def test_equal_events_are_annotated_each(spark):
+    events = spark.createDataFrame([(1, "k", 5)] * 3 + [(2, "k", 999)] * 2, "id long, k string, t long")
+    w = spark.createDataFrame([("k", 0, 300, "w1"), ("k", 0, 300, "w1"), ("k", 1, 9, "w2")], "k string, start_ns long, end_ns long, wid string")
+    found = joins.containing_windows(events, w, ["k"], "t", "wid", "ids", bucket_ns=100, row_keys=["id"]).orderBy("id").collect()
+    assert [tuple(r) for r in found] == [(1, ["w1", "w2"])] * 3 + [(2, [])] * 2
+
+
+def test_messages_of_another_role_are_refused(spark):
+    m = N.Mapping_("trade", [N.Field("native_id", "t", "uint")], when=("e", "trade|aggTrade"))
+    raw = spark.createDataFrame([('{"e":"trade","t":9223372036854775807}',), ('{"e":"trades","t":1}',), ('{"t":1}',), ('{"e":"trade","t":9223372036854775808}',)], "payload string")
+    found = N.apply(raw, m).collect()
+    assert [(r.native_id, r.code, r.bad_field) for r in found] == [
+        (9223372036854775807, None, None), (1, "schema_unknown", "e"), (1, "schema_unknown", "e"), (None, "invalid_field", "native_id"),
+    ]
+
+
+def test_change_ids_and_actions_must_fit():
+    e = books.Engine(books.ChangePolicy(), check_crossed=False)
+    level = lambda a, p, n: {"side": "buy", "price": Decimal(p), "amount": Decimal(n), "action": a}
+    seen = run(
+        e,
+        event(1, "snapshot", 10, 10, []) | {"levels": [level("new", 5, 1)]},
+        event(2, "delta", 9, 10, [], 9) | {"levels": [level("change", 5, 9)]},  # stale
+        event(3, "delta", 11, 13, [], 10) | {"levels": [level("change", 5, 2), level("new", 6, 1)]},
+        event(4, "delta", 14, 14, [], 13) | {"levels": [level("delete", 6, 0)]},
+        event(5, "delta", 15, 15, [], 14) | {"levels": [level("change", 5, 3), level("change", 7, 1)]},  # no such level
+    )
+    assert (seen, e.state, e.counts["rejected"], e.book.sides["buy"]) == ([1, 3, 4], "gap", 1, {Decimal(5): Decimal(2)})
+
+
+def test_an_equal_id_may_hold_no_levels():
+    p = books.PreviousPolicy()
+    assert p.next(7, {"previous_sequence": 7, "last_sequence": 7, "levels": []}) == "apply"
+    assert p.next(7, {"previous_sequence": 7, "last_sequence": 7, "levels": [1]}) == "gap"
+    assert p.next(7, {"previous_sequence": 7, "last_sequence": 3, "levels": [1]}) == "apply"

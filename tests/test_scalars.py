@@ -74,5 +74,18 @@ def test_shapes_have_no_values(spark):
 
 
 def test_quality_flags(spark):
-    assert value(spark, X.quality_flags(F.array(F.lit("late"), F.lit("late")))) == ["late"]
+    assert value(spark, X.quality_flags(F.array(F.lit("source_duplicate_candidate"), F.lit("source_duplicate_candidate")))) == ["source_duplicate_candidate"]
     assert value(spark, X.quality_flags(F.array(F.lit("strange")))) is None
+
+
+def test_dates_are_exact_around_midnight(spark):
+    for ns, day in ((1704153599999999999, "2024-01-01"), (1704153600000000000, "2024-01-02"), (-1, "1969-12-31"), (0, "1970-01-01")):
+        assert str(value(spark, X.ns_date(F.lit(ns)))) == day
+
+
+def test_canonical_json_keeps_numbers_as_written(spark):
+    from tickloom.functions.shapes import canonical_json
+
+    given = ['{"b": [1.50, 1e3, -0], "a": "1.5"}', '{"a":1.5}', '{"a":"1.5"}', "NaN", "{", None]
+    found = spark.createDataFrame([(i, t) for i, t in enumerate(given)], "i int, t string").select("i", canonical_json("t").alias("c")).orderBy("i").collect()
+    assert [r.c for r in found] == ['{"a":"1.5","b":[1.50,1e3,-0]}', '{"a":1.5}', '{"a":"1.5"}', None, None, None]

@@ -62,3 +62,20 @@ def test_rebuild_keeps_old_evidence_in_files(spark, monkeypatch):
     out = tables.rebuild_partition(new, "trade", folder)
     assert held == [True]
     assert not out.where("same").count() and out.count() == rows.select("received_time_ns").withColumn("h", F.expr("received_time_ns div 3600000000000")).select("h").distinct().count()
+
+
+def test_late_rows_stay_out_of_published_hours(spark, tmp_path):
+    hour = 3_600_000_000_000
+    given, schema = str(tmp_path / "in"), "id long, t long"
+    paths = [str(tmp_path / n) for n in ("staging", "published")]
+
+    def call(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(given)
+        jobs.hour_files(spark.readStream.schema(schema).parquet(given), *paths, "t", str(tmp_path / "state"))
+
+    published = lambda: sorted((r.id, r.hour) for r in spark.read.parquet(paths[1]).collect())
+    call([(1, 5), (2, hour + 5)])
+    assert published() == [(1, 0)]
+    call([(3, 7), (4, 2 * hour + 5)])
+    assert published() == [(1, 0), (2, 1)]
+    assert [(r.id, r.hour) for r in spark.read.parquet(f"{paths[0]}_late").collect()] == [(3, 0)]

@@ -12,7 +12,7 @@ INT64_MAX = (1 << 63) - 1
 
 #: Quality flags that a row may carry. Fixed values.
 QUALITY_FLAGS = (
-    "clock_uncertain", "duplicate_candidate", "exchange_time_missing", "exchange_time_regression", "late", "unit_provisional",
+    "clock_uncertain", "exchange_time_regression", "schema_additive_field", "source_duplicate_candidate",
 )
 
 
@@ -89,7 +89,8 @@ def book_checksum(bids: Column, asks: Column, depth: int = 25) -> Column:
 
 def ns_date(ns: Column) -> Column:
     """UTC date of epoch nanoseconds, free of the session's time zone."""
-    return F.date_from_unix_date(F.floor(ns / 86_400_000_000_000).cast("int"))
+    day = F.lit(86_400_000_000_000)
+    return F.date_from_unix_date(F.call_function("div", ns - F.pmod(ns, day), day).cast("int"))
 
 
 def ns_hour(ns: Column) -> Column:

@@ -44,17 +44,34 @@ def structural_fingerprint(payload: pd.Series) -> pd.Series:
     return payload.map(_fingerprint)
 
 
+class _Number(str):
+    """A number as it was written."""
+
+
+def _no_number(name: str) -> None:
+    raise ValueError(f"{name} is no JSON")
+
+
+def _written(value: object) -> str:
+    if isinstance(value, _Number):
+        return str(value)
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_written(v)}" for k, v in sorted(value.items())) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(_written, value)) + "]"
+    return json.dumps(value, ensure_ascii=False)
+
+
 def _canonical(text: str | None) -> str | None:
     try:
-        parsed = json.loads(text, parse_float=Decimal)
+        return _written(json.loads(text, parse_float=_Number, parse_int=_Number, parse_constant=_no_number))
     except (TypeError, ValueError, RecursionError):
         return None
-    return json.dumps(parsed, sort_keys=True, separators=(",", ":"), ensure_ascii=False, default=lambda d: str(d))
 
 
 @F.pandas_udf(T.StringType())
 def canonical_json(text: pd.Series) -> pd.Series:
-    """JSON with sorted keys and no spaces; null for what is no JSON."""
+    """JSON with sorted keys, no spaces and numbers as they were written; null for what is no JSON."""
     return text.map(_canonical)
 
 

@@ -76,7 +76,7 @@ class Policy:
     ``first`` and ``next`` return apply, stale or gap.
     """
 
-    name = "bridge"
+    name, strict = "bridge", False
 
     def behind(self, snapshot_last: int, first_buffered: dict) -> bool:
         return snapshot_last + 1 < first_buffered["first_sequence"]
@@ -127,16 +127,30 @@ class ContiguousPolicy(Policy):
 
 
 class PreviousPolicy(Policy):
-    """The previous id must be the last seen; an equal pair is a message without change, a smaller id with a
-    matching previous one is a maintenance reset."""
+    """The previous id must be the last seen; an equal pair is a message without change and may hold no levels, a
+    smaller id with a matching previous one is a maintenance reset."""
 
     name = "previous"
 
     def next(self, last: int, u: dict) -> str:
-        return "apply" if u["previous_sequence"] == last else "gap"
+        if u["previous_sequence"] != last or (u["last_sequence"] == last and len(u["levels"])):
+            return "gap"
+        return "apply"
+
+
+class ChangePolicy(Policy):
+    """Change ids chain by the previous one and rise, and each new, change or delete must fit the book."""
 
+    name, strict = "change", True
 
-POLICIES: dict[str, type[Policy]] = {p.name: p for p in (Policy, ChainPolicy, ResetPolicy, ContiguousPolicy, PreviousPolicy)}
+    def first(self, snapshot_last: int, u: dict) -> str:
+        return "stale" if u["last_sequence"] <= snapshot_last else self.next(snapshot_last, u)
+
+    def next(self, last: int, u: dict) -> str:
+        return "apply" if u["previous_sequence"] == last < u["last_sequence"] else "gap"
+
+
+POLICIES: dict[str, type[Policy]] = {p.name: p for p in (Policy, ChainPolicy, ResetPolicy, ContiguousPolicy, PreviousPolicy, ChangePolicy)}
 
 
 @dataclass
@@ -145,23 +159,31 @@ class Book:
 
     sides: dict[str, dict[Decimal, Decimal]] = field(default_factory=lambda: {"buy": {}, "sell": {}})
 
-    def apply(self, levels: Sequence[dict], strict: bool = False) -> bool:
+    def apply(self, levels: Sequence[dict], strict: bool = False, check_crossed: bool = True) -> bool:
         """False, and no change, if the book would cross or (strict) an action does not fit the state."""
-        new = {s: dict(p) for s, p in self.sides.items()} if strict else {s: p.copy() for s, p in self.sides.items()}
+        undo = []
+        fits = True
         for x in levels:
-            side, price = new[x["side"]], x["price"]
+            side, price = self.sides[x["side"]], x["price"]
             gone = x["amount"] == 0
             action = x.get("action") or ("delete" if gone else "upsert")
             if strict and ((action == "new" and price in side) or (action in ("change", "delete") and price not in side)):
-                return False
+                fits = False
+                break
+            undo.append((side, price, side.get(price)))
             if action == "delete" or gone:
                 side.pop(price, None)
             else:
                 side[price] = x["amount"]
-        if new["buy"] and new["sell"] and max(new["buy"]) >= min(new["sell"]):
-            return False
-        self.sides = new
-        return True
+        if fits and check_crossed:
+            bid, ask = self.best()
+            fits = bid is None or ask is None or bid < ask
+        for side, price, amount in [] if fits else reversed(undo):
+            if amount is None:
+                side.pop(price, None)
+            else:
+                side[price] = amount
+        return fits
 
     def best(self) -> tuple[Decimal | None, Decimal | None]:
         buy, sell = self.sides["buy"], self.sides["sell"]
@@ -195,7 +217,7 @@ class Engine:
             self.counts["rejected"] += 1
             return
         self.book = Book()
-        self._change(snapshot)
+        self.book.apply(snapshot["levels"], check_crossed=self.check_crossed)
         self.last, self.state = snapshot["last_sequence"], "seeded"
         yield self._row(snapshot)
         waiting, self.buffer = self.buffer, []
@@ -221,15 +243,7 @@ class Engine:
             self.state, self.buffer = "gap", []
 
     def _change(self, event: dict) -> bool:
-        if self.check_crossed:
-            return self.book.apply(event["levels"])
-        for x in event["levels"]:
-            side = self.book.sides[x["side"]]
-            if x["amount"] == 0:
-                side.pop(x["price"], None)
-            else:
-                side[x["price"]] = x["amount"]
-        return True
+        return self.book.apply(event["levels"], self.policy.strict, self.check_crossed)
 
     def _row(self, event: dict) -> dict:
         bid, ask = self.book.best()

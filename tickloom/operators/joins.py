@@ -51,9 +51,9 @@ def containing_windows(
     """(row_keys..., out): for each event the sorted ids of the windows [start_ns, end_ns) that hold its time.
 
     Windows are spread over the time buckets they touch and events have one bucket, so the join is an equality
-    on keys and bucket however many windows a key has; no pair can occur twice.
+    on keys and bucket however many windows a key has; no pair can occur twice. Equal events are each a row.
     """
-    spread = windows.select(
+    spread = windows.distinct().select(
         *keys,
         "start_ns",
         "end_ns",
@@ -68,7 +68,11 @@ def containing_windows(
     for k in keys:
         on = on & (F.col(f"e.{k}") == F.col(f"w.{k}"))
     joined = rows.alias("e").join(spread.alias("w"), on, "left")
-    return joined.groupBy(*(F.col(f"e.{k}").alias(k) for k in row_keys)).agg(F.array_sort(F.collect_set("w.__id")).alias(out))
+    grouped = joined.groupBy(*(F.col(f"e.{k}").alias(k) for k in row_keys), "e.__t").agg(
+        F.array_sort(F.collect_set("w.__id")).alias(out), F.count("*").alias("__n")
+    )
+    copies = F.call_function("div", F.col("__n"), F.greatest(F.size(out), F.lit(1))).cast("int")
+    return grouped.select(*row_keys, F.explode(F.array_repeat(out, copies)).alias(out))
 
 
 def reconcile(listed: DataFrame, catalogued: DataFrame, key: str) -> DataFrame:

@@ -20,8 +20,8 @@ from tickloom.functions.shapes import structural_fingerprint
 
 #: Why a record was not mapped. Fixed values.
 CODES = (
-    "payload_invalid", "schema_unknown", "schema_semantic_change", "schema_type_change", "binding_missing",
-    "instrument_unknown", "field_invalid", "unit_unproven", "sequence_invalid",
+    "mapper_binding_unavailable", "schema_malformed", "schema_unknown", "schema_semantic_change", "schema_type_or_meaning_change",
+    "invalid_field", "bounds_exceeded", "instrument_identity_unresolved", "invalid_mapper_output",
 )
 
 
@@ -102,7 +102,8 @@ def tagged_levels_of(text: Column, side: str) -> Column:
 
 
 def uint(text: Column) -> Column:
-    return F.when(text.rlike("^[0-9]{1,18}$"), text.try_cast("long"))
+    """Digits that fit 63 bits; null for others."""
+    return F.when(text.rlike(r"^[0-9]+\z"), text.try_cast("long"))
 
 
 READERS: dict[str, Callable[[Column, str], Column]] = {
@@ -119,17 +120,24 @@ READERS: dict[str, Callable[[Column, str], Column]] = {
 }
 
 
+def meant(message: Column, m: Mapping_) -> Column:
+    """Whether a message's role is the one that a mapping is for."""
+    return F.coalesce(text_at(message, m.when[0]).rlike(rf"^(?:{m.when[1]})\z"), F.lit(False)) if m.when else F.lit(True)
+
+
 def routed(raw: DataFrame, mappings: Mapping[str, Mapping_]) -> Column:
     """Name of the mapping that each message is meant for; null for none."""
     chosen = F.lit(None).cast("string")
     for name, m in reversed(list(mappings.items())):
-        meant = F.lit(True) if m.when is None else F.coalesce(text_at(F.col("message"), m.when[0]).rlike(f"^(?:{m.when[1]})$"), F.lit(False))
-        chosen = F.when(meant, F.lit(name)).otherwise(chosen)
+        chosen = F.when(meant(F.col("message"), m), F.lit(name)).otherwise(chosen)
     return chosen
 
 
 def apply(raw: DataFrame, m: Mapping_, payload: str = "payload", keep: Sequence[str] = ()) -> DataFrame:
-    """Rows of one mapping: ``keep``, its columns, and ``code``, ``bad_field``, ``bad_state`` (null if accepted)."""
+    """Rows of one mapping: ``keep``, its columns, and ``code``, ``bad_field``, ``bad_state`` (null if accepted).
+
+    A message of another role than the mapping's is refused as schema_unknown.
+    """
     # A message is parsed behind a generator, so that filters on fields aren't pushed below it and parse again.
     rows = raw.select("*", F.explode(F.array(as_map(F.col(payload)))).alias("__m"))
     parts = [(f, text_at(F.col("__m"), f.path), state_at(F.col("__m"), f.path)) for f in m.header]
@@ -143,9 +151,10 @@ def apply(raw: DataFrame, m: Mapping_, payload: str = "payload", keep: Sequence[
     read = {f"__f{i}": READERS[f.kind](t, f.name) for i, (f, t, _) in enumerate(parts)}
     rows = rows.withColumns(read)
     refused = lambda code, name, state: F.struct(F.lit(code).alias("code"), F.lit(name).cast("string").alias("bad_field"), state.alias("bad_state"))
-    no_json = F.when(F.col("__r").isNull(), refused("payload_invalid", None, F.lit("value")))
-    broken = [F.when(F.col(c).isNull(), refused("field_invalid", f.name, s)) for c, (f, _, s) in zip(read, parts, strict=True) if f.required]
-    rows = rows.withColumn("__q", F.coalesce(no_json, *broken))
+    no_json = F.when(F.col("__r").isNull(), refused("schema_malformed", None, F.lit("value")))
+    other_role = F.when(~meant(F.col("__m"), m), refused("schema_unknown", m.when and m.when[0], state_at(F.col("__m"), m.when[0]) if m.when else F.lit("value")))
+    broken = [F.when(F.col(c).isNull(), refused("invalid_field", f.name, s)) for c, (f, _, s) in zip(read, parts, strict=True) if f.required]
+    rows = rows.withColumn("__q", F.coalesce(no_json, other_role, *broken))
     values = [F.col(c).alias(f.name) for c, (f, _, _) in zip(read, parts, strict=True)]
     fixed = [F.lit(v).alias(k) for k, v in m.fixed.items()]
     return rows.select(*keep, F.col("message_ordinal").cast("long"), *values, *fixed, "__q.code", "__q.bad_field", "__q.bad_state")
@@ -169,10 +178,10 @@ def fingerprint_route(raw: DataFrame, rules: DataFrame, payload: str = "payload"
     rows = raw.withColumn("fingerprint", structural_fingerprint(F.col(payload)))
     rows = rows.join(F.broadcast(rules), "fingerprint", "left")
     code = (
-        F.when(F.col("fingerprint").isNull(), "payload_invalid")
+        F.when(F.col("fingerprint").isNull(), "schema_malformed")
         .when(F.col("class").isNull(), "schema_unknown")
         .when(F.col("class") == "semantic", "schema_semantic_change")
-        .when(F.col("class") == "type_change", "schema_type_change")
+        .when(F.col("class") == "type_change", "schema_type_or_meaning_change")
     )
     return rows.withColumn("code", code)
 
@@ -236,5 +245,5 @@ class Registry:
             done.append(rows)
             refused.append(bad)
             known = known | F.coalesce(mine, F.lit(False))
-        refused.append(raw.where(~known).withColumn("code", F.lit("binding_missing")))
+        refused.append(raw.where(~known).withColumn("code", F.lit("mapper_binding_unavailable")))
         return union_all(done), union_all(refused)

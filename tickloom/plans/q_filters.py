@@ -228,12 +228,12 @@ def x15_uuid(spark, d):
 
 
 @query(
-    """SELECT native_trade_id, CASE native_trade_id % 3 WHEN 0 THEN 'clock_uncertain,late' WHEN 1 THEN 'late' END AS flags FROM trades""",
+    """SELECT native_trade_id, CASE native_trade_id % 3 WHEN 0 THEN 'clock_uncertain,source_duplicate_candidate' WHEN 1 THEN 'source_duplicate_candidate' END AS flags FROM trades""",
     ["trades"],
 )
 def x16_quality_flags(spark, d):
     k = F.col("native_trade_id") % 3
-    given = F.when(k == 0, F.array(F.lit("late"), F.lit("clock_uncertain"), F.lit("late"))).when(k == 1, F.array(F.lit("late"))).otherwise(F.array(F.lit("odd")))
+    given = F.when(k == 0, F.array(F.lit("source_duplicate_candidate"), F.lit("clock_uncertain"), F.lit("source_duplicate_candidate"))).when(k == 1, F.array(F.lit("source_duplicate_candidate"))).otherwise(F.array(F.lit("odd")))
     return V.trades(spark, d).select("native_trade_id", F.array_join(X.quality_flags(given), ",").alias("flags"))
 
 

@@ -229,7 +229,7 @@ def n11_exchange_metadata(spark, d):
     return rows.select("symbol", "state", rules["PRICE_FILTER"].alias("tick_size"))
 
 
-@query("SELECT native_trade_id, CASE native_trade_id % 13 WHEN 1 THEN 'schema_unknown' WHEN 2 THEN 'schema_type_change' END AS code FROM raw_json", ["raw_json"])
+@query("SELECT native_trade_id, CASE native_trade_id % 13 WHEN 1 THEN 'schema_unknown' WHEN 2 THEN 'schema_type_or_meaning_change' END AS code FROM raw_json", ["raw_json"])
 def n12_fingerprint_routing(spark, d):
     raw = V.raw_json(spark, d)
     shapes = N.fingerprint_route(raw.where("native_trade_id % 13 IN (0, 2, 6)"), spark.createDataFrame([], "fingerprint string, class string"))

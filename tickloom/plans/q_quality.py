@@ -121,7 +121,18 @@ def r7_previous_id_books(spark, d):
 
 @query()
 def r8_change_id_books(spark, d):
-    return _policy_run(spark, d, "previous", previous_sequence=C("first_sequence") - 1)
+    """Levels are new or change by whether their price was held since the last snapshot, and every 23rd event is lost."""
+    events = _engine_events(spark, d)
+    per_epoch = Window.partitionBy("instrument_uid", "epoch_id").orderBy("received_time_ns", "event_id")
+    lines = events.withColumn("seed", F.count_if(C("update_kind") == "snapshot").over(per_epoch)).select("*", F.inline("levels"))
+    per_price = Window.partitionBy("instrument_uid", "epoch_id", "seed", "side", "price").orderBy("received_time_ns", "event_id", "level_ordinal")
+    held = F.coalesce(F.lag(C("amount") != 0).over(per_price), F.lit(False))
+    action = F.when(C("amount") == 0, "delete").when(held, "change").otherwise("new").alias("action")
+    level = F.struct("level_ordinal", "side", "price", "amount", action)
+    levels = lines.select("*", level.alias("l")).groupBy("event_id").agg(F.array_sort(F.collect_list("l")).alias("levels"))
+    events = events.drop("levels").join(levels, "event_id").where("event_id % 23 <> 0")
+    rows = books.reconstruct(events, "change", check_crossed=False).where("kind = 'epoch'")
+    return rows.groupBy("instrument_uid").agg(*(F.sum(c).alias(c) for c in ("accepted", "applied", "stale", "gaps")))
 
 
 @query("SELECT instrument_uid, arg_max(native_trade_id, (received_time_ns, native_trade_id)) AS native_trade_id, CAST(arg_max(price, (received_time_ns, native_trade_id)) AS VARCHAR) AS price FROM trades GROUP BY 1", ["trades"])

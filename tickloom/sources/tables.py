@@ -121,17 +121,25 @@ def generation_path(root: str, generation: str) -> str:
 def load_generation(rows: DataFrame, expected_ids: DataFrame, root: str, generation: str, key: str = "native_trade_id") -> str:
     """Load rows once under a generation id: loaded, already_loaded or refused.
 
-    Rows are staged, and published by replacing only their own generation, when the staged ids are exactly the
-    expected ones. A generation that is there and exact is never written again; one that is not is rebuilt.
+    Rows are written to a staging folder beside the generations, which readers pass over, and take the place of their own
+    generation by a rename when the staged ids are exactly the expected ones. A generation that is there and exact is
+    never written again; one that is not is replaced; refused rows leave everything as it was.
     """
     spark = rows.sparkSession
     found = reconcile_generation(spark, expected_ids, root, generation, key)
     if found == "exact":
         return "already_loaded"
-    if not set_difference(expected_ids.select(key), rows.select(key)).isEmpty():
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    staged, final = path(f"{root}/_staged/{uuid.uuid4().hex}"), path(generation_path(root, generation))
+    rows.write.parquet(staged.toString())
+    files = staged.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not set_difference(expected_ids.select(key), spark.read.parquet(staged.toString()).select(key)).isEmpty():
+        files.delete(staged, True)
         return "refused"
-    rows.write.mode("overwrite").parquet(generation_path(root, generation))
-    return "loaded" if reconcile_generation(spark, expected_ids, root, generation, key) == "exact" else "refused"
+    files.delete(final, True)
+    if not files.rename(staged, final):
+        raise RuntimeError(f"generation {generation} could not be published")
+    return "loaded"
 
 
 def reconcile_generation(spark: SparkSession, expected_ids: DataFrame, root: str, generation: str, key: str) -> str:

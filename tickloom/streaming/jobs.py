@@ -90,7 +90,9 @@ def books(stream: DataFrame, folder: str) -> DataFrame:
 def hour_files(stream: DataFrame, staging: str, published: str, time: str, checkpoint: str) -> None:
     """Batches are staged under their id, so a replayed batch replaces itself; closed hours are published once.
 
-    An hour is closed when the high-water mark of the staged rows has passed its end.
+    An hour is closed when the high-water mark of the staged rows has passed its end. ``<staging>_hours`` records the hours
+    published and the last batch that went into them; rows of later batches for such an hour never enter it but stand in
+    ``<staging>_late``. A call that ends between files and record publishes the same files again.
     """
     spark = stream.sparkSession
 
@@ -98,9 +100,19 @@ def hour_files(stream: DataFrame, staging: str, published: str, time: str, check
         batch.write.mode("overwrite").parquet(f"{staging}/batch_id={batch_id}")
 
     stream.writeStream.foreachBatch(stage).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    staged = spark.read.parquet(staging).drop("batch_id")
+    staged = spark.read.parquet(staging).withColumn("batch_id", F.col("batch_id").cast("long"))
     rows = staged.withColumn("hour", F.call_function("div", F.col(time), F.lit(NS_PER_HOUR)))
-    high = rows.agg(F.max(time)).first()[0]
-    if high is not None:
-        closed = rows.where((F.col("hour") + 1) * NS_PER_HOUR <= high)
-        closed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("hour").parquet(published)
+    high, last = rows.agg(F.max(time), F.max("batch_id")).first()
+    if high is None:
+        return
+    record = spark._jvm.org.apache.hadoop.fs.Path(f"{staging}_hours")
+    before = record.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(record)
+    schema = "hour long, upto long"
+    hours = spark.read.schema(schema).parquet(f"{staging}_hours") if before else spark.createDataFrame([], schema)
+    rows.join(hours, "hour").where("batch_id > upto").drop("batch_id", "upto").write.mode("overwrite").parquet(f"{staging}_late")
+    closed = rows.where((F.col("hour") + 1) * NS_PER_HOUR <= high).join(hours, "hour", "left_anti")
+    new = closed.select("hour").distinct().withColumn("upto", F.lit(last).cast("long"))
+    closed = closed.drop("batch_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("hour")
+    if not new.isEmpty():
+        closed.parquet(published)
+        new.write.mode("append").parquet(f"{staging}_hours")
