@@ -549,3 +549,22 @@ def test_parities_are_a_lower_bound():
         assert np.bitwise_count((short_a ^ short_b).view(np.uint64)).sum() <= apart
         if more_a and more_b:
             assert apart / 4 < near_copies.parities_differ(more_a, more_b) <= apart
+
+
+def test_names_that_only_look_like_boilerplate_or_hidden():
+    page = """<body><article class="legal-story"><section class="post search-results-analysis"><div class="overflow-hidden">
+    <p>The hidden cost of the new law is a matter of debate.</p></div><p style="display: none">Not seen at all.</p>
+    <p hidden>Nor is this one.</p></section></article><div class="cookie-notice"><p>We use cookies, as you may well know.</p></div></body>"""
+    assert html_text.main_text(page, np.zeros(9)) == "The hidden cost of the new law is a matter of debate."
+
+
+def test_pages_take_time_by_their_length():
+    import time
+
+    whole = "<p>" + "word " * 30 + "end.</p>"
+    start = time.process_time()
+    for page in ('<a "' * 250_000, '<a b="' * 160_000, "<a b='x\">" * 100_000, "<!" * 400_000, "<div>x" * 50_000, whole * 50_000, ("<div>" + whole) * 20_000, "</p>" * 200_000):
+        html_text.main_text(page, np.zeros(9))
+    mixed = "".join(f"<{t}>Some words here, and more of them.</{t}>" for t in ("p", "div", "h2", "span", "footer") * 10_000)
+    html_text.main_text(mixed, np.array([-0.3, 0, 0, 0, 0, 0, 0, 0, 0.9]))
+    assert time.process_time() - start < 60

@@ -21,15 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|template|noscript|textarea|svg|iframe)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<[!?/][^>]*>",
-    re.I | re.S,
-)
+_NAME = re.compile(r"<(/?)([a-z][a-z0-9:-]*)", re.I)
+_PART = re.compile(r"[^>=]*+(?:(>)|=\s*+([\"']?))")
+_RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "template", "noscript", "textarea", "svg", "iframe")}
 _NAMED = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!=)|display\s*:\s*none|aria-hidden\s*=\s*.?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _WORD = re.compile(r"[a-z]+")
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -51,73 +48,148 @@ WORD_ODDS |= dict.fromkeys("article content entry post story main maincontent ar
 @dataclass
 class Block:
     text: str
-    path: tuple[int, ...]  # numbers of the open elements, outermost first
+    element: int  # number of the element that the block stands in, and of that one's parent
+    parent: int
+    depth: int  # how many elements are open, and how many of these were open since the block before
+    common: int
     odds: float  # what the tree says
     link_share: float
     tag: str
 
 
+def name_odds(attributes: str) -> float:
+    """Log odds by the words of an element's names.
+
+    A name speaks against content if half of its words or more do and none speaks for it, so that one word of a long
+    name decides nothing. The strongest name against content counts, or else the strongest for it.
+    """
+    found = []
+    for name in " ".join("".join(g) for g in _NAMED.findall(attributes)).lower().split():
+        odds = [WORD_ODDS.get(w, 0.0) for w in _WORD.findall(name)]
+        against = sum(o < 0 for o in odds)
+        if max(odds, default=0.0) > 0:
+            found.append(max(odds) if not against else 0.0)
+        elif against and 2 * against >= len(odds):
+            found.append(min(odds))
+    return min(found, default=0.0) if min(found, default=0.0) < 0 else max(found, default=0.0)
+
+
+def hidden(attributes: str) -> bool:
+    """Whether an element's own attributes hide it."""
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values)
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _NO_DISPLAY.search(value):
+            return True
+    return False
+
+
+def _tag_end(page: str, at: int, unpaired: set[str]) -> int:
+    """The end of the tag whose name ends at ``at``, or -1; quotes count behind = and where they are closed."""
+    begin = at
+    while m := _PART.match(page, at):
+        at = m.end()
+        if m[1]:
+            return at
+        if m[2] and m[2] not in unpaired:
+            close = page.find(m[2], at)
+            if close < 0:
+                unpaired.add(m[2])
+            else:
+                at = close + 1
+    return page.find(">", begin) + 1 or -1
+
+
+def tags(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, name, closing, attributes) of a page's tags in time that grows with its length.
+
+    Comments, declarations and elements whose content is no text have an empty name; a tag without end is text.
+    """
+    at, unpaired = page.find("<"), set()
+    while at >= 0:
+        end, name, closing, attributes = -1, "", False, ""
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4) + 3
+            end = end if end > 2 else len(page)
+        elif m := _NAME.match(page, at):
+            end, name, closing = _tag_end(page, m.end(), unpaired), m[2].lower(), bool(m[1])
+            if end < 0:
+                return
+            attributes = page[m.end() : end - 1]
+            if name in _RAW_END and not closing:
+                ends = _RAW_END[name].search(page, end)
+                end, name = (ends.end() if ends else len(page)), ""
+        elif page[at + 1 : at + 2] in ("!", "?", "/"):
+            end = page.find(">", at) + 1
+            if not end:
+                return
+        if end >= 0:
+            yield at, end, name, closing, attributes
+        at = page.find("<", max(end, at + 1))
+
+
 def blocks(page: str) -> list[Block]:
     """Text blocks in page order; scripts, styles, markup and hidden parts are left out."""
     out: list[Block] = []
-    stack: list[tuple[str, int, float, bool]] = []  # tag, number, odds, hidden
+    # tag, number, odds of it and what is around it, whether it is hidden, whether it lies in an article
+    stack: list[tuple[str, int, float, bool, bool]] = [("", 0, 0.0, False, False)]
+    open_tags: dict[str, int] = {}
     parts: list[str] = []
-    linked, serial, in_link = 0, 0, 0
+    linked, serial, in_link, common = 0, 0, 0, 0
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, common
         raw = "".join(parts)
         text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
-        if text and not (stack and stack[-1][3]):
-            path = tuple(n for _, n, _, _ in stack)
-            tag = stack[-1][0] if stack else ""
-            out.append(Block(text, path, sum(o for _, _, o, _ in stack), min(1.0, linked / len(text)), tag))
+        tag, number, odds, unseen, _ = stack[-1]
+        if text and not unseen:
+            parent = stack[-2][1] if len(stack) > 1 else -1
+            depth = len(stack) - 1
+            out.append(Block(text, number, parent, depth, common, odds, min(1.0, linked / len(text)), tag))
+            common = depth
         parts.clear()
         linked = 0
 
-    def shut(tag: str, within: int = 0) -> None:
-        for i in range(len(stack) - 1, within - 1, -1):
-            if stack[i][0] == tag:
-                del stack[i:]
-                return
+    def pop() -> None:
+        nonlocal common
+        open_tags[stack.pop()[0]] -= 1
+        common = min(common, len(stack) - 1)
 
     done = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > done:
-            piece = page[done : m.start()]
-            parts.append(piece)
+    for start, end, tag, closing, attributes in tags(page):
+        if start > done:
+            parts.append(page[done:start])
             if in_link:
-                linked += len(piece)
-        done = m.end()
-        if not (tag := m["tag"]):
+                linked += start - done
+        done = end
+        if not tag:
             continue
-        tag = tag.lower()
         if tag in INLINE:
             if tag == "a":
-                in_link = 0 if m["close"] else 1
+                in_link = 0 if closing else 1
             continue
         if tag == "br":
             parts.append(" ")
             continue
         flush()
-        if m["close"]:
-            shut(tag)
+        if closing:
+            if open_tags.get(tag):
+                while stack[-1][0] != tag:
+                    pop()
+                pop()
             in_link = 0
         elif tag not in VOID:
-            if stack and stack[-1][0] == "p" or stack and stack[-1][0] == tag and tag in ("li", "tr", "td", "th", "dt", "dd", "option"):
-                stack.pop()
-            attrs = m["attrs"] or ""
-            odds = TAG_ODDS.get(tag, 0.0)
-            if tag == "header" and any(t == "article" for t, *_ in stack):
-                odds = 0.0
-            if attrs:
-                named = {w for g in _NAMED.findall(attrs) for w in _WORD.findall(" ".join(g).lower())}
-                found = [WORD_ODDS[w] for w in named if w in WORD_ODDS]
-                odds += min(found, default=0.0) if min(found, default=0.0) < 0 else max(found, default=0.0)
+            if stack[-1][0] == "p" or stack[-1][0] == tag and tag in ("li", "tr", "td", "th", "dt", "dd", "option"):
+                pop()
+            _, _, around, unseen, in_article = stack[-1]
+            odds = 0.0 if tag == "header" and in_article else TAG_ODDS.get(tag, 0.0)
+            if attributes:
+                named = name_odds(attributes)
+                odds += max(named, 0.0) if tag in ("article", "main", "body", "html") else named
+                unseen = unseen or hidden(attributes)
             serial += 1
-            hidden = bool(stack and stack[-1][3]) or bool(attrs and _HIDDEN.search(attrs))
-            if not attrs.endswith("/"):
-                stack.append((tag, serial, odds, hidden))
+            if not attributes.endswith("/"):
+                stack.append((tag, serial, around + odds, unseen, in_article or tag == "article"))
+                open_tags[tag] = open_tags.get(tag, 0) + 1
     if done < len(page):
         parts.append(page[done:])
     flush()
@@ -147,67 +219,94 @@ def text_features(found: list[Block]) -> np.ndarray:
     return np.hstack([own, before, after, np.ones((len(found), 1))])
 
 
-def fit_text(features: np.ndarray, labels: np.ndarray, steps: int = 300) -> np.ndarray:
-    """Logistic regression by Newton steps with a small penalty."""
+def fit_text(features: np.ndarray, labels: np.ndarray, counts: np.ndarray, steps: int = 25) -> np.ndarray:
+    """Logistic regression of rows that stand for ``counts`` blocks each, by Newton steps with a small penalty."""
     w = np.zeros(features.shape[1] if features.ndim == 2 and len(features) else 9)
     if len(np.unique(labels)) < 2:
         return w
-    for _ in range(min(steps, 25)):
+    for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(features @ w, -30, 30)))
-        hessian = features.T @ (features * (p * (1 - p))[:, None]) + 1.0 * np.eye(len(w))
-        w = w + np.linalg.solve(hessian, features.T @ (labels - p) - 1.0 * w)
+        hessian = features.T @ (features * (counts * p * (1 - p))[:, None]) + 1.0 * np.eye(len(w))
+        w = w + np.linalg.solve(hessian, features.T @ (counts * (labels - p)) - 1.0 * w)
     return w
 
 
-def proximity(a: tuple[int, ...], b: tuple[int, ...]) -> float:
-    """Share of the longer tree path that two blocks have in common."""
-    same = 0
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            break
-        same += 1
-    return (same + 1) / (max(len(a), len(b)) + 1)
-
-
 def min_cut(source: list[float], sink: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     """Which nodes stay with the source in a minimum cut; edges carry their capacity both ways.
 
-    What a node can send straight through is sent first; the rest by shortest augmenting paths.
+    A node whose own preference exceeds all its edges together is settled, and its edges then count for its
+    neighbours' preferences. What is left falls into small connected parts, and each is cut by maximum flow.
     """
-    n = len(source)
-    left = [max(0.0, a - b) for a, b in zip(source, sink, strict=True)]  # from the source
-    need = [max(0.0, b - a) for a, b in zip(source, sink, strict=True)]  # to the sink
+    n, eps = len(source), 1e-9
+    net = [a - b for a, b in zip(source, sink, strict=True)]
     room: list[dict[int, float]] = [{} for _ in range(n)]
     for i, j, c in edges:
         room[i][j] = room[i].get(j, 0.0) + c
         room[j][i] = room[j].get(i, 0.0) + c
+    bound = [sum(r.values()) for r in room]
+    label: list[bool | None] = [None] * n
+    waiting = list(range(n))
+    while waiting:
+        i = waiting.pop()
+        if label[i] is not None or abs(net[i]) <= bound[i] + eps:
+            continue
+        label[i] = net[i] > 0
+        for j, c in room[i].items():
+            del room[j][i]
+            net[j] += c if label[i] else -c
+            bound[j] -= c
+            waiting.append(j)
+        room[i] = {}
+    for i in range(n):
+        if label[i] is None:
+            part, seen = [i], {i}
+            for x in part:
+                for y in room[x]:
+                    if y not in seen:
+                        seen.add(y)
+                        part.append(y)
+            kept = _source_side(part, net, room)
+            for x in part:
+                label[x] = x in kept
+    return [bool(x) for x in label]
+
+
+def _source_side(part: list[int], net: list[float], room: list[dict[int, float]]) -> set[int]:
+    """Nodes of one connected part that still reach the source after a maximum flow.
+
+    Each node's surplus goes by shortest augmenting paths from it, so a search stays near. What a search without a
+    path has seen has no way out any more and is not searched again.
+    """
     eps = 1e-9
-    while True:
-        came: dict[int, int] = {i: -1 for i in range(n) if left[i] > eps}
-        queue, end = deque(came), -1
-        while queue:
-            i = queue.popleft()
-            if need[i] > eps:
-                end = i
+    left = {i: max(0.0, net[i]) for i in part}  # from the source
+    need = {i: max(0.0, -net[i]) for i in part}  # to the sink
+    closed: set[int] = set()
+    for start in part:
+        while left[start] > eps and start not in closed:
+            came, queue, end = {start: -1}, deque([start]), -1
+            while queue and end < 0:
+                i = queue.popleft()
+                for j, c in room[i].items():
+                    if c > eps and j not in came and j not in closed:
+                        came[j] = i
+                        queue.append(j)
+                        if need[j] > eps:
+                            end = j
+                            break
+            if end < 0:
+                closed.update(came)
                 break
-            for j, c in room[i].items():
-                if c > eps and j not in came:
-                    came[j] = i
-                    queue.append(j)
-        if end < 0:
-            return [i in came for i in range(n)]
-        flow, i = need[end], end
-        while came[i] >= 0:
-            flow = min(flow, room[came[i]][i])
-            i = came[i]
-        flow = min(flow, left[i])
-        left[i] -= flow
-        need[end] -= flow
-        i = end
-        while came[i] >= 0:
-            room[came[i]][i] -= flow
-            room[i][came[i]] += flow
-            i = came[i]
+            path = [end]
+            while path[-1] != start:
+                path.append(came[path[-1]])
+            steps = list(zip(path[1:], path, strict=False))
+            flow = min(left[start], need[end], *(room[i][j] for i, j in steps))
+            left[start] -= flow
+            need[end] -= flow
+            for i, j in steps:
+                room[i][j] -= flow
+                room[j][i] += flow
+    return closed
 
 
 def main_text(page: str | None, weights: np.ndarray, smooth: float = 1.5) -> str:
@@ -218,19 +317,23 @@ def main_text(page: str | None, weights: np.ndarray, smooth: float = 1.5) -> str
     odds = np.clip(text_features(found) @ weights, -1.4, 2.5) + np.array([max(-20.0, b.odds) for b in found])
     edges, last = [], {}
     for i, b in enumerate(found):
-        if i:
-            edges.append((i - 1, i, smooth * proximity(found[i - 1].path, b.path)))
-        parent = b.path[:-1]
-        if (before := last.get(parent)) is not None and before < i - 1:
-            edges.append((before, i, smooth * proximity(found[before].path, b.path) / 2))
-        last[parent] = i
+        if i:  # the share of the longer tree path that two neighbours have in common
+            edges.append((i - 1, i, smooth * (b.common + 1) / (max(b.depth, found[i - 1].depth) + 1)))
+        if (before := last.get(b.parent)) is not None and before < i - 1:
+            same = b.depth if b.element == found[before].element else b.depth - 1
+            edges.append((before, i, smooth * (same + 1) / (b.depth + 1) / 2))
+        last[b.parent] = i
     content = min_cut(np.maximum(odds, 0).tolist(), np.maximum(-odds, 0).tolist(), edges)
     return "\n".join(b.text for b, kept in zip(found, content, strict=True) if kept)
 
 
-def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = 600) -> np.ndarray:
+def train(
+    pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = 600, max_rows: int = 60_000
+) -> np.ndarray:
     """Weights of the text features from about ``max_pages`` pages, chosen by a hash of their id.
 
+    Equal feature rows are counted in Spark; at most ``max_rows`` different ones are used, chosen by a hash.
+
     Blocks that the tree marks clearly either way are the examples; the weights then speak for blocks about
     which the tree says nothing.
     """
@@ -250,9 +353,9 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max
             yield pa.RecordBatch.from_arrays([pa.array(f, pa.list_(pa.float64())), pa.array(y, pa.int32())], ["f", "y"])
 
     rows = picked.where(draw < share).select("html").limit(2 * max_pages).mapInArrow(run, "f array<double>, y int")
-    sums = rows.groupBy("f", "y").count().orderBy("f", "y").limit(100 * max_pages).collect()
+    sums = rows.groupBy("f", "y").count().orderBy(F.xxhash64("f", "y"), "f", "y").limit(max_rows).collect()
     features = np.array([r.f for r in sums], float)
-    return fit_text(features, np.array([r.y for r in sums]))
+    return fit_text(features, np.array([r.y for r in sums]), np.array([r[2] for r in sums], float))
 
 
 def extract(
