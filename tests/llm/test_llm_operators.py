@@ -568,3 +568,76 @@ def test_pages_take_time_by_their_length():
     mixed = "".join(f"<{t}>Some words here, and more of them.</{t}>" for t in ("p", "div", "h2", "span", "footer") * 10_000)
     html_text.main_text(mixed, np.array([-0.3, 0, 0, 0, 0, 0, 0, 0, 0.9]))
     assert time.process_time() - start < 60
+
+
+def test_shards_grow_one_by_one_without_other_moves(spark):
+    from pyspark.sql import functions as F
+
+    for n in (8, 9, 11, 15):
+        assert sharding.regular_tree(n + 1) == sharding.with_shard(sharding.regular_tree(n), n)
+    a, b = (sharding.shard_of(F.col("id"), sharding.regular_tree(n)) for n in (11, 12))
+    moved = spark.range(3000).select(a.alias("a"), b.alias("b")).where("a <> b").collect()
+    assert moved and all(r.b == 11 for r in moved)
+
+
+def test_added_secrets_stand_apart_from_base():
+    base = [("assign", 5, 30), ("hex", 10, 12), ("hex", 40, 45)]
+    spans = [("random", a, b) for a, b in ((0, 5), (12, 31), (29, 30), (30, 40), (44, 50), (60, 70))]
+    want = [r for r in spans if not any(s < r[2] and e > r[1] for _, s, e in base)]
+    assert secrets.apart(spans, base) == want and len(want) == 3
+
+
+def test_long_chains_decode_like_short_ones():
+    rng = np.random.default_rng(9)
+    words = ["+1", "(555)", "555-1234", "is", "a@b.c"]
+    chains = [[str(rng.choice(words)) for _ in range(n)] for n in (3, 9, 40, 41, 700)]
+    crf = pii.fit_crf(chains, [[0] * len(c) for c in chains], steps=2)
+    crf.emit, crf.move = rng.normal(size=crf.emit.shape), rng.normal(size=crf.move.shape)
+    crf._rows.clear()
+    assert all((a == b).all() for a, b in zip(crf.decode(chains), crf.decode(chains, cells=100), strict=True))
+
+
+def test_nnpu_gradient_lowers_the_risk_it_states():
+    rng = np.random.default_rng(1)
+    toxic = [np.array([0, *rng.integers(5, 60, 4)]) for _ in range(300)]
+    clean = [rng.integers(5, 60, 5) for _ in range(700)]
+    model = toxicity.fit_nnpu(toxic, clean + toxic, 0.3, 6, classifiers=1, steps=300)
+    g = lambda rows: np.array([model.weights[r].sum() + model.intercept for r in rows])
+    risk = lambda p, u: 0.3 * np.logaddexp(0, -p).mean() + max(0, np.logaddexp(0, u).mean() - 0.3 * np.logaddexp(0, p).mean())
+    base = np.log(0.3 / 0.7)
+    assert risk(g(toxic), g(clean + toxic)) < 0.6 * risk(np.full(300, base), np.full(1000, base))
+    assert (g(toxic) > 0).mean() > 0.95 and (g(clean) > 0).mean() < 0.05
+
+
+def test_pipeline(spark, tmp_path):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rng = random.Random(11)
+    plain, nasty = [f"word{i}" for i in range(400)], ["idiot", "scum", "moron", "trash"]
+    say = lambda n: [rng.choice(plain) for _ in range(n)]
+    rows, labels = [], []
+    for i in range(1000):
+        words = say(40)
+        if toxic := i % 6 == 5:
+            words[3:3] = nasty[:3]
+        rows.append([i, " ".join(words)])
+        labels.append((i, 1, int(toxic)))
+    item = " ".join(f"item{i} asks" for i in range(15))
+    near = rows[0][1].split()
+    near[39] = "changed"
+    rows += [[2000, rows[0][1]], [2001, " ".join(near)], [2002, " ".join(say(20)) + " " + item.replace("item3", "itemx")], [2003, None], [2004, ""], [2005, " "]]
+    rows += [[2006, " ".join(say(20)) + " mail bob@mail.example.com now"], [None, " ".join(say(30))], [2007, " ".join(say(9000))]]
+    docs = spark.createDataFrame([(i, t, "en", None, len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = {r.doc_id: r for r in pipeline.run(spark, str(tmp_path)).collect()}
+    clean = {i for i in range(1000) if i % 6 != 5}
+    kept = {i for i in found if i is not None and i < 1000}
+    assert len(kept & clean) >= 0.97 * len(clean) and len(kept - clean) <= 0.1 * (1000 - len(clean))
+    assert found.keys() - set(range(1000)) == {2003, 2006, 2007, None}
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    assert found[2006].ids == library.encode(rows[-3][1].replace("bob@mail.example.com", "[EMAIL]"))
+    assert all(r.round_trip and r.library_agrees for r in found.values())
+    for stage in [s for _, s in pipeline.STAGES][:-1]:
+        out = stage(spark, docs.limit(0).withColumn("score", docs.n_chars), str(tmp_path))
+        assert out.columns == [*docs.columns, "score"] and out.count() == 0

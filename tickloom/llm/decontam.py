@@ -147,7 +147,7 @@ def contaminated(
     Repeated rows report as often as they occur; null ids stay null. Other columns are not read.
 
     The benchmark is taken in blocks of about ``block_chars`` characters; one block's items are a bounded
-    broadcast, and every block is a scan of the documents.
+    broadcast, and every block is a scan of the documents. Repeated rows of the benchmark are one item.
     """
     blocks = _blocks(benchmark, item_col, item_text_col, block_chars)
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t")).where("t IS NOT NULL")
@@ -180,6 +180,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).where(
         "text IS NOT NULL"
     )
+    items = items.distinct()  # a repeated row is one item
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_chars))
     for number in range(blocks):

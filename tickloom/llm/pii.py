@@ -1,7 +1,8 @@
 """Personal data: fixed patterns, and a linear-chain conditional random field over word shapes.
 
 The patterns give the base spans. The field reads the words around every digit and '@' and marks further
-spans whose shapes look like those of its training table: a bounded table of word chains that is labelled
+spans whose shapes look like those of its training table (a word's shape is that of its first 48 characters, and
+words of context are looked for within 96 characters; spans themselves have no such bound): a bounded table of word chains that is labelled
 by the base spans of a sample of the documents, with some spans rewritten (no country code, other
 separators, spaces around '@') so that their shapes are learnt beyond the patterns. Marked spans must also
 hold what their kind needs (digits, a check sum, an '@') and never replace or overlap a base span.
@@ -151,12 +152,20 @@ class Crf:
         out[:-1] += own[1:, 2]
         return out
 
-    def decode(self, many: list[list[str]], batch: int = 256) -> list[np.ndarray]:
-        """Best label numbers of each chain, by Viterbi over padded batches of chains of similar length."""
+    def decode(self, many: list[list[str]], batch: int = 256, cells: int = 100_000) -> list[np.ndarray]:
+        """Best label numbers of each chain, by Viterbi over padded batches of chains of similar length.
+
+        A batch has at most ``cells`` words with its padding, or is one chain.
+        """
         out: list[np.ndarray] = [np.empty(0, np.int64)] * len(many)
         order = sorted(range(len(many)), key=lambda i: len(many[i]))
-        for begin in range(0, len(order), batch):
-            chosen = order[begin : begin + batch]
+        begin = 0
+        while begin < len(order):
+            size = batch
+            while size > 1 and size * len(many[order[min(begin + size, len(order)) - 1]]) > cells:
+                size //= 2
+            chosen = order[begin : begin + size]
+            begin += size
             lengths = np.array([len(many[i]) for i in chosen])
             top = lengths.max()
             e = np.zeros((len(chosen), top, len(LABELS)))

@@ -10,8 +10,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -70,12 +72,20 @@ def random_spans(text: str, encoding, most_chars_per_token: float, kinds_needed:
         mixed = any(c.isdigit() for c in run) + any(c.islower() for c in run) + any(c.isupper() for c in run)
         if mixed < kinds_needed or known_form(run):
             continue
-        tokens = sum(len(encoding.encode_ordinary(run[i : i + 512])) for i in range(0, len(run), 512))
-        if len(run) / tokens <= most_chars_per_token:
+        if len(run) / len(encoding.encode_ordinary(run)) <= most_chars_per_token:
             out.append(("random", m.start(), m.end()))
     return out
 
 
+def apart(spans: list[tuple[str, int, int]], base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """The spans that overlap none of ``base``; both come by start, and ``spans`` don't overlap each other."""
+    if not base or not spans:
+        return spans
+    starts = [s for _, s, _ in base]
+    ends = list(accumulate((e for *_, e in base), max))
+    return [r for r in spans if not (n := bisect_left(starts, r[2])) or ends[n - 1] <= r[1]]
+
+
 def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
@@ -104,11 +114,7 @@ def secrets(
             rows = []
             for text in batch.column(1).to_pylist():
                 base = base_spans(text or "")
-                more = [
-                    r
-                    for r in random_spans(text or "", encoding, most_chars_per_token)
-                    if not any(s < r[2] and e > r[1] for _, s, e in base)
-                ]
+                more = apart(random_spans(text or "", encoding, most_chars_per_token), base)
                 every = sorted(base + more, key=lambda s: (s[1], KINDS.index(s[0]))) if more else base
                 counts = [sum(k == kind for k, _, _ in base) for kind in KINDS[:3]]
                 rows.append((*counts, hashlib.sha256(joined(base).encode()).hexdigest(), joined(every), len(more)))

@@ -18,16 +18,20 @@ from pyspark.sql.window import Window
 Tree = Mapping[str, Mapping[str, Mapping[int, float]]]  # region -> rack -> shard -> weight
 
 
-def regular_tree(shards: int, shards_per_rack: int = 2, racks_per_region: int = 2) -> dict[str, dict[str, dict[int, float]]]:
-    """Full regions of full racks, each shard with weight one; shards beyond the last full region stand alone.
-
-    A shard outside a full region is a region of its own, so that growing by one shard changes no other
-    subtree's weight.
+def regular_tree(
+    shards: int, shards_per_rack: int = 2, racks_per_region: int = 2, regions: int = 2
+) -> dict[str, dict[str, dict[int, float]]]:
+    """``regions`` regions of full racks, each shard with weight one; further shards stand alone.
+
+    A shard outside these is a region of its own at any count, so that growing by one shard changes no other
+    subtree's weight. Fewer shards than the regions hold fill those that they can and stand alone otherwise, so growth
+    moves rows into the new shard only where it starts from full regions.
     """
     per_region = shards_per_rack * racks_per_region
+    regular = min(shards // per_region, regions) * per_region
     tree: dict[str, dict[str, dict[int, float]]] = {}
     for shard in range(shards):
-        if shard < shards // per_region * per_region and shards >= per_region:
+        if shard < regular:
             region, rack = f"region{shard // per_region}", f"rack{shard // shards_per_rack}"
         else:
             region, rack = f"single{shard}", f"single{shard}"

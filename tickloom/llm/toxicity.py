@@ -175,8 +175,8 @@ def train(
 ) -> Model:
     """Fit on a bounded sample: about ``max_positive`` confirmed toxic and ``max_unlabelled`` other texts.
 
-    Ids are chosen by a hash, never by place, and each once; so the sample, and what is broadcast, is bounded. Ids of the held-out fifth are left out of both
-    samples. A document counts as confirmed toxic if any of its label rows says 1; the class prior is the
+    Ids are chosen by a hash, never by place, and each once (of several texts of one id the one with the smallest
+    features); so the sample, and what is broadcast, is bounded. Ids of the held-out fifth are left out of both samples. A document counts as confirmed toxic if any of its label rows says 1; the class prior is the
     share of such documents among the labelled ones that may be learnt from.
     """
     learnt = labels.select(F.col(id_col).cast("string").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where(
@@ -189,7 +189,8 @@ def train(
     )
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     texts = known.agg(F.count("*")).first()[0]
-    chosen = learnt.where((F.col("label") == 1) & (draw < max_positive / max(toxic, 1))).select("doc_id")
+    chosen = learnt.where((F.col("label") == 1) & (draw < max_positive / max(toxic, 1))).select("doc_id", draw.alias("__d"))
+    chosen = chosen.orderBy("__d", "doc_id").limit(2 * max_positive).select("doc_id")  # a proven bound for the broadcast
     positive = known.join(F.broadcast(chosen), "doc_id").withColumn("kind", F.lit(1))
     unlabelled = known.where(1 - draw < max_unlabelled / max(texts, 1)).withColumn("kind", F.lit(0))
 
@@ -200,7 +201,7 @@ def train(
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(rows, pa.binary())], ["doc_id", "kind", "ids"])
 
     both = positive.unionByName(unlabelled).select("doc_id", "kind", "text")
-    sample = both.mapInArrow(run, "doc_id string, kind int, ids binary").dropDuplicates(["doc_id", "kind"])
+    sample = both.mapInArrow(run, "doc_id string, kind int, ids binary").groupBy("doc_id", "kind").agg(F.min("ids").alias("ids"))
     found = sample.select("kind", "ids").toArrow()
     rows = sorted(zip(found["ids"].to_pylist(), found["kind"].to_pylist(), strict=True))
     prior = min(max(toxic / max(labelled, 1), 1e-3), 0.9)
@@ -211,8 +212,8 @@ def train(
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row; the model sees the whole text and nothing else.
 
-    Null and empty texts get the score of a text without words. Null ids stay null and count as not held
-    out unless crc32('') says so. Repeated rows come back as often as they went in. An empty table gives
+    Null and empty texts get the score of a text without words. Null ids stay null and count as held out, as
+    crc32('') is 0. Repeated rows come back as often as they went in. An empty table gives
     an empty result. Other columns are not read.
     """
     scored = docs.select(
