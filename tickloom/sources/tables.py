@@ -172,8 +172,14 @@ def archive(ledger: DataFrame, utc_date: str) -> tuple[DataFrame, DataFrame]:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder that driver and executors share; the checkpoint folder where the session names one."""
+    """A new folder that driver and executors share, below the checkpoint folder that the session names.
+
+    Without one a folder of this machine will do in local mode only; on a cluster that is an error.
+    """
     import tempfile
 
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    named = named or tempfile.mkdtemp(prefix="spark-")
     return f"{named}/tables-{uuid.uuid4().hex}"
