@@ -120,10 +120,28 @@ def field_age(received_ns: Column, source_ns: Column) -> Column:
     return F.when(source_ns <= received_ns, received_ns - source_ns)
 
 
-def liquidation_completeness(window_start: Column, window_end: Column, count: Column) -> Column:
-    """What a liquidation message says about its window: each event, a sample of it, or nothing."""
-    known = window_start.isNotNull() & window_end.isNotNull() & (window_end > window_start)
-    return F.when(~known, "unknown").when(count == 1, "latest_per_window").otherwise("all_in_window")
+#: How complete a liquidation feed is, and how the events of its window were chosen. Fixed values.
+LIQUIDATION_COMPLETENESS = ("complete", "largest_in_window", "partial_nonchronological", "trade_flag_only")
+WINDOW_SELECTIONS = ("all_observed", "largest_per_symbol", "unknown")
+
+
+def liquidation_window_fits(completeness: Column, selection: Column, start: Column, end: Column, duration: Column, per_symbol: Column) -> Column:
+    """Whether a window agrees with what its feed claims.
+
+    Bounds come both or not at all and lie a duration apart. A complete feed selects nothing, the largest in a window
+    needs a window per symbol, and partial feeds may say what they like.
+    """
+    bounds = F.when(start.isNull() & end.isNull(), True).otherwise((start >= 0) & (end >= start) & (end - start == duration))
+    claims = {
+        "complete": (selection == "all_observed") & (duration == 0) & ~per_symbol,
+        "largest_in_window": (selection == "largest_per_symbol") & (duration > 0) & per_symbol,
+        "partial_nonchronological": F.lit(True),
+        "trade_flag_only": F.lit(True),
+    }
+    fits = F.lit(False)
+    for name in LIQUIDATION_COMPLETENESS:
+        fits = F.when(completeness == name, claims[name]).otherwise(fits)
+    return F.coalesce(bounds & selection.isin(*WINDOW_SELECTIONS) & fits, F.lit(False))
 
 
 def has_denominator(expectation: Column, silence_is_random: Column) -> Column:

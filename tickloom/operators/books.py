@@ -297,6 +297,15 @@ def reconstruct(events: DataFrame, policy: str = "bridge", check_crossed: bool =
     return dealt.mapInPandas(run, ENGINE_SCHEMA)
 
 
+def with_snapshots(updates: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """Events for ``reconstruct`` from updates and a second frame of snapshots of the same keys.
+
+    Both are merged by the sort of each epoch, so neither side of a busy instrument is gathered, as cogrouping would.
+    """
+    kind = lambda df, name: df.withColumn("update_kind", F.lit(name))
+    return kind(updates, "delta").unionByName(kind(snapshots, "snapshot"), allowMissingColumns=True)
+
+
 # ---- ticker state -------------------------------------------------------------------------------------------
 
 

@@ -8,8 +8,31 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.functions.scalars import liquidation_window_fits
+
 #: Limits of one bounded query. Fixed values.
 MOST_SOURCES, MOST_CHANNELS, MOST_INSTRUMENTS, MOST_ROWS, MOST_NS = 64, 64, 256, 10_000, 24 * 3_600_000_000_000
+DAY_NS = 24 * 3_600_000_000_000
+#: What rows of some families may say. Fixed values.
+SIDE_MEANINGS = ("order_side", "liquidated_position_side", "unspecified")
+PRICE_KINDS = ("order_price", "average_fill_price", "bankruptcy_price", "mark_price", "unspecified")
+IV_UNITS = ("implied_volatility", "rate")
+RESOLUTIONS = ("resolved", "unresolved", "ambiguous", "unsupported")
+INSTRUMENT_STATES = (
+    "unknown", "pre_listing", "listed", "auction", "continuous_trading", "suspended", "expired", "delivery", "delivered", "delisted",
+)
+HEALTH_SCOPES = ("source", "channel", "instrument", "writer", "dataset", "service")
+HEALTH_DIMENSIONS = (
+    "dns", "tls", "connect", "auth", "subscription_ack", "ping", "pong", "useful_data_silence", "channel_message_rate", "channel_byte_rate",
+    "channel_inter_arrival", "exchange_lag", "clock", "sequence", "snapshot", "checksum", "reconstruction", "decode", "schema", "rest_latency",
+    "rest_status", "rest_timeout", "rest_weight", "rest_ban", "writer_queue", "spool", "commit", "catalog_age", "catalog_association",
+    "parquet_lag", "clickhouse_lag", "replay_pressure", "query_pressure",
+)
+HEALTH_STATUSES = (
+    "unknown", "up", "down", "pending", "acknowledged", "timed_out", "within_limit", "rate_limited", "banned", "compatible", "incompatible",
+    "contiguous", "gap", "valid", "invalid", "available", "unavailable", "current", "stale", "associated", "unassociated", "idle", "pressured",
+    "queued", "committed",
+)
 ORDER = ("source_id", "instrument_uid", "received_time_ns", "epoch_id", "arrival_ordinal", "message_ordinal", "event_id")
 
 
@@ -51,6 +74,18 @@ class QuerySpec:
         return where
 
 
+def spec_faults(start_ns: Column, end_ns: Column, limit: Column, sources: Column, channels: Column, instruments: Column) -> Column:
+    """What is wrong with specs that are themselves rows, by the rules of ``QuerySpec.problems``."""
+    faults = []
+    for name, ids, most in (("sources", sources, MOST_SOURCES), ("channels", channels, MOST_CHANNELS), ("instruments", instruments, MOST_INSTRUMENTS)):
+        fine = (ids == F.array_sort(F.array_distinct(ids))) & (F.size(ids) <= most)
+        faults.append(F.when(~F.coalesce(fine, F.lit(False)), F.lit(name)))
+    faults.append(F.when(~F.coalesce(limit.between(1, MOST_ROWS), F.lit(False)), F.lit("limit")))
+    ordered = F.coalesce((start_ns >= 0) & (start_ns < end_ns), F.lit(False))
+    faults.append(F.when(~ordered, F.lit("range")).when(end_ns - start_ns > MOST_NS, F.lit("span")))
+    return F.array_compact(F.array(*faults))
+
+
 def bounded_query(df: DataFrame, spec: QuerySpec, order: Sequence[str] = ORDER) -> DataFrame:
     """Rows of the spec in stable order, one more than its limit; only a top-n leaves the executors.
 
@@ -105,8 +140,6 @@ def common_rules() -> dict[str, Column]:
     }
 
 
-
-
 def contract(family: str) -> dict[str, Column]:
     """The rules of a family, over its own column names."""
     own: dict[str, dict[str, Column]] = {
@@ -130,29 +163,45 @@ def contract(family: str) -> dict[str, Column]:
         },
         "ticker": {
             "window": F.col("window_end_ns") - F.col("window_start_ns") == F.col("window_ns"),
+            "duration": (F.col("window_start_ns") >= 0) & (F.col("window_end_ns") - F.col("window_start_ns") == DAY_NS),
+            "trade_ids": F.coalesce(F.col("first_trade_id") <= F.col("last_trade_id"), F.lit(True)),
             "range": F.col("low").between(F.lit(0), F.col("high")) & F.col("last").between(F.col("low"), F.col("high")),
         },
         "derivative_ticker": {
+            "role": F.length("source_role") > 0,
+            "open_interest": F.size("open_interest_units") == F.size(F.array_distinct("open_interest_units")),
             "mark": F.coalesce(F.col("mark_price") > 0, F.lit(True)),
             "age": F.coalesce(F.col("age_ns") >= 0, F.lit(True)),
         },
         "liquidation": {
             "side": F.col("side").isin("buy", "sell"),
+            "side_meaning": F.col("side_meaning").isin(*SIDE_MEANINGS),
             "price": _positive("price"),
-            "window": (F.col("completeness") != "latest_per_window") | (F.col("window_end_ns") > F.col("window_start_ns")),
+            "price_kind": F.col("price_kind").isin(*PRICE_KINDS),
+            "window": liquidation_window_fits(
+                *(F.col(c) for c in ("completeness", "selection", "window_start_ns", "window_end_ns", "window_ns", "per_symbol"))
+            ),
         },
         "option_summary": {
+            "identity": (F.length("underlying") > 0) & (F.length("index") > 0),
             "kind": F.col("option_kind").isin("call", "put"),
             "strike": _positive("strike"),
-            "delta": F.coalesce(F.col("delta").between(-1, 1), F.lit(True)),
-            "volatility": F.coalesce(F.col("mark_iv") >= 0, F.lit(True)),
+            "expiry": F.col("expiry_ns") > 0,
+            "volatility_unit": F.col("mark_iv").isNull() | ((F.col("mark_iv") >= 0) & F.col("iv_unit").isin(*IV_UNITS)),
         },
         "instrument_event": {
-            "change": ~F.col("before").eqNullSafe(F.col("after")),
-            "attribute": F.col("attribute").isin("state", "tick_size", "lot_size", "multiplier", "payoff"),
+            "generation": F.col("generation").isNotNull(),
+            "resolution": F.col("resolution").isin(*RESOLUTIONS),
+            "change": ~F.col("state_before").eqNullSafe(F.col("state_after")) | (F.size("changed_terms") > 0),
+            "states": F.coalesce(F.col("state_before").isin(*INSTRUMENT_STATES), F.lit(True))
+            & F.coalesce(F.col("state_after").isin(*INSTRUMENT_STATES), F.lit(True)),
         },
         "source_health": {
-            "status": F.col("status").isin("healthy", "degraded", "unavailable", "unknown"),
+            "dimension": F.col("dimension").isin(*HEALTH_DIMENSIONS),
+            "scope": F.col("scope").isin(*HEALTH_SCOPES),
+            "status": F.col("status").isin(*HEALTH_STATUSES),
+            "window": (F.col("window_start_ns").isNull() == F.col("window_end_ns").isNull())
+            & F.coalesce(F.col("window_end_ns") >= F.col("window_start_ns"), F.lit(True)),
             "change": ~F.col("status").eqNullSafe(F.col("previous_status")),
         },
     }

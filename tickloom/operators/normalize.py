@@ -25,6 +25,16 @@ CODES = (
 )
 
 
+#: Native instrument states and what they mean. Fixed values.
+NATIVE_STATES = {
+    "okx": {"preopen": "pre_listing", "live": "continuous_trading", "suspend": "suspended", "expired": "expired"},
+    "deribit": {
+        "open": "continuous_trading", "settlement": "delivery", "delivered": "delivered", "inactive": "suspended", "locked": "suspended",
+        "halted": "suspended", "archivized": "delisted",
+    },
+}
+
+
 @dataclass(frozen=True)
 class Field:
     """An output column: the path of keys to its text, and how the text is read."""
@@ -101,6 +111,59 @@ def tagged_levels_of(text: Column, side: str) -> Column:
     return F.when(F.coalesce(fine, F.lit(False)), read)
 
 
+def rpi_levels_of(text: Column, side: str) -> Column:
+    """Levels of [[price, amount, amount of retail price improvement], ...]; each level has both amounts."""
+    triples = F.from_json(text, "array<array<string>>")
+    read = F.transform(
+        triples,
+        lambda x, i: F.struct(
+            F.lit(side).alias("side"),
+            i.cast("long").alias("level_ordinal"),
+            strict_decimal(F.get(x, F.lit(0))).alias("price"),
+            strict_decimal(F.get(x, F.lit(1))).alias("amount"),
+            strict_decimal(F.get(x, F.lit(2))).alias("rpi_amount"),
+        ),
+    )
+    fine = F.forall(read, lambda x: x["price"].isNotNull() & x["amount"].isNotNull() & x["rpi_amount"].isNotNull())
+    return F.when(F.coalesce(fine, F.lit(False)), read)
+
+
+def named_levels_of(text: Column, side: str) -> Column:
+    """One side's levels of [[{px, sz, n}, ...], [{px, sz, n}, ...]], bids first."""
+    sides = F.from_json(text, "array<array<struct<px:string,sz:string,n:string>>>")
+    read = F.transform(
+        F.get(sides, F.lit(0 if side == "buy" else 1)),
+        lambda x, i: F.struct(
+            F.lit(side).alias("side"),
+            i.cast("long").alias("level_ordinal"),
+            strict_decimal(x["px"]).alias("price"),
+            strict_decimal(x["sz"]).alias("amount"),
+            uint(x["n"]).alias("orders"),
+        ),
+    )
+    fine = F.forall(read, lambda x: x["price"].isNotNull() & x["amount"].isNotNull() & x["orders"].isNotNull())
+    return F.when(F.coalesce(fine & (F.size(sides) == 2), F.lit(False)), read)
+
+
+def best_of(text: Column, name: str) -> Column:
+    """Price or amount, by the column's name, of the first of [[price, amount, ...], ...]."""
+    first = F.get(F.from_json(text, "array<array<string>>"), F.lit(0))
+    return strict_decimal(F.get(first, F.lit(0 if name.endswith("price") else 1)))
+
+
+def named_best_of(text: Column, name: str) -> Column:
+    """Price or amount of bid or ask, by the column's name, of [{px, sz, n} or null, {px, sz, n} or null]."""
+    sides = F.from_json(text, "array<struct<px:string,sz:string>>")
+    side = F.get(sides, F.lit(0 if name.startswith("bid") else 1))
+    return strict_decimal(side["px"] if name.endswith("price") else side["sz"])
+
+
+def state_reader(venue: str) -> Callable[[Column, str], Column]:
+    """Reads a venue's native instrument state as one of the library's; null for a state that isn't known."""
+    states = F.create_map(*(F.lit(x) for pair in NATIVE_STATES[venue].items() for x in pair))
+    return lambda text, name: F.try_element_at(states, text)
+
+
 def uint(text: Column) -> Column:
     """Digits that fit 63 bits; null for others."""
     return F.when(text.rlike(r"^[0-9]+\z"), text.try_cast("long"))
@@ -116,6 +179,12 @@ READERS: dict[str, Callable[[Column, str], Column]] = {
     "maker": lambda t, n: F.when(t == "true", F.lit("sell")).when(t == "false", F.lit("buy")),
     "side": lambda t, n: F.when(F.lower(t).isin("buy", "b"), F.lit("buy")).when(F.lower(t).isin("sell", "a"), F.lit("sell")),
     "levels": lambda t, n: levels_of(t, "buy" if n == "bids" else "sell"),
+    "rpi": lambda t, n: rpi_levels_of(t, "buy" if n == "bids" else "sell"),
+    "named": lambda t, n: named_levels_of(t, "buy" if n == "bids" else "sell"),
+    "best": best_of,
+    "named_best": named_best_of,
+    "okx_state": lambda t, n: state_reader("okx")(t, n),
+    "deribit_state": lambda t, n: state_reader("deribit")(t, n),
     "tagged": lambda t, n: tagged_levels_of(t, "buy" if n == "bids" else "sell"),
 }
 

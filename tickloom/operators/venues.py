@@ -47,16 +47,21 @@ USDM = {
     "depth": M("book_update", (*_DEPTH, F("previous_sequence", "pu", "uint"), F("trade_time_ns", "T", "ms")), ("e", "depthUpdate"), fixed={"update_kind": "delta"}),
     "ticker": M("ticker", (F("symbol", "s", "text"), F("event_time_ns", "E", "ms"), *_TICKER), ("e", "24hrTicker")),
     "mark": M("derivative_ticker", _MARK, ("e", "markPriceUpdate")),
-    "liquidation": M("liquidation", _LIQUIDATION, ("e", "forceOrder"), fixed={"completeness": "latest_per_window"}),
+    "liquidation": M("liquidation", _LIQUIDATION, ("e", "forceOrder"), fixed={"completeness": "largest_in_window"}),
     "quote": M("quote", (*_QUOTE, F("event_time_ns", "E", "ms")), ("e", "bookTicker")),
 }
 COINM = {
     "trade": M("trade", (*_AGGREGATE, F("pair", "ps", "text", False)), ("e", "aggTrade"), fixed={"aggregation": "taker_order", "amount_unit": "contracts"}),
     "depth": M("book_update", (*_DEPTH, F("previous_sequence", "pu", "uint"), F("pair", "ps", "text", False)), ("e", "depthUpdate"), fixed={"update_kind": "delta"}),
+    "ticker": M("ticker", (F("symbol", "s", "text"), F("pair", "ps", "text", False), F("event_time_ns", "E", "ms"), *_TICKER), ("e", "24hrTicker")),
     "mark": M("derivative_ticker", _MARK, ("e", "markPriceUpdate")),
-    "liquidation": M("liquidation", _LIQUIDATION, ("e", "forceOrder"), fixed={"completeness": "latest_per_window", "amount_unit": "contracts"}),
+    "liquidation": M("liquidation", _LIQUIDATION, ("e", "forceOrder"), fixed={"completeness": "largest_in_window", "amount_unit": "contracts"}),
     "quote": M("quote", (*_QUOTE, F("event_time_ns", "E", "ms")), ("e", "bookTicker")),
 }
+_BYBIT_BOOK = (
+    F("symbol", "data.s", "text"), F("bids", "data.b", "levels"), F("asks", "data.a", "levels"), F("last_sequence", "data.u", "uint"),
+    F("cross_sequence", "data.seq", "uint"), F("update_kind", "type", "text"), F("event_time_ns", "ts", "ms"), F("engine_time_ns", "cts", "ms", False),
+)
 BYBIT = {
     "trade": M(
         "trade",
@@ -64,16 +69,22 @@ BYBIT = {
          F("block_trade", "BT", "flag"), F("sequence", "seq", "uint", False)),
         ("topic", r"publicTrade\..*"), "data", header=(F("event_time_ns", "ts", "ms"),),
     ),
-    "book": M(
-        "book_update",
-        (F("symbol", "data.s", "text"), F("bids", "data.b", "levels"), F("asks", "data.a", "levels"), F("last_sequence", "data.u", "uint"),
-         F("cross_sequence", "data.seq", "uint"), F("update_kind", "type", "text"), F("event_time_ns", "ts", "ms"), F("engine_time_ns", "cts", "ms", False)),
-        ("topic", r"orderbook\..*"),
+    "book": M("book_update", _BYBIT_BOOK, ("topic", r"orderbook\.[0-9]+\.(?!.*-[CP](-[A-Z]+)?$).*")),
+    "full_book": M("book_update", _BYBIT_BOOK, ("topic", r"orderbook\.full\..*")),
+    "option_book": M("book_update", _BYBIT_BOOK, ("topic", r"orderbook\.[0-9]+\..*-[CP](-[A-Z]+)?")),
+    "rpi_book": M(
+        "book_update", tuple(F(f.name, f.path, "rpi") if f.kind == "levels" else f for f in _BYBIT_BOOK), ("topic", r"orderbook\.rpi\..*")
+    ),
+    "option_trade": M(
+        "trade",
+        (F("symbol", "s", "text"), F("side", "S", "side"), F("amount", "v"), F("price", "p"), F("native_trade_id", "i", "text"), F("trade_time_ns", "T", "ms"),
+         F("block_trade", "BT", "flag"), F("sequence", "seq", "uint", False), F("mark_price", "mP"), F("index_price", "iP"), F("mark_iv", "mIv"), F("iv", "iv")),
+        ("topic", r"publicTrade\..*"), "data", header=(F("event_time_ns", "ts", "ms"),),
     ),
     "liquidation": M(
         "liquidation",
         (F("symbol", "s", "text"), F("side", "S", "side"), F("amount", "v"), F("price", "p"), F("trade_time_ns", "T", "ms")),
-        ("topic", r"allLiquidation\..*"), "data", fixed={"completeness": "all_in_window"}, header=(F("event_time_ns", "ts", "ms"),),
+        ("topic", r"allLiquidation\..*"), "data", fixed={"completeness": "complete"}, header=(F("event_time_ns", "ts", "ms"),),
     ),
     "ticker": M(
         "derivative_ticker",
@@ -90,35 +101,66 @@ BYBIT = {
         ("topic", r"tickers\..*-[CP].*"),
     ),
 }
+_OKX_INSTRUMENT = (
+    F("symbol", "instId", "text"), F("kind", "instType", "text"), F("native_state", "state", "text"), F("state", "state", "okx_state"),
+    F("tick_size", "tickSz", "decimal", False), F("lot_size", "lotSz", "decimal", False), F("contract_size", "ctVal", "decimal", False),
+    F("listed_ns", "listTime", "ms", False), F("expiry_ns", "expTime", "ms", False),
+)
 OKX = {
     "trade": M(
         "trade",
         (F("symbol", "instId", "text"), F("native_trade_id", "tradeId", "text"), F("price", "px"), F("amount", "sz"), F("side", "side", "side"),
          F("trade_time_ns", "ts", "ms"), F("count", "count", "uint", False)),
-        ("arg", r'.*"channel":"trades(-all)?".*'), "data",
+        ("arg.channel", r"trades(-all)?"), "data",
     ),
     "book": M(
         "book_update",
         (F("bids", "bids", "levels"), F("asks", "asks", "levels"), F("event_time_ns", "ts", "ms"), F("previous_sequence", "prevSeqId", "text"),
          F("last_sequence", "seqId", "uint"), F("checksum", "checksum", "text", False)),
-        ("arg", r'.*"channel":"(books|bbo-tbt).*'), "data", header=(F("symbol", "arg.instId", "text"), F("update_kind", "action", "text", False)),
+        ("arg.channel", r"books|books5|books50-l2-tbt|books-l2-tbt"), "data", header=(F("symbol", "arg.instId", "text"), F("update_kind", "action", "text", False)),
     ),
     "liquidation": M(
         "liquidation",
         (F("symbol", "instId", "text"), F("family", "instFamily", "text", False), F("details", "details", "text")),
-        ("arg", r'.*"channel":"liquidation-orders".*'), "data", fixed={"completeness": "sample"},
+        ("arg.channel", r"liquidation-orders"), "data", fixed={"completeness": "partial_nonchronological"},
     ),
     "ticker": M(
         "ticker",
         (F("symbol", "instId", "text"), F("last", "last"), F("bid_price", "bidPx"), F("ask_price", "askPx"), F("open", "open24h"), F("high", "high24h"),
          F("low", "low24h"), F("event_time_ns", "ts", "ms")),
-        ("arg", r'.*"channel":"tickers".*'), "data",
+        ("arg.channel", r"tickers"), "data",
     ),
     "option": M(
         "option_summary",
         (F("symbol", "instId", "text"), F("delta", "delta"), F("gamma", "gamma"), F("vega", "vega"), F("theta", "theta"), F("mark_iv", "markVol"), F("event_time_ns", "ts", "ms")),
-        ("arg", r'.*"channel":"opt-summary".*'), "data",
+        ("arg.channel", r"opt-summary"), "data",
     ),
+    "rpi_book": M(
+        "book_update",
+        (F("bids", "bids", "levels"), F("asks", "asks", "levels"), F("event_time_ns", "ts", "ms"), F("previous_sequence", "prevSeqId", "text"),
+         F("last_sequence", "seqId", "uint")),
+        ("arg.channel", r"books-rpi-tbt"), "data", header=(F("symbol", "arg.instId", "text"), F("update_kind", "action", "text", False)),
+    ),
+    "quote": M(
+        "quote",
+        (F("bid_price", "bids", "best"), F("bid_amount", "bids", "best"), F("ask_price", "asks", "best"), F("ask_amount", "asks", "best"),
+         F("event_time_ns", "ts", "ms"), F("last_sequence", "seqId", "uint", False)),
+        ("arg.channel", r"bbo-tbt"), "data", header=(F("symbol", "arg.instId", "text"),),
+    ),
+    "mark": M("derivative_ticker", (F("symbol", "instId", "text"), F("mark_price", "markPx"), F("event_time_ns", "ts", "ms")), ("arg.channel", r"mark-price"), "data"),
+    "index": M("derivative_ticker", (F("symbol", "instId", "text"), F("index_price", "idxPx"), F("event_time_ns", "ts", "ms")), ("arg.channel", r"index-tickers"), "data"),
+    "open_interest": M(
+        "derivative_ticker",
+        (F("symbol", "instId", "text"), F("open_interest", "oi"), F("open_interest_base", "oiCcy", "decimal", False), F("event_time_ns", "ts", "ms")),
+        ("arg.channel", r"open-interest"), "data",
+    ),
+    "funding": M(
+        "derivative_ticker",
+        (F("symbol", "instId", "text"), F("funding_rate", "fundingRate"), F("funding_time_ns", "fundingTime", "ms"), F("next_funding_ns", "nextFundingTime", "ms", False),
+         F("event_time_ns", "ts", "ms")),
+        ("arg.channel", r"funding-rate"), "data",
+    ),
+    "lifecycle": M("instrument_event", _OKX_INSTRUMENT, ("arg.channel", r"instruments"), "data"),
 }
 OKX_LIQUIDATION_DETAIL = M(
     "liquidation", (F("side", "side", "side"), F("price", "bkPx"), F("amount", "sz"), F("loss", "bkLoss", "decimal", False), F("trade_time_ns", "ts", "ms")), items="."
@@ -129,26 +171,50 @@ DERIBIT = {
         (F("symbol", "params.data.instrument_name", "text"), F("update_kind", "params.data.type", "text"), F("event_time_ns", "params.data.timestamp", "ms"),
          F("last_sequence", "params.data.change_id", "uint"), F("previous_sequence", "params.data.prev_change_id", "uint", False),
          F("bids", "params.data.bids", "tagged"), F("asks", "params.data.asks", "tagged")),
-        ("params", r'.*"channel":"book\..*'),
+        ("params.channel", r"book\..*"),
     ),
     "trade": M(
         "trade",
         (F("symbol", "instrument_name", "text"), F("native_trade_id", "trade_id", "text"), F("sequence", "trade_seq", "uint"), F("side", "direction", "side"),
          F("price", "price"), F("amount", "amount"), F("mark_price", "mark_price"), F("index_price", "index_price"), F("trade_time_ns", "timestamp", "ms"),
          F("liquidation", "liquidation", "text", False)),
-        ("params", r'.*"channel":"trades\..*'), "params.data",
+        ("params.channel", r"trades\..*"), "params.data",
     ),
     "quote": M(
         "quote",
         (F("symbol", "params.data.instrument_name", "text"), F("bid_price", "params.data.best_bid_price"), F("bid_amount", "params.data.best_bid_amount"),
          F("ask_price", "params.data.best_ask_price"), F("ask_amount", "params.data.best_ask_amount"), F("event_time_ns", "params.data.timestamp", "ms")),
-        ("params", r'.*"channel":"quote\..*'),
+        ("params.channel", r"quote\..*"),
     ),
     "ticker": M(
         "derivative_ticker",
         (F("symbol", "params.data.instrument_name", "text"), F("mark_price", "params.data.mark_price"), F("index_price", "params.data.index_price"),
          F("open_interest", "params.data.open_interest"), F("funding_rate", "params.data.funding_8h", "decimal", False), F("event_time_ns", "params.data.timestamp", "ms")),
-        ("params", r'.*"channel":"ticker\..*'),
+        ("params.channel", r"ticker\.(?!.*-[CP]\.).*"),
+    ),
+    "option": M(
+        "option_summary",
+        (F("symbol", "params.data.instrument_name", "text"), F("mark_price", "params.data.mark_price"), F("mark_iv", "params.data.mark_iv"), F("bid_iv", "params.data.bid_iv"),
+         F("ask_iv", "params.data.ask_iv"), F("underlying_price", "params.data.underlying_price"), F("interest_rate", "params.data.interest_rate", "decimal", False),
+         F("open_interest", "params.data.open_interest"), F("delta", "params.data.greeks.delta"), F("gamma", "params.data.greeks.gamma"), F("vega", "params.data.greeks.vega"),
+         F("theta", "params.data.greeks.theta"), F("rho", "params.data.greeks.rho"), F("event_time_ns", "params.data.timestamp", "ms")),
+        ("params.channel", r"ticker\..*-[CP]\..*"),
+    ),
+    "funding": M(
+        "derivative_ticker",
+        (F("channel", "params.channel", "text"), F("funding_rate", "params.data.interest"), F("funding_rate_8h", "params.data.interest_8h", "decimal", False),
+         F("index_price", "params.data.index_price", "decimal", False), F("event_time_ns", "params.data.timestamp", "ms")),
+        ("params.channel", r"perpetual\..*"),
+    ),
+    "index": M(
+        "derivative_ticker", (F("symbol", "params.data.index_name", "text"), F("index_price", "params.data.price"), F("event_time_ns", "params.data.timestamp", "ms")),
+        ("params.channel", r"deribit_price_index\..*"),
+    ),
+    "lifecycle": M(
+        "instrument_event",
+        (F("symbol", "params.data.instrument_name", "text"), F("native_state", "params.data.state", "text"), F("state", "params.data.state", "deribit_state"),
+         F("event_time_ns", "params.data.timestamp", "ms")),
+        ("params.channel", r"instrument\.state\..*"),
     ),
 }
 HYPERLIQUID = {
@@ -165,7 +231,15 @@ HYPERLIQUID = {
         ("channel", "activeAssetCtx"),
     ),
     "quote": M(
-        "quote", (F("symbol", "data.coin", "text"), F("event_time_ns", "data.time", "ms"), F("levels", "data.bbo", "text")), ("channel", "bbo"),
+        "quote",
+        (F("symbol", "data.coin", "text"), F("event_time_ns", "data.time", "ms"), F("bid_price", "data.bbo", "named_best", False), F("bid_amount", "data.bbo", "named_best", False),
+         F("ask_price", "data.bbo", "named_best", False), F("ask_amount", "data.bbo", "named_best", False)),
+        ("channel", "bbo"),
+    ),
+    "book": M(
+        "book_update",
+        (F("symbol", "data.coin", "text"), F("event_time_ns", "data.time", "ms"), F("bids", "data.levels", "named"), F("asks", "data.levels", "named")),
+        ("channel", "l2Book"), fixed={"update_kind": "snapshot"},
     ),
 }
 FUNDING_HISTORY = M(
@@ -176,3 +250,16 @@ SYMBOLS = M(
     (F("symbol", "symbol", "text"), F("state", "status", "text"), F("base_asset", "baseAsset", "text"), F("quote_asset", "quoteAsset", "text"), F("filters", "filters", "text")),
     items="symbols",
 )
+OKX_INSTRUMENTS = M("instrument_event", _OKX_INSTRUMENT, ("code", "0"), "data")
+DERIBIT_INSTRUMENTS = M(
+    "instrument_event",
+    (F("symbol", "instrument_name", "text"), F("kind", "kind", "text"), F("base_asset", "base_currency", "text"), F("quote_asset", "quote_currency", "text"),
+     F("settlement_asset", "settlement_currency", "text"), F("state", "state", "deribit_state"), F("contract_size", "contract_size"), F("listed_ns", "creation_timestamp", "ms"),
+     F("expiry_ns", "expiration_timestamp", "ms"), F("option_kind", "option_type", "text", False), F("strike", "strike", "decimal", False)),
+    ("jsonrpc", r"2\.0"), "result",
+)
+HYPERLIQUID_UNIVERSE = M(
+    "instrument_event",
+    (F("symbol", "name", "text"), F("size_decimals", "szDecimals", "uint"), F("most_leverage", "maxLeverage", "uint"), F("delisted", "isDelisted", "flag", False)),
+    items="universe",
+)

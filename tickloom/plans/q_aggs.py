@@ -7,6 +7,7 @@ from pyspark.sql.window import Window
 
 from tickloom.operators import aggs, digests
 from tickloom.plans import views as V
+from tickloom.plans.q_filters import multiset_sql
 from tickloom.plans.registry import query
 
 DAY = 1_704_067_200_000_000_000
@@ -23,10 +24,10 @@ def g2_research(spark, d):
     return aggs.research(V.trades(spark, d)).withColumn("total", F.col("total").cast("string"))
 
 
-@query("SELECT source_id, count(DISTINCT native_trade_id) AS n FROM arrivals_gapped GROUP BY 1", ["arrivals_gapped"])
+@query(multiset_sql("(SELECT DISTINCT source_id, native_trade_id FROM arrivals_gapped)", "source_id", ["native_trade_id"]), ["arrivals_gapped"])
 def g3_distinct_events(spark, d):
     ids = V.arrivals_gapped(spark, d).select("source_id", "native_trade_id").distinct()
-    return digests.multiset_digest(ids, ["source_id"]).select("source_id", "n")
+    return digests.multiset_digest(ids, ["source_id"])
 
 
 @query(

@@ -138,13 +138,24 @@ def x5_event_id(spark, d):
     return V.trades(spark, d).select("native_trade_id", X.digest(F.col("source_id"), F.col("channel_id"), F.col("native_trade_id")).alias("event_id"))
 
 
-@query()
+_TRADE_COLUMNS = (
+    "amount", "buyer_is_maker", "channel_id", "epoch_id", "exchange_time_ns", "instrument_uid", "native_trade_id", "price", "received_time_ns", "source_id",
+)
+
+
+def _hash_sql(columns):
+    """SHA-256 over names and values, each behind its length, as digests.row_hash does."""
+    part = lambda c: f"'{len(c)}:{c}', coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    return f"sha256(concat_ws('|', {', '.join(map(part, columns))}))"
+
+
+@query(f"SELECT native_trade_id, {_hash_sql(_TRADE_COLUMNS)} AS logical_hash FROM trades", ["trades"])
 def x6_row_hash(spark, d):
     rows = V.trades(spark, d)
     return rows.select("native_trade_id", digests.row_hash(rows).alias("logical_hash"))
 
 
-@query()
+@query(f"SELECT native_trade_id, {_hash_sql(_TRADE_COLUMNS)} AS semantic_hash FROM trades", ["trades"])
 def x7_semantic_hash(spark, d):
     rows = V.trades(spark, d).withColumn("mapper_version", F.lit("v1"))
     return rows.select("native_trade_id", digests.row_hash(rows, ["mapper_version"]).alias("semantic_hash"))
@@ -158,7 +169,15 @@ def x8_row_id(spark, d):
     return V.book_levels(spark, d).select("event_id", "level_ordinal", X.digest(F.col("event_id"), F.col("level_ordinal")).alias("row_id"))
 
 
-@query()
+def multiset_sql(rows, by, columns):
+    """The tree digest of digests.multiset_digest in SQL: row hashes, chunks of them, digests of the chunks."""
+    return f"""SELECT {by}, sum(n)::BIGINT AS n, sha256(string_agg(d, ',' ORDER BY chunk)) AS digest FROM
+    (SELECT {by}, chunk, sum(n) AS n, sha256(string_agg(h || '*' || n, ',' ORDER BY h || '*' || n)) AS d FROM
+    (SELECT *, ('0x' || substr(h, 1, 8))::UBIGINT % 256 AS chunk FROM (SELECT {by}, h, count(*) AS n FROM
+    (SELECT {by}, {_hash_sql(columns)} AS h FROM {rows}) GROUP BY ALL)) GROUP BY ALL) GROUP BY {by}"""
+
+
+@query(multiset_sql("trades", "source_id", [c for c in _TRADE_COLUMNS if c != "source_id"]), ["trades"])
 def x9_multiset_digest(spark, d):
     return digests.multiset_digest(V.trades(spark, d), ["source_id"])
 
@@ -251,15 +270,21 @@ def x18_field_age(spark, d):
 
 
 @query(
-    """SELECT coverage_id, CASE WHEN n = 1 THEN 'latest_per_window' ELSE 'all_in_window' END AS completeness FROM
-    (SELECT channel_id || '/' || instrument_uid || '/' || epoch_id AS coverage_id, count(*) AS n FROM trades GROUP BY ALL)""",
+    """SELECT native_trade_id, CASE WHEN (s IS NULL) <> (e IS NULL) OR coalesce(e - s <> d, false) THEN false WHEN c = 'complete' THEN w = 'all_observed' AND d = 0 AND NOT per
+    WHEN c = 'largest_in_window' THEN w = 'largest_per_symbol' AND d > 0 AND per ELSE true END AS fits FROM
+    (SELECT native_trade_id, ['complete', 'largest_in_window', 'partial_nonchronological', 'trade_flag_only'][native_trade_id % 4 + 1] AS c,
+    ['all_observed', 'largest_per_symbol', 'unknown'][native_trade_id % 3 + 1] AS w, CASE WHEN native_trade_id % 7 > 1 THEN exchange_time_ns END AS s,
+    CASE WHEN native_trade_id % 7 > 0 THEN received_time_ns END AS e, native_trade_id % 11 < 5 AS per,
+    CASE WHEN native_trade_id % 5 = 0 THEN 0 ELSE received_time_ns - exchange_time_ns END AS d FROM trades)""",
     ["trades"],
 )
 def x19_liquidation_completeness(spark, d):
-    w = V.trades(spark, d).groupBy("channel_id", "instrument_uid", "epoch_id").agg(
-        F.count("*").alias("n"), F.min("received_time_ns").alias("s"), (F.max("received_time_ns") + 1).alias("e")
-    )
-    return w.select(F.concat_ws("/", "channel_id", "instrument_uid", "epoch_id").alias("coverage_id"), X.liquidation_completeness(F.col("s"), F.col("e"), F.col("n")).alias("completeness"))
+    k = F.col("native_trade_id")
+    pick = lambda values: F.element_at(F.array(*map(F.lit, values)), (k % len(values) + 1).cast("int"))
+    start, end = F.when(k % 7 > 1, F.col("exchange_time_ns")), F.when(k % 7 > 0, F.col("received_time_ns"))
+    duration = F.when(k % 5 == 0, 0).otherwise(F.col("received_time_ns") - F.col("exchange_time_ns"))
+    fits = X.liquidation_window_fits(pick(X.LIQUIDATION_COMPLETENESS), pick(X.WINDOW_SELECTIONS), start, end, duration, k % 11 < 5)
+    return V.trades(spark, d).select("native_trade_id", fits.alias("fits"))
 
 
 @query("SELECT opportunity_id, opportunity_id % 3 < 2 AND opportunity_id % 5 <> 0 AS eligible FROM opportunities", ["opportunities"])

@@ -78,6 +78,15 @@ def r1_reconstructed_book(spark, d):
     return rows.where("kind = 'epoch' AND bids + asks > 0").select("instrument_uid", "epoch_id", "bids", "asks")
 
 
+@query(_ENGINE_BOOK, ["book_levels"])
+def u3_snapshot_source(spark, d):
+    """As r1_reconstructed_book, with the snapshots from a frame of their own."""
+    events = _engine_events(spark, d, snapshots=False)
+    merged = books.with_snapshots(events.where("update_kind = 'delta'"), events.where("update_kind = 'snapshot'"))
+    rows = books.reconstruct(merged, "bridge", check_crossed=False)
+    return rows.where("kind = 'epoch' AND bids + asks > 0").select("instrument_uid", "epoch_id", "bids", "asks")
+
+
 @query()
 def r1_crossing_books(spark, d):
     return books.reconstruct(_engine_events(spark, d)).where("kind = 'book'").groupBy("instrument_uid", "state").agg(F.count("*").alias("n"))
