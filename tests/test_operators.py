@@ -214,3 +214,48 @@ def test_an_equal_id_may_hold_no_levels():
     assert p.next(7, {"previous_sequence": 7, "last_sequence": 7, "levels": []}) == "apply"
     assert p.next(7, {"previous_sequence": 7, "last_sequence": 7, "levels": [1]}) == "gap"
     assert p.next(7, {"previous_sequence": 7, "last_sequence": 3, "levels": [1]}) == "apply"
+
+
+def test_next_time_over_span_borders(spark):
+    """Ties, empty spans between rows, null keys and single rows, against a sort in Python."""
+    from tickloom.operators.windows import next_time
+
+    rows = [("a", t) for t in (1, 1, 9, 10, 35, 71)] + [(None, 5), (None, 40), ("b", 3)]
+    frame = spark.createDataFrame(rows, "k string, t long")
+    for backwards in (False, True):
+        want = []
+        for key in ("a", None, "b"):
+            times = sorted(t for k, t in rows if k == key)
+            beside = [None, *times[:-1]] if backwards else [*times[1:], None]
+            want += [(key, t, n) for t, n in zip(times, beside, strict=True)]
+        found = next_time(frame, ["k"], "t", "n", backwards, span_ns=10).select("k", "t", "n").collect()
+        assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, want))
+
+
+def test_gaps_resolve_in_later_spans(spark):
+    from tickloom.operators.quality import gap_ledger
+
+    hour = 3_600_000_000_000
+    gaps = spark.createDataFrame([("x", "g1", 0, 5), ("x", "g2", 0, hour + 5), ("x", "g3", 0, 9 * hour), (None, "g4", 0, 7)], "k string, gap_id string, start_ns long, end_ns long")
+    seen = spark.createDataFrame([("x", 4), ("x", 5), ("x", 3 * hour), (None, 2 * hour)], "k string, at long")
+    found = {r.gap_id: r.resolved_ns for r in gap_ledger(gaps, seen, ["k"], "at").collect()}
+    assert found == {"g1": 5, "g2": 3 * hour, "g3": None, "g4": 2 * hour}
+
+
+def test_liquidation_window_claims(spark):
+    from pyspark.sql import functions as F
+
+    from tickloom.functions.scalars import liquidation_window_fits
+
+    rows = [
+        ("complete", "all_observed", None, None, 0, False, True),
+        ("complete", "largest_per_symbol", None, None, 0, False, False),
+        ("largest_in_window", "largest_per_symbol", 0, 10, 10, True, True),
+        ("largest_in_window", "largest_per_symbol", 0, 10, 9, True, False),
+        ("trade_flag_only", "unknown", None, 4, 0, False, False),
+        ("trade_flag_only", "unknown", None, None, 0, False, True),
+        ("other", "unknown", None, None, 0, False, False),
+    ]
+    names = ["c", "s", "a", "b", "d", "p"]
+    frame = spark.createDataFrame(rows, "c string, s string, a long, b long, d long, p boolean, want boolean")
+    assert frame.where(liquidation_window_fits(*(F.col(n) for n in names)) != F.col("want")).count() == 0

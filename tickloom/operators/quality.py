@@ -8,15 +8,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickloom.plans.views import NS_PER_HOUR
+from tickloom.operators.windows import next_time, null_safe_join
+
+NS_PER_HOUR = 3_600_000_000_000
 
 
 def gap_ledger(gaps: DataFrame, observations: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
-    """Each gap with ``resolved_ns``: the first observation of its tuple at or after its end; else it stays open."""
+    """Each gap with ``resolved_ns``: the first observation of its tuple at or after its end; else it stays open.
+
+    It is looked for within the hour of the gap's end first, then in the first times of the tuple's later hours.
+    """
     g = gaps.select(*keys, "gap_id", "start_ns", "end_ns", F.lit(None).cast("long").alias("__t"), F.col("end_ns").alias("__at"), F.lit(0).alias("__k"))
     o = observations.select(*keys, F.lit(None).cast("string").alias("gap_id"), *(F.lit(None).cast("long").alias(c) for c in ("start_ns", "end_ns")), F.col(time).alias("__t"), F.col(time).alias("__at"), F.lit(1).alias("__k"))
-    w = Window.partitionBy(*keys).orderBy("__at", "__k").rowsBetween(0, Window.unboundedFollowing)
-    rows = g.unionByName(o).withColumn("resolved_ns", F.first("__t", ignorenulls=True).over(w)).where("__k = 0")
+    rows = g.unionByName(o).withColumn("__span", F.call_function("div", F.col("__at"), F.lit(NS_PER_HOUR)))
+    later = Window.partitionBy(*keys).orderBy("__span").rowsBetween(1, Window.unboundedFollowing)
+    firsts = rows.groupBy(*keys, "__span").agg(F.min("__t").alias("__min"))
+    firsts = firsts.withColumn("__beyond", F.first("__min", ignorenulls=True).over(later)).drop("__min")
+    within = Window.partitionBy(*keys, "__span").orderBy("__at", "__k").rowsBetween(0, Window.unboundedFollowing)
+    rows = rows.withColumn("__within", F.first("__t", ignorenulls=True).over(within)).where("__k = 0")
+    rows = null_safe_join(rows, firsts, [*keys, "__span"]).withColumn("resolved_ns", F.coalesce("__within", "__beyond"))
     state = F.when(F.col("resolved_ns").isNull(), "open").otherwise("recovered")
     return rows.select(*keys, "gap_id", "start_ns", "end_ns", "resolved_ns", state.alias("state"))
 
@@ -56,16 +66,21 @@ def merge_outcomes(ledger: DataFrame, changes: DataFrame, key: str) -> DataFrame
 
 def silences(df: DataFrame, by: Sequence[str], time: str, limit_ns: int) -> DataFrame:
     """(by..., from_ns, silent_ns): stretches without a row that are longer than the limit."""
-    w = Window.partitionBy(*by).orderBy(time)
-    return df.select(*by, F.col(time).alias("from_ns"), (F.lead(time).over(w) - F.col(time)).alias("silent_ns")).where(F.col("silent_ns") > limit_ns)
+    rows = next_time(df.select(*by, F.col(time).alias("from_ns")), by, "from_ns", "__next")
+    return rows.select(*by, "from_ns", (F.col("__next") - F.col("from_ns")).alias("silent_ns")).where(F.col("silent_ns") > limit_ns)
 
 
 def deadlines(requests: DataFrame, answers: DataFrame, keys: Sequence[str], limit_ns: int) -> DataFrame:
-    """(request_id, outcome): acknowledged if an answer of its keys came within the limit, else missed."""
-    a = answers.select(*keys, F.col("at_ns").alias("__a"))
-    r = requests.alias("r").join(
+    """(request_id, outcome): acknowledged if an answer of its keys came within the limit, else missed.
+
+    A request meets the answers of the two spans of the limit's length that it reaches, by equality.
+    """
+    span = lambda t: F.call_function("div", t, F.lit(limit_ns))
+    a = answers.select(*keys, F.col("at_ns").alias("__a"), span(F.col("at_ns")).alias("__span"))
+    spans = F.explode_outer(F.sequence(span(F.col("at_ns")), span(F.col("at_ns") + limit_ns)))
+    r = requests.select("*", spans.alias("__span")).alias("r").join(
         a.alias("a"),
-        [F.col(f"r.{k}") == F.col(f"a.{k}") for k in keys] + [(F.col("__a") >= F.col("r.at_ns")) & (F.col("__a") <= F.col("r.at_ns") + limit_ns)],
+        [F.col(f"r.{k}") == F.col(f"a.{k}") for k in (*keys, "__span")] + [(F.col("__a") >= F.col("r.at_ns")) & (F.col("__a") <= F.col("r.at_ns") + limit_ns)],
         "left",
     )
     return r.groupBy("r.request_id").agg(F.when(F.count("__a") > 0, "acknowledged").otherwise("missed").alias("outcome"))

@@ -50,14 +50,41 @@ def observed_order(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.orderBy(*keys)
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """``left`` with the other columns of ``right``, where nulls in the keys equal each other."""
+    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    return left.join(renamed, [left[k].eqNullSafe(renamed[f"__r_{k}"]) for k in keys], how).drop(*(f"__r_{k}" for k in keys))
+
+
+def next_time(df: DataFrame, by: Sequence[str], time: str, out: str, backwards: bool = False, order: Sequence[Column] = (), span_ns: int = 3_600_000_000_000) -> DataFrame:
+    """``df`` with the time of the following row of its key (the preceding one, if ``backwards``).
+
+    Rows are sorted within spans of time; only the first and last times of the spans are sorted along a key, so a key
+    that holds a third of all rows spreads over its spans.
+    """
+    rows = df.withColumn("__span", F.call_function("div", F.col(time), F.lit(span_ns)))
+    near, edge = (F.lag, F.max) if backwards else (F.lead, F.min)
+    edges = rows.groupBy(*by, "__span").agg(edge(time).alias("__edge"))
+    edges = edges.withColumn("__beyond", near("__edge").over(Window.partitionBy(*by).orderBy("__span"))).drop("__edge")
+    within = near(time).over(Window.partitionBy(*by, "__span").orderBy(time, *order))
+    rows = null_safe_join(rows, edges, [*by, "__span"])
+    return rows.withColumn(out, F.coalesce(within, "__beyond")).drop("__span", "__beyond")
+
+
 def dataset_order(df: DataFrame, partition: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows with dataset_ordinal, repeated coordinates)."""
-    firsts = df.groupBy(*partition, "instrument_uid", "epoch_id").agg(F.min("received_time_ns").alias("__first"))
-    rows = df.join(firsts, [*partition, "instrument_uid", "epoch_id"])
-    w = Window.partitionBy(*partition).orderBy("instrument_uid", "__first", "epoch_id", "arrival_ordinal", "native_trade_id")
+    """(rows with dataset_ordinal, repeated coordinates).
+
+    Rows are numbered within their instrument and epoch; only the sizes of these groups are summed along a partition.
+    """
+    group = [*partition, "instrument_uid", "epoch_id"]
+    sizes = df.groupBy(*group).agg(F.min("received_time_ns").alias("__first"), F.count("*").alias("__n"))
+    before = Window.partitionBy(*partition).orderBy("instrument_uid", "__first", "epoch_id").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__first", "__n")
+    within = F.row_number().over(Window.partitionBy(*group).orderBy("arrival_ordinal", "native_trade_id"))
+    rows = null_safe_join(df, starts, group).withColumn("dataset_ordinal", (F.col("__start") + within).cast("long")).drop("__start")
     coordinate = [*partition, "epoch_id", "arrival_ordinal"]
     repeated = df.groupBy(*coordinate).count().where("count > 1")
-    return rows.withColumn("dataset_ordinal", F.row_number().over(w).cast("long")).drop("__first"), repeated
+    return rows, repeated
 
 
 def after(keys: Sequence[str], cursor: Mapping[str, object]) -> Column:
@@ -106,9 +133,8 @@ def versions(observed: DataFrame, key: str, time: str, attributes: Sequence[str]
 
 def overlapping(df: DataFrame, by: Sequence[str], start: str, end: str) -> DataFrame:
     """Intervals that reach into the next of their key; an open end must be the last."""
-    w = Window.partitionBy(*by).orderBy(start, F.col(end).asc_nulls_last())
-    following = F.lead(start).over(w)
-    return df.withColumn("__next", following).where(F.col("__next").isNotNull() & (F.col(end).isNull() | (F.col("__next") < F.col(end)))).drop("__next")
+    rows = next_time(df, by, start, "__next", order=[F.col(end).asc_nulls_last()], span_ns=24 * 3_600_000_000_000)
+    return rows.where(F.col("__next").isNotNull() & (F.col(end).isNull() | (F.col("__next") < F.col(end)))).drop("__next")
 
 
 def lifecycle_faults(df: DataFrame, key: str, order: Sequence[str], state: str, legal: Mapping[str, Sequence[str]], first: str) -> DataFrame:

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tickloom.operators import aggs, digests
+from tickloom.operators import aggs, digests, windows
 from tickloom.plans import views as V
 from tickloom.plans.q_filters import multiset_sql
 from tickloom.plans.registry import query
@@ -191,8 +190,8 @@ def g19_cutover_counts(spark, d):
     ["trades"],
 )
 def g20_channel_rates(spark, d):
-    w = Window.partitionBy("channel_id").orderBy("received_time_ns", "native_trade_id")
-    rows = V.trades(spark, d).withColumn("gap", F.col("received_time_ns") - F.lag("received_time_ns").over(w))
+    rows = windows.next_time(V.trades(spark, d), ["channel_id"], "received_time_ns", "before_ns", backwards=True)
+    rows = rows.withColumn("gap", F.col("received_time_ns") - F.col("before_ns"))
     return rows.groupBy("channel_id", F.expr("received_time_ns div 3600000000000").alias("hour")).agg(
         F.count("*").alias("n"), F.max("gap").alias("longest_gap_ns"), F.max(F.col("received_time_ns") - F.col("exchange_time_ns")).alias("longest_lag_ns")
     )
