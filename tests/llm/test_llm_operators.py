@@ -387,10 +387,10 @@ def plain_repeats(rows, window=50):
     return sorted(map(str, out))
 
 
-@pytest.mark.parametrize("busy", [256, 2])
-def test_substrings(spark, monkeypatch, busy):
+@pytest.mark.parametrize(("shard_words", "window"), [(20_000, 50), (700, 50), (60, 50), (40, 23)])
+def test_substrings(spark, monkeypatch, shard_words, window):
     inner = substrings.repeated_windows
-    monkeypatch.setattr(substrings, "repeated_windows", lambda d, w: inner(d, w, shard_words=300, busy_segments=busy))
+    monkeypatch.setattr(substrings, "repeated_windows", lambda d, w: inner(d, w, shard_words=shard_words))
     rng = random.Random(4)
     base = [f"w{rng.randint(0, 30)}" for _ in range(400)]
     rows = list(ODD)
@@ -401,8 +401,8 @@ def test_substrings(spark, monkeypatch, busy):
             words += base[a : a + rng.randint(5, 120)] + [f"x{rng.randint(0, 9)}" for _ in range(rng.randint(0, 3))]
         rows.append((rng.choice([d, d, d // 2]), " ".join(words), "x"))
     rows += [(None, " ".join(base), "x"), (900, " ".join(base), "x"), (901, " ".join(base), "x")]
-    found = substrings.without_repeats(spark.createDataFrame(rows, SCHEMA))
-    assert sorted(str(tuple(r)) for r in found.collect()) == plain_repeats(rows)
+    found = substrings.without_repeats(spark.createDataFrame(rows, SCHEMA), window=window)
+    assert sorted(str(tuple(r)) for r in found.collect()) == plain_repeats(rows, window)
     assert substrings.without_repeats(empty(spark)).count() == 0
 
 

@@ -12,8 +12,10 @@ document's text streams only against the shards that could hold its windows:
   shard of a bounded number of words, with the smallest document id of every state. All segments stream
   through it; where the matching statistic reaches the window length, the state of that length gives the
   smallest id that holds the window.
-* An anchor with more different segments than a shard may hold (a phrase of everyday words) is settled window
-  by window: aggregated by the window's hash, which combines before the shuffle; only windows of two documents go on.
+* An anchor whose segments exceed a shard (a phrase of everyday words) is lengthened: each of its windows goes
+  with the longer stretch that it holds to the left of the anchor or, failing that, to the right. Equal windows
+  stay together. The pieces are grouped by the longer anchors and go through automata in turn, lengthened again
+  where they must be; an anchor as long as the window has one piece only.
 
 A shard's automaton is not sent to every executor, as a broadcast would: all shards together grow with the
 corpus, so each is built in the task that streams through it.
@@ -230,7 +232,7 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 
 def _contents(window: int):
-    """Words of the segments that a document stands for, or for busy anchors the hashes of their windows."""
+    """Words of the segments that a document stands for, and where the anchors to be lengthened begin in them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, unpacker = _WordIds(), zstandard.ZstdDecompressor()
@@ -239,25 +241,58 @@ def _contents(window: int):
                 out = []
                 for doc_id, z, wanted in zip(*(c.to_pylist() for c in whole.slice(start, 64).columns), strict=True):
                     ids = word_ids(unpacker.decompress(z).split(), known)
-                    hashes = None
+                    grams = None
                     for s in wanted:
-                        a, b = s["first"], s["first"] + s["n"]
+                        a, n, at = s["first"], s["n"], 0
                         if s["busy"]:
-                            hashes = gram_hashes(ids, window) if hashes is None else hashes
-                            values = hashes[a:b]
-                        else:
-                            values = ids[a : b + window - 1]
-                        out.append((s["anchor"], s["content"], doc_id, s["high"], s["busy"], values.view(np.int64)))
-                columns = list(zip(*out, strict=True)) or [()] * 6
-                kinds = [pa.int64()] * 4 + [pa.bool_(), pa.list_(pa.int64())]
+                            grams = gram_hashes(ids, GRAM).view(np.int64) if grams is None else grams
+                            at = int((grams[a : a + window - GRAM + 1] == s["anchor"]).argmax())
+                        values = ids[a : a + n + window - 1].view(np.int64)
+                        out.append((s["anchor"], s["content"], doc_id, s["high"], at, n, values, s["busy"]))
+                columns = list(zip(*out, strict=True)) or [()] * 8
+                kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.list_(pa.int64()), pa.bool_()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                    ["anchor", "content", "low", "high", "busy", "values"],
+                    ["anchor", "content", "low", "high", "at", "n", "values", "busy"],
                 )
 
     return run
 
 
+def _number(words: np.ndarray, salt: int = 0) -> int:
+    """A signed 64-bit hash of words."""
+    found = xxhash.xxh64_intdigest(words.tobytes(), salt)
+    return found - (1 << 64) if found >> 63 else found
+
+
+def _longer(window: int, length: int):
+    """Segments about an anchor of ``length`` words in at most two pieces, each about a longer anchor."""
+    more = (window - length + 1) // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = batch.column(6).values.to_numpy(zero_copy_only=False)
+            offsets = batch.column(6).offsets.to_pylist()
+            out = []
+            for r, (anchor, content, low, high, at, n) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:6]), strict=True)):
+                values = flat[offsets[r] : offsets[r + 1]]
+                turn = min(n, max(0, at - more + 1))  # windows before it hold the words to the left
+                for a, b, begin in ((0, turn, at - more), (turn, n, at)):
+                    if a < b:
+                        words = values[a : b + window - 1]
+                        stretch = _number(values[begin : begin + length + more])
+                        place = begin - a
+                        out.append((anchor, content, a, stretch, _number(words, place + 1), low, high, place, b - a, words))
+            columns = list(zip(*out, strict=True)) or [()] * 10
+            kinds = [pa.int64()] * 2 + [pa.int32()] + [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                ["whole", "whole_content", "from", "anchor", "content", "low", "high", "at", "n", "values"],
+            )
+
+    return run
+
+
 def _stream(window: int, shard_words: int):
     """Rows come sorted by anchor; whole anchors are gathered to shards of about ``shard_words`` words."""
 
@@ -325,10 +360,61 @@ def _kept(window: int):
     return run
 
 
-def repeated_windows(docs: DataFrame, window: int = 50, shard_words: int = 20_000, busy_segments: int = 1024) -> DataFrame:
+def _settled(contents: DataFrame, length: int, window: int, shard_words: int) -> DataFrame:
+    """(anchor, content, low, lows) of segments whose anchors, of ``length`` words, have several each.
+
+    ``lows`` has the smallest document of every window. ``contents`` is a written table; its column busy marks
+    the anchors to be lengthened.
+    """
+    dealt = contents.where("NOT busy").select("anchor", "content", "low", "values").repartition("anchor")
+    streamed = dealt.sortWithinPartitions("anchor", "content").mapInArrow(
+        _stream(window, shard_words), "anchor long, content long, low long, lows array<long>"
+    )
+    streamed = streamed.withColumn("lows", F.transform("lows", lambda low, i: F.struct(i.alias("i"), low.alias("lowest"))))
+    busy = contents.where("busy").drop("busy")
+    if busy.isEmpty():
+        return streamed
+    pieces = cut(
+        busy.mapInArrow(
+            _longer(window, length),
+            "whole long, whole_content long, from int, anchor long, content long, low long, high long, "
+            "at int, n int, values array<long>",
+        )
+    )
+    kinds = cut(
+        pieces.groupBy("anchor", "content").agg(
+            F.min("low").alias("low"), F.max("high").alias("high"), *(F.any_value(c).alias(c) for c in ("at", "n", "values"))
+        )
+    )
+    shared = _shared(kinds.select("anchor", "low", "high", "n"), window, shard_words)
+    found = cut(kinds.join(shared, "anchor"))
+    drop_cut(kinds)
+    every = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.struct(i.alias("i"), F.col("low").alias("lowest")))
+    alone = found.where("kinds = 1").select("anchor", "content", "low", every.alias("lows"))
+    several = found.where("kinds > 1").select("anchor", "content", "low", "high", "at", "n", "values", "busy")
+    known = alone.unionByName(_settled(several, length + (window - length + 1) // 2, window, shard_words))
+    moved = F.transform("lows", lambda x: F.struct((x["i"] + F.col("from")).alias("i"), x["lowest"].alias("lowest")))
+    links = pieces.select("whole", "whole_content", "from", "anchor", "content")
+    back = links.join(known, ["anchor", "content"]).groupBy(F.col("whole").alias("anchor"), F.col("whole_content").alias("content"))
+    return streamed.unionByName(back.agg(F.min("low").alias("low"), F.flatten(F.collect_list(moved)).alias("lows")))
+
+
+def _shared(kinds: DataFrame, window: int, shard_words: int) -> DataFrame:
+    """(anchor, kinds, busy) of anchors in two documents or more; busy ones have more words than a shard."""
+    anchors = kinds.groupBy("anchor").agg(
+        F.count("*").alias("kinds"),
+        F.sum(F.col("n") + (window - 1)).alias("words"),
+        F.min("low").alias("lowest"),
+        F.max("high").alias("highest"),
+    )
+    busy = (F.col("kinds") > 1) & (F.col("words") > shard_words)
+    return anchors.where("lowest < highest").select("anchor", "kinds", busy.alias("busy"))
+
+
+def repeated_windows(docs: DataFrame, window: int = 50, shard_words: int = 20_000) -> DataFrame:
     """(doc_id, text_key, first, mask): bit i of ``mask`` is set if window ``first + i`` starts in a document with a smaller id.
 
-    ``docs`` has doc_id, text_key and t (UTF-8).
+    ``docs`` has doc_id, text_key and t (UTF-8). ``shard_words`` is the size of an automaton's shard.
     """
     rows = cut(_segment_rows(docs, window))
     kinds = cut(
@@ -336,37 +422,24 @@ def repeated_windows(docs: DataFrame, window: int = 50, shard_words: int = 20_00
             F.min(F.struct("doc_id", "text_key", "first", "n")).alias("rep"), F.max("doc_id").alias("high")
         )
     )
-    anchors = kinds.groupBy("anchor").agg(
-        F.count("*").alias("kinds"), F.min("rep.doc_id").alias("low"), F.max("high").alias("highest")
-    )
-    shared = anchors.where("low < highest").select("anchor", "kinds")
-    found = cut(kinds.join(shared, "anchor").select("anchor", "content", "kinds", "high", "rep.*"))
+    shared = _shared(kinds.select("anchor", F.col("rep.doc_id").alias("low"), "high", "rep.n"), window, shard_words)
+    found = cut(kinds.join(shared, "anchor").select("anchor", "content", "kinds", "busy", "high", "rep.*"))
     drop_cut(kinds)
     alone = found.where("kinds = 1").select("anchor", "content", F.col("doc_id").alias("low"), F.lit(None).cast(LOWS).alias("lows"))
-    busy = (F.col("kinds") > busy_segments).alias("busy")
     wanted = (
         found.where("kinds > 1")
         .groupBy("doc_id", "text_key")
-        .agg(F.collect_list(F.struct("anchor", "content", "high", "first", "n", busy)).alias("wanted"))
+        .agg(F.collect_list(F.struct("anchor", "content", "high", "first", "n", "busy")).alias("wanted"))
     )
     contents = _packed(docs).dropDuplicates(["doc_id", "text_key"]).join(wanted, ["doc_id", "text_key"])
     contents = cut(
         contents.select("doc_id", "z", "wanted").mapInArrow(
-            _contents(window), "anchor long, content long, low long, high long, busy boolean, values array<long>"
+            _contents(window),
+            "anchor long, content long, low long, high long, at int, n int, values array<long>, busy boolean",
         )
     )
-    dealt = contents.where("NOT busy").select("anchor", "content", "low", "values").repartition("anchor")
-    streamed = dealt.sortWithinPartitions("anchor", "content").mapInArrow(
-        _stream(window, shard_words), "anchor long, content long, low long, lows array<long>"
-    )
-    streamed = streamed.withColumn("lows", F.transform("lows", lambda low, i: F.struct(i.alias("i"), low.alias("lowest"))))
-    one = contents.where("busy").select("anchor", "content", "low", "high", F.posexplode("values").alias("i", "hash"))
-    lowest = one.groupBy("hash").agg(F.min("low").alias("lowest"), F.max("high").alias("highest"))
-    repeated = lowest.where("lowest < highest").select("hash", "lowest")
-    settled = one.join(repeated, "hash").groupBy("anchor", "content").agg(
-        F.min("low").alias("low"), F.collect_list(F.struct("i", "lowest")).alias("lows")
-    )
-    known = cut(alone.unionByName(streamed).unionByName(settled))
+    known = cut(alone.unionByName(_settled(contents, GRAM, window, shard_words)))
+    drop_cut(contents)
     hits = rows.join(known, ["anchor", "content"])
     none = F.lit(0).cast("long")
     bit = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i)
