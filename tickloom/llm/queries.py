@@ -1,14 +1,16 @@
 """The registered queries of the text operators, with production parameters over whole tables.
 
-None of them can be written in SQL as a whole (trained models, automata, max-flow, XXH64, tokenizers), so
-there is no oracle; tests/llm holds each against a brute-force version.
+The filter audit and exact dedup have their DuckDB text. The others can't be written in SQL as a whole (trained models,
+automata, max-flow, XXH64, tokenizers) or would compare all words of a text with each other there (periodic runs); tests/llm
+holds each against a brute-force version.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickloom.llm import ann, decontam, html_text, pieces, pii, secrets, sharding, simhash, substrings, toxicity
+from tickloom.llm import ann, audit, decontam, exact, html_text, periodic, pieces, pii, secrets, sharding, simhash, substrings, toxicity
 from tickloom.llm.common import table
 
 
@@ -57,6 +59,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic.periodic_runs(docs.withColumn("text", periodic.with_planted_periods(F.col("text"), F.col("doc_id"))))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -70,6 +85,9 @@ QUERIES = {
         op8_shards,
         op9_personal_data,
         op10_simhash,
+        op11_filter_audit,
+        op12_periodic_runs,
+        op13_exact_dedup,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_filter_audit": audit.ORACLE, "op13_exact_dedup": exact.ORACLE}
