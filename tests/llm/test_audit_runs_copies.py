@@ -220,8 +220,8 @@ def test_periodic_runs_on_awkward_rows(spark, odd):
 
 def test_the_query_plants_and_finds_periods(spark, tmp_path):
     rng = np.random.default_rng(3)
-    rows = [(int(i), " ".join(f"w{x}" for x in rng.integers(0, 4, int(n))) + " \t") for i, n in enumerate(rng.integers(0, 70, 300))]
-    rows += [(None, "x " * 9), (301, None), (305, ""), (312, "  ")]
+    rows = [(int(i), " ".join(f"w{x}" for x in rng.integers(0, 4, int(n))) + " \t") for i, n in enumerate(rng.integers(0, 70, 500))]
+    rows += [(None, "x " * 9), (501, None), (505, ""), (512, "  ")]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
 
     def planted(i, text):
