@@ -106,53 +106,6 @@ def test_duplicate_trades_stay(spark):
     assert [r.f for r in rows.select(quality.duplicate_flags(rows, ["symbol", "native_trade_id"]).alias("f")).collect()] == [True, True]
 
 
-def event(i, kind, first, last, levels, prev=None):
-    return {
-        "event_id": i, "update_kind": kind, "first_sequence": first, "last_sequence": last, "previous_sequence": prev,
-        "levels": [{"side": s, "price": Decimal(p), "amount": Decimal(a)} for s, p, a in levels],
-    }
-
-
-def run(engine, *events):
-    return [row["event_id"] for e in events for row in engine.accept(e)]
-
-
-def test_bridge_buffers_seeds_and_reseeds_after_a_gap():
-    e = books.Engine(books.Policy())
-    seen = run(
-        e,
-        event(1, "delta", 5, 6, [("buy", 9, 1)]),
-        event(2, "delta", 7, 8, [("buy", 8, 1)]),
-        event(3, "snapshot", 6, 6, [("buy", 9, 2), ("sell", 11, 1)]),
-        event(4, "delta", 12, 13, []),
-        event(5, "delta", 14, 15, []),
-        event(6, "snapshot", 13, 13, [("buy", 7, 1)]),
-    )
-    assert seen == [3, 2, 6, 5]
-    assert (e.state, e.counts["gaps"], e.counts["stale"], e.book.best()) == ("live", 1, 2, (Decimal(7), None))
-
-
-def test_crossed_event_changes_nothing():
-    e = books.Engine(books.Policy())
-    run(e, event(1, "snapshot", 1, 1, [("buy", 9, 1), ("sell", 10, 1)]), event(2, "delta", 2, 2, [("buy", 8, 1), ("buy", 10, 1)]))
-    assert (e.state, e.counts["rejected"], e.book.best()) == ("gap", 1, (Decimal(9), Decimal(10)))
-
-
-def test_chain_needs_the_previous_id():
-    e = books.Engine(books.ChainPolicy())
-    seen = run(e, event(1, "snapshot", 10, 10, []), event(2, "delta", 9, 12, [], 8), event(3, "delta", 13, 14, [], 12), event(4, "delta", 15, 16, [], 13))
-    assert (seen, e.state) == ([1, 2, 3], "gap")
-
-
-def test_strict_actions_must_fit():
-    b = books.Book()
-    level = lambda a, p, n: {"side": "buy", "price": Decimal(p), "amount": Decimal(n), "action": a}
-    assert b.apply([level("new", 1, 1)], strict=True)
-    assert not b.apply([level("new", 1, 2)], strict=True)
-    assert not b.apply([level("change", 2, 2)], strict=True)
-    assert b.apply([level("delete", 1, 0)], strict=True)
-
-
 def test_load_is_idempotent_and_refuses_other_rows(spark, tmp_path):
     rows = spark.createDataFrame([(i, "S") for i in range(20)], "native_trade_id long, source_id string")
     load = lambda r: tables.load_generation(r, rows, str(tmp_path), "g")
@@ -195,27 +148,6 @@ def test_messages_of_another_role_are_refused(spark):
     ]
 
 
-def test_change_ids_and_actions_must_fit():
-    e = books.Engine(books.ChangePolicy(), check_crossed=False)
-    level = lambda a, p, n: {"side": "buy", "price": Decimal(p), "amount": Decimal(n), "action": a}
-    seen = run(
-        e,
-        event(1, "snapshot", 10, 10, []) | {"levels": [level("new", 5, 1)]},
-        event(2, "delta", 9, 10, [], 9) | {"levels": [level("change", 5, 9)]},  # stale
-        event(3, "delta", 11, 13, [], 10) | {"levels": [level("change", 5, 2), level("new", 6, 1)]},
-        event(4, "delta", 14, 14, [], 13) | {"levels": [level("delete", 6, 0)]},
-        event(5, "delta", 15, 15, [], 14) | {"levels": [level("change", 5, 3), level("change", 7, 1)]},  # no such level
-    )
-    assert (seen, e.state, e.counts["rejected"], e.book.sides["buy"]) == ([1, 3, 4], "gap", 1, {Decimal(5): Decimal(2)})
-
-
-def test_an_equal_id_may_hold_no_levels():
-    p = books.PreviousPolicy()
-    assert p.next(7, {"previous_sequence": 7, "last_sequence": 7, "levels": []}) == "apply"
-    assert p.next(7, {"previous_sequence": 7, "last_sequence": 7, "levels": [1]}) == "gap"
-    assert p.next(7, {"previous_sequence": 7, "last_sequence": 3, "levels": [1]}) == "apply"
-
-
 def test_next_time_over_span_borders(spark):
     """Ties, empty spans between rows, null keys and single rows, against a sort in Python."""
     from tickloom.operators.windows import next_time

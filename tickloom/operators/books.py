@@ -1,16 +1,15 @@
-"""Order books: declarative forms for any event or time, and a sequential engine for seeding and re-seeding."""
+"""Order books as of any event or time, declaratively; seeding and chains of ids are in ``engine``."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
-from decimal import Decimal
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tickloom.operators.windows import NS_PER_HOUR, carried, spans
+
 
 def book_at(levels: DataFrame, by: Sequence[str], upto: Column, order: Sequence[str]) -> DataFrame:
     """(by..., side, price, amount): the last action per price among the levels that ``upto`` keeps, deletes gone.
@@ -29,18 +28,15 @@ def top_levels(book: DataFrame, by: Sequence[str], depth: int) -> DataFrame:
     return book.withColumn("level", F.row_number().over(w)).where(F.col("level") <= depth)
 
 
-def sequence_gaps(updates: DataFrame, by: Sequence[str], order: Sequence[str], chained: bool = False) -> DataFrame:
+def sequence_gaps(updates: DataFrame, by: Sequence[str], order: Sequence[str], chained: bool = False, span: int = NS_PER_HOUR) -> DataFrame:
     """Updates behind a hole in their sequence. ``chained`` compares the previous-final id, else first ids.
 
-    Updates at or below the running last id are stale and don't count.
+    Updates at or below the running last id are stale and don't count; what is left follows the running last id itself.
     """
-    w = Window.partitionBy(*by).orderBy(*order)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    rows = updates.withColumn("__max", F.max("last_sequence").over(before))
-    rows = rows.where(F.col("__max").isNull() | (F.col("last_sequence") > F.col("__max")))
-    rows = rows.withColumn("__prev", F.lag("last_sequence").over(w)).where("__prev IS NOT NULL")
-    hole = F.col("previous_sequence") != F.col("__prev") if chained else F.col("first_sequence") > F.col("__prev") + 1
-    return rows.where(hole).drop("__max", "__prev")
+    rows = carried(updates, by, spans(order[0], span), order, maxima={"__last": F.col("last_sequence")}, inclusive=False)
+    rows = rows.where(F.col("last_sequence") > F.col("__last"))
+    hole = F.col("previous_sequence") != F.col("__last") if chained else F.col("first_sequence") > F.col("__last") + 1
+    return rows.where(hole).drop("__last")
 
 
 def latest_books(rows: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -67,238 +63,8 @@ def events_of_levels(levels: DataFrame, key: Sequence[str], header: Sequence[str
     return rows.withColumn("consistent", (F.col("__h") == 1) & gapless).drop("__h")
 
 
-# ---- sequential engine ------------------------------------------------------------------------------------
-
-
-class Policy:
-    """How one venue's sequence numbers chain: is a snapshot behind, and what to do with an update.
-
-    ``first`` and ``next`` return apply, stale or gap.
-    """
-
-    name, strict = "bridge", False
-
-    def behind(self, snapshot_last: int, first_buffered: dict) -> bool:
-        return snapshot_last + 1 < first_buffered["first_sequence"]
-
-    def first(self, snapshot_last: int, u: dict) -> str:
-        if u["last_sequence"] <= snapshot_last:
-            return "stale"
-        return "apply" if u["first_sequence"] <= snapshot_last + 1 else "gap"
-
-    def next(self, last: int, u: dict) -> str:
-        if u["last_sequence"] <= last:
-            return "stale"
-        return "gap" if u["first_sequence"] > last + 1 else "apply"
-
-
-class ChainPolicy(Policy):
-    """The first update must span the snapshot; later ones name the previous final id."""
-
-    name = "chain"
-
-    def first(self, snapshot_last: int, u: dict) -> str:
-        if u["last_sequence"] < snapshot_last:
-            return "stale"
-        return "apply" if u["first_sequence"] <= snapshot_last <= u["last_sequence"] else "gap"
-
-    def next(self, last: int, u: dict) -> str:
-        if u["last_sequence"] <= last:
-            return "stale"
-        return "apply" if u["previous_sequence"] == last else "gap"
-
-
-class ResetPolicy(Policy):
-    """Snapshots in the stream reset the book, deltas apply as they come; id 1 needs a snapshot."""
-
-    name = "reset"
-
-    def next(self, last: int, u: dict) -> str:
-        return "gap" if u["last_sequence"] == 1 else "apply" if u["last_sequence"] > last else "stale"
-
-
-class ContiguousPolicy(Policy):
-    """Update ids rise by one."""
-
-    name = "contiguous"
-
-    def next(self, last: int, u: dict) -> str:
-        return "stale" if u["last_sequence"] <= last else "apply" if u["last_sequence"] == last + 1 else "gap"
-
-
-class PreviousPolicy(Policy):
-    """The previous id must be the last seen; an equal pair is a message without change and may hold no levels, a
-    smaller id with a matching previous one is a maintenance reset."""
-
-    name = "previous"
-
-    def next(self, last: int, u: dict) -> str:
-        if u["previous_sequence"] != last or (u["last_sequence"] == last and len(u["levels"])):
-            return "gap"
-        return "apply"
-
-
-class ChangePolicy(Policy):
-    """Change ids chain by the previous one and rise, and each new, change or delete must fit the book."""
-
-    name, strict = "change", True
-
-    def first(self, snapshot_last: int, u: dict) -> str:
-        return "stale" if u["last_sequence"] <= snapshot_last else self.next(snapshot_last, u)
-
-    def next(self, last: int, u: dict) -> str:
-        return "apply" if u["previous_sequence"] == last < u["last_sequence"] else "gap"
-
-
-POLICIES: dict[str, type[Policy]] = {p.name: p for p in (Policy, ChainPolicy, ResetPolicy, ContiguousPolicy, PreviousPolicy, ChangePolicy)}
-
-
-@dataclass
-class Book:
-    """Price to amount of both sides. Levels of one event apply together or not at all."""
-
-    sides: dict[str, dict[Decimal, Decimal]] = field(default_factory=lambda: {"buy": {}, "sell": {}})
-
-    def apply(self, levels: Sequence[dict], strict: bool = False, check_crossed: bool = True) -> bool:
-        """False, and no change, if the book would cross or (strict) an action does not fit the state."""
-        undo = []
-        fits = True
-        for x in levels:
-            side, price = self.sides[x["side"]], x["price"]
-            gone = x["amount"] == 0
-            action = x.get("action") or ("delete" if gone else "upsert")
-            if strict and ((action == "new" and price in side) or (action in ("change", "delete") and price not in side)):
-                fits = False
-                break
-            undo.append((side, price, side.get(price)))
-            if action == "delete" or gone:
-                side.pop(price, None)
-            else:
-                side[price] = x["amount"]
-        if fits and check_crossed:
-            bid, ask = self.best()
-            fits = bid is None or ask is None or bid < ask
-        for side, price, amount in [] if fits else reversed(undo):
-            if amount is None:
-                side.pop(price, None)
-            else:
-                side[price] = amount
-        return fits
-
-    def best(self) -> tuple[Decimal | None, Decimal | None]:
-        buy, sell = self.sides["buy"], self.sides["sell"]
-        return (max(buy) if buy else None, min(sell) if sell else None)
-
-
-class Engine:
-    """One instrument's book within one connection epoch: buffering, seeded, live, gap, closed."""
-
-    def __init__(self, policy: Policy, check_crossed: bool = True, most_buffered: int = 10_000):
-        self.policy, self.check_crossed, self.most_buffered = policy, check_crossed, most_buffered
-        self.book, self.state, self.last = Book(), "unseeded", 0
-        self.buffer: list[dict] = []
-        self.counts = {"accepted": 0, "applied": 0, "stale": 0, "gaps": 0, "rejected": 0}
-
-    def accept(self, event: dict) -> Iterator[dict]:
-        """Take a snapshot or an update; give a row for each event that changed the book."""
-        self.counts["accepted"] += 1
-        if event["update_kind"] == "snapshot":
-            yield from self._seed(event)
-        elif self.state in ("unseeded", "buffering", "gap"):
-            self.state = "buffering"
-            self.buffer.append(event)
-            if len(self.buffer) > self.most_buffered:
-                self.state, self.buffer = "closed", []
-        elif self.state in ("seeded", "live"):
-            yield from self._update(event)
-
-    def _seed(self, snapshot: dict) -> Iterator[dict]:
-        if self.buffer and self.policy.behind(snapshot["last_sequence"], self.buffer[0]):
-            self.counts["rejected"] += 1
-            return
-        self.book = Book()
-        self.book.apply(snapshot["levels"], check_crossed=self.check_crossed)
-        self.last, self.state = snapshot["last_sequence"], "seeded"
-        yield self._row(snapshot)
-        waiting, self.buffer = self.buffer, []
-        for event in waiting:
-            if self.state in ("seeded", "live"):
-                yield from self._update(event)
-            else:
-                self.buffer.append(event)
-
-    def _update(self, event: dict) -> Iterator[dict]:
-        action = (self.policy.first if self.state == "seeded" else self.policy.next)(self.last, event)
-        if action == "stale":
-            self.counts["stale"] += 1
-        elif action == "gap":
-            self.counts["gaps"] += 1
-            self.state, self.buffer = "gap", [event]
-        elif self._change(event):
-            self.counts["applied"] += 1
-            self.last, self.state = event["last_sequence"], "live"
-            yield self._row(event)
-        else:
-            self.counts["rejected"] += 1
-            self.state, self.buffer = "gap", []
-
-    def _change(self, event: dict) -> bool:
-        return self.book.apply(event["levels"], self.policy.strict, self.check_crossed)
-
-    def _row(self, event: dict) -> dict:
-        bid, ask = self.book.best()
-        return {
-            "kind": "book", "event_id": event["event_id"], "state": self.state, "last_sequence": self.last, "best_bid": bid, "best_ask": ask,
-            "bids": len(self.book.sides["buy"]), "asks": len(self.book.sides["sell"]), "accepted": None, "applied": None, "stale": None, "gaps": None,
-        }
-
-    def evidence(self) -> dict:
-        """What the epoch came to."""
-        bid, ask = self.book.best()
-        return {
-            "kind": "epoch", "event_id": None, "state": self.state, "last_sequence": self.last, "best_bid": bid, "best_ask": ask,
-            "bids": len(self.book.sides["buy"]), "asks": len(self.book.sides["sell"]),
-            **{k: self.counts[k] for k in ("accepted", "applied", "stale", "gaps")},
-        }
-
-
-ENGINE_SCHEMA = (
-    "instrument_uid string, epoch_id string, kind string, event_id long, state string, last_sequence long, best_bid decimal(38,18), "
-    "best_ask decimal(38,18), bids long, asks long, accepted long, applied long, stale long, gaps long"
-)
-
-
-def reconstruct(events: DataFrame, policy: str = "bridge", check_crossed: bool = True, order: Sequence[str] = ("received_time_ns", "event_id")) -> DataFrame:
-    """Rows of kind book (one per applied event) and epoch (one per instrument and epoch).
-
-    ``events`` has instrument_uid, epoch_id, event_id, update_kind, first_sequence, last_sequence,
-    previous_sequence and levels. Epochs restart from a snapshot, so each is its own sequence; a task streams
-    through its sorted epochs and holds one book at a time.
-    """
-    key = ["instrument_uid", "epoch_id"]
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        engine, current = None, None
-        for part in parts:
-            out = []
-            for event in part.to_dict("records"):
-                here = (event["instrument_uid"], event["epoch_id"])
-                if here != current:
-                    if engine:
-                        out.append({**dict(zip(key, current, strict=True)), **engine.evidence()})
-                    engine, current = Engine(POLICIES[policy](), check_crossed), here
-                out += [{**dict(zip(key, here, strict=True)), **row} for row in engine.accept(event)]
-            if out:
-                yield pd.DataFrame(out).astype(object).where(lambda x: x.notna(), None)
-        if engine:
-            yield pd.DataFrame([{**dict(zip(key, current, strict=True)), **engine.evidence()}]).astype(object)
-
-    dealt = events.repartition(*key).sortWithinPartitions(*key, *order)
-    return dealt.mapInPandas(run, ENGINE_SCHEMA)
-
-
 def with_snapshots(updates: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """Events for ``reconstruct`` from updates and a second frame of snapshots of the same keys.
+    """Events for ``engine.reconstruct`` from updates and a second frame of snapshots of the same keys.
 
     Both are merged by the sort of each epoch, so neither side of a busy instrument is gathered, as cogrouping would.
     """

@@ -94,6 +94,13 @@ def levels_of(text: Column, side: str) -> Column:
     return F.when(F.coalesce(F.forall(read, lambda x: x["price"].isNotNull() & x["amount"].isNotNull()), F.lit(False)), read)
 
 
+def texted_levels_of(text: Column, side: str) -> Column:
+    """``levels_of`` with ``price_text`` and ``amount_text`` as the venue wrote them, which its checksum is over."""
+    pairs = F.from_json(text, "array<array<string>>")
+    worded = lambda x, p: x.withField("price_text", F.get(p, F.lit(0))).withField("amount_text", F.get(p, F.lit(1)))
+    return F.zip_with(levels_of(text, side), pairs, worded)
+
+
 def tagged_levels_of(text: Column, side: str) -> Column:
     """Levels of [[action, price, amount], ...]."""
     triples = F.from_json(text, "array<array<string>>")
@@ -169,9 +176,15 @@ def uint(text: Column) -> Column:
     return F.when(text.rlike(r"^[0-9]+\z"), text.try_cast("long"))
 
 
+def integer(text: Column) -> Column:
+    """Digits with or without a minus that fit 64 bits; null for others."""
+    return F.when(text.rlike(r"^-?[0-9]+\z"), text.try_cast("long"))
+
+
 READERS: dict[str, Callable[[Column, str], Column]] = {
     "decimal": lambda t, n: strict_decimal(t),
     "uint": lambda t, n: uint(t),
+    "int": lambda t, n: integer(t),
     "ms": lambda t, n: native_to_ns(uint(t), "ms"),
     "us": lambda t, n: native_to_ns(uint(t), "us"),
     "text": lambda t, n: F.when(F.length(t) > 0, t),
@@ -179,6 +192,7 @@ READERS: dict[str, Callable[[Column, str], Column]] = {
     "maker": lambda t, n: F.when(t == "true", F.lit("sell")).when(t == "false", F.lit("buy")),
     "side": lambda t, n: F.when(F.lower(t).isin("buy", "b"), F.lit("buy")).when(F.lower(t).isin("sell", "a"), F.lit("sell")),
     "levels": lambda t, n: levels_of(t, "buy" if n == "bids" else "sell"),
+    "texted": lambda t, n: texted_levels_of(t, "buy" if n == "bids" else "sell"),
     "rpi": lambda t, n: rpi_levels_of(t, "buy" if n == "bids" else "sell"),
     "named": lambda t, n: named_levels_of(t, "buy" if n == "bids" else "sell"),
     "best": best_of,

@@ -101,6 +101,12 @@ BYBIT = {
         ("topic", r"tickers\..*-[CP].*"),
     ),
 }
+BYBIT_SNAPSHOT = M(
+    "book_update",
+    (F("symbol", "result.s", "text"), F("bids", "result.b", "levels"), F("asks", "result.a", "levels"), F("last_sequence", "result.u", "uint"),
+     F("cross_sequence", "result.seq", "uint"), F("event_time_ns", "result.ts", "ms")),
+    ("retCode", "0"), fixed={"update_kind": "snapshot"},
+)
 _OKX_INSTRUMENT = (
     F("symbol", "instId", "text"), F("kind", "instType", "text"), F("native_state", "state", "text"), F("state", "state", "okx_state"),
     F("tick_size", "tickSz", "decimal", False), F("lot_size", "lotSz", "decimal", False), F("contract_size", "ctVal", "decimal", False),
@@ -115,8 +121,8 @@ OKX = {
     ),
     "book": M(
         "book_update",
-        (F("bids", "bids", "levels"), F("asks", "asks", "levels"), F("event_time_ns", "ts", "ms"), F("previous_sequence", "prevSeqId", "text"),
-         F("last_sequence", "seqId", "uint"), F("checksum", "checksum", "text", False)),
+        (F("bids", "bids", "texted"), F("asks", "asks", "texted"), F("event_time_ns", "ts", "ms"), F("previous_sequence", "prevSeqId", "int"),
+         F("last_sequence", "seqId", "uint"), F("checksum", "checksum", "int", False)),
         ("arg.channel", r"books|books5|books50-l2-tbt|books-l2-tbt"), "data", header=(F("symbol", "arg.instId", "text"), F("update_kind", "action", "text", False)),
     ),
     "liquidation": M(
@@ -137,7 +143,7 @@ OKX = {
     ),
     "rpi_book": M(
         "book_update",
-        (F("bids", "bids", "levels"), F("asks", "asks", "levels"), F("event_time_ns", "ts", "ms"), F("previous_sequence", "prevSeqId", "text"),
+        (F("bids", "bids", "texted"), F("asks", "asks", "texted"), F("event_time_ns", "ts", "ms"), F("previous_sequence", "prevSeqId", "int"),
          F("last_sequence", "seqId", "uint")),
         ("arg.channel", r"books-rpi-tbt"), "data", header=(F("symbol", "arg.instId", "text"), F("update_kind", "action", "text", False)),
     ),

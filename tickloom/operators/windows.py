@@ -1,4 +1,7 @@
-"""Ordering, sequence evidence, versions and paging. Every window is partitioned; global order is a range sort."""
+"""Ordering, sequence evidence, versions and paging. Every window is partitioned; global order is a range sort.
+
+Running values along an epoch go through ``carried``, which cuts an epoch into chunks.
+"""
 
 from __future__ import annotations
 
@@ -9,27 +12,61 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def number_arrivals(df: DataFrame, epoch: Sequence[str], order: Sequence[str], resume: DataFrame | None = None) -> DataFrame:
-    """``arrival_ordinal`` from 1 within each epoch, or on from ``resume`` (epoch columns and last_ordinal)."""
-    rows = df.withColumn("arrival_ordinal", F.row_number().over(Window.partitionBy(*epoch).orderBy(*order)).cast("long"))
+NS_PER_HOUR = 3_600_000_000_000
+
+
+def spans(column: str, width: int) -> Column:
+    """Number of the span of ``width`` that a whole-number column falls into; monotone in the column."""
+    return F.floor(F.col(column) / F.lit(width)) if width & (width - 1) else F.expr(f"shiftright(`{column}`, {width.bit_length() - 1})")
+
+
+def carried(
+    df: DataFrame, by: Sequence[str], chunk: Column, order: Sequence[str | Column], sums: Mapping[str, Column] | None = None, maxima: Mapping[str, Column] | None = None, inclusive: bool = True
+) -> DataFrame:
+    """``df`` with running sums and maxima along each key in ``order``, up to the row (or up to the one before).
+
+    Two passes over ``df``. The first reduces each chunk of a key to its sums and maxima, of which a key has few; these are
+    accumulated along the key. The second sorts rows within their chunk, behind a head row that carries what came
+    before it, so rows are shuffled once, by key and chunk, and a key with a third of all rows spreads over its chunks.
+    ``chunk`` must not fall as ``order`` rises. Sums of nothing are 0 and maxima of nothing null; null keys are a key.
+    """
+    sums, maxima = dict(sums or {}), dict(maxima or {})
+    names = {**{n: f"__v_{n}" for n in sums}, **{n: f"__v_{n}" for n in maxima}}
+    rows = df.withColumns({"__chunk": chunk, **{names[n]: c for n, c in {**sums, **maxima}.items()}})
+    parts = rows.groupBy(*by, "__chunk").agg(*(F.sum(names[n]).alias(names[n]) for n in sums), *(F.max(names[n]).alias(names[n]) for n in maxima))
+    earlier = Window.partitionBy(*by).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    heads = parts.select(
+        *by, "__chunk", *(F.coalesce(F.sum(names[n]).over(earlier), F.lit(0)).alias(names[n]) for n in sums), *(F.max(names[n]).over(earlier).alias(names[n]) for n in maxima), F.lit(0).alias("__row")
+    )
+    both = rows.withColumn("__row", F.lit(1)).unionByName(heads, allowMissingColumns=True)
+    within = Window.partitionBy(*by, "__chunk").orderBy("__row", *order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    found = {**{n: F.coalesce(F.sum(names[n]).over(within), F.lit(0)) for n in sums}, **{n: F.max(names[n]).over(within) for n in maxima}}
+    return both.withColumns(found).where("__row = 1").drop("__row", "__chunk", *(v for n, v in names.items()))
+
+
+def number_arrivals(df: DataFrame, epoch: Sequence[str], order: Sequence[str], resume: DataFrame | None = None, span: int = NS_PER_HOUR) -> DataFrame:
+    """``arrival_ordinal`` from 1 within each epoch, or on from ``resume`` (epoch columns and last_ordinal).
+
+    The first order column, a whole number, is cut into chunks of ``span``.
+    """
+    rows = carried(df, epoch, spans(order[0], span), order, sums={"arrival_ordinal": F.lit(1).cast("long")})
     if resume is None:
         return rows
     rows = rows.join(resume, list(epoch), "left")
     return rows.withColumn("arrival_ordinal", F.col("arrival_ordinal") + F.coalesce("last_ordinal", F.lit(0))).drop("last_ordinal")
 
 
-def ordinal_gaps(df: DataFrame, epoch: Sequence[str], ordinal: str = "arrival_ordinal") -> DataFrame:
-    """(epoch..., first_missing, last_missing), also before the first row."""
-    w = Window.partitionBy(*epoch).orderBy(ordinal)
-    rows = df.select(*epoch, ordinal, F.lag(ordinal, 1, 0).over(w).alias("__p"))
-    gaps = rows.where(F.col(ordinal) > F.col("__p") + 1)
-    return gaps.select(*epoch, (F.col("__p") + 1).alias("first_missing"), (F.col(ordinal) - 1).alias("last_missing"))
+def ordinal_gaps(df: DataFrame, epoch: Sequence[str], ordinal: str = "arrival_ordinal", span: int = 1 << 16) -> DataFrame:
+    """(epoch..., first_missing, last_missing), also before the first row; in chunks of ``span`` ordinals."""
+    rows = carried(df.select(*epoch, ordinal), epoch, spans(ordinal, span), [ordinal], maxima={"__p": F.col(ordinal)}, inclusive=False)
+    before = F.coalesce("__p", F.lit(0))
+    gaps = rows.where(F.col(ordinal) > before + 1)
+    return gaps.select(*epoch, (before + 1).cast("long").alias("first_missing"), (F.col(ordinal) - 1).alias("last_missing"))
 
 
-def overlap_rest(segments: DataFrame, by: Sequence[str], first: str, last: str) -> DataFrame:
+def overlap_rest(segments: DataFrame, by: Sequence[str], first: str, last: str, span: int = 1 << 16) -> DataFrame:
     """Segments in order, with ``emit_from``: where the part begins that earlier segments have not given."""
-    w = Window.partitionBy(*by).orderBy(first, last).rowsBetween(Window.unboundedPreceding, -1)
-    rows = segments.withColumn("__end", F.max(last).over(w))
+    rows = carried(segments, by, spans(first, span), [first, last], maxima={"__end": F.col(last)}, inclusive=False)
     return rows.withColumn("emit_from", F.when(F.col("__end") >= F.col(first), F.col("__end") + 1).otherwise(F.col(first))).drop("__end")
 
 
@@ -172,10 +209,10 @@ def first_mismatch(a: DataFrame, b: DataFrame, by: Sequence[str], ordinal: str,
     return both.where(~F.col("__a").eqNullSafe(F.col("__b"))).groupBy(*by).agg(F.min(ordinal).alias("at"))
 
 
-def time_regressions(df: DataFrame, by: Sequence[str], order: Sequence[str], time: str) -> Column:
-    """A column: whether the time lies before the latest seen so far."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.col(time) < F.max(time).over(w), F.lit(False))
+def time_regressions(df: DataFrame, by: Sequence[str], order: Sequence[str], time: str, span: int = 1 << 16) -> DataFrame:
+    """``df`` with ``regressed``: whether the time lies before the latest seen so far; in chunks of the first order column."""
+    rows = carried(df, by, spans(order[0], span), order, maxima={"__seen": F.col(time)}, inclusive=False)
+    return rows.withColumn("regressed", F.coalesce(F.col(time) < F.col("__seen"), F.lit(False))).drop("__seen")
 
 
 def strictly_ascending(array: str) -> Column:

@@ -149,7 +149,7 @@ def n8_okx_trades(spark, d):
     return _trades(_accepted(raw, venues.OKX["trade"]))
 
 
-@query("SELECT event_id, instrument_uid AS symbol, last_sequence, (first_sequence - 1)::VARCHAR AS previous_sequence, levels FROM book_events", ["book_events"])
+@query("SELECT event_id, instrument_uid AS symbol, last_sequence, first_sequence - 1 AS previous_sequence, levels FROM book_events", ["book_events"])
 def n8_okx_books(spark, d):
     def build():
         item = F.struct(C("asks"), C("bids"), C("ms").cast("string").alias("ts"), L(-5).alias("checksum"), (C("first_sequence") - 1).alias("prevSeqId"), C("last_sequence").alias("seqId"))

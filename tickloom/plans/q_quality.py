@@ -56,94 +56,6 @@ def r4_bridge_gaps(spark, d):
     return books.sequence_gaps(_updates(spark, d), ["instrument_uid"], ["received_time_ns", "event_id"]).select("event_id")
 
 
-def _engine_events(spark, d, snapshots: bool = True):
-    """Events with levels per instrument and year; the first and every 40th of an epoch is a snapshot."""
-    level = F.struct("level_ordinal", "side", "price", "amount")
-    rows = V.book_levels(spark, d).groupBy("event_id").agg(F.array_sort(F.collect_list(level)).alias("levels"))
-    events = V.book_events(spark, d).drop("levels").join(rows, "event_id")
-    events = events.withColumns({"epoch_id": F.expr("cast(received_time_ns div 31536000000000000 AS string)"), "previous_sequence": C("first_sequence") - 1})
-    n = F.row_number().over(Window.partitionBy("instrument_uid", "epoch_id").orderBy("received_time_ns", "event_id"))
-    kind = F.when(n % 40 == 1, "snapshot").otherwise("delta") if snapshots else F.when(n == 1, "snapshot").otherwise("delta")
-    return events.withColumn("update_kind", kind)
-
-
-_ENGINE_BOOK = """SELECT instrument_uid, epoch_id, count(*) FILTER (side = 'buy') AS bids, count(*) FILTER (side = 'sell') AS asks FROM (SELECT instrument_uid,
-    (received_time_ns // 31536000000000000)::VARCHAR AS epoch_id, side, price, arg_max(action, (received_time_ns, event_id, level_ordinal)) AS act FROM book_levels GROUP BY ALL HAVING act <> 'delete') GROUP BY ALL"""
-
-
-@query(_ENGINE_BOOK, ["book_levels"])
-def r1_reconstructed_book(spark, d):
-    """The engine's last book of every epoch; the oracle is the declarative form."""
-    rows = books.reconstruct(_engine_events(spark, d, snapshots=False), "bridge", check_crossed=False)
-    return rows.where("kind = 'epoch' AND bids + asks > 0").select("instrument_uid", "epoch_id", "bids", "asks")
-
-
-@query(_ENGINE_BOOK, ["book_levels"])
-def u3_snapshot_source(spark, d):
-    """As r1_reconstructed_book, with the snapshots from a frame of their own."""
-    events = _engine_events(spark, d, snapshots=False)
-    merged = books.with_snapshots(events.where("update_kind = 'delta'"), events.where("update_kind = 'snapshot'"))
-    rows = books.reconstruct(merged, "bridge", check_crossed=False)
-    return rows.where("kind = 'epoch' AND bids + asks > 0").select("instrument_uid", "epoch_id", "bids", "asks")
-
-
-@query()
-def r1_crossing_books(spark, d):
-    return books.reconstruct(_engine_events(spark, d)).where("kind = 'book'").groupBy("instrument_uid", "state").agg(F.count("*").alias("n"))
-
-
-@query(
-    """SELECT instrument_uid, (received_time_ns // 31536000000000000)::VARCHAR AS epoch_id, count(*) AS accepted, count(*) - 1 AS applied, 0 AS gaps FROM book_events GROUP BY ALL""",
-    ["book_events"],
-)
-def r2_epoch_evidence(spark, d):
-    rows = books.reconstruct(_engine_events(spark, d, snapshots=False), "bridge", check_crossed=False)
-    return rows.where("kind = 'epoch'").select("instrument_uid", "epoch_id", "accepted", "applied", C("gaps").cast("int").alias("gaps"))
-
-
-def _policy_run(spark, d, policy: str, **columns):
-    events = _engine_events(spark, d).where("event_id % 23 <> 0").withColumns(columns)
-    rows = books.reconstruct(events, policy, check_crossed=False).where("kind = 'epoch'")
-    return rows.groupBy("instrument_uid").agg(*(F.sum(c).alias(c) for c in ("accepted", "applied", "stale", "gaps")))
-
-
-@query()
-def r4_chained_books(spark, d):
-    return _policy_run(spark, d, "chain")
-
-
-@query()
-def r5_reset_books(spark, d):
-    return _policy_run(spark, d, "reset")
-
-
-@query()
-def r6_contiguous_books(spark, d):
-    n = F.row_number().over(Window.partitionBy("instrument_uid", "epoch_id").orderBy("received_time_ns", "event_id")).cast("long")
-    return _policy_run(spark, d, "contiguous", last_sequence=n, first_sequence=n)
-
-
-@query()
-def r7_previous_id_books(spark, d):
-    return _policy_run(spark, d, "previous")
-
-
-@query()
-def r8_change_id_books(spark, d):
-    """Levels are new or change by whether their price was held since the last snapshot, and every 23rd event is lost."""
-    events = _engine_events(spark, d)
-    per_epoch = Window.partitionBy("instrument_uid", "epoch_id").orderBy("received_time_ns", "event_id")
-    lines = events.withColumn("seed", F.count_if(C("update_kind") == "snapshot").over(per_epoch)).select("*", F.inline("levels"))
-    per_price = Window.partitionBy("instrument_uid", "epoch_id", "seed", "side", "price").orderBy("received_time_ns", "event_id", "level_ordinal")
-    held = F.coalesce(F.lag(C("amount") != 0).over(per_price), F.lit(False))
-    action = F.when(C("amount") == 0, "delete").when(held, "change").otherwise("new").alias("action")
-    level = F.struct("level_ordinal", "side", "price", "amount", action)
-    levels = lines.select("*", level.alias("l")).groupBy("event_id").agg(F.array_sort(F.collect_list("l")).alias("levels"))
-    events = events.drop("levels").join(levels, "event_id").where("event_id % 23 <> 0")
-    rows = books.reconstruct(events, "change", check_crossed=False).where("kind = 'epoch'")
-    return rows.groupBy("instrument_uid").agg(*(F.sum(c).alias(c) for c in ("accepted", "applied", "stale", "gaps")))
-
-
 @query("SELECT instrument_uid, arg_max(native_trade_id, (received_time_ns, native_trade_id)) AS native_trade_id, CAST(arg_max(price, (received_time_ns, native_trade_id)) AS VARCHAR) AS price FROM trades GROUP BY 1", ["trades"])
 def r9_latest_books(spark, d):
     rows = V.trades(spark, d).select("instrument_uid", "received_time_ns", "native_trade_id", C("price").cast("string").alias("price"))

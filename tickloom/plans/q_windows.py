@@ -196,7 +196,7 @@ def w18_first_mismatch(spark, d):
 )
 def w19_time_regressions(spark, d):
     rows = V.arrivals(spark, d)
-    return rows.select("native_trade_id", windows.time_regressions(rows, EPOCH, ["arrival_ordinal"], "exchange_time_ns").alias("regressed"))
+    return windows.time_regressions(rows, EPOCH, ["arrival_ordinal"], "exchange_time_ns").select("native_trade_id", "regressed")
 
 
 @query("SELECT l_orderkey, list_sort(list(l_linenumber)) = list(l_linenumber ORDER BY l_partkey, l_suppkey, l_linenumber) AND count(DISTINCT l_linenumber) = count(*) AS ascending FROM lineitem GROUP BY 1")

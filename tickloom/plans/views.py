@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tickloom.operators.windows import number_arrivals
+
 NS_PER_HOUR = 3_600_000_000_000
 NS_PER_DAY = 24 * NS_PER_HOUR
 
@@ -38,8 +40,7 @@ def trades(spark: SparkSession, d: str) -> DataFrame:
 
 
 def arrivals(spark: SparkSession, d: str) -> DataFrame:
-    order = Window.partitionBy("source_id", "epoch_id").orderBy("received_time_ns", "native_trade_id")
-    return trades(spark, d).withColumn("arrival_ordinal", F.row_number().over(order).cast("long"))
+    return number_arrivals(trades(spark, d), ["source_id", "epoch_id"], ["received_time_ns", "native_trade_id"])
 
 
 def arrivals_gapped(spark: SparkSession, d: str) -> DataFrame:
