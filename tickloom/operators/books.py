@@ -88,6 +88,23 @@ def sparse_state(rows: DataFrame, by: Sequence[str], order: Sequence[str], field
     return rows.where("__seed > 0").withColumns({f"now_{f}": c for f, c in now.items()}).drop("__seed")
 
 
+def ticker_state(rows: DataFrame, by: Sequence[str], order: Sequence[str], time: str, fields: Sequence[str]) -> DataFrame:
+    """``rows`` with ``now_<field>`` and ``refused``: fields in force within a connection, by the rules of its stream.
+
+    ``sparse_state`` within each epoch_id, over the rows that are accepted: a delta before the epoch's first snapshot is
+    ``unseeded``, and a row whose ``time`` lies before an accepted one has ``time_regressed``; neither changes anything.
+    """
+    key = [*by, "epoch_id"]
+    w = Window.partitionBy(*key).orderBy(*order)
+    upto, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("__seeded", F.count_if(F.col("kind") == "snapshot").over(upto) > 0)
+    seen = F.max(F.when(F.col("__seeded"), F.col(time))).over(before)
+    refused = F.when(~F.col("__seeded"), "unseeded").when(F.col(time) < seen, "time_regressed")
+    rows = rows.withColumn("refused", refused).drop("__seeded")
+    kept = sparse_state(rows.where("refused IS NULL"), key, order, fields)
+    return kept.unionByName(rows.where("refused IS NOT NULL"), allowMissingColumns=True)
+
+
 def open_interest_variants(contracts: Column, base: Column, quote: Column) -> Column:
     """The given open-interest readings as a list; both-sided unless the venue says one."""
     items = [F.when(c.isNotNull(), F.struct(F.lit(k).alias("unit"), c.cast("decimal(38,18)").alias("value"), F.lit("two_sided").alias("sides"))) for k, c in (("contracts", contracts), ("base", base), ("quote", quote))]

@@ -316,6 +316,11 @@ class Bounds:
 COUNTS = ("accepted", "applied", "stale", "gaps", "refused", "outputs")
 
 
+def _chained(before: str, entry: str) -> str:
+    """Digest of all entries so far; the first has the empty text before it."""
+    return hashlib.sha256(f"{before}|{entry}".encode()).hexdigest()
+
+
 class Engine:
     """One instrument's books within one connection epoch.
 
@@ -336,7 +341,7 @@ class Engine:
         self.counts = dict.fromkeys(COUNTS, 0)
         self.observed: list = []
         self.accepted: list = []
-        self.inputs, self.results = hashlib.sha256(), hashlib.sha256()
+        self.inputs, self.results = "", ""
 
     def _observe(self, event: dict) -> None:
         self.observed = [*self.observed[:1], event["event_id"]]
@@ -346,7 +351,7 @@ class Engine:
         if what in self.counts:
             self.counts[what] += 1
         self.accepted = [*self.accepted[:1], event["event_id"]]
-        self.inputs.update(f"{what}|{event['event_id']}|{event['last_sequence']}\n".encode())
+        self.inputs = _chained(self.inputs, f"{what}|{event['event_id']}|{event['last_sequence']}")
 
     def _restart(self, reason: str) -> Iterator[dict]:
         """End the epoch, if it has seen anything, and begin the next."""
@@ -467,7 +472,7 @@ class Engine:
 
     def _give(self, event: dict) -> Iterator[dict]:
         self.counts["outputs"] += 1
-        self.results.update(f"{event['event_id']}|{event['last_sequence']}|{self.book.held % (1 << 128):032x}\n".encode())
+        self.results = _chained(self.results, f"{event['event_id']}|{event['last_sequence']}|{self.book.held % (1 << 128):032x}")
         yield self._row("book", event["event_id"])
 
     def _row(self, kind: str, event_id) -> dict:
@@ -481,7 +486,7 @@ class Engine:
         ends = {"opened_by": self.opened, "close_reason": self.closed or reason}
         ids = [x for pair in (self.observed, self.accepted) for x in (pair[0] if pair else None, pair[-1] if pair else None)]
         ranges = dict(zip(("first_observed", "last_observed", "first_accepted", "last_accepted"), ids, strict=True))
-        digests = {"input_digest": self.inputs.hexdigest(), "output_digest": self.results.hexdigest()}
+        digests = {"input_digest": self.inputs, "output_digest": self.results}
         return {**self._row("epoch", None), **self.counts, **ends, **ranges, **digests}
 
 

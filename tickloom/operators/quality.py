@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickloom.operators.windows import next_time, null_safe_join
+from tickloom.operators.windows import carried, next_time, null_safe_join, spans
 
 NS_PER_HOUR = 3_600_000_000_000
 
@@ -31,6 +31,23 @@ def gap_ledger(gaps: DataFrame, observations: DataFrame, keys: Sequence[str], ti
     return rows.select(*keys, "gap_id", "start_ns", "end_ns", "resolved_ns", state.alias("state"))
 
 
+def gap_lifecycle(events: DataFrame, keys: Sequence[str], span_ns: int = NS_PER_HOUR) -> DataFrame:
+    """(keys..., gap_id, start_ns, end_ns, resolved_ns, state) of each gap that opens: open, recovered or permanent.
+
+    ``events`` has at_ns, kind (gap, recovered, permanent), gap_id, start_ns, end_ns. A tuple has one open gap: gaps between
+    two endings are one, the first. So the number of endings before a gap, counted in chunks of ``span_ns``, is both
+    its group and the number of the ending that it meets.
+    """
+    ends = F.when(F.col("kind") == "gap", 0).otherwise(1)
+    order = ["at_ns", ends, "gap_id"]
+    rows = carried(events, keys, spans("at_ns", span_ns), order, sums={"__n": ends.cast("long")})
+    first = F.min(F.struct("at_ns", "gap_id", "start_ns", "end_ns")).alias("g")
+    opened = rows.where("kind = 'gap'").groupBy(*keys, "__n").agg(first)
+    ended = rows.where("kind <> 'gap'").select(*keys, (F.col("__n") - 1).alias("__n"), F.col("at_ns").alias("resolved_ns"), F.col("kind").alias("state"))
+    both = null_safe_join(opened, ended, [*keys, "__n"])
+    return both.select(*keys, "g.gap_id", "g.start_ns", "g.end_ns", "resolved_ns", F.coalesce("state", F.lit("open")).alias("state"))
+
+
 def closed_hours(df: DataFrame, source: str, time: str) -> DataFrame:
     """(source, hour, n): hours whose end the source's high-water mark has passed."""
     hour = F.call_function("div", F.col(time), F.lit(NS_PER_HOUR))
@@ -70,20 +87,40 @@ def silences(df: DataFrame, by: Sequence[str], time: str, limit_ns: int) -> Data
     return rows.select(*by, "from_ns", (F.col("__next") - F.col("from_ns")).alias("silent_ns")).where(F.col("silent_ns") > limit_ns)
 
 
-def deadlines(requests: DataFrame, answers: DataFrame, keys: Sequence[str], limit_ns: int) -> DataFrame:
-    """(request_id, outcome): acknowledged if an answer of its keys came within the limit, else missed.
+def silent_since(df: DataFrame, by: Sequence[str], time: str, limit_ns: int) -> DataFrame:
+    """(by..., from_ns): stretches without a row longer than the limit, also those still open at the latest time of all keys."""
+    rows = next_time(df.select(*by, F.col(time).alias("from_ns")), by, "from_ns", "__next")
+    high = df.agg(F.max(time).alias("__high"))
+    ended = rows.where(F.col("__next") - F.col("from_ns") > limit_ns).select(*by, "from_ns")
+    last = rows.where("__next IS NULL").join(high, F.col("__high") - F.col("from_ns") > limit_ns)
+    return ended.unionByName(last.select(*by, "from_ns"))
+
 
-    A request meets the answers of the two spans of the limit's length that it reaches, by equality.
+def next_answers(requests: DataFrame, answers: DataFrame, keys: Sequence[str], span_ns: int = NS_PER_HOUR) -> DataFrame:
+    """``requests`` with ``answered_ns``: the first answer of its keys at or after ``at_ns``, or null.
+
+    Both sides are sorted together within spans of time, and a request whose span has no later answer takes the first
+    one of the key's following spans. A request is one row throughout, however many answers its key has, and answers
+    at the time of a request are for it.
     """
-    span = lambda t: F.call_function("div", t, F.lit(limit_ns))
-    a = answers.select(*keys, F.col("at_ns").alias("__a"), span(F.col("at_ns")).alias("__span"))
-    spans = F.explode_outer(F.sequence(span(F.col("at_ns")), span(F.col("at_ns") + limit_ns)))
-    r = requests.select("*", spans.alias("__span")).alias("r").join(
-        a.alias("a"),
-        [F.col(f"r.{k}") == F.col(f"a.{k}") for k in (*keys, "__span")] + [(F.col("__a") >= F.col("r.at_ns")) & (F.col("__a") <= F.col("r.at_ns") + limit_ns)],
-        "left",
-    )
-    return r.groupBy("r.request_id").agg(F.when(F.count("__a") > 0, "acknowledged").otherwise("missed").alias("outcome"))
+    marked = requests.withColumns({"__k": F.lit(0), "__t": F.lit(None).cast("long"), "__at": F.col("at_ns")})
+    given = answers.select(*keys, F.lit(1).alias("__k"), F.col("at_ns").alias("__t"), F.col("at_ns").alias("__at"))
+    rows = marked.unionByName(given, allowMissingColumns=True).withColumn("__span", spans("__at", span_ns))
+    later = Window.partitionBy(*keys).orderBy("__span").rowsBetween(1, Window.unboundedFollowing)
+    firsts = rows.groupBy(*keys, "__span").agg(F.min("__t").alias("__min"))
+    beyond = firsts.select(*keys, "__span", F.lit(2).alias("__k"), F.first("__min", ignorenulls=True).over(later).alias("__t"))
+    # the answer beyond a span stands at its end
+    both = rows.unionByName(beyond, allowMissingColumns=True)
+    within = Window.partitionBy(*keys, "__span").orderBy(F.col("__at").asc_nulls_last(), "__k").rowsBetween(0, Window.unboundedFollowing)
+    found = both.withColumn("answered_ns", F.first("__t", ignorenulls=True).over(within)).where("__k = 0")
+    return found.drop("__k", "__t", "__at", "__span")
+
+
+def deadlines(requests: DataFrame, answers: DataFrame, keys: Sequence[str], limit_ns: int) -> DataFrame:
+    """(request_id, outcome) of each request: acknowledged if its next answer came within the limit, else missed."""
+    found = next_answers(requests, answers, keys, max(limit_ns, 1))
+    late = F.coalesce(F.col("answered_ns") - F.col("at_ns") > limit_ns, F.lit(True))
+    return found.select("request_id", F.when(late, "missed").otherwise("acknowledged").alias("outcome"))
 
 
 def duplicate_flags(df: DataFrame, keys: Sequence[str]) -> Column:

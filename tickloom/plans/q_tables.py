@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tickloom.operators import books
+from tickloom.operators import books, quality
 from tickloom.plans import views as V
 from tickloom.plans.q_quality import DEADLINE_SQL
 from tickloom.plans.registry import query
 from tickloom.sources import tables
-from tickloom.streaming import jobs
+from tickloom.streaming import jobs, keyed
 
 C, L = F.col, F.lit
 WIDE = ("price", "amount", "bid_price", "ask_price", "mark_price", "index_price", "open_interest")
@@ -184,12 +185,102 @@ def r13_stream_closed_hours(spark, d):
     return jobs.drain(jobs.closed_hours(stream, "received_time_ns", "channel_id"), folder)
 
 
-@query(f"SELECT request_id FROM ({DEADLINE_SQL}) WHERE outcome = 'acknowledged'", ["trades"])
+@query(
+    f"""SELECT request_id, outcome FROM ({DEADLINE_SQL}) JOIN trades ON native_trade_id = request_id WHERE outcome = 'acknowledged'
+    OR (SELECT max(received_time_ns) // 1000000 - 1 FROM trades WHERE channel_id IN ('click', 'view')) >= (received_time_ns + 21600000000000) // 1000000 + 1""",
+    ["trades"],
+)
 def r17_stream_deadlines(spark, d):
+    """Both outcomes of each request whose answer came or whose deadline the watermark has passed."""
+    folder, stream = _trade_stream(spark, d)
+    request = F.when(C("channel_id") == "click", C("native_trade_id"))
+    rows = stream.where("channel_id IN ('click', 'view')").select("instrument_uid", C("received_time_ns").alias("at_ns"), request.alias("request_id"))
+    return keyed.drained(keyed.deadlines(rows, ["instrument_uid"], 21_600_000_000_000), folder)
+
+
+@query(
+    """SELECT native_trade_id, now_mark, refused FROM (SELECT native_trade_id, refused, CASE WHEN refused IS NULL THEN list_last(list_filter(list(x) OVER v, lambda y: y.h)).v END AS now_mark
+    FROM (SELECT *, count_if(fresh AND refused IS NULL) OVER w AS part FROM (SELECT *, CASE WHEN seeds = 0 THEN 'unseeded' WHEN exchange_time_ns < max(CASE WHEN seeds > 0 THEN exchange_time_ns END)
+    OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 'time_regressed' END AS refused FROM (SELECT *, channel_id = 'signup' AS fresh, count_if(channel_id = 'signup') OVER w AS seeds,
+    {'h': refused_h, 'v': CASE WHEN channel_id = 'click' THEN '' WHEN channel_id <> 'view' THEN native_trade_id::VARCHAR END} AS x FROM (SELECT *, channel_id IN ('signup', 'view', 'click') AS refused_h FROM trades)
+    WINDOW w AS (PARTITION BY instrument_uid, epoch_id ORDER BY received_time_ns, native_trade_id)) WINDOW w AS (PARTITION BY instrument_uid, epoch_id ORDER BY received_time_ns, native_trade_id))
+    WINDOW w AS (PARTITION BY instrument_uid, epoch_id ORDER BY received_time_ns, native_trade_id)) WINDOW v AS (PARTITION BY instrument_uid, epoch_id, part, refused IS NULL ORDER BY received_time_ns, native_trade_id))""",
+    ["trades"],
+)
+def r10_stream_ticker(spark, d):
+    """Fields in force, cleared by each new connection; unseeded and regressing messages are refused."""
+    folder, stream = _trade_stream(spark, d)
+    k = C("channel_id")
+    rows = stream.withColumns(
+        {
+            "kind": F.when(k == "signup", "snapshot").otherwise("delta"),
+            "has_mark": k.isin("signup", "view", "click"),
+            "mark": F.when(k == "click", "").when(k != "view", C("native_trade_id").cast("string")),
+        }
+    )
+    found = keyed.ticker(rows, ["instrument_uid"], ["received_time_ns", "native_trade_id"], "exchange_time_ns", ["mark"], ["native_trade_id"])
+    return keyed.drained(found, folder).select("native_trade_id", "now_mark", "refused")
+
+
+LEDGER_SQL = """SELECT gap_id, resolved_ns, state FROM (SELECT *, lead(CASE WHEN kind <> 'gap' THEN at_ns END IGNORE NULLS) OVER w AS resolved_ns, coalesce(lead(CASE WHEN kind <> 'gap' THEN kind END IGNORE NULLS) OVER w, 'open') AS state,
+    lag(kind, 1, 'recovered') OVER w AS before FROM (SELECT source_id, channel_id, instrument_uid, native_trade_id, received_time_ns AS at_ns, CASE WHEN native_trade_id % 7 < 4 THEN 'gap' WHEN native_trade_id % 7 < 6 THEN 'recovered' ELSE 'permanent' END AS kind,
+    CASE WHEN native_trade_id % 7 < 4 THEN lpad(native_trade_id::VARCHAR, 12, '0') END AS gap_id FROM trades) WINDOW w AS (PARTITION BY source_id, channel_id, instrument_uid ORDER BY at_ns, kind <> 'gap', gap_id)) WHERE kind = 'gap' AND before <> 'gap'"""
+
+
+def _ledger_events(rows):
+    n = C("native_trade_id") % 7
+    kind = F.when(n < 4, "gap").when(n < 6, "recovered").otherwise("permanent")
+    gap = lambda c: F.when(n < 4, c)
+    at = C("received_time_ns")
+    return rows.select("source_id", "channel_id", "instrument_uid", at.alias("at_ns"), kind.alias("kind"), gap(F.lpad(C("native_trade_id").cast("string"), 12, "0")).alias("gap_id"), gap(at - 1).alias("start_ns"), gap(at).alias("end_ns"))
+
+
+TUPLE = ["source_id", "channel_id", "instrument_uid"]
+
+
+@query(LEDGER_SQL, ["trades"])
+def r12_gap_lifecycle(spark, d):
+    """One open gap a tuple, ended once, as recovered or permanent."""
+    return quality.gap_lifecycle(_ledger_events(V.trades(spark, d)), TUPLE).select("gap_id", "resolved_ns", "state")
+
+
+@query(f"SELECT gap_id, NULL::BIGINT AS resolved_ns, 'open' AS state FROM ({LEDGER_SQL}) UNION ALL SELECT gap_id, resolved_ns, state FROM ({LEDGER_SQL}) WHERE resolved_ns IS NOT NULL", ["trades"])
+def r12_stream_ledger(spark, d):
+    """Each change of a gap's state: opened, and ended if it was."""
+    folder, stream = _trade_stream(spark, d)
+    return keyed.drained(keyed.gap_ledger(_ledger_events(stream), TUPLE), folder).select("gap_id", "resolved_ns", "state")
+
+
+SILENT_SQL = """SELECT channel_id, instrument_uid, from_ns FROM (SELECT DISTINCT channel_id, instrument_uid, received_time_ns AS from_ns, coalesce(lead(received_time_ns) OVER (PARTITION BY channel_id, instrument_uid ORDER BY received_time_ns),
+    (SELECT max(received_time_ns) FROM trades)) AS upto FROM trades) WHERE upto - from_ns > 864000000000000"""
+
+
+@query(SILENT_SQL, ["trades"])
+def r16_silent_since(spark, d):
+    return quality.silent_since(V.trades(spark, d), ["channel_id", "instrument_uid"], "received_time_ns", 864_000_000_000_000)
+
+
+@query(SILENT_SQL, ["trades"])
+def r16_stream_silences(spark, d):
+    """As r16_silent_since: told by a timer, or by the row that ends the silence."""
     folder, stream = _trade_stream(spark, d)
-    rows = stream.select("instrument_uid", "channel_id", C("native_trade_id").alias("request_id"), C("received_time_ns").alias("at_ns"))
-    found = jobs.drain(jobs.deadlines(rows.where("channel_id = 'click'"), rows.where("channel_id = 'view'"), "instrument_uid", 21_600), folder)
-    return found.where("outcome = 'acknowledged'").select("request_id").distinct()
+    return keyed.drained(keyed.silences(stream, ["channel_id", "instrument_uid"], "received_time_ns", 864_000_000_000_000), folder)
+
+
+@query(
+    """SELECT instrument_uid, count(*) AS books, max(last_sequence) AS last_sequence FROM book_events GROUP BY 1""",
+    ["book_events"],
+)
+def r1_stream_engine(spark, d):
+    """The sequential engine as a stream over mapped events: one book after each, for one connection an instrument."""
+    first = Window.partitionBy("instrument_uid").orderBy("received_time_ns", "event_id")
+    level = F.struct("side", "price", "amount")
+    levels = V.book_levels(spark, d).groupBy("event_id").agg(F.array_sort(F.collect_list(F.struct("level_ordinal", level.alias("l")))).alias("x"))
+    events = V.book_events(spark, d).drop("levels").join(levels, "event_id").withColumn("levels", C("x.l")).drop("x")
+    events = events.withColumns({"epoch_id": L("c1"), "update_kind": F.when(F.row_number().over(first) == 1, "snapshot").otherwise("delta")})
+    folder, stream = _one_batch(spark, events, "received_time_ns", "event_id")
+    out = keyed.drained(keyed.sequential_books(stream, "bridge", False, idle_ns=10**18), folder).where("kind = 'book'")
+    return out.groupBy("instrument_uid").agg(F.count("*").alias("books"), F.max("last_sequence").alias("last_sequence"))
 
 
 @query("SELECT native_trade_id, CASE WHEN received_time_ns < 1705276800000000000 THEN 'v1' ELSE 'v2' END AS mapper_version FROM trades", ["trades"])

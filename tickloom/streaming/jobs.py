@@ -32,15 +32,6 @@ def closed_hours(stream: DataFrame, time: str, by: str, late: str = "0 seconds")
     return counted.select(by, hour.alias("hour"), "n")
 
 
-def deadlines(requests: DataFrame, answers: DataFrame, key: str, seconds: int) -> DataFrame:
-    """(request_id, outcome): stream-stream left outer join within the limit; a miss comes when the watermark says so."""
-    at = lambda c: F.timestamp_micros(F.call_function("div", F.col(c), F.lit(1000)))
-    r = requests.select("request_id", F.col(key).alias("k"), at("at_ns").alias("asked")).withWatermark("asked", "0 seconds")
-    a = answers.select(F.col(key).alias("k2"), at("at_ns").alias("answered")).withWatermark("answered", "0 seconds")
-    on = F.expr(f"k = k2 AND answered >= asked AND answered <= asked + interval {seconds} seconds")
-    return r.join(a, on, "left_outer").select("request_id", F.when(F.col("answered").isNull(), "missed").otherwise("acknowledged").alias("outcome"))
-
-
 def cutover(stream: DataFrame, bindings: DataFrame, time: str = "received_time_ns") -> DataFrame:
     """Rows of a stream with the mapper version that holds at their receive time; bindings are a static side."""
     from tickloom.operators.joins import active_at
