@@ -53,7 +53,7 @@ def test_versions_close_and_relist(spark):
 def test_windows_across_buckets_join_once(spark):
     events = spark.createDataFrame([(1, "k", 5), (2, "k", 250), (3, "k", 999)], "id long, k string, t long")
     w = spark.createDataFrame([("k", 0, 300, "w1"), ("k", 200, 260, "w2")], "k string, start_ns long, end_ns long, wid string")
-    found = joins.containing_windows(events, w, ["k"], "t", "wid", "ids", bucket_ns=100, row_keys=["id"]).orderBy("id").collect()
+    found = joins.containing_windows(events, w, ["k"], "t", "wid", "ids", narrowest=5, row_keys=["id"]).orderBy("id").collect()
     assert [tuple(r) for r in found] == [(1, ["w1"]), (2, ["w1", "w2"]), (3, [])]
 
 
@@ -135,7 +135,7 @@ def test_load_leaves_the_old_generation_until_the_new_one_is_whole(spark, tmp_pa
 def test_equal_events_are_annotated_each(spark):
     events = spark.createDataFrame([(1, "k", 5)] * 3 + [(2, "k", 999)] * 2, "id long, k string, t long")
     w = spark.createDataFrame([("k", 0, 300, "w1"), ("k", 0, 300, "w1"), ("k", 1, 9, "w2")], "k string, start_ns long, end_ns long, wid string")
-    found = joins.containing_windows(events, w, ["k"], "t", "wid", "ids", bucket_ns=100, row_keys=["id"]).orderBy("id").collect()
+    found = joins.containing_windows(events, w, ["k"], "t", "wid", "ids", narrowest=5, row_keys=["id"]).orderBy("id").collect()
     assert [tuple(r) for r in found] == [(1, ["w1", "w2"])] * 3 + [(2, [])] * 2
 
 
@@ -191,3 +191,91 @@ def test_liquidation_window_claims(spark):
     names = ["c", "s", "a", "b", "d", "p"]
     frame = spark.createDataFrame(rows, "c string, s string, a long, b long, d long, p boolean, want boolean")
     assert frame.where(liquidation_window_fits(*(F.col(n) for n in names)) != F.col("want")).count() == 0
+
+
+def test_intervals_of_mixed_lengths(spark):
+    """Points and pairs against plain comparison: short, long, empty, inverted, negative and open intervals, ties, null keys."""
+    import random
+
+    rng = random.Random(2)
+
+    def intervals(n, tag):
+        out = []
+        for i in range(n):
+            start = rng.randrange(-500, 5000)
+            end = rng.choice([None, start, start - 3, start + 1, start + rng.randrange(1, 20), start + rng.randrange(1, 4000), start + 64])
+            out.append((rng.choice(["k", "m", None]), start, end, f"{tag}{i}"))
+        return out
+
+    left, right = intervals(120, "l"), intervals(120, "r")
+    ends = lambda x: float("inf") if x is None else x
+    frame = lambda rows, s: spark.createDataFrame(rows, f"k string, {s}_start long, {s}_end long, {s}_id string")
+    found = [(r.l_id, r.r_id) for r in joins.overlapping_pairs(frame(left, "l"), frame(right, "r"), ["k"], narrowest=4).collect()]
+    want = [(a[3], b[3]) for a in left for b in right if a[0] and a[0] == b[0] and max(a[1], b[1]) < min(ends(a[2]), ends(b[2]))]
+    assert sorted(found) == sorted(want) and len(want) > 100
+    events = [(i, rng.choice(["k", "m", None]), rng.randrange(-600, 6000)) for i in range(200)]
+    windows = spark.createDataFrame(left, "k string, start_ns long, end_ns long, wid string")
+    rows = joins.containing_windows(spark.createDataFrame(events, "id long, k string, t long"), windows, ["k"], "t", "wid", "ids", ["id"], narrowest=4).collect()
+    assert {r.id: r.ids for r in rows} == {i: sorted(w[3] for w in left if k and w[0] == k and w[1] <= t < ends(w[2])) for i, k, t in events}
+    pieces = joins.in_buckets(windows, narrowest=4).groupBy("wid").count()
+    assert pieces.agg(F.max("count")).first()[0] <= 2
+
+
+@pytest.mark.parametrize("rows", [0, 3, 200, 3000])
+def test_digest_trees_are_canonical(spark, rows):
+    """Whatever the depth and the other groups, and by the rule written out in Python."""
+    import hashlib
+
+    df = spark.range(rows).selectExpr("id % 2 AS g", "id div 2 AS v").unionByName(spark.range(rows // 3).selectExpr("0L AS g", "id div 2 AS v"))
+    found = {r.g: (r.n, r.digest) for r in digests.multiset_digest(df, ["g"], leaf_rows=32).collect()}
+    assert {r.g: (r.n, r.digest) for r in digests.multiset_digest(df, ["g"], leaf_rows=32, depth=5).collect()} == found
+    one = digests.multiset_digest(df.where("g = 1"), ["g"], leaf_rows=32).collect()
+    assert {r.g: (r.n, r.digest) for r in one} == {g: x for g, x in found.items() if g == 1}
+    hashes = {}
+    for r in df.select("g", digests.row_hash(df, ["g"]).alias("h")).collect():
+        hashes.setdefault(r.g, []).append(r.h)
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+
+    def node(hs, prefix):
+        different = sorted(set(hs))
+        if len(different) <= 32:
+            return sha(",".join(f"{h}*{hs.count(h)}" for h in different))
+        kids = [(c, [h for h in hs if h[len(prefix)] == c]) for c in "0123456789abcdef"]
+        return sha(",".join(f"{c}:{node(k, prefix + c)}" for c, k in kids if k))
+
+    assert found == {g: (len(hs), node(hs, "")) for g, hs in hashes.items()}
+
+
+def test_differences_open_only_unequal_branches(spark):
+    a = spark.range(4000).selectExpr("if(id % 2 = 0, 'x', null) AS g", "id AS v")
+    b = a.where("v <> 17").unionByName(spark.createDataFrame([("x", 18), ("y", 1), (None, 9001)], "g string, v long"))
+    hashes = {r.h: (r.g, r.v) for r in a.union(b).select("g", "v", digests.row_hash(a, ["g"]).alias("h")).collect()}
+    found = digests.differences(a, b, ["g"], leaf_rows=32).collect()
+    assert sorted((repr(r.g), hashes[r.row_hash][1], r.n_a, r.n_b) for r in found) == [("'x'", 18, 1, 2), ("'y'", 1, 0, 1), ("None", 17, 1, 0), ("None", 9001, 0, 1)]
+    assert all(r.row_hash.startswith(r.prefix) for r in found)
+    assert digests.differences(a, a.repartition(3), ["g"], leaf_rows=32).count() == 0
+
+
+def test_ordered_digest_binds_places(spark):
+    rows = [("g", n, v) for n, v in enumerate("abcab")]
+    frame = spark.createDataFrame(rows, "g string, n long, v string")
+    moved = frame.withColumn("n", F.when(F.col("n") == 1, 2).when(F.col("n") == 2, 1).otherwise(F.col("n")))
+    of = lambda f, span: digests.ordered_digest(f, ["n"], ["g"], span=span).first().digest
+    assert of(frame, 2) == of(frame.repartition(3), 8) != of(moved, 2)
+
+
+def test_running_values_over_chunks(spark):
+    import random
+
+    rng = random.Random(1)
+    rows = [(rng.choice(["a", "a", "a", None, "b"]), rng.randrange(100), i, rng.choice([None, rng.randrange(50)])) for i in range(400)]
+    frame = spark.createDataFrame(rows, "k string, t long, i long, v long")
+    for inclusive in (True, False):
+        got = windows.carried(frame, ["k"], windows.spans("t", 7), ["t", "i"], {"s": F.col("v"), "c": F.lit(1).cast("long")}, {"m": F.col("v")}, inclusive).collect()
+        for r in got:
+            seen = [x for x in rows if x[0] == r.k and ((x[1], x[2]) < (r.t, r.i) or (inclusive and x[2] == r.i))]
+            values = [x[3] for x in seen if x[3] is not None]
+            assert (r.s, r.c, r.m) == (sum(values), len(seen), max(values, default=None))
+        assert len(got) == len(rows)
+    plan = windows.ordinal_gaps(frame, ["k"], "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert "__chunk" in plan

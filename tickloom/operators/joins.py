@@ -38,6 +38,36 @@ def as_of(versions: DataFrame, time_ns: int, start: str = "valid_from_ns", end:
     return versions.where(within(F.lit(time_ns), F.col(start), F.col(end)))
 
 
+# ---- intervals of mixed lengths --------------------------------------------------------------------------------
+
+#: Bits of the narrowest buckets (2^36 ns is 69 s) and from one width to the next; an open end has a width of its own.
+NARROWEST, STEP, WIDEST = 36, 3, 63
+
+
+def shift_for(start: Column, end: Column, narrowest: int = NARROWEST) -> Column:
+    """Bits of the width of the buckets that an interval is put into: no shorter than itself, WIDEST for an open end.
+
+    An interval thus touches two buckets at most, whether it lasts seconds or years.
+    """
+    over = F.greatest(F.ceil(F.log2((end - start).cast("double"))) - narrowest, F.lit(0).cast("long"))
+    steps = F.ceil(over / STEP) * STEP + narrowest
+    return F.when(end.isNull(), WIDEST).otherwise(F.least(steps, F.lit(WIDEST).cast("long"))).cast("int")
+
+
+def in_buckets(windows: DataFrame, start: str = "start_ns", end: str = "end_ns", narrowest: int = NARROWEST) -> DataFrame:
+    """``windows`` once for each bucket they touch, with ``__shift`` and ``__b``; windows that hold nothing go."""
+    held = windows.where(F.col(end).isNull() | (F.col(start) < F.col(end)))
+    rows = held.withColumn("__shift", shift_for(F.col(start), F.col(end), narrowest))
+    last = F.coalesce(F.col(end) - 1, F.lit((1 << 63) - 1))
+    first, upto = (F.call_function("shiftright", x, F.col("__shift")) for x in (F.col(start), last))
+    return rows.withColumn("__b", F.explode(F.sequence(first, upto)))
+
+
+def _widths(pieces: DataFrame) -> list[int]:
+    """The widths in use, a dozen at most."""
+    return sorted(r[0] for r in pieces.select("__shift").distinct().collect())
+
+
 def containing_windows(
     events: DataFrame,
     windows: DataFrame,
@@ -45,34 +75,47 @@ def containing_windows(
     time: str,
     id_col: str,
     out: str,
-    bucket_ns: int = 86_400_000_000_000,
     row_keys: Sequence[str] = (),
+    narrowest: int = NARROWEST,
 ) -> DataFrame:
     """(row_keys..., out): for each event the sorted ids of the windows [start_ns, end_ns) that hold its time.
 
-    Windows are spread over the time buckets they touch and events have one bucket, so the join is an equality
-    on keys and bucket however many windows a key has; no pair can occur twice. Equal events are each a row.
+    A window is in one or two buckets of a width that suits its length, and an open end (null) holds all later times.
+    The windows of a key and bucket are one array, so an event meets one row for each width in use, by equality, and
+    its array is filtered in place: events are neither spread nor grouped again, and equal events are each a row.
     """
-    spread = windows.distinct().select(
-        *keys,
-        "start_ns",
-        "end_ns",
-        F.col(id_col).alias("__id"),
-        F.explode(F.sequence(F.floor(F.col("start_ns") / bucket_ns), F.floor((F.col("end_ns") - 1) / bucket_ns))).alias("__b"),
-    )
-    rows = events.select(*row_keys, *(k for k in keys if k not in row_keys), F.col(time).alias("__t")).withColumn(
-        "__b", F.floor(F.col("__t") / bucket_ns)
-    )
-    held = (F.col("e.__t") >= F.col("w.start_ns")) & (F.col("e.__t") < F.col("w.end_ns"))
-    on = held & (F.col("e.__b") == F.col("w.__b"))
-    for k in keys:
-        on = on & (F.col(f"e.{k}") == F.col(f"w.{k}"))
-    joined = rows.alias("e").join(spread.alias("w"), on, "left")
-    grouped = joined.groupBy(*(F.col(f"e.{k}").alias(k) for k in row_keys), "e.__t").agg(
-        F.array_sort(F.collect_set("w.__id")).alias(out), F.count("*").alias("__n")
-    )
-    copies = F.call_function("div", F.col("__n"), F.greatest(F.size(out), F.lit(1))).cast("int")
-    return grouped.select(*row_keys, F.explode(F.array_repeat(out, copies)).alias(out))
+    pieces = in_buckets(windows.select(*keys, "start_ns", "end_ns", F.col(id_col).alias("__id")), narrowest=narrowest)
+    rows = events.select(*row_keys, *(k for k in keys if k not in row_keys), F.col(time).alias("__t")).withColumn("__ids", F.array().cast("array<string>"))
+    for shift in _widths(pieces):
+        held = F.struct("start_ns", "end_ns", F.col("__id").cast("string").alias("id"))
+        lists = small(pieces.where(F.col("__shift") == shift).groupBy(*keys, "__b").agg(F.collect_set(held).alias("__w")))
+        rows = rows.withColumn("__b", F.expr(f"shiftright(__t, {shift})")).join(lists, [*keys, "__b"], "left")
+        fits = F.filter("__w", lambda w: (F.col("__t") >= w["start_ns"]) & (w["end_ns"].isNull() | (F.col("__t") < w["end_ns"])))
+        rows = rows.withColumn("__ids", F.concat("__ids", F.coalesce(F.transform(fits, lambda w: w["id"]), F.array().cast("array<string>")))).drop("__w", "__b")
+    return rows.select(*row_keys, F.array_sort(F.array_distinct("__ids")).alias(out))
+
+
+def _points_in(points: DataFrame, windows: DataFrame, keys: Sequence[str], point: str, start: str, end: str, narrowest: int) -> DataFrame:
+    """Pairs of a point and a window [start, end) that holds it; each pair once. Null keys meet nothing."""
+    pieces = in_buckets(windows, start, end, narrowest)
+    widths = F.array(*(F.lit(s) for s in _widths(pieces)))
+    spread = points.withColumn("__shift", F.explode(widths.cast("array<int>")))
+    spread = spread.withColumn("__b", F.call_function("shiftright", F.col(point), F.col("__shift")))
+    found = spread.join(pieces, [*keys, "__shift", "__b"])
+    return found.where((F.col(point) >= F.col(start)) & (F.col(end).isNull() | (F.col(point) < F.col(end)))).drop("__shift", "__b")
+
+
+def overlapping_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str], narrowest: int = NARROWEST) -> DataFrame:
+    """Pairs of rows of equal keys whose intervals [l_start, l_end) and [r_start, r_end) overlap; open ends are null.
+
+    Two intervals overlap where one holds the other's start, so there are two joins of points with windows, which share
+    no pair: by equality on keys and bucket, never on the keys alone. Intervals that hold nothing overlap nothing.
+    """
+    held = lambda df, s: df.where(F.col(f"{s}_end").isNull() | (F.col(f"{s}_start") < F.col(f"{s}_end")))
+    left, right = held(left, "l"), held(right, "r")
+    inside = _points_in(right, left, keys, "r_start", "l_start", "l_end", narrowest)
+    around = _points_in(left, right, keys, "l_start", "r_start", "r_end", narrowest).where("l_start > r_start")
+    return inside.unionByName(around)
 
 
 def reconcile(listed: DataFrame, catalogued: DataFrame, key: str) -> DataFrame:

@@ -170,18 +170,39 @@ def x8_row_id(spark, d):
 
 
 def multiset_sql(rows, by, columns):
-    """The tree digest of digests.multiset_digest in SQL: row hashes, chunks of them, digests of the chunks."""
-    return f"""SELECT {by}, sum(n)::BIGINT AS n, sha256(string_agg(d, ',' ORDER BY chunk)) AS digest FROM
-    (SELECT {by}, chunk, sum(n) AS n, sha256(string_agg(h || '*' || n, ',' ORDER BY h || '*' || n)) AS d FROM
-    (SELECT *, ('0x' || substr(h, 1, 8))::UBIGINT % 256 AS chunk FROM (SELECT {by}, h, count(*) AS n FROM
-    (SELECT {by}, {_hash_sql(columns)} AS h FROM {rows}) GROUP BY ALL)) GROUP BY ALL) GROUP BY {by}"""
+    """digests.multiset_digest of some columns of ``rows`` in SQL."""
+    return digests.digest_sql(f"SELECT {by}, {_hash_sql(columns)} AS h FROM {rows}", by)
 
 
-@query(multiset_sql("trades", "source_id", [c for c in _TRADE_COLUMNS if c != "source_id"]), ["trades"])
+_OF_SOURCE = [c for c in _TRADE_COLUMNS if c != "source_id"]
+
+
+@query(multiset_sql("trades", "source_id", _OF_SOURCE), ["trades"])
 def x9_multiset_digest(spark, d):
     return digests.multiset_digest(V.trades(spark, d), ["source_id"])
 
 
+@query(
+    multiset_sql("(SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY received_time_ns, native_trade_id) AS position FROM trades)", "source_id", sorted([*_OF_SOURCE, "position"])),
+    ["trades"],
+)
+def x9_ordered_digest(spark, d):
+    return digests.ordered_digest(V.trades(spark, d), ["received_time_ns", "native_trade_id"], ["source_id"])
+
+
+@query(
+    f"""SELECT source_id, h AS row_hash, count(*) FILTER (s = 'a') AS n_a, count(*) FILTER (s = 'b') AS n_b FROM (SELECT source_id, 'a' AS s, {_hash_sql(_OF_SOURCE)} AS h FROM trades UNION ALL
+    SELECT source_id, 'b', {_hash_sql(_OF_SOURCE)} FROM (SELECT * REPLACE (CASE WHEN native_trade_id % 211 = 0 THEN price + 1 ELSE price END AS price) FROM trades WHERE native_trade_id % 307 <> 0)) GROUP BY ALL HAVING n_a <> n_b""",
+    ["trades"],
+)
+def x9_differing_rows(spark, d):
+    """Rows in which a second run differs: some prices, and some rows are missing."""
+    rows = V.trades(spark, d)
+    price = F.when(F.col("native_trade_id") % 211 == 0, (F.col("price") + 1).cast("decimal(38,18)")).otherwise(F.col("price"))
+    other = rows.where("native_trade_id % 307 <> 0").withColumn("price", price)
+    return digests.differences(rows, other, ["source_id"]).select("source_id", "row_hash", "n_a", "n_b")
+
+
 @query(
     """SELECT native_trade_id, '{"channel":"' || channel_id || '","source":"' || source_id || '"}' AS canonical FROM trades""", ["trades"]
 )

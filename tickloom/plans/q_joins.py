@@ -105,11 +105,27 @@ def j6_window_annotation(spark, d):
     ["windows_of", "gaps"],
 )
 def j7_dataset_references(spark, d):
-    w = V.windows_of(spark, d).where("epoch_id = '2024-01-05'").alias("w")
     families = F.array(F.lit("click"), F.lit("view"))
-    g = V.gaps(spark, d).where(F.array_contains(families, F.col("channel_id"))).alias("g")
-    on = (F.col("g.source_id") == F.col("w.source_id")) & (F.col("g.channel_id") == F.col("w.channel_id"))
-    return w.join(g, on & (F.col("g.start_ns") < F.col("w.end_ns")) & (F.col("g.end_ns") > F.col("w.start_ns"))).select("w.epoch_id", "g.gap_id")
+    w = V.windows_of(spark, d).where("epoch_id = '2024-01-05'").select("source_id", "channel_id", "epoch_id", F.col("start_ns").alias("l_start"), F.col("end_ns").alias("l_end"))
+    g = V.gaps(spark, d).where(F.array_contains(families, F.col("channel_id")))
+    g = g.select("source_id", "channel_id", "gap_id", F.col("start_ns").alias("r_start"), F.col("end_ns").alias("r_end"))
+    return joins.overlapping_pairs(w, g, ["source_id", "channel_id"]).select("epoch_id", "gap_id")
+
+
+@query(
+    """SELECT native_trade_id, coalesce(string_agg(id, ',' ORDER BY id), '') AS ids FROM trades t LEFT JOIN (SELECT source_id, gap_id AS id, start_ns, end_ns FROM gaps WHERE instrument_uid IN ('I1', 'I2')
+    UNION ALL SELECT DISTINCT source_id, 'open' || epoch_id, min(received_time_ns) OVER (PARTITION BY source_id, epoch_id), NULL::BIGINT FROM trades) w
+    ON w.source_id = t.source_id AND received_time_ns >= start_ns AND (end_ns IS NULL OR received_time_ns < end_ns) GROUP BY 1""",
+    ["trades", "gaps"],
+)
+def j6_open_windows(spark, d):
+    """Windows of hours and windows without an end, on one key a source."""
+    rows = V.trades(spark, d)
+    closed = V.gaps(spark, d).where("instrument_uid IN ('I1', 'I2')").select("source_id", F.col("gap_id").alias("id"), "start_ns", "end_ns")
+    open_ = rows.groupBy("source_id", F.concat(F.lit("open"), "epoch_id").alias("id")).agg(F.min("received_time_ns").alias("start_ns"))
+    windows = closed.unionByName(open_, allowMissingColumns=True)
+    found = joins.containing_windows(rows, windows, ["source_id"], "received_time_ns", "id", "ids", row_keys=["native_trade_id"])
+    return found.select("native_trade_id", F.array_join("ids", ",").alias("ids"))
 
 
 @query(
