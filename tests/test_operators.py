@@ -279,3 +279,90 @@ def test_running_values_over_chunks(spark):
         assert len(got) == len(rows)
     plan = windows.ordinal_gaps(frame, ["k"], "t")._jdf.queryExecution().optimizedPlan().toString()
     assert "__chunk" in plan
+
+
+def test_only_committed_partitions_are_read(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("concat('I', id % 5) AS instrument_uid", "id * 100000000000 AS received_time_ns", "'s' AS source_id", "id AS native_trade_id")
+    tables.write_partitions(rows, "trade", f"{tmp_path}/family")
+    all_ = tables.read_family(spark, f"{tmp_path}/family").select(*tables.PARTITION).distinct()
+    total = all_.count()
+    all_.withColumn("state", F.when(F.col("hour") == 3, "committed").otherwise("open")).write.parquet(f"{tmp_path}/manifests")
+    found = tables.read_committed(spark, f"{tmp_path}/family", spark.read.parquet(f"{tmp_path}/manifests"))
+    assert {r.h for r in found.selectExpr("received_time_ns div 3600000000000 % 24 AS h").collect()} == {3} and total > 100
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+    scanned = read_partitions(found)
+    assert scanned == found.select(*tables.PARTITION).distinct().count() < total / 20
+
+
+def read_partitions(df):
+    """How many partitions the scan of a family read, by the plan's own metrics."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    todo, seen = [plan], []
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+        elif "QueryStage" in name:
+            todo.append(node.plan())
+        elif name.startswith("Scan parquet"):
+            metric = node.metrics().get("numPartitions")
+            seen += [metric.get().value()] if metric.isDefined() else []
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.length())]
+    return max(seen)
+
+
+def test_busy_hours_are_many_files(spark, tmp_path):
+    rows = spark.range(900).selectExpr("'hot' AS instrument_uid", "id * 3000000000 AS received_time_ns", "'s' AS source_id", "id AS native_trade_id")
+    rows = rows.unionByName(spark.range(5).selectExpr("'I' AS instrument_uid", "(id + 2) * 3600000000000 AS received_time_ns", "'s' AS source_id", "id + 1000 AS native_trade_id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the rows are few
+    tables.write_partitions(rows, "trade", str(tmp_path), rows_per_file=90)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    found = tables.read_family(spark, str(tmp_path)).withColumn("file", F.input_file_name())
+    files = {r.hour: (r.n, r.files) for r in found.groupBy("hour").agg(F.count("*").alias("n"), F.count_distinct("file").alias("files")).collect()}
+    assert files[0][0] == 900 and 2 <= files[0][1] <= 4 and files[3] == (1, 1) and found.count() == 905
+    for part in found.select("file", "native_trade_id").toPandas().groupby("file"):
+        assert part[1].native_trade_id.is_monotonic_increasing
+
+
+def test_an_export_is_the_same_whatever_the_order(spark, tmp_path):
+    from tickloom.operators import venues
+
+    def message(n):
+        price = '"1e3"' if n % 10 == 3 else f'"{n}.5"'
+        return (n, "s", "c" if n % 10 else "unbound", "e", n * 10**12, f'{{"e":"trade","E":1,"s":"X","t":{n},"p":{price},"q":"1","T":1,"m":true,"M":true}}')
+
+    raw = spark.createDataFrame([message(n) for n in range(60)], "record_id long, source_id string, channel_id string, epoch_id string, received_time_ns long, payload string")
+    bindings = spark.createDataFrame([("c", "v1", 0, None)], "channel_id string, mapper_version string, valid_from_ns long, valid_to_ns long")
+    registry = N.Registry()
+
+    def mapper(rows):
+        good, bad = N.split(N.apply(rows, venues.SPOT["trade"], keep=["record_id", "source_id", "epoch_id", "received_time_ns"]))
+        return good.withColumnRenamed("symbol", "instrument_uid"), bad.select("record_id", "code")
+
+    registry.register("s", "c", "v1", mapper)
+    made = [tables.export(r, bindings, registry, "trade", f"{tmp_path}/{n}") for n, r in enumerate((raw, raw.orderBy(F.desc("record_id")).repartition(5)))]
+    codes = {(r.record_id, r.code) for r in made[0]["quarantine"].collect()}
+    assert codes == {(n, "mapper_binding_unavailable") for n in range(0, 60, 10)} | {(n, "invalid_field") for n in range(3, 60, 10)}
+    listed = [sorted(map(tuple, m["manifests"].collect())) for m in made]
+    assert listed[0] == listed[1] and {r.state for r in made[0]["manifests"].collect()} == {"committed"} and made[0]["rows"].count() == 48
+    assert made[0]["accounting"].count() == 0
+
+
+def test_runs_that_agree_differ_in_nothing(spark):
+    from tickloom.operators import cutover
+
+    rows = spark.createDataFrame([("s", n, n * 5, str(n)) for n in range(20)], "scope string, record_id long, t long, value string").withColumn("mapper_version", F.lit("v1"))
+    bad = spark.createDataFrame([("s", 30, 7, "x"), ("s", 31, 8, "y"), ("z", 32, 9, "y")], "scope string, record_id long, t long, code string")
+    how = (["scope"], ["t", "record_id"], ["record_id"])
+    report = lambda a, b: sorted(tuple(r) for r in cutover.compare_runs(a, b, *how, span=8).collect())
+    old = cutover.Run(rows, bad)
+    assert report(old, cutover.Run(rows.repartition(3).withColumn("mapper_version", F.lit("v2")), bad)) == []
+    value = F.when(F.col("record_id") == 11, None).otherwise(F.col("value"))
+    assert report(old, cutover.Run(rows.withColumn("value", value), bad)) == [("s", cutover.ROWS, 11)]
+    assert report(old, cutover.Run(rows.where("record_id < 18"), bad)) == [("s", cutover.ACCEPTED, 18), ("s", cutover.ROWS, 18)]
+    other = bad.withColumn("code", F.when(F.col("record_id") == 31, "x").otherwise(F.col("code")))
+    assert report(old, cutover.Run(rows, other)) == [("s", cutover.COUNTS, 0), ("s", cutover.REJECTED, 1)]
+    assert report(old, cutover.Run(rows, bad.where("scope = 's'"))) == [("z", cutover.COUNTS, 0), ("z", cutover.REJECTED, 0)]

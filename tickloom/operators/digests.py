@@ -91,26 +91,31 @@ def differences(a: DataFrame, b: DataFrame, by: Sequence[str] = (), leaf_rows: i
     """(by..., prefix, row_hash, n_a, n_b): rows, by hash, that ``a`` and ``b`` hold unequally often, and their branch.
 
     The trees are walked down from the root: only branches whose digests differ are opened, and rows are compared where
-    a branch fits a leaf on both sides. Leaves are written once to the folder that the cluster shares.
+    a branch fits a leaf on both sides. The levels are written once to the folder that the cluster shares.
     """
     from tickloom.sources.tables import shared_folder
 
     depth = max(_depth(x, by, leaf_rows) for x in (a, b))
-    spark, trees = a.sparkSession, []
+    spark = a.sparkSession
+
+    def held(df: DataFrame) -> DataFrame:
+        folder = shared_folder(spark)
+        df.write.parquet(folder)
+        return spark.read.schema(df.schema).parquet(folder)
+
+    trees = []
     for x in (a, b):
-        leaves, folder = _leaves(x.select(*by, row_hash(x, by).alias("__h")), by, depth), shared_folder(x.sparkSession)
-        leaves.write.parquet(folder)
-        levels = [spark.read.schema(leaves.schema).parquet(folder)]
+        levels = [held(_leaves(x.select(*by, row_hash(x, by).alias("__h")), by, depth))]
         for d in range(depth, 0, -1):
-            levels.insert(0, _parents(levels[0], by, d, leaf_rows))
+            levels.insert(0, held(_parents(levels[0], by, d, leaf_rows)))
         trees.append(levels)
     found, within = [], None
     for d, (left, right) in enumerate(zip(*trees, strict=True)):
-        named = [x.select(*by, "prefix", "k", F.col("digest").alias(f"d_{s}"), F.col("rows").alias(f"r_{s}"), F.col("k").alias(f"k_{s}")).drop("k") for x, s in ((left, "a"), (right, "b"))]
+        named = [x.select(*by, "prefix", F.col("digest").alias(f"d_{s}"), F.col("rows").alias(f"r_{s}"), F.col("k").alias(f"k_{s}")) for x, s in ((left, "a"), (right, "b"))]
         if within is not None:
             # one more digit: only below the branches that differ above
             named = [null_safe_join(x.withColumn("__up", F.substring("prefix", 1, d - 1)), within, [*by, "__up"], "left_semi").drop("__up") for x in named]
-        both = _either(*named, [*by, "prefix"]).where("NOT d_a <=> d_b")
+        both = held(_either(*named, [*by, "prefix"]).where("NOT d_a <=> d_b"))
         fits = (F.coalesce("k_a", F.lit(0)) <= leaf_rows) & (F.coalesce("k_b", F.lit(0)) <= leaf_rows)
         found.append(_unequal_rows(both.where(fits | F.lit(d == depth)), by))
         within = both.where(~fits).select(*by, F.col("prefix").alias("__up"))

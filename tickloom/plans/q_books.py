@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickloom.operators import books, engine, venues
+from tickloom.operators import books, cutover, engine, venues
 from tickloom.operators import normalize as N
 from tickloom.plans import views as V
+from tickloom.plans.q_normalize import BROKEN
 from tickloom.plans.registry import query
 
 C, L = F.col, F.lit
@@ -209,3 +210,38 @@ def r8_change_id_books(spark, d):
     )
     message = {"params": F.struct(L("book.X.raw").alias("channel"), data.alias("data"))}
     return _result(engine.reconstruct(_mapped(_tagged(spark, d), message, venues.DERIBIT["book"]), "change"))
+
+
+# ---- two runs of a mapper ------------------------------------------------------------------------------------------
+
+
+def _run(raw: DataFrame, version: str, epochs: DataFrame) -> cutover.Run:
+    kept = ["source_id", "received_time_ns", "record_id"]
+    rows, bad = N.split(N.apply(raw.withColumnRenamed("native_trade_id", "record_id"), venues.SPOT["trade"], keep=kept))
+    return cutover.Run(rows.withColumn("mapper_version", L(version)), bad, epochs)
+
+
+_FIRST = "list_position([a[i] IS DISTINCT FROM b[i] FOR i IN range(1, greatest(coalesce(len(a), 0), coalesce(len(b), 0)) + 1)], true) - 1"
+_ORDERED = "ORDER BY received_time_ns, native_trade_id"
+_REFUSED = f"SELECT *, {BROKEN} AS bad_a, native_trade_id % 307 = 0 AS cut, native_trade_id % 211 = 0 AS moved FROM trades"
+
+
+@query(
+    f"""WITH r AS ({_REFUSED}), lists AS (SELECT source_id, 'accepted_field_identity' AS code, list(native_trade_id {_ORDERED}) FILTER (NOT bad_a) AS a, list(native_trade_id {_ORDERED}) FILTER (NOT bad_a AND NOT cut) AS b FROM r GROUP BY 1
+    UNION ALL SELECT source_id, 'ordered_semantic_row_hash', list(native_trade_id * 10 {_ORDERED}) FILTER (NOT bad_a), list(native_trade_id * 10 + moved::INTEGER {_ORDERED}) FILTER (NOT bad_a AND NOT cut) FROM r GROUP BY 1
+    UNION ALL SELECT source_id, 'rejection_projection', list(native_trade_id * 10 {_ORDERED}) FILTER (bad_a), list(native_trade_id * 10 + cut::INTEGER {_ORDERED}) FILTER (bad_a OR cut) FROM r GROUP BY 1
+    UNION ALL SELECT source_id, 'rejection_counts', [count_if(bad_a), 0], [count_if(bad_a AND NOT cut), count_if(cut)] FROM r GROUP BY 1
+    UNION ALL SELECT instrument_uid, unnest(['downstream_book_result', 'downstream_book_hash']), list(0 ORDER BY epoch_id), list(lost ORDER BY epoch_id) FROM
+    (SELECT instrument_uid, received_time_ns // {YEAR_NS} AS epoch_id, max((event_id % 499 = 0)::INTEGER) AS lost FROM book_events GROUP BY ALL) GROUP BY 1)
+    SELECT source_id AS scope, code, ({_FIRST})::BIGINT AS index FROM lists WHERE {_FIRST} >= 0""",
+    ["trades", "book_events"],
+)
+def t7_dual_run(spark, d):
+    """A candidate that reads some messages otherwise, refuses others, and rebuilds books from fewer events."""
+    raw = V.raw_json(spark, d)
+    moved = F.regexp_replace("payload", '"q":"[^"]*"', '"q":"1234567.5"')
+    payload = F.when(C("native_trade_id") % 307 == 0, F.substring("payload", 1, 9)).when(C("native_trade_id") % 211 == 0, moved).otherwise(C("payload"))
+    events = _single(spark, d)
+    epochs = lambda e: engine.linked_epochs(engine.reconstruct(e, "bridge", check_crossed=False))
+    old, new = _run(raw, "v1", epochs(events)), _run(raw.withColumn("payload", payload), "v2", epochs(events.where("event_id % 499 <> 0")))
+    return cutover.compare_runs(old, new, ["source_id"], ["received_time_ns", "record_id"], ["record_id"])

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickloom.operators import books, quality
+from tickloom.operators import books, quality, venues
+from tickloom.operators import normalize as N
 from tickloom.plans import views as V
+from tickloom.plans.q_normalize import BROKEN
 from tickloom.plans.q_quality import DEADLINE_SQL
 from tickloom.plans.registry import query
 from tickloom.sources import tables
@@ -57,9 +59,11 @@ def s3_read_family(spark, d):
 
 @query("SELECT native_trade_id FROM trades WHERE received_time_ns // 3600000000000 % 24 < 12", ["trades"])
 def s4_read_committed(spark, d):
-    rows = tables.partitioned(V.arrivals(spark, d), "trade")
-    known = rows.select(*BY).distinct().withColumn("state", F.when(C("hour") < 12, "committed").otherwise("open"))
-    return tables.committed_only(rows, known).select("native_trade_id")
+    """Written files, and a written table of manifests; the scan reads committed partitions only."""
+    folder, listed = _written(spark, d), tables.shared_folder(spark)
+    known = tables.read_family(spark, folder).select(*BY).distinct()
+    known.withColumn("state", F.when(C("hour") < 12, "committed").otherwise("open")).write.parquet(listed)
+    return tables.read_committed(spark, folder, spark.read.parquet(listed)).select("native_trade_id")
 
 
 @query()
@@ -289,6 +293,56 @@ def r19_stream_cutover(spark, d):
     return jobs.drain(jobs.cutover(stream, V.bindings(spark, d)).select("native_trade_id", "mapper_version"), folder)
 
 
+def _mappers():
+    """Two versions of the trade mapping, for the channels that have one; they read alike."""
+    registry = N.Registry()
+    keep = ["record_id", "source_id", "channel_id", "epoch_id", "received_time_ns"]
+    for source in ("S0", "S1", "S2"):
+        for channel in ("click", "view", "purchase"):
+            for version in ("v1", "v2"):
+                registry.register(source, channel, version, lambda raw, v=version: _with_version(N.split(N.apply(raw, venues.SPOT["trade"], keep=keep)), v))
+    return registry
+
+
+def _with_version(parts, version):
+    rows, bad = parts
+    names = {"symbol": "instrument_uid"}
+    return rows.withColumnsRenamed(names).withColumn("mapper_version", L(version)), bad.select("record_id", "code")
+
+
+def _raw_records(spark, d):
+    return V.raw_json(spark, d).withColumnRenamed("native_trade_id", "record_id")
+
+
+@query(
+    f"""WITH r AS (SELECT *, channel_id NOT IN ('click', 'view', 'purchase') AS unbound, {BROKEN} AS bad FROM trades) SELECT source_id, epoch_id AS date, (received_time_ns // 3600000000000 % 24)::INTEGER AS hour,
+    count(*) AS rows, count(DISTINCT CASE WHEN received_time_ns < 1705276800000000000 THEN 'v1' ELSE 'v2' END) AS versions, 'committed' AS state, (SELECT count_if(unbound OR bad) FROM r) AS quarantined FROM r WHERE NOT unbound AND NOT bad GROUP BY ALL""",
+    ["trades"],
+)
+def s16_export(spark, d):
+    """Raw messages to verified partitions: bindings, mapping, accounting, files, manifests."""
+    made = tables.export(_raw_records(spark, d), V.bindings(spark, d), _mappers(), "trade", tables.shared_folder(spark))
+    versions = made["rows"].groupBy("source_id", C("date").cast("string").alias("date"), "hour").agg(F.count_distinct("mapper_version").alias("versions"))
+    refused = made["quarantine"].agg(F.count("*").alias("quarantined"))
+    rows = made["manifests"].select("source_id", "date", C("hour").cast("int").alias("hour"), "rows", "state").join(versions, ["source_id", "date", "hour"])
+    return rows.join(F.broadcast(refused), F.lit(True))
+
+
+@query(
+    """SELECT source_id, count(*) AS partitions, sum(n)::BIGINT AS rows, sum(n)::BIGINT AS loaded FROM (SELECT 'venue' AS source_id, epoch_id, received_time_ns // 3600000000000 % 24 AS hour, count(*) AS n FROM trades GROUP BY ALL) GROUP BY 1""",
+    ["trades"],
+)
+def s5_ingest(spark, d):
+    """Partitions, their manifests and the load of a generation, one after the other: the path of an ingest."""
+    rows, folder, root = _one_venue(spark, d), tables.shared_folder(spark), tables.shared_folder(spark)
+    tables.write_partitions(rows, "trade", folder)
+    written = tables.read_family(spark, folder)
+    listed = tables.manifests(written.drop("family", "date", "hour"), "trade")
+    tables.load_generation(written, written.select("native_trade_id"), root, "g1")
+    loaded = spark.read.parquet(tables.generation_path(root, "g1")).agg(F.count("*").alias("loaded"))
+    return listed.groupBy("source_id").agg(F.count("*").alias("partitions"), F.sum("rows").alias("rows")).join(F.broadcast(loaded), F.lit(True))
+
+
 @query()
 def q2_spill_run(spark, d):
     """Terminal rows of the first date are archived once; what is archived leaves the current ledger."""

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from tickloom.functions.scalars import digest, ns_date, ns_hour
 from tickloom.operators.digests import multiset_digest
+from tickloom.operators.joins import active_at, small
+from tickloom.operators.normalize import Registry, accounting
 from tickloom.operators.sets import set_difference
 
 PARTITION = ("family", "source_id", "date", "hour")
@@ -54,16 +56,20 @@ def partitioned(df: DataFrame, family: str, time: str = "received_time_ns") -> D
     return df.withColumns({"family": F.lit(family), "date": ns_date(F.col(time)).cast("string"), "hour": ns_hour(F.col(time))})
 
 
-def write_partitions(df: DataFrame, family: str, path: str, order: Sequence[str] = STABLE_ORDER, row_group: int = 64 << 20, files_per_hour: int = 1, bloom: str | None = None) -> None:
+def write_partitions(df: DataFrame, family: str, path: str, order: Sequence[str] = STABLE_ORDER, row_group: int = 64 << 20, rows_per_file: int = 5_000_000, bloom: str | None = None) -> None:
     """family/source/date/hour folders, rows in stable order inside each file, zstd.
 
-    An hour is dealt to ``files_per_hour`` files by its instruments, so that a busy hour is no single task.
+    An hour of more than ``rows_per_file`` rows is dealt to as many files as it needs, by instrument and minute, so that
+    a busy hour, and a busy instrument in it, is no single task. Hours are counted first, over their columns alone.
     """
-    rows = partitioned(df, family)
-    spread = F.pmod(F.xxhash64("instrument_uid"), F.lit(files_per_hour))
-    rows = rows.withColumn("__f", spread).repartition("source_id", "date", "hour", "__f")
+    rows, by = partitioned(df, family), list(PARTITION)
+    sizes = rows.groupBy(*by).agg(F.count("*").alias("__n")).where(F.col("__n") > rows_per_file)
+    busy = sizes.select(*by, F.ceil(F.col("__n") / rows_per_file).alias("__files"))
+    rows = rows.withColumn("__files", F.lit(1)) if busy.isEmpty() else rows.join(small(busy), by, "left").withColumn("__files", F.coalesce("__files", F.lit(1)))
+    minute = F.call_function("div", F.col("received_time_ns"), F.lit(60_000_000_000))
+    rows = rows.withColumn("__f", F.pmod(F.xxhash64("instrument_uid", minute), F.col("__files"))).repartition(*by, "__f")
     kept = [c for c in order if c in df.columns]
-    rows = rows.sortWithinPartitions("source_id", "date", "hour", "__f", *kept).drop("__f")
+    rows = rows.sortWithinPartitions(*by, *kept).drop("__f", "__files").select(*df.columns, *(c for c in by if c not in df.columns))
     writer = rows.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", row_group).option("partitionOverwriteMode", "dynamic")
     if bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{bloom}", "true")
@@ -97,10 +103,48 @@ def verify_manifests(df: DataFrame, family: str, expected: DataFrame) -> DataFra
 
 
 def committed_only(df: DataFrame, manifest_table: DataFrame) -> DataFrame:
-    """Rows of partitions whose manifest is committed; the semi join prunes partitions at run time."""
+    """Rows of partitions whose manifest is committed."""
     return df.join(manifest_table.where("state = 'committed'").select(*PARTITION), list(PARTITION), "left_semi")
 
 
+def read_committed(spark: SparkSession, path: str, manifest_table: DataFrame) -> DataFrame:
+    """Rows of the committed partitions below ``path``; only their files are read.
+
+    The committed partitions go to the scan at run time (dynamic partition pruning) where they are few enough to be
+    broadcast; beyond that the same join is a shuffle and prunes rows only.
+    """
+    committed = small(manifest_table.where("state = 'committed'").select(*PARTITION).distinct())
+    return read_family(spark, path).join(committed, list(PARTITION), "left_semi")
+
+
+def export(raw: DataFrame, bindings: DataFrame, registry: Registry, family: str, path: str) -> dict[str, DataFrame]:
+    """Raw records to a committed family: bindings, mapping, accounting, partitions, manifests, verification.
+
+    ``raw`` has record_id, source_id, channel_id, received_time_ns and payload; each record gets the mapper that its
+    channel is bound to at its receive time, and those without one are refused. Gives ``rows`` (as read back),
+    ``quarantine``, ``accounting`` (records neither mapped nor refused, or both) and ``manifests``, whose state is
+    committed where accounting has no fault and the files hold what was mapped. The same input gives the same
+    manifests, whatever its order and partitions.
+    """
+    spark = raw.sparkSession
+    bound = active_at(raw, bindings, ["channel_id"], "received_time_ns", "valid_from_ns", "valid_to_ns")
+    held = []
+    for made in registry.run(bound):  # both are read several times: computed once, in the folder that all share
+        folder = shared_folder(spark)
+        made.write.parquet(folder)
+        held.append(spark.read.schema(made.schema).parquet(folder))
+    rows, refused = held
+    faults = accounting(raw, rows, refused, ["record_id"])
+    write_partitions(rows, family, path)
+    written = read_family(spark, path).where(F.col("family") == family)
+    expected = manifests(rows, family, "record_id")
+    unequal = verify_manifests(written.select(*rows.columns), family, expected).select(*PARTITION, "fault")
+    sound = faults.isEmpty()
+    state = F.when(F.lit(sound) & F.col("fault").isNull(), "committed").otherwise("refused")
+    listed = expected.join(unequal, list(PARTITION), "left").withColumn("state", state).drop("fault")
+    return {"rows": written, "quarantine": refused, "accounting": faults, "manifests": listed}
+
+
 def row_id(event: Column, ordinal: Column) -> Column:
     return digest(event, ordinal)
 
@@ -136,9 +180,14 @@ def load_generation(rows: DataFrame, expected_ids: DataFrame, root: str, generat
     if not set_difference(expected_ids.select(key), spark.read.parquet(staged.toString()).select(key)).isEmpty():
         files.delete(staged, True)
         return "refused"
-    files.delete(final, True)
+    # what was there stays beside until the new rows have taken its place
+    old = path(f"{root}/_staged/{uuid.uuid4().hex}")
+    replaced = files.exists(final) and files.rename(final, old)
     if not files.rename(staged, final):
+        if replaced:
+            files.rename(old, final)
         raise RuntimeError(f"generation {generation} could not be published")
+    files.delete(old, True)
     return "loaded"
 
 
