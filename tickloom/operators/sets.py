@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.operators.windows import carried
+
 
 def with_markers(records: DataFrame, markers: DataFrame, order: Sequence[str]) -> DataFrame:
     """Records and gap markers in one order; at one time a gap stands before a record."""
@@ -15,6 +17,17 @@ def with_markers(records: DataFrame, markers: DataFrame, order: Sequence[str]) -
     return a.unionByName(b, allowMissingColumns=True).orderBy(order[0], "kind_rank", *order[1:])
 
 
+def disconnects(records: DataFrame, control: Column, by: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Records with a row of kind disconnect right behind each control record, and ``place`` in that order, from 1.
+
+    A record's place is its number among the records plus the markers before it; both are counted in two passes along
+    a key, in chunks of the values of the first order column.
+    """
+    made = F.array(F.lit("record"), F.lit("disconnect"))
+    rows = records.select("*", F.posexplode(F.when(control, made).otherwise(F.slice(made, 1, 1))).alias("__rank", "kind"))
+    return carried(rows, by, F.col(order[0]), [*order, "__rank"], sums={"place": F.lit(1).cast("long")}).drop("__rank")
+
+
 def merged(current: DataFrame, archived: DataFrame, key: str, digest: Column) -> tuple[DataFrame, DataFrame]:
     """(rows once, conflicting keys): equal rows of both count once, different rows of one key conflict."""
     both = current.unionByName(archived).withColumn("__d", digest)

@@ -298,7 +298,7 @@ def _mappers():
     registry = N.Registry()
     keep = ["record_id", "source_id", "channel_id", "epoch_id", "received_time_ns"]
     for source in ("S0", "S1", "S2"):
-        for channel in ("click", "view", "purchase"):
+        for channel in ("click", "view"):
             for version in ("v1", "v2"):
                 registry.register(source, channel, version, lambda raw, v=version: _with_version(N.split(N.apply(raw, venues.SPOT["trade"], keep=keep)), v))
     return registry
@@ -315,7 +315,7 @@ def _raw_records(spark, d):
 
 
 @query(
-    f"""WITH r AS (SELECT *, channel_id NOT IN ('click', 'view', 'purchase') AS unbound, {BROKEN} AS bad FROM trades) SELECT source_id, epoch_id AS date, (received_time_ns // 3600000000000 % 24)::INTEGER AS hour,
+    f"""WITH r AS (SELECT *, channel_id NOT IN ('click', 'view') AS unbound, {BROKEN} AS bad FROM trades) SELECT source_id, epoch_id AS date, (received_time_ns // 3600000000000 % 24)::INTEGER AS hour,
     count(*) AS rows, count(DISTINCT CASE WHEN received_time_ns < 1705276800000000000 THEN 'v1' ELSE 'v2' END) AS versions, 'committed' AS state, (SELECT count_if(unbound OR bad) FROM r) AS quarantined FROM r WHERE NOT unbound AND NOT bad GROUP BY ALL""",
     ["trades"],
 )

@@ -127,13 +127,16 @@ def export(raw: DataFrame, bindings: DataFrame, registry: Registry, family: str,
     manifests, whatever its order and partitions.
     """
     spark = raw.sparkSession
-    bound = active_at(raw, bindings, ["channel_id"], "received_time_ns", "valid_from_ns", "valid_to_ns")
-    held = []
-    for made in registry.run(bound):  # both are read several times: computed once, in the folder that all share
+
+    def held(made: DataFrame, *parts: str) -> DataFrame:
+        """What is read several times is computed once, in the folder that all share."""
         folder = shared_folder(spark)
-        made.write.parquet(folder)
-        held.append(spark.read.schema(made.schema).parquet(folder))
-    rows, refused = held
+        made.write.partitionBy(*parts).parquet(folder)
+        return spark.read.schema(made.schema).parquet(folder).select(*made.columns)
+
+    # each mapper reads its own folders only
+    bound = held(active_at(raw, bindings, ["channel_id"], "received_time_ns", "valid_from_ns", "valid_to_ns"), "source_id", "channel_id", "mapper_version")
+    rows, refused = map(held, registry.run(bound))
     faults = accounting(raw, rows, refused, ["record_id"])
     write_partitions(rows, family, path)
     written = read_family(spark, path).where(F.col("family") == family)
