@@ -67,7 +67,10 @@ def write_partitions(df: DataFrame, family: str, path: str, order: Sequence[str]
     busy = sizes.select(*by, F.ceil(F.col("__n") / rows_per_file).alias("__files"))
     rows = rows.withColumn("__files", F.lit(1)) if busy.isEmpty() else rows.join(small(busy), by, "left").withColumn("__files", F.coalesce("__files", F.lit(1)))
     minute = F.call_function("div", F.col("received_time_ns"), F.lit(60_000_000_000))
-    rows = rows.withColumn("__f", F.pmod(F.xxhash64("instrument_uid", minute), F.col("__files"))).repartition(*by, "__f")
+    rows = rows.withColumn("__f", F.pmod(F.xxhash64("instrument_uid", minute), F.col("__files")))
+    # a number of its own, as merging small tasks would have one task open thousands of files
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(tasks, *by, "__f")
     kept = [c for c in order if c in df.columns]
     rows = rows.sortWithinPartitions(*by, *kept).drop("__f", "__files").select(*df.columns, *(c for c in by if c not in df.columns))
     writer = rows.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", row_group).option("partitionOverwriteMode", "dynamic")
