@@ -199,6 +199,25 @@ def test_pieces_of_units_that_decode_otherwise():
     assert mine.recent.keys() >= {"▁b", "▁c"} and "漢" not in mine.recent
 
 
+def test_every_unit_is_compared_and_wrong_ones_are_remembered(monkeypatch):
+    """A planted wrong split, of a unit without a leading mark, is refused in the first batch and in all later ones."""
+    mine, library = pieces.BpePieces(MODEL), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    mine.watched, right = True, mine.short_ids
+    text = "foo(bar)baz, x=1 the-end e.g. 12:30  a "
+    ids = lambda texts: [i for i, _ in mine.encoded(texts)]
+    first = ids([text])
+    assert {u for u, _ in mine.unchecked} == set(mine.units(text)) and mine.agree([text], first) == [True] and not mine.wrong
+    mine.recent, mine.former = {}, {}
+    monkeypatch.setattr(mine, "short_ids", lambda units: [[*x[:-1], 5] if u == "bar" else x for u, x in zip(units, right(units), strict=True)])
+    for texts in ([text, "a bar"], ["other (bar", "bars"], ["again, (bar"]):
+        want = [",".join(map(str, library.encode(t))) for t in texts]
+        found = ids(texts)
+        assert mine.agree(texts, found) == [a == b for a, b in zip(found, want, strict=True)] and mine.wrong == {"bar"}
+        assert not all(mine.agree(texts, found))
+    mine.guards["("] = None  # no guard: compared by whole texts
+    assert mine.agree(["x ((y"], ids(["x ((y"])) == [True] and "((" in mine.wrong
+
+
 def test_pieces_forget_old_units(monkeypatch):
     monkeypatch.setattr(pieces, "_CACHE_UNITS", 4)
     mine, library = pieces.BpePieces(MODEL), sentencepiece.SentencePieceProcessor(model_file=MODEL)

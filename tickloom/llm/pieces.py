@@ -58,7 +58,10 @@ class BpePieces:
         # ids by unit, joined by commas: of the batches since the last change, and of those before it
         self.recent: dict[str, str] = {}
         self.former: dict[str, str] = {}
+        self.watched = False  # whether new units are kept for a comparison
         self.unchecked: list[tuple[str, str]] = []
+        self.wrong: set[str] = set()  # units that the library encodes otherwise, for as long as the worker lives
+        self.guards: dict[str, tuple[str, str] | None] = {}
 
     def _number_pairs(self) -> None:
         """Symbols as numbers (a piece's is its id) and the pairs of symbols that are pieces, as a sorted table."""
@@ -206,8 +209,8 @@ class BpePieces:
             found[unit] = ",".join(map(str, ids))
             if (text := self.piece_text(ids)) != unit.replace(SPACE, " "):
                 odd[unit] = text
-        # alone, a mark is no text to the library; nor does it read a unit without one as it stands
-        self.unchecked = [(u, found[u]) for u in new if u[0] == SPACE and u != SPACE]
+        if self.watched:
+            self.unchecked += [(u, found[u]) for u in new]
         if len(self.recent) > _CACHE_UNITS:
             self.recent, self.former = {}, self.recent
         self.recent |= {u: ids for u, ids in found.items() if len(u) <= _CACHE_CHARS and u not in odd}
@@ -225,11 +228,44 @@ class BpePieces:
             out.append((",".join(map(known.__getitem__, units)), decoded.removeprefix(" ")))
         return out
 
+    def guard(self, first: str) -> tuple[str, str] | None:
+        """A character that no piece has before ``first``, and its ids behind a mark; None if there is none."""
+        if first not in self.guards:
+            free = (c for c in self.ids if len(c) == 1 and c != SPACE and c + first not in self.joined and SPACE + c not in self.ids)
+            found = next(free, None)
+            self.guards[first] = found and (found, "".join(f"{i}," for i in self.library.encode(found)))
+        return self.guards[first]
+
     def refused(self) -> set[str]:
-        """The units that the last batch was the first to hold and that the library encodes otherwise."""
-        texts = [unit.removeprefix(SPACE).replace(SPACE, " ") for unit, _ in self.unchecked]
+        """All units met so far that the library encodes otherwise; those that are new since the last call are compared.
+
+        The library puts a mark before a text, so a unit that has none, and a mark alone, is compared behind a guard, a
+        character that can't merge with it. A unit without guard counts as refused: its texts are compared whole.
+        """
+        texts, wanted, units = [], [], []
+        for unit, ids in self.unchecked:
+            bare = unit == SPACE or unit[0] != SPACE
+            guard = self.guard(unit[0]) if bare else ("", "")
+            if guard is None:
+                self.wrong.add(unit)
+                continue
+            texts.append(guard[0] + (unit if bare else unit.removeprefix(SPACE)).replace(SPACE, " "))
+            wanted.append(guard[1] + ids)
+            units.append(unit)
+        self.unchecked = []
         theirs = self.library.encode(texts, num_threads=1)
-        return {u for (u, ids), other in zip(self.unchecked, theirs, strict=True) if ",".join(map(str, other)) != ids}
+        self.wrong |= {u for u, ids, other in zip(units, wanted, theirs, strict=True) if ",".join(map(str, other)) != ids}
+        return self.wrong
+
+    def agree(self, texts: list[str], ids: list[str]) -> list[bool]:
+        """Whether the library encodes each text alike: by its units, or whole if one of them is refused."""
+        refused = self.refused()
+        doubtful = [n for n, t in enumerate(texts) if refused and not refused.isdisjoint(self.units(t))]
+        whole = self.library.encode([texts[n] for n in doubtful], num_threads=1)
+        out = [True] * len(texts)
+        for n, other in zip(doubtful, whole, strict=True):
+            out[n] = ",".join(map(str, other)) == ids[n]
+        return out
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text, without begin and end ids."""
@@ -257,8 +293,9 @@ def encode_decode(
 
     Returns doc_id, n_tokens, ids_sha256, decoded_sha256, round_trip (the decoded text is the text) and
     library_agrees, with ``ids`` as an array if ``with_ids``. With ``check="texts"`` the library has encoded every
-    whole text and given the same ids or not; with ``"units"``, at a fifth of the cost, it has done so for each unit
-    that begins with white space, when the worker met it first; with ``""`` the column is null. A null text counts as empty: no ids, both digests of the empty string. Row order, ties
+    whole text and given the same ids or not; with ``"units"`` it has done so for each unit when the worker met it first
+    (or again, after it was forgotten), and for whole texts that hold a unit it encodes otherwise; with ``""`` the
+    column is null. A null text counts as empty: no ids, both digests of the empty string. Row order, ties
     and repeated rows don't matter; ids may be null; other columns are not read. The model file is read on each
     executor, so its path must be one that executors have.
     """
@@ -267,6 +304,7 @@ def encode_decode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(model_file)
+        pieces.watched = check == "units"
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
@@ -279,8 +317,7 @@ def encode_decode(
                 if check == "texts":
                     agrees = [",".join(map(str, x)) == row[4] for x, row in zip(pieces.library.encode(texts, num_threads=1), rows, strict=True)]
                 elif check == "units":
-                    refused = pieces.refused()
-                    agrees = [not refused or refused.isdisjoint(pieces.units(t)) for t in texts]
+                    agrees = pieces.agree(texts, [row[4] for row in rows])
                 else:
                     agrees = [None] * len(rows)
                 for row, same in zip(rows, agrees, strict=True):
