@@ -215,7 +215,7 @@ def test_every_unit_is_compared_and_wrong_ones_are_remembered(monkeypatch):
         assert mine.agree(texts, found) == [a == b for a, b in zip(found, want, strict=True)] and mine.wrong == {"bar"}
         assert not all(mine.agree(texts, found))
     mine.guards["("] = None  # no guard: compared by whole texts
-    assert mine.agree(["x ((y"], ids(["x ((y"])) == [True] and "((" in mine.wrong
+    assert mine.agree(["x((y"], ids(["x((y"])) == [True] and "((" in mine.wrong
 
 
 def test_pieces_forget_old_units(monkeypatch):
