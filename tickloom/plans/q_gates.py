@@ -132,7 +132,7 @@ def q8_declaration_faults(spark, d):
 
 
 @query(
-    """SELECT utc_date, CASE WHEN utc_date LIKE '%-07' THEN 'absent' WHEN bool_or(opportunity_id % 811 = 0) THEN 'n' WHEN bool_or(opportunity_id % 499 = 0) THEN 'digest' END AS fault FROM opportunities
+    """SELECT utc_date, CASE WHEN utc_date LIKE '%-07' OR bool_and(opportunity_id % 811 = 0) THEN 'absent' WHEN bool_or(opportunity_id % 811 = 0) THEN 'n' WHEN bool_or(opportunity_id % 499 = 0) THEN 'digest' END AS fault FROM opportunities
     WHERE outcome IS NOT NULL GROUP BY 1 HAVING utc_date LIKE '%-07' OR bool_or(opportunity_id % 811 = 0 OR opportunity_id % 499 = 0)""",
     ["opportunities"],
 )
