@@ -63,6 +63,15 @@ def in_buckets(windows: DataFrame, start: str = "start_ns", end: str = "end_ns",
     return rows.withColumn("__b", F.explode(F.sequence(first, upto)))
 
 
+def _held(pieces: DataFrame) -> DataFrame:
+    """Pieces are read for their widths, their sizes and the join: written once, to the folder that the cluster shares."""
+    from tickloom.sources.tables import shared_folder
+
+    folder = shared_folder(pieces.sparkSession)
+    pieces.write.parquet(folder)
+    return pieces.sparkSession.read.schema(pieces.schema).parquet(folder)
+
+
 def _widths(pieces: DataFrame) -> list[int]:
     """The widths in use, a dozen at most."""
     return sorted(r[0] for r in pieces.select("__shift").distinct().collect())
@@ -84,7 +93,7 @@ def containing_windows(
     The windows of a key and bucket are one array, so an event meets one row for each width in use, by equality, and
     its array is filtered in place: events are neither spread nor grouped again, and equal events are each a row.
     """
-    pieces = in_buckets(windows.select(*keys, "start_ns", "end_ns", F.col(id_col).alias("__id")), narrowest=narrowest)
+    pieces = _held(in_buckets(windows.select(*keys, "start_ns", "end_ns", F.col(id_col).alias("__id")), narrowest=narrowest))
     rows = events.select(*row_keys, *(k for k in keys if k not in row_keys), F.col(time).alias("__t")).withColumn("__ids", F.array().cast("array<string>"))
     for shift in _widths(pieces):
         held = F.struct("start_ns", "end_ns", F.col("__id").cast("string").alias("id"))
@@ -97,7 +106,7 @@ def containing_windows(
 
 def _points_in(points: DataFrame, windows: DataFrame, keys: Sequence[str], point: str, start: str, end: str, narrowest: int) -> DataFrame:
     """Pairs of a point and a window [start, end) that holds it; each pair once. Null keys meet nothing."""
-    pieces = in_buckets(windows, start, end, narrowest)
+    pieces = _held(in_buckets(windows, start, end, narrowest))
     widths = F.array(*(F.lit(s) for s in _widths(pieces)))
     spread = points.withColumn("__shift", F.explode(widths.cast("array<int>")))
     spread = spread.withColumn("__b", F.call_function("shiftright", F.col(point), F.col("__shift")))
