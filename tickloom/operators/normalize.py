@@ -199,6 +199,9 @@ READERS: dict[str, Callable[[Column, str], Column]] = {
     "named_best": named_best_of,
     "okx_state": lambda t, n: state_reader("okx")(t, n),
     "deribit_state": lambda t, n: state_reader("deribit")(t, n),
+    "zero": lambda t, n: F.when(t == "0", F.lit(0)),
+    "symbol": lambda t, n: F.when(t.rlike(r"^[A-Z0-9-]{1,64}\z"), t),
+    "option_kind": lambda t, n: F.when(t == "Call", F.lit("call")).when(t == "Put", F.lit("put")),
     "tagged": lambda t, n: tagged_levels_of(t, "buy" if n == "bids" else "sell"),
 }
 

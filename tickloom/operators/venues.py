@@ -264,6 +264,31 @@ DERIBIT_INSTRUMENTS = M(
      F("expiry_ns", "expiration_timestamp", "ms"), F("option_kind", "option_type", "text", False), F("strike", "strike", "decimal", False)),
     ("jsonrpc", r"2\.0"), "result",
 )
+_BYBIT_PAGE = (F("return_code", "retCode", "zero"), F("observed_ns", "time", "ms"), F("next_cursor", "result.nextPageCursor", "text", False))
+_BYBIT_LISTED = (
+    F("symbol", "symbol", "symbol"), F("native_state", "status", "text"), F("base_asset", "baseCoin", "text"), F("quote_asset", "quoteCoin", "text"),
+    F("settlement_asset", "settleCoin", "text", False), F("contract_type", "contractType", "text", False), F("listed_ns", "launchTime", "ms", False),
+    F("expiry_ns", "deliveryTime", "ms", False), F("delivery_fee_rate", "deliveryFeeRate", "decimal", False), F("price_scale", "priceScale", "uint", False),
+    F("tick_size", "priceFilter.tickSize", "decimal", False), F("least_price", "priceFilter.minPrice", "decimal", False),
+    F("most_price", "priceFilter.maxPrice", "decimal", False), F("least_amount", "lotSizeFilter.minOrderQty", "decimal", False),
+    F("most_amount", "lotSizeFilter.maxOrderQty", "decimal", False), F("most_market_amount", "lotSizeFilter.maxMktOrderQty", "decimal", False),
+    F("lot_size", "lotSizeFilter.qtyStep", "decimal", False), F("least_notional", "lotSizeFilter.minNotionalValue", "decimal", False),
+    F("funding_interval_minutes", "fundingInterval", "uint", False), F("upper_funding_rate", "upperFundingRate", "decimal", False),
+    F("lower_funding_rate", "lowerFundingRate", "decimal", False), F("unified_margin", "unifiedMarginTrade", "flag", False),
+    F("pre_listing", "isPreListing", "flag", False), F("pre_listing_info", "preListingInfo", "text", False), F("risk_parameters", "riskParameters", "text", False),
+)
+BYBIT_INSTRUMENTS = {
+    kind: M("instrument_event", _BYBIT_LISTED, ("result.category", kind), "result.list", {"category": kind}, _BYBIT_PAGE) for kind in ("spot", "linear", "inverse")
+}
+BYBIT_OPTION_INSTRUMENTS = M(
+    "instrument_event",
+    (F("symbol", "symbol", "text"), F("native_state", "status", "text"), F("base_asset", "baseCoin", "text"), F("quote_asset", "quoteCoin", "text"),
+     F("settlement_asset", "settleCoin", "text"), F("option_kind", "optionsType", "option_kind"), F("listed_ns", "launchTime", "ms"), F("expiry_ns", "deliveryTime", "ms"),
+     F("delivery_fee_rate", "deliveryFeeRate"), F("tick_size", "priceFilter.tickSize"), F("least_price", "priceFilter.minPrice"), F("most_price", "priceFilter.maxPrice"),
+     F("least_amount", "lotSizeFilter.minOrderQty"), F("most_amount", "lotSizeFilter.maxOrderQty"), F("lot_size", "lotSizeFilter.qtyStep"),
+     F("unified_margin", "unifiedMarginTrade", "flag")),
+    ("result.category", "option"), "result.list", {"category": "option"}, _BYBIT_PAGE,
+)
 HYPERLIQUID_UNIVERSE = M(
     "instrument_event",
     (F("symbol", "name", "text"), F("size_decimals", "szDecimals", "uint"), F("most_leverage", "maxLeverage", "uint"), F("delisted", "isDelisted", "flag", False)),

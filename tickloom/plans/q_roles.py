@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickloom.operators import filters, venues
+from tickloom.operators import filters, metadata, venues
 from tickloom.operators import normalize as N
 from tickloom.plans import messages as G
 from tickloom.plans import views as V
@@ -338,6 +338,69 @@ def n11_hyperliquid_metadata(spark, d):
     return _rows(_pages(spark, d, "universe", item), venues.HYPERLIQUID_UNIVERSE, "symbol", "size_decimals", "delisted")
 
 
+def _listed(spark, d, category: str, items, pages: str = "p_partkey div 50"):
+    """(page, payload): the second venue's instrument pages, items by id."""
+    part = V.load(spark, d, "part")
+    page = F.expr(pages)
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", items.alias("item")))), lambda x: x["item"])
+    result = F.struct(L(category).alias("category"), F.max(page).cast("string").alias("nextPageCursor"), listed.alias("list"))
+    return part.groupBy(page.alias("page")).agg(F.to_json(F.struct(L(0).alias("retCode"), L("OK").alias("retMsg"), result.alias("result"), L(1_700_000_000_000).alias("time"))).alias("payload"))
+
+
+@query(
+    """WITH p AS (SELECT *, p_partkey // 50 AS page FROM part), bad AS (SELECT DISTINCT page FROM p WHERE p_partkey % 170 = 3)
+    SELECT 'P' || p_partkey AS symbol, CASE WHEN p_size > 25 THEN 'Trading' ELSE 'PreLaunch' END AS native_state, p_size || '.000000000000000000' AS tick_size,
+    CASE WHEN p_size > 10 THEN (p_size * 2) || '.000000000000000000' END AS lot_size, 1700000000000000000 AS observed_ns, p_size * 1000000 AS listed_ns, page::VARCHAR AS next_cursor
+    FROM p WHERE page NOT IN (SELECT page FROM bad)"""
+)
+def n11_bybit_metadata(spark, d):
+    """Linear contracts; pages with an instrument that has no quote asset are refused whole."""
+    size = C("p_size").cast("string")
+    item = F.struct(
+        F.concat(L("P"), "p_partkey").alias("symbol"), F.when(C("p_size") > 25, "Trading").otherwise("PreLaunch").alias("status"), L("BTC").alias("baseCoin"),
+        F.when(C("p_partkey") % 170 != 3, "USDT").otherwise("").alias("quoteCoin"), size.alias("launchTime"), F.struct(size.alias("tickSize")).alias("priceFilter"),
+        F.struct(F.when(C("p_size") > 10, (C("p_size") * 2).cast("string")).otherwise("").alias("qtyStep")).alias("lotSizeFilter"), L(480).alias("fundingInterval"),
+    )
+    rows, _ = metadata.whole_pages(N.apply(_listed(spark, d, "linear", item), venues.BYBIT_INSTRUMENTS["linear"], keep=["page"]), ["page"])
+    return filters.decimals_as_text(rows).select("symbol", "native_state", "tick_size", "lot_size", "observed_ns", "listed_ns", "next_cursor")
+
+
+def _options(spark, d):
+    """Options with seven kinds of faults by id, twenty to a page."""
+    k, size = C("p_partkey"), C("p_size").cast("string")
+    named = F.when(k % 400 == 21, k - 1).otherwise(k)
+    day = F.when(k % 400 == 62, "30FEB24").otherwise("29FEB24")
+    symbol = F.concat(L("C"), named.cast("string"), L("-"), day, L("-"), (named % 50 + 1).cast("string"), F.when(named % 2 == 0, "-C").otherwise("-P"), F.when(named % 3 == 0, "-USDT").otherwise(""))
+    item = F.struct(
+        symbol.alias("symbol"), F.when(k % 400 == 103, "").otherwise("Trading").alias("status"), F.concat(L("C"), F.when(k % 400 == 144, L("X")).otherwise(named.cast("string"))).alias("baseCoin"),
+        F.when(k % 1200 == 585, "USDC").otherwise("USDT").alias("quoteCoin"), L("USDT").alias("settleCoin"), F.when((named % 2 == 0) != (k % 400 == 226), "Call").otherwise("Put").alias("optionsType"),
+        L("1700000000000").alias("launchTime"), F.when(k % 400 == 267, "1709251200000").otherwise("1709251199999").alias("deliveryTime"), L("0.00015").alias("deliveryFeeRate"),
+        F.struct(*(size.alias(n) for n in ("minPrice", "maxPrice", "tickSize"))).alias("priceFilter"), F.struct(*(size.alias(n) for n in ("minOrderQty", "maxOrderQty", "qtyStep"))).alias("lotSizeFilter"),
+        L(True).alias("unifiedMarginTrade"),
+    )
+    mapped = N.apply(_listed(spark, d, "option", item, "p_partkey div 20"), venues.BYBIT_OPTION_INSTRUMENTS, keep=["page"])
+    return metadata.whole_pages(mapped, ["page"], metadata.option_faults(mapped))
+
+
+_OPTION_FAULT = """SELECT p_partkey // 20 AS page, p_partkey, CASE p_partkey % 400 WHEN 21 THEN 'repeated_symbol' WHEN 62 THEN 'symbol' WHEN 103 THEN 'invalid_field' WHEN 144 THEN 'base'
+    WHEN 226 THEN 'kind' WHEN 267 THEN 'expiry' ELSE CASE WHEN p_partkey % 1200 = 585 THEN 'quote' END END AS fault FROM part"""
+
+
+@query(f"WITH f AS ({_OPTION_FAULT}) SELECT page::BIGINT AS page, any_value(fault) AS fault, (min(CASE WHEN fault IS NOT NULL THEN p_partkey END) - min(p_partkey))::BIGINT AS at FROM f GROUP BY page HAVING count(fault) > 0")
+def n11_bybit_option_faults(spark, d):
+    return _options(spark, d)[1].withColumn("page", C("page").cast("long"))
+
+
+@query(
+    f"""WITH f AS ({_OPTION_FAULT}) SELECT 'C' || p_partkey || '-29FEB24-' || (p_partkey % 50 + 1) || CASE WHEN p_partkey % 2 = 0 THEN '-C' ELSE '-P' END || CASE WHEN p_partkey % 3 = 0 THEN '-USDT' ELSE '' END AS symbol,
+    CASE WHEN p_partkey % 2 = 0 THEN 'call' ELSE 'put' END AS option_kind, (p_partkey % 50 + 1)::VARCHAR AS strike, 1709251199999000000 AS expiry_ns FROM part
+    WHERE p_partkey // 20 NOT IN (SELECT page FROM f WHERE fault IS NOT NULL)"""
+)
+def n11_bybit_option_metadata(spark, d):
+    rows = _options(spark, d)[0]
+    return rows.select("symbol", "option_kind", metadata.option_identity(C("symbol"))["strike"].alias("strike"), "expiry_ns")
+
+
 # ---- row contracts ------------------------------------------------------------------------------------------
 
 

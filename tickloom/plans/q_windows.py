@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickloom.operators import digests, sets, windows
+from tickloom.operators import digests, replay, sets, windows
 from tickloom.plans import views as V
 from tickloom.plans.registry import query
 
@@ -225,6 +225,37 @@ def t1_records_and_gaps(spark, d):
     return sets.with_markers(records, marks, ["at_ns", "id"]).select("at_ns", "kind", "id")
 
 
+_REPLAY = ["source_id", "instrument_uid"]
+_REPLAY_SQL = """SELECT *, row_number() OVER w AS place, (least(sum(k) OVER w - k, (SELECT count(*) FROM r) - 1) // 500)::BIGINT AS page FROM
+    (SELECT *, 'gap' AS kind, 0 AS k FROM g UNION ALL SELECT *, 'record', 1 FROM r) WINDOW w AS (ORDER BY source_id, instrument_uid, at_ns, k, channel_id, id ROWS UNBOUNDED PRECEDING)"""
+_REPLAY_ROWS = """r AS (SELECT source_id, instrument_uid, received_time_ns AS at_ns, channel_id, lpad(native_trade_id::VARCHAR, 12, '0') AS id FROM trades),
+    g AS (SELECT source_id, instrument_uid, start_ns AS at_ns, channel_id, gap_id AS id FROM gaps)"""
+
+
+def _replay(spark, d):
+    shared = [*_REPLAY, "at_ns", "channel_id", "id"]
+    records = V.trades(spark, d).withColumns({"at_ns": F.col("received_time_ns"), "id": F.lpad(F.col("native_trade_id").cast("string"), 12, "0")}).select(shared)
+    marks = V.gaps(spark, d).withColumns({"at_ns": F.col("start_ns"), "id": F.col("gap_id")}).select(shared)
+    return replay.pages(records, marks, _REPLAY, "at_ns", ["channel_id", "id"], 500)
+
+
+@query(f"WITH {_REPLAY_ROWS} SELECT id, kind, place, page FROM ({_REPLAY_SQL})", ["trades", "gaps"])
+def t1_replay(spark, d):
+    """The whole dataset in the order of a replay, in pages of 500 records with the gaps between them."""
+    return _replay(spark, d).select("id", "kind", "place", "page")
+
+
+@query(
+    f"""WITH {_REPLAY_ROWS}, p AS ({_REPLAY_SQL}) SELECT page, count(*) FILTER (kind = 'record') AS records, count(*) FILTER (kind = 'gap') AS gaps,
+    max_by(id, place) FILTER (kind = 'record') AS last_id, page < (SELECT max(page) FROM p) AS has_more, NULL::VARCHAR AS fault FROM p GROUP BY page""",
+    ["trades", "gaps"],
+)
+def w11_replay_pages(spark, d):
+    """All pages of the replay, each checked in itself and against the one before."""
+    found = replay.checked(_replay(spark, d), [*_REPLAY, "at_ns", "channel_id", "id"], 500)
+    return found.select("page", "records", "gaps", F.col("last_key.id").alias("last_id"), "has_more", "fault")
+
+
 def _ledgers(spark, d):
     o = V.opportunities(spark, d)
     archived = o.where("opportunity_id % 3 = 0").withColumn("outcome", F.when(F.col("opportunity_id") % 30 == 0, "other").otherwise(F.col("outcome")))
