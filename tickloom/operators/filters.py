@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import liquidation_window_fits
+from tickloom.functions.scalars import QUALITY_FLAGS, liquidation_window_fits
 
 #: Limits of one bounded query. Fixed values.
 MOST_SOURCES, MOST_CHANNELS, MOST_INSTRUMENTS, MOST_ROWS, MOST_NS = 64, 64, 256, 10_000, 24 * 3_600_000_000_000
@@ -33,6 +33,10 @@ HEALTH_STATUSES = (
     "contiguous", "gap", "valid", "invalid", "available", "unavailable", "current", "stale", "associated", "unassociated", "idle", "pressured",
     "queued", "committed",
 )
+#: Longest identities in bytes, and what the common columns of a row may say. Fixed values.
+MOST_BYTES = {"schema_name": 64, "source_id": 128, "channel_id": 128, "instrument_uid": 256, "mapper_version": 128}
+EPOCH_KINDS = ("connection", "poll_cycle")
+TIME_RESOLUTIONS = ("absent", "nanosecond", "microsecond", "millisecond", "second")
 ORDER = ("source_id", "instrument_uid", "received_time_ns", "epoch_id", "arrival_ordinal", "message_ordinal", "event_id")
 
 
@@ -132,14 +136,48 @@ def _positive(*names: str) -> Column:
     return rule
 
 
+def identity(name: str, optional: bool = False) -> Column:
+    """Whether a text is there (unless ``optional``), within its bound of bytes and free of NUL."""
+    text = F.col(name)
+    fits = (F.octet_length(text) <= MOST_BYTES[name]) & ~F.contains(text, F.lit("\0"))
+    return F.coalesce(fits, F.lit(True)) if optional else (F.length(text) > 0) & fits
+
+
 def common_rules() -> dict[str, Column]:
     return {
-        "source": F.length("source_id") > 0,
-        "instrument": F.length("instrument_uid") > 0,
+        "source": identity("source_id"),
+        "instrument": identity("instrument_uid"),
         "receive_time": F.col("received_time_ns") > 0,
     }
 
 
+def metadata_rules(hashes: Sequence[str], instrument_optional: bool = False, most_flags: int = 64) -> dict[str, Column]:
+    """Rules of the columns that rows of all families share.
+
+    ``hashes`` name the columns of immutable identities: 64 lowercase hex digits, not all zero. An exchange time is there
+    exactly if its resolution is not absent; a source time always has a resolution. Flags are ascending and known.
+    """
+    sealed = F.lit(True)
+    for h in hashes:
+        sealed = sealed & F.col(h).rlike(r"^(?!0{64})[0-9a-f]{64}\z")
+    flags = F.col("quality_flags")
+    known = F.forall(flags, lambda x: x.isin(*QUALITY_FLAGS))
+    return {
+        "schema": identity("schema_name"),
+        "source": identity("source_id"),
+        "channel": identity("channel_id"),
+        "instrument": identity("instrument_uid", instrument_optional),
+        "ordinal": F.col("arrival_ordinal") > 0,
+        "receive_time": F.col("received_time_ns") >= 0,
+        "mapper": identity("mapper_version"),
+        "epoch": F.col("epoch_kind").isin(*EPOCH_KINDS) & (F.length("epoch_id") > 0),
+        "immutable": sealed,
+        "exchange_time": F.col("exchange_resolution").isin(*TIME_RESOLUTIONS) & (F.col("exchange_time_ns").isNotNull() == (F.col("exchange_resolution") != "absent")),
+        "source_time": F.col("source_resolution").isin(*TIME_RESOLUTIONS[1:]),
+        "flags": (F.size(flags) <= most_flags) & known & (flags == F.array_sort(F.array_distinct(flags))),
+    }
+
+
 def contract(family: str) -> dict[str, Column]:
     """The rules of a family, over its own column names."""
     own: dict[str, dict[str, Column]] = {

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tickloom.functions import scalars as X
 from tickloom.operators import filters, metadata, venues
 from tickloom.operators import normalize as N
 from tickloom.plans import messages as G
@@ -418,6 +419,35 @@ def _contract_sql(*rules):
     return "SELECT native_trade_id, concat_ws(',', " + ", ".join(f"CASE WHEN NOT coalesce({rule}, false) THEN '{name}' END" for name, rule in rules) + ") AS broken FROM trades"
 
 
+_K = "native_trade_id"
+
+
+@query(
+    _contract_sql(
+        ("schema", f"{_K} % 31 <> 1"), ("source", f"{_K} % 31 <> 2"), ("channel", f"{_K} % 31 <> 3"), ("instrument", f"{_K} % 31 NOT IN (4, 5)"), ("ordinal", f"{_K} % 31 <> 6"), ("receive_time", "true"),
+        ("mapper", f"{_K} % 31 <> 7"), ("epoch", f"{_K} % 31 <> 8"), ("immutable", f"{_K} % 31 NOT IN (9, 10)"), ("exchange_time", f"{_K} % 31 <> 11"), ("source_time", f"{_K} % 31 <> 12"),
+        ("flags", f"{_K} % 31 NOT IN (13, 14)"),
+    ),
+    ["trades"],
+)
+def f8_common_contract(spark, d):
+    """The columns that all families share, each broken in one way or two: too long, empty, NUL, no digest, no resolution, flags."""
+    k = C("native_trade_id") % 31
+    bad = lambda n, wrong, right: F.when(k == n, wrong).otherwise(right)
+    long, good = F.repeat(L("é"), 65), F.sha2("instrument_uid", 256)
+    flags = F.when(k == 13, F.array(*map(L, sorted(X.QUALITY_FLAGS, reverse=True)[:2]))).when(k == 14, F.array(L("odd"))).when(k == 15, F.array().cast("array<string>")).otherwise(F.array(*map(L, sorted(X.QUALITY_FLAGS)[:2])))
+    rows = V.trades(spark, d).withColumns(
+        {
+            "schema_name": bad(1, long, L("trade")), "source_id": bad(2, long, C("source_id")), "channel_id": bad(3, long, C("channel_id")),
+            "instrument_uid": F.when(k == 4, F.repeat(L("é"), 129)).when(k == 5, L("a\0b")).when(k == 16, F.repeat(L("é"), 128)).otherwise(C("instrument_uid")), "arrival_ordinal": bad(6, L(0), k + 1),
+            "mapper_version": bad(7, L(""), L("v1")), "epoch_kind": bad(8, L("odd"), _pick(filters.EPOCH_KINDS)), "segment_sha256": bad(9, F.repeat(L("0"), 64), good), "payload_sha256": bad(10, F.upper(good), good),
+            "exchange_resolution": bad(11, L("absent"), L("millisecond")), "source_resolution": bad(12, L("absent"), L("second")), "quality_flags": flags,
+        }
+    )
+    broken = filters.violations(filters.metadata_rules(["segment_sha256", "payload_sha256"]))
+    return rows.select("native_trade_id", F.array_join(broken, ",").alias("broken"))
+
+
 @query(_contract_sql(("bid", "price > 0 AND amount >= 0"), ("ask", "price + native_trade_id % 3 - 1 > 0 AND amount >= 0"), ("not_crossed", "native_trade_id % 3 = 2")), ["trades"])
 def f8_quote_contract(spark, d):
     ask = (C("price") + C("native_trade_id") % 3 - 1).cast("decimal(38,18)")
