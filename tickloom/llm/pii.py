@@ -1,8 +1,7 @@
 """Personal data: fixed patterns, and a linear-chain conditional random field over word shapes.
 
 The patterns give the base spans. The field reads the words around every digit and '@' and marks further
-spans whose shapes look like those of its training table (a word's shape is that of its first 48 characters, and
-words of context are looked for within 96 characters; spans themselves have no such bound): a bounded table of word chains that is labelled
+spans whose shapes look like those of its training table: a bounded table of word chains that is labelled
 by the base spans of a sample of the documents, with some spans rewritten (no country code, other
 separators, spaces around '@') so that their shapes are learnt beyond the patterns. Marked spans must also
 hold what their kind needs (digits, a check sum, an '@') and never replace or overlap a base span.
@@ -12,8 +11,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -79,14 +80,29 @@ _WORD = re.compile(r"\S+")
 _REACH, _CONTEXT = 96, 2
 
 
+def _words_before(text: str, at: int) -> list[re.Match]:
+    """The word that reaches ``at``, cut behind it, and the two whole words before it."""
+    reach = _REACH
+    while True:
+        low = max(0, at - reach)
+        words = list(_WORD.finditer(text, low, at + 1))
+        spare = len(words) - 1 - _CONTEXT
+        if low == 0 or spare > 0 or (spare == 0 and (words[0].start() > low or text[low - 1].isspace())):
+            return words[-1 - _CONTEXT :]
+        reach *= 4
+
+
 def chains(text: str) -> list[list[tuple[str, int]]]:
-    """Lists of (word, start): the words with a digit or '@', with two words around; near ones in one chain."""
+    """Lists of (word, start): the words with a digit or '@', with two words around; near ones in one chain.
+
+    Words are whole, however long. A word is looked at by the few chains next to it, so the cost is that of the text.
+    """
     windows: list[list[int]] = []
     for m in _MARKED.finditer(text):
-        low = max(0, m.start() - _REACH)
-        before = list(_WORD.finditer(text, low, m.start() + 1))[-1 - _CONTEXT :]
-        after = list(_WORD.finditer(text, m.end(), m.end() + _REACH))[:_CONTEXT]
-        start, end = before[0].start(), after[-1].end() if after else m.end()
+        start = _words_before(text, m.start())[0].start()
+        end = m.end()
+        for after in islice(_WORD.finditer(text, m.end()), _CONTEXT):
+            end = after.end()
         if windows and start <= windows[-1][1]:
             windows[-1][1] = max(end, windows[-1][1])
         else:
@@ -97,7 +113,6 @@ def chains(text: str) -> list[list[tuple[str, int]]]:
 def _shape(word: str) -> str:
     """Runs of letters as a or A, digits as 9 with the run's length up to 6, other signs as they are."""
     out, i = [], 0
-    word = word[:48]
     while i < len(word):
         c = word[i]
         kind = "9" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c
@@ -142,7 +157,8 @@ class Crf:
             found = self.emit[:, ids].sum(1)
             if len(self._rows) > 20_000:
                 self._rows.clear()
-            self._rows[word] = found
+            if len(word) <= 64:
+                self._rows[word] = found
         return found
 
     def scores(self, words: list[str]) -> np.ndarray:
@@ -189,8 +205,37 @@ class Crf:
         return out
 
 
+def marginals(e: np.ndarray, move: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(log partition sums, label probabilities, expected moves of all chains) of (chains, words, labels) scores.
+
+    Forward and backward sums run over all chains at once; ``inside`` tells words from padding.
+    """
+    top = e.shape[1]
+    a, z = np.zeros_like(e), np.zeros_like(e)
+    peak = move.max()
+    expm = np.exp(move - peak)
+
+    def through(x: np.ndarray, m: np.ndarray) -> np.ndarray:
+        high = x.max(1, keepdims=True)
+        return np.log(np.exp(x - high) @ m + 1e-300) + high + peak
+
+    a[:, 0] = e[:, 0]
+    for t in range(1, top):
+        a[:, t] = np.where(inside[:, t, None], through(a[:, t - 1], expm) + e[:, t], a[:, t - 1])
+    for t in range(top - 2, -1, -1):
+        z[:, t] = np.where(inside[:, t + 1, None], through(z[:, t + 1] + e[:, t + 1], expm.T), 0)
+    whole = a[:, -1]
+    log_z = np.log(np.exp(whole - whole.max(1, keepdims=True)).sum(1)) + whole.max(1)
+    node = np.exp(a + z - log_z[:, None, None]) * inside[:, :, None]
+    pairs = np.zeros_like(move)
+    for t in range(1, top):
+        pair = a[:, t - 1, :, None] + move + (e[:, t] + z[:, t])[:, None, :] - log_z[:, None, None]
+        pairs += (np.exp(pair) * inside[:, t, None, None]).sum(0)
+    return log_z, node, pairs
+
+
 def fit_crf(words: list[list[str]], labels: list[list[int]], steps: int = 120, rate: float = 0.15, decay: float = 1e-3) -> Crf:
-    """Maximum likelihood by Adam; forward and backward sums run over all chains at once."""
+    """Maximum likelihood by Adam."""
     counts: dict[str, int] = {}
     for chain in words:
         for w in chain:
@@ -227,27 +272,8 @@ def fit_crf(words: list[list[str]], labels: list[list[int]], steps: int = 120, r
         for o, (where, which) in enumerate(spots):
             np.add.at(e, where, emit[o, which])
         e = e.reshape(len(words), top, n_l)
-        a, z = np.zeros_like(e), np.zeros_like(e)
-        peak = move.max()
-        expm = np.exp(move - peak)
-
-        def through(x: np.ndarray, m: np.ndarray, peak: float = peak) -> np.ndarray:
-            high = x.max(1, keepdims=True)
-            return np.log(np.exp(x - high) @ m + 1e-300) + high + peak
-
-        a[:, 0] = e[:, 0]
-        for t in range(1, top):
-            a[:, t] = np.where(inside[:, t, None], through(a[:, t - 1], expm) + e[:, t], a[:, t - 1])
-        for t in range(top - 2, -1, -1):
-            z[:, t] = np.where(inside[:, t + 1, None], through(z[:, t + 1] + e[:, t + 1], expm.T), 0)
-        whole = a[:, -1]
-        log_z = np.log(np.exp(whole - whole.max(1, keepdims=True)).sum(1)) + whole.max(1)
-        node = np.exp(a + z - log_z[:, None, None]) * inside[:, :, None]
-        g_move = np.zeros_like(move)
-        for t in range(1, top):
-            pair = a[:, t - 1, :, None] + move + (e[:, t] + z[:, t])[:, None, :] - log_z[:, None, None]
-            g_move += (np.exp(pair) * inside[:, t, None, None]).sum(0)
-            g_move -= one_hot[:, t - 1].T @ one_hot[:, t]
+        _, node, pairs = marginals(e, move, inside)
+        g_move = pairs - sum(one_hot[:, t - 1].T @ one_hot[:, t] for t in range(1, top))
         apart = (node - one_hot).reshape(-1, n_l)
         g_emit = np.zeros_like(emit)
         for o, (where, which) in enumerate(spots):
@@ -263,6 +289,23 @@ def fit_crf(words: list[list[str]], labels: list[list[int]], steps: int = 120, r
 # ---- labelled table -----------------------------------------------------------------------------------
 
 
+class Near:
+    """Looks up the spans of a text by place; spans of one kind don't overlap each other."""
+
+    def __init__(self, spans: list[tuple[str, int, int]]) -> None:
+        self.kinds = [(k, [(s, e) for kind, s, e in spans if kind == k]) for k in KINDS]
+
+    def spans(self, start: int, end: int) -> list[tuple[str, int, int]]:
+        """Those that overlap a stretch, by kind as listed, then start."""
+        out = []
+        for kind, placed in self.kinds:
+            n = bisect_right(placed, start, key=lambda p: p[1])
+            while n < len(placed) and placed[n][0] < end:
+                out.append((kind, *placed[n]))
+                n += 1
+        return out
+
+
 def _labels(chain: list[tuple[str, int]], spans: list[tuple[str, int, int]]) -> list[int]:
     out = [0] * len(chain)
     for kind, start, end in spans:
@@ -296,7 +339,11 @@ def rewritten(words: list[str], labels: list[int]) -> Iterator[tuple[list[str],
 def train(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_docs: int = 6000, max_chains: int = 3000
 ) -> Crf:
-    """Label the chains of about ``max_docs`` documents, chosen by a hash of their id, and fit on ``max_chains``."""
+    """Label the chains of about ``max_docs`` documents, chosen by a hash of their id, and fit on ``max_chains``.
+
+    The sample is of chains of up to 40 words, those with a label and the first two of a text without one; this
+    bounds the labelled table only, ``find`` decodes every chain of every text.
+    """
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t")).where("doc_id IS NOT NULL AND t IS NOT NULL")
     share = max_docs / max(1, picked.count())
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
@@ -305,10 +352,12 @@ def train(
         for batch in batches:
             rows = []
             for text in batch.column(0).to_pylist():
-                spans = base_spans(text)
+                near = Near(base_spans(text))
                 for n, chain in enumerate(chains(text)):
-                    marks = _labels(chain, spans)
-                    if len(chain) <= 40 and (any(marks) or n < 2):
+                    if len(chain) > 40:
+                        continue
+                    marks = _labels(chain, near.spans(chain[0][1], chain[-1][1] + len(chain[-1][0])))
+                    if any(marks) or n < 2:
                         rows.append((" ".join(w for w, _ in chain), marks))
             texts, marks = zip(*rows, strict=True) if rows else ((), ())
             yield pa.RecordBatch.from_arrays(
@@ -342,6 +391,7 @@ def added_spans(texts: list[str], base: list[list[tuple[str, int, int]]], crf: C
     found = [chains(t) for t in texts]
     flat = [(n, chain) for n, some in enumerate(found) for chain in some]
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
+    near = [Near(b) for b in base]
     for (n, chain), path in zip(flat, crf.decode([[w for w, _ in c] for _, c in flat]), strict=True):
         t = 0
         while t < len(chain):
@@ -359,7 +409,7 @@ def added_spans(texts: list[str], base: list[list[tuple[str, int, int]]], crf: C
             while end_at > start_at and not text[end_at - 1].isalnum():
                 end_at -= 1
             kind = KINDS[(label - 1) // 2]
-            if _fits(kind, text[start_at:end_at]) and not any(s < end_at and e > start_at for _, s, e in base[n]):
+            if _fits(kind, text[start_at:end_at]) and not near[n].spans(start_at, end_at):
                 out[n].append((kind, start_at, end_at))
             t = end
     return out
@@ -381,7 +431,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added) for every row.
 
     Counts and the digest are of the base spans, ``spans`` has all of them as kind:start:end in code points.
-    A null text counts as empty and holds nothing. Repeated rows come back as often as they went in, null
+    A null text counts as empty and holds nothing; a very long one is read whole, at a cost that grows with its length.
+    Repeated rows come back as often as they went in, null
     ids stay null, other columns are not read, an empty table gives an empty result. ``crf`` is trained on
     ``docs`` if it is not given; it is bounded by its training sample and broadcast.
     """
