@@ -78,4 +78,13 @@ def test_late_rows_stay_out_of_published_hours(spark, tmp_path):
     assert published() == [(1, 0)]
     call([(3, 7), (4, 2 * hour + 5)])
     assert published() == [(1, 0), (2, 1)]
-    assert [(r.id, r.hour) for r in spark.read.parquet(f"{paths[0]}_late").collect()] == [(3, 0)]
+    late = lambda: sorted((r.id, r.hour) for r in spark.read.parquet(f"{paths[0]}_late").collect())
+    assert late() == [(3, 0)]
+    # the mark outlives the rows that set it, late rows pile up, and only open hours stay staged
+    call([(5, 9), (6, hour + 9), (7, 2 * hour + 9)])
+    assert published() == [(1, 0), (2, 1)] and late() == [(3, 0), (5, 0), (6, 1)]
+    assert sorted(r.id for r in spark.read.parquet(paths[0]).collect()) == [4, 7]
+    call([(8, 3 * hour)])
+    assert published() == [(1, 0), (2, 1), (4, 2), (7, 2)] and late() == [(3, 0), (5, 0), (6, 1)]
+    call([])
+    assert published() == [(1, 0), (2, 1), (4, 2), (7, 2)]

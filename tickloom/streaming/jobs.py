@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from tickloom.plans.views import NS_PER_HOUR
@@ -81,29 +81,43 @@ def books(stream: DataFrame, folder: str) -> DataFrame:
 def hour_files(stream: DataFrame, staging: str, published: str, time: str, checkpoint: str) -> None:
     """Batches are staged under their id, so a replayed batch replaces itself; closed hours are published once.
 
-    An hour is closed when the high-water mark of the staged rows has passed its end. ``<staging>_hours`` records the hours
-    published and the last batch that went into them; rows of later batches for such an hour never enter it but stand in
-    ``<staging>_late``. A call that ends between files and record publishes the same files again.
+    An hour is closed when the high-water mark of all rows so far has passed its end. ``<staging>_hours`` records the hours
+    published, the last batch that went into them and the mark; rows of later batches for such an hour never enter it but
+    stand in ``<staging>_late``. What is published or late leaves the staging folder, so a call reads the open hours and
+    what is new, whatever came before. A call that ends early repeats its step: the same hours are published again before
+    they are recorded, and recorded ones are only cleared away. Rows without a time wait in staging for good.
     """
     spark = stream.sparkSession
+    hour_of = F.call_function("div", F.col(time), F.lit(NS_PER_HOUR))
 
     def stage(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{staging}/batch_id={batch_id}")
+        rows = batch.withColumn("hour", hour_of).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        rows.partitionBy("hour").parquet(f"{staging}/batch_id={batch_id}")
 
     stream.writeStream.foreachBatch(stage).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    staged = spark.read.parquet(staging).withColumn("batch_id", F.col("batch_id").cast("long"))
-    rows = staged.withColumn("hour", F.call_function("div", F.col(time), F.lit(NS_PER_HOUR)))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(staging)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    exists = lambda path: files.exists(spark._jvm.org.apache.hadoop.fs.Path(path))
+    if not exists(staging):
+        return
+    columns = [f for f in stream.schema.fields if f.name not in ("batch_id", "hour")]
+    rows = spark.read.schema(StructType([*columns, StructField("batch_id", LongType()), StructField("hour", LongType())])).parquet(staging)
+    record = "hour long, upto long, high long"
+    hours = spark.read.schema(record).parquet(f"{staging}_hours") if exists(f"{staging}_hours") else spark.createDataFrame([], record)
     high, last = rows.agg(F.max(time), F.max("batch_id")).first()
-    if high is None:
+    marks = [m for m in (high, hours.agg(F.max("high")).first()[0]) if m is not None]
+    if not marks:
         return
-    record = spark._jvm.org.apache.hadoop.fs.Path(f"{staging}_hours")
-    before = record.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(record)
-    schema = "hour long, upto long"
-    hours = spark.read.schema(schema).parquet(f"{staging}_hours") if before else spark.createDataFrame([], schema)
-    rows.join(hours, "hour").where("batch_id > upto").drop("batch_id", "upto").write.mode("overwrite").parquet(f"{staging}_late")
-    closed = rows.where((F.col("hour") + 1) * NS_PER_HOUR <= high).join(hours, "hour", "left_anti")
-    new = closed.select("hour").distinct().withColumn("upto", F.lit(last).cast("long"))
-    closed = closed.drop("batch_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("hour")
+    closed = rows.where((F.col("hour") + 1) * NS_PER_HOUR <= max(marks)).join(hours, "hour", "left_anti")
+    new = closed.select("hour").distinct().select("hour", F.lit(last).cast("long").alias("upto"), F.lit(max(marks)).cast("long").alias("high"))
+    new = spark.createDataFrame(new.collect(), record)  # as many rows as hours that close in this call
+    replace = lambda out, *by: out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
     if not new.isEmpty():
-        closed.parquet(published)
-        new.write.mode("append").parquet(f"{staging}_hours")
+        replace(closed.drop("batch_id"), "hour").parquet(published)
+        new.coalesce(1).write.mode("append").parquet(f"{staging}_hours")
+    if not exists(f"{staging}_hours"):
+        return
+    done = rows.join(spark.read.schema(record).parquet(f"{staging}_hours"), "hour")
+    replace(done.where("batch_id > upto").drop("upto", "high"), "batch_id", "hour").parquet(f"{staging}_late")
+    for r in done.select("batch_id", "hour").distinct().toLocalIterator():  # the folders to delete
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{staging}/batch_id={r.batch_id}/hour={r.hour}"), True)
