@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from tickloom.plans.views import NS_PER_HOUR
@@ -81,43 +81,45 @@ def books(stream: DataFrame, folder: str) -> DataFrame:
 def hour_files(stream: DataFrame, staging: str, published: str, time: str, checkpoint: str) -> None:
     """Batches are staged under their id, so a replayed batch replaces itself; closed hours are published once.
 
-    An hour is closed when the high-water mark of all rows so far has passed its end. ``<staging>_hours`` records the hours
-    published, the last batch that went into them and the mark; rows of later batches for such an hour never enter it but
-    stand in ``<staging>_late``. What is published or late leaves the staging folder, so a call reads the open hours and
-    what is new, whatever came before. A call that ends early repeats its step: the same hours are published again before
-    they are recorded, and recorded ones are only cleared away. Rows without a time wait in staging for good.
+    An hour is closed when the high-water mark of all rows so far has passed its end. ``<staging>_hours`` holds the hours
+    published and, for each call, the last batch it saw and the mark. Rows of later batches for a published hour never
+    enter it but stand in ``<staging>_late``. What stays open goes to ``<staging>_open`` and the batches are deleted, so a
+    call reads open hours and new batches only, whatever came before. A call that ends before its record does its work
+    again into the same places; one that ends after it leaves files that nobody reads. Rows without a time stay open.
     """
     spark = stream.sparkSession
-    hour_of = F.call_function("div", F.col(time), F.lit(NS_PER_HOUR))
 
     def stage(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("hour", hour_of).write.mode("overwrite").option("partitionOverwriteMode", "static")
-        rows.partitionBy("hour").parquet(f"{staging}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{staging}/{batch_id}")
 
     stream.writeStream.foreachBatch(stage).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    folder = spark._jvm.org.apache.hadoop.fs.Path(staging)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    exists = lambda path: files.exists(spark._jvm.org.apache.hadoop.fs.Path(path))
-    if not exists(staging):
-        return
-    columns = [f for f in stream.schema.fields if f.name not in ("batch_id", "hour")]
-    rows = spark.read.schema(StructType([*columns, StructField("batch_id", LongType()), StructField("hour", LongType())])).parquet(staging)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(staging).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    listed = lambda folder: [int(f.getPath().getName()) for f in files.listStatus(path(folder))] if files.exists(path(folder)) else []
     record = "hour long, upto long, high long"
-    hours = spark.read.schema(record).parquet(f"{staging}_hours") if exists(f"{staging}_hours") else spark.createDataFrame([], record)
-    high, last = rows.agg(F.max(time), F.max("batch_id")).first()
-    marks = [m for m in (high, hours.agg(F.max("high")).first()[0]) if m is not None]
-    if not marks:
-        return
-    closed = rows.where((F.col("hour") + 1) * NS_PER_HOUR <= max(marks)).join(hours, "hour", "left_anti")
-    new = closed.select("hour").distinct().select("hour", F.lit(last).cast("long").alias("upto"), F.lit(max(marks)).cast("long").alias("high"))
-    new = spark.createDataFrame(new.collect(), record)  # as many rows as hours that close in this call
-    replace = lambda out, *by: out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
-    if not new.isEmpty():
-        replace(closed.drop("batch_id"), "hour").parquet(published)
-        new.coalesce(1).write.mode("append").parquet(f"{staging}_hours")
-    if not exists(f"{staging}_hours"):
+    known = spark.read.schema(record).parquet(f"{staging}_hours") if files.exists(path(f"{staging}_hours")) else spark.createDataFrame([], record)
+    before, mark = known.agg(F.max("upto"), F.max("high")).first()
+    new = sorted(n for n in listed(staging) if before is None or n > before)
+    if not new:
         return
-    done = rows.join(spark.read.schema(record).parquet(f"{staging}_hours"), "hour")
-    replace(done.where("batch_id > upto").drop("upto", "high"), "batch_id", "hour").parquet(f"{staging}_late")
-    for r in done.select("batch_id", "hour").distinct().toLocalIterator():  # the folders to delete
-        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{staging}/batch_id={r.batch_id}/hour={r.hour}"), True)
+    columns = stream.schema.names
+    rows = spark.read.schema(stream.schema).parquet(*(f"{staging}/{n}" for n in new))
+    if before is not None:
+        rows = rows.unionByName(spark.read.schema(stream.schema).parquet(f"{staging}_open/{before}"))
+    high = max((m for m in (rows.agg(F.max(time)).first()[0], mark) if m is not None), default=None)
+    hours = known.select(F.col("hour").alias("__published")).where("hour IS NOT NULL")
+    hour = F.call_function("div", F.col(time), F.lit(NS_PER_HOUR))
+    rows = rows.withColumn("hour", hour).join(hours, F.col("hour") == F.col("__published"), "left")
+    closes = F.coalesce((F.col("hour") + 1) * NS_PER_HOUR <= F.lit(high).cast("long"), F.lit(False))
+    is_late, is_open = F.col("__published").isNotNull(), F.col("__published").isNull() & ~closes
+    closed = rows.where(~is_late & closes).select(*columns, "hour")
+    write = lambda out: out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    write(closed.hint("rebalance", "hour")).partitionBy("hour").parquet(published)
+    write(rows.where(is_late).select(*columns, "hour", F.lit(new[-1]).alias("batch_id"))).partitionBy("batch_id").parquet(f"{staging}_late")
+    rows.where(is_open).select(*columns).write.mode("overwrite").parquet(f"{staging}_open/{new[-1]}")
+    done = closed.select("hour").distinct().unionByName(spark.createDataFrame([(None,)], "hour long"))
+    done = done.select("hour", F.lit(new[-1]).cast("long").alias("upto"), F.lit(high).cast("long").alias("high"))
+    done.coalesce(1).write.mode("append").parquet(f"{staging}_hours")
+    old = [f"{staging}/{n}" for n in listed(staging) if n <= new[-1]] + [f"{staging}_open/{n}" for n in listed(f"{staging}_open") if n != new[-1]]
+    for folder in old:
+        files.delete(path(folder), True)
