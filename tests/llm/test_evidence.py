@@ -1,15 +1,16 @@
-"""Personal data and shards against brute force, and the quality of added spans on planted forms."""
+"""Personal data and shards against brute force, added spans on planted forms, page labels under lost tags and names."""
 
 import hashlib
 import math
 import random
 import time
 from itertools import product
+from pathlib import Path
 
 import numpy as np
 import pytest
 
-from tickloom.llm import pii, secrets, sharding
+from tickloom.llm import html_text, pii, secrets, sharding
 
 SCHEMA = "doc_id long, text string, source string"
 
@@ -170,3 +171,47 @@ def test_shards_are_those_of_a_walk_through_the_tree(spark):
     for tree in (sharding.regular_tree(8), sharding.with_shard(sharding.regular_tree(8), 8), odd):
         rows = spark.range(1500).select("id", sharding.shard_of(F.col("id"), tree).alias("s")).collect()
         assert [r.s for r in rows] == [plain_shard(r.id, tree) for r in rows]
+
+
+# ---- 4 -------------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.1").exists(), reason="no test tables here")
+def test_the_cut_helps_where_tags_and_names_are_lost(spark):
+    """Trained on one half of the pages and held against forgetful copies of all pages of the other half: 98.34 % alone, 98.45 % by the cut."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    model = html_text.train(pages.where("page_id % 2 = 0"))
+    unseen = html_text.sample(pages.where("page_id % 2 = 1"), "page_id", "html", 2000)
+    by = html_text.agreement(unseen, model.weights, (0.0, model.smooth))
+    (n, alone, none), (_, cut, moved) = by[0.0], by[model.smooth]
+    print(f"{n} blocks, right alone {alone}, right by the cut {cut}, moved by the cut {moved}")
+    assert none == 0 and moved > n / 500
+    assert alone < cut and cut / n > 0.975
+
+
+def test_comments_within_an_article_stay_out_and_trust_is_bounded():
+    page = """<body><div class="content"><main><article class="entry"><h1>Title of it</h1><p>A paragraph of some length, which says a thing or two.</p>
+    <section id="comments"><div><p>Reader one: a long remark, which is as much like text as the paragraphs are, in every way.</p></div></section>
+    <p>Another paragraph, of about the same length as the first one.</p></article></main></div></body>"""
+    rng, whole = np.random.default_rng(3), html_text.blocks(page)
+    assert [b.odds > 0 for b in whole] == [True, True, False, True]
+    features = np.repeat(html_text.features(whole), 5, 0)
+    weights = html_text.fit(features, rng.integers(0, 2, len(features)), np.ones(len(features)))
+    tree = weights[html_text.TEXT :]
+    assert (tree >= html_text.TRUST[0]).all() and (tree <= html_text.TRUST[1]).all()
+    likes_text = np.concatenate([np.full(html_text.TEXT, 9.0), html_text.TRUST[1]])
+    likes_text[html_text.TEXT + 1 : html_text.TEXT + 3] = html_text.TRUST[0, 1:3]
+    assert html_text.costs(whole, likes_text)[2] < 0
+    assert "remark" not in html_text.main_text(page, html_text.PRIOR)
+
+
+def test_forgetful_copies_keep_blocks_and_fit_recovers_a_rule():
+    page = "".join(f'<{t} class="{c}"><p>Block {i} of text.</p></{t}>' for i, (t, c) in enumerate([("nav", "menu"), ("article", "post"), ("div", "ad"), ("aside", "")] * 8))
+    for n, (found, labels) in enumerate(html_text.examples(page, -5, 3)):
+        assert [b.text for b in found] == [f"Block {i} of text." for i in range(32)] and labels == [0, 1, 0, 0] * 8
+        assert n == 0 or any(b.tree != w.tree for b, w in zip(found, html_text.blocks(page), strict=True))
+    rng = np.random.default_rng(5)
+    x = np.hstack([rng.normal(size=(400, html_text.TEXT)), np.zeros((400, html_text.TREE))])
+    y = (x[:, 2] > x[:, 0]).astype(int)
+    once, twice = html_text.fit(x, y, np.full(400, 2.0)), html_text.fit(np.repeat(x, 2, 0), np.repeat(y, 2), np.ones(800))
+    assert np.allclose(once, twice) and ((x @ once > 0) == y).mean() > 0.98

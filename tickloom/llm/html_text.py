@@ -4,8 +4,13 @@ A page becomes a row of text blocks with their place in the document tree. A cla
 cost of calling it content and of calling it boilerplate; these are its capacities to the two terminals.
 Neighbouring blocks and blocks under one parent are joined by edges whose capacity grows with how much of
 their tree path they share. The minimum cut, found by maximum flow, is the cheapest labelling in which close
-blocks agree. The classifier adds fixed odds for what the tree says (an article, a menu, an advert) to odds
-learnt from what the text is like.
+blocks agree. The classifier is a logistic regression over what the text is like and what the tree says (an
+article, a menu, an advert). The odds of tags and words below are its prior: they are the costs of what the
+training never saw, and the training says how far tags and names are to be trusted.
+
+It learns from pages whose tree labels most blocks clearly, and from copies of them in which the tags and names
+of some elements are forgotten and a few names are exchanged, under the labels of the whole page. So costs are
+moderate where the tree says little, and there the edges count; how much is fitted on the same copies.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from __future__ import annotations
 import html
 import re
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,6 +41,7 @@ INLINE = frozenset(
 #: Log odds of content for a block below a tag, and below an element named with a word.
 TAG_ODDS = {"article": 4.0, "main": 3.0, "nav": -9.0, "footer": -9.0, "aside": -9.0, "form": -9.0, "button": -9.0, "select": -9.0}
 TAG_ODDS |= {"head": -20.0, "title": -20.0, "menu": -9.0, "dialog": -9.0, "header": -3.0, "h1": 1.0, "blockquote": 1.0, "figcaption": -0.5, "p": 1.5, "pre": 1.5, "h2": 1.0, "h3": 1.0}
+PROSE = frozenset("h1 h2 h3 blockquote figcaption p pre".split())
 WORD_ODDS = dict.fromkeys(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs "
     "sidebar footer comment comments reply replies disqus cookie cookies consent notice notices popup modal newsletter subscribe signup login "
@@ -45,6 +51,12 @@ WORD_ODDS = dict.fromkeys(
 WORD_ODDS |= dict.fromkeys("article content entry post story main maincontent articlebody".split(), 3.0)
 
 
+#: Odds by the elements around a block: the strongest tag or name for content, sums of tags and of names against it,
+#: sum of the tags of running text.
+Tree = tuple[float, float, float, float]
+TEXT, TREE = 9, 4
+
+
 @dataclass
 class Block:
     text: str
@@ -52,10 +64,23 @@ class Block:
     parent: int
     depth: int  # how many elements are open, and how many of these were open since the block before
     common: int
-    odds: float  # what the tree says
+    tree: Tree  # what the tree says
     link_share: float
     tag: str
 
+    @property
+    def odds(self) -> float:
+        """Log odds of content by the prior."""
+        return sum(self.tree)
+
+
+@dataclass(frozen=True)
+class Model:
+    """Weights of the features of text and tree, and the capacity of an edge between blocks of one element."""
+
+    weights: np.ndarray
+    smooth: float
+
 
 def name_odds(attributes: str) -> float:
     """Log odds by the words of an element's names.
@@ -127,11 +152,14 @@ def tags(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
         at = page.find("<", max(end, at + 1))
 
 
-def blocks(page: str) -> list[Block]:
-    """Text blocks in page order; scripts, styles, markup and hidden parts are left out."""
+def blocks(page: str, seen: Callable[[str, str], tuple[str, str]] | None = None) -> list[Block]:
+    """Text blocks in page order; scripts, styles, markup and hidden parts are left out.
+
+    ``seen`` says which tag and attributes an element is taken to have when odds are given, blocks stay the same.
+    """
     out: list[Block] = []
     # tag, number, odds of it and what is around it, whether it is hidden, whether it lies in an article
-    stack: list[tuple[str, int, float, bool, bool]] = [("", 0, 0.0, False, False)]
+    stack: list[tuple[str, int, Tree, bool, bool]] = [("", 0, (0.0,) * TREE, False, False)]
     open_tags: dict[str, int] = {}
     parts: list[str] = []
     linked, serial, in_link, common = 0, 0, 0, 0
@@ -140,11 +168,11 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked, common
         raw = "".join(parts)
         text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
-        tag, number, odds, unseen, _ = stack[-1]
+        tag, number, tree, unseen, _ = stack[-1]
         if text and not unseen:
             parent = stack[-2][1] if len(stack) > 1 else -1
             depth = len(stack) - 1
-            out.append(Block(text, number, parent, depth, common, odds, min(1.0, linked / len(text)), tag))
+            out.append(Block(text, number, parent, depth, common, tree, min(1.0, linked / len(text)), tag))
             common = depth
         parts.clear()
         linked = 0
@@ -181,14 +209,20 @@ def blocks(page: str) -> list[Block]:
             if stack[-1][0] == "p" or stack[-1][0] == tag and tag in ("li", "tr", "td", "th", "dt", "dd", "option"):
                 pop()
             _, _, around, unseen, in_article = stack[-1]
-            odds = 0.0 if tag == "header" and in_article else TAG_ODDS.get(tag, 0.0)
-            if attributes:
-                named = name_odds(attributes)
-                odds += max(named, 0.0) if tag in ("article", "main", "body", "html") else named
-                unseen = unseen or hidden(attributes)
+            kind, names = seen(tag, attributes) if seen else (tag, attributes)
+            tagged = 0.0 if kind == "header" and in_article else TAG_ODDS.get(kind, 0.0)
+            named = name_odds(names) if names else 0.0
+            if kind in ("article", "main", "body", "html"):
+                named = max(named, 0.0)
+            tree = around
+            if tagged or named:
+                prose = tagged if kind in PROSE else 0.0
+                tagged -= prose
+                tree = (max(around[0], tagged, named), around[1] + min(tagged, 0.0), around[2] + min(named, 0.0), around[3] + prose)
+            unseen = unseen or hidden(attributes)
             serial += 1
             if not attributes.endswith("/"):
-                stack.append((tag, serial, around + odds, unseen, in_article or tag == "article"))
+                stack.append((tag, serial, tree, unseen, in_article or kind == "article"))
                 open_tags[tag] = open_tags.get(tag, 0) + 1
     if done < len(page):
         parts.append(page[done:])
@@ -219,18 +253,52 @@ def text_features(found: list[Block]) -> np.ndarray:
     return np.hstack([own, before, after, np.ones((len(found), 1))])
 
 
-def fit_text(features: np.ndarray, labels: np.ndarray, counts: np.ndarray, steps: int = 25) -> np.ndarray:
-    """Logistic regression of rows that stand for ``counts`` blocks each, by Newton steps with a small penalty."""
-    w = np.zeros(features.shape[1] if features.ndim == 2 and len(features) else 9)
+def features(found: list[Block]) -> np.ndarray:
+    """Features of the text, then odds of the tree, bounded so that deep nesting is not endless trust."""
+    tree = np.array([b.tree for b in found], float).reshape(len(found), TREE)
+    return np.hstack([text_features(found), np.clip(tree, -20.0, [4.0, 0.0, 0.0, 2.0])])
+
+
+def costs(found: list[Block], weights: np.ndarray) -> np.ndarray:
+    """Log odds of content. What a text is like has a bounded say. Weights of the text alone leave the tree's at the prior."""
+    given = features(found)
+    return np.clip(given[:, :TEXT] @ weights[:TEXT], -1.4, 2.5) + given[:, TEXT:] @ [*weights[TEXT:], *PRIOR[len(weights) :]]
+
+
+PRIOR = np.repeat([0.0, 1.0], [TEXT, TREE])
+#: How far the tree is trusted at least and at most. A block of comments in an article stays out within these bounds
+#: whatever its text is like, edges aside: 0.85 * 9 > 0.75 * (4 + 1.5) + 2.5.
+TRUST = np.array([[0.25, 0.85, 0.85, 0.25], [0.75, 1.0, 1.0, 0.75]])
+
+
+def fit(features: np.ndarray, labels: np.ndarray, counts: np.ndarray, steps: int = 25) -> np.ndarray:
+    """Logistic regression of rows that stand for ``counts`` blocks each, by Newton steps with a small pull to the prior."""
+    w = PRIOR.copy()
     if len(np.unique(labels)) < 2:
         return w
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(features @ w, -30, 30)))
         hessian = features.T @ (features * (counts * p * (1 - p))[:, None]) + 1.0 * np.eye(len(w))
-        w = w + np.linalg.solve(hessian, features.T @ (counts * (labels - p)) - 1.0 * w)
+        w = w + np.linalg.solve(hessian, features.T @ (counts * (labels - p)) - 1.0 * (w - PRIOR))
+        w[TEXT:] = np.clip(w[TEXT:], *TRUST)
     return w
 
 
+def forgetful(rng: np.random.Generator, share: float = 0.5, wrong: float = 0.05) -> Callable[[str, str], tuple[str, str]]:
+    """Elements lose their telling tag, and their names, with a chance of ``share`` each, or get a name of the other kind."""
+
+    def seen(tag: str, attributes: str) -> tuple[str, str]:
+        lost, kept, swapped = rng.random(3)
+        odds = name_odds(attributes) if attributes else 0.0
+        if odds and swapped < wrong:
+            attributes = 'class="ad"' if odds > 0 else 'class="content"'
+        elif kept < share:
+            attributes = ""
+        return ("div" if lost < share and tag in TAG_ODDS and tag not in ("title", "head") else tag), attributes
+
+    return seen
+
+
 def min_cut(source: list[float], sink: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     """Which nodes stay with the source in a minimum cut; edges carry their capacity both ways.
 
@@ -309,12 +377,9 @@ def _source_side(part: list[int], net: list[float], room: list[dict[int, float]]
     return closed
 
 
-def main_text(page: str | None, weights: np.ndarray, smooth: float = 1.5) -> str:
-    """Content blocks of a page, one per line."""
-    found = blocks(page or "")
-    if not found:
-        return ""
-    odds = np.clip(text_features(found) @ weights, -1.4, 2.5) + np.array([max(-20.0, b.odds) for b in found])
+def label(found: list[Block], weights: np.ndarray, smooth: float) -> list[bool]:
+    """Whether each block is content, by the minimum cut."""
+    odds = costs(found, weights)
     edges, last = [], {}
     for i, b in enumerate(found):
         if i:  # the share of the longer tree path that two neighbours have in common
@@ -323,56 +388,104 @@ def main_text(page: str | None, weights: np.ndarray, smooth: float = 1.5) -> str
             same = b.depth if b.element == found[before].element else b.depth - 1
             edges.append((before, i, smooth * (same + 1) / (b.depth + 1) / 2))
         last[b.parent] = i
-    content = min_cut(np.maximum(odds, 0).tolist(), np.maximum(-odds, 0).tolist(), edges)
-    return "\n".join(b.text for b, kept in zip(found, content, strict=True) if kept)
+    return min_cut(np.maximum(odds, 0).tolist(), np.maximum(-odds, 0).tolist(), edges)
+
+
+def main_text(page: str | None, weights: np.ndarray, smooth: float = 1.5) -> str:
+    """Content blocks of a page, one per line."""
+    found = blocks(page or "")
+    return "\n".join(b.text for b, kept in zip(found, label(found, weights, smooth), strict=True) if kept) if found else ""
+
+
+def examples(page: str, page_seed: int, copies: int) -> Iterator[tuple[list[Block], list[int | None]]]:
+    """A page and its forgetful copies, each with the labels of the whole page; None where the tree is not clear."""
+    whole = blocks(page)
+    labels = [int(b.odds > 0) if abs(b.odds) >= 2 else None for b in whole]
+    rng = np.random.default_rng(page_seed % (1 << 32))
+    for n in range(copies + 1):
+        yield (blocks(page, forgetful(rng)) if n else whole), labels
+
+
+SMOOTH = (0.25, 0.5, 0.75, 1.0, 1.25, 1.5)
+
+
+def agreement(pages: DataFrame, weights: np.ndarray, smooth: tuple[float, ...], copies: int = 2) -> dict[float, tuple[int, int, int]]:
+    """For each edge capacity: (blocks of forgetful copies, labelled right by the cut, labelled other than by their own cost).
+
+    ``pages`` has the columns (html, seed).
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((len(smooth), 3), int)
+        for batch in batches:
+            for page, seed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for n, (found, labels) in enumerate(examples(page, seed, copies)):
+                    if not n or not found:
+                        continue
+                    alone = costs(found, weights) > 0
+                    for at, c in enumerate(smooth):
+                        cut = label(found, weights, c)
+                        clear = [(x, y, z) for x, y, z in zip(cut, labels, alone, strict=True) if y is not None]
+                        sums[at] += (len(clear), sum(x == y for x, y, _ in clear), sum(x != z for x, _, z in clear))
+        yield pa.RecordBatch.from_arrays([pa.array(smooth), *(pa.array(sums[:, i]) for i in range(3))], ["smooth", "n", "right", "moved"])
+
+    rows = pages.mapInArrow(run, "smooth double, n long, right long, moved long").groupBy("smooth").sum("n", "right", "moved").collect()
+    return {r[0]: tuple(r[1:]) for r in rows}
+
+
+def sample(pages: DataFrame, id_col: str, html_col: str, max_pages: int) -> DataFrame:
+    """(html, seed) of about ``max_pages`` pages, chosen by a hash of their id."""
+    picked = pages.select(F.xxhash64(F.col(id_col)).alias("seed"), F.col(html_col).alias("html")).where("html IS NOT NULL")
+    share = max_pages / max(1, picked.count())
+    draw = F.pmod(F.col("seed"), F.lit(1 << 30)) / float(1 << 30)
+    return picked.where(draw < share).select("html", "seed").limit(2 * max_pages)
 
 
 def train(
-    pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = 600, max_rows: int = 60_000
-) -> np.ndarray:
-    """Weights of the text features from about ``max_pages`` pages, chosen by a hash of their id.
+    pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = 600, max_rows: int = 60_000, copies: int = 2
+) -> Model:
+    """The model from about ``max_pages`` pages, chosen by a hash of their id.
 
     Equal feature rows are counted in Spark; at most ``max_rows`` different ones are used, chosen by a hash.
 
-    Blocks that the tree marks clearly either way are the examples; the weights then speak for blocks about
-    which the tree says nothing.
+    Blocks that the tree of the whole page marks clearly either way are the examples, as the page has them and as
+    ``copies`` forgetful copies have them. The capacity of edges is the one of ``SMOOTH`` that labels most blocks of
+    the copies right, the smallest of equals.
     """
-    picked = pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")).where("html IS NOT NULL")
-    share = max_pages / max(1, picked.count())
-    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
+    picked = sample(pages, id_col, html_col, max_pages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for page in batch.column(0).to_pylist():
-                found = blocks(page)
-                for b, f in zip(found, text_features(found), strict=True):
-                    if abs(b.odds) >= 2:
-                        rows.append((f.tolist(), int(b.odds > 0)))
+            for page, seed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for found, labels in examples(page, seed, copies):
+                    rows += [(f.tolist(), y) for f, y in zip(features(found), labels, strict=True) if y is not None]
             f, y = zip(*rows, strict=True) if rows else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(f, pa.list_(pa.float64())), pa.array(y, pa.int32())], ["f", "y"])
 
-    rows = picked.where(draw < share).select("html").limit(2 * max_pages).mapInArrow(run, "f array<double>, y int")
+    rows = picked.mapInArrow(run, "f array<double>, y int")
     sums = rows.groupBy("f", "y").count().orderBy(F.xxhash64("f", "y"), "f", "y").limit(max_rows).collect()
-    features = np.array([r.f for r in sums], float)
-    return fit_text(features, np.array([r.y for r in sums]), np.array([r[2] for r in sums], float))
+    table = np.array([r.f for r in sums], float).reshape(len(sums), TEXT + TREE)
+    weights = fit(table, np.array([r.y for r in sums]), np.array([r[2] for r in sums], float))
+    right = {c: found[1] for c, found in agreement(picked, weights, SMOOTH, copies).items()}
+    return Model(weights, max(sorted(right), key=right.get) if any(right.values()) else 1.5)
 
 
 def extract(
-    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", weights: np.ndarray | None = None
+    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", model: Model | None = None
 ) -> DataFrame:
     """(page_id, url, text, n_chars) for every row.
 
     A null or empty page, and one whose blocks are all boilerplate, has an empty text. Broken markup is read
     as browsers do: unclosed elements end with their parents, a tag without end is text. Repeated rows come
     back as often as they went in, null ids and urls stay null, other columns are not read, an empty table
-    gives an empty result.
+    gives an empty result. Whole pages are read, however long, in time that grows with their length.
     """
-    weights = train(pages, id_col, html_col) if weights is None else weights
+    model = train(pages, id_col, html_col) if model is None else model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(p, weights) for p in batch.column(2).to_pylist()]
+            texts = [main_text(p, model.weights, model.smooth) for p in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
                 ["page_id", "url", "text", "n_chars"],
