@@ -10,7 +10,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 
-from tickloom.llm import html_text, pii, secrets, sharding
+from tickloom.llm import ann, html_text, pii, secrets, sharding
 
 SCHEMA = "doc_id long, text string, source string"
 
@@ -215,3 +215,39 @@ def test_forgetful_copies_keep_blocks_and_fit_recovers_a_rule():
     y = (x[:, 2] > x[:, 0]).astype(int)
     once, twice = html_text.fit(x, y, np.full(400, 2.0)), html_text.fit(np.repeat(x, 2, 0), np.repeat(y, 2), np.ones(800))
     assert np.allclose(once, twice) and ((x @ once > 0) == y).mean() > 0.98
+
+
+# ---- 6 -------------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("k", [1, 5, 12])
+def test_a_slot_abandons_much_where_bounds_help_and_little_is_lost(k):
+    rng = np.random.default_rng(k)
+    centres = rng.normal(size=(30, 64)) * 2
+    vectors = centres[rng.integers(0, 30, 3000)] + rng.normal(size=(3000, 64)) * 0.4
+    rotation, _ = np.linalg.qr(rng.normal(size=(64, 64)))
+    slot, hits, shares = ann.Slot(vectors, rotation), 0, []
+    for bounded in (False, True):
+        slot.read = slot.whole = 0
+        for q in vectors[:60]:
+            apart = ann.lengths(vectors - q)
+            bound = np.sort(apart[::7])[k - 1] ** 2 * (1 + 1e-9) if bounded else np.inf
+            places = slot.scan(q @ rotation, k, bound)
+            assert len(set(places.tolist())) == len(places)
+            hits += len(set(places.tolist()) & set(apart.argsort()[:k].tolist()))
+        shares.append(slot.read / slot.whole)
+    assert hits / (2 * 60 * k) > 0.95 and shares[1] < 0.5 and shares[1] < shares[0]
+
+
+def test_first_finds_leave_out_the_own_row_and_bound_the_search():
+    rng = np.random.default_rng(2)
+    sample, ids = rng.normal(size=(50, 8)), np.arange(50) * 100
+    index = ann.Index(sample[:2], np.eye(8), 1, ids, sample)
+    for own in (0, 4900, 7):
+        near, score = index.first(own, sample[0], 10)
+        apart = ann.lengths(sample - sample[0])
+        apart[ids == own] = np.inf
+        assert set(near.tolist()) == set(ids[apart.argsort()[:10]].tolist()) and own not in near
+        assert score.max() == np.sort(apart)[9]
+    assert len(ann.Index(sample[:2], np.eye(8), 1, ids[:3], sample[:3]).first(0, sample[0], 10)[0]) == 2
+    assert len(ann.Index(sample[:2], np.eye(8), 1, ids[:0], sample[:0]).first(0, sample[0], 10)[0]) == 0
