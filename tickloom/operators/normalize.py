@@ -79,6 +79,11 @@ def state_at(message: Column, path: str) -> Column:
     return F.when(~has, "missing").when(value.isNull(), "null").when(value == "", "empty").otherwise("value")
 
 
+def _whole(read: Column, fine: Callable[[Column], Column]) -> Column:
+    """The levels if each is fine, else null; they are read once, for the test and the result."""
+    return F.get(F.transform(F.array(read), lambda r: F.when(F.coalesce(F.forall(r, fine), F.lit(False)), r)), F.lit(0))
+
+
 def levels_of(text: Column, side: str) -> Column:
     """Levels of [[price, amount, ...], ...] as structs; null if any can't be read or text is no such array."""
     pairs = F.from_json(text, "array<array<string>>")
@@ -91,7 +96,7 @@ def levels_of(text: Column, side: str) -> Column:
             strict_decimal(F.get(x, F.lit(1))).alias("amount"),
         ),
     )
-    return F.when(F.coalesce(F.forall(read, lambda x: x["price"].isNotNull() & x["amount"].isNotNull()), F.lit(False)), read)
+    return _whole(read, lambda x: x["price"].isNotNull() & x["amount"].isNotNull())
 
 
 def texted_levels_of(text: Column, side: str) -> Column:
@@ -114,8 +119,7 @@ def tagged_levels_of(text: Column, side: str) -> Column:
             F.get(x, F.lit(0)).alias("action"),
         ),
     )
-    fine = F.forall(read, lambda x: x["price"].isNotNull() & x["amount"].isNotNull() & x["action"].isin("new", "change", "delete"))
-    return F.when(F.coalesce(fine, F.lit(False)), read)
+    return _whole(read, lambda x: x["price"].isNotNull() & x["amount"].isNotNull() & x["action"].isin("new", "change", "delete"))
 
 
 def rpi_levels_of(text: Column, side: str) -> Column:
@@ -131,8 +135,7 @@ def rpi_levels_of(text: Column, side: str) -> Column:
             strict_decimal(F.get(x, F.lit(2))).alias("rpi_amount"),
         ),
     )
-    fine = F.forall(read, lambda x: x["price"].isNotNull() & x["amount"].isNotNull() & x["rpi_amount"].isNotNull())
-    return F.when(F.coalesce(fine, F.lit(False)), read)
+    return _whole(read, lambda x: x["price"].isNotNull() & x["amount"].isNotNull() & x["rpi_amount"].isNotNull())
 
 
 def named_levels_of(text: Column, side: str) -> Column:
@@ -148,8 +151,7 @@ def named_levels_of(text: Column, side: str) -> Column:
             uint(x["n"]).alias("orders"),
         ),
     )
-    fine = F.forall(read, lambda x: x["price"].isNotNull() & x["amount"].isNotNull() & x["orders"].isNotNull())
-    return F.when(F.coalesce(fine & (F.size(sides) == 2), F.lit(False)), read)
+    return F.when(F.size(sides) == 2, _whole(read, lambda x: x["price"].isNotNull() & x["amount"].isNotNull() & x["orders"].isNotNull()))
 
 
 def best_of(text: Column, name: str) -> Column:
@@ -206,9 +208,13 @@ READERS: dict[str, Callable[[Column, str], Column]] = {
 }
 
 
+def _is_role(text: Column, m: Mapping_) -> Column:
+    return F.coalesce(text.rlike(rf"^(?:{m.when[1]})\z"), F.lit(False))
+
+
 def meant(message: Column, m: Mapping_) -> Column:
     """Whether a message's role is the one that a mapping is for."""
-    return F.coalesce(text_at(message, m.when[0]).rlike(rf"^(?:{m.when[1]})\z"), F.lit(False)) if m.when else F.lit(True)
+    return _is_role(text_at(message, m.when[0]), m) if m.when else F.lit(True)
 
 
 def routed(raw: DataFrame, mappings: Mapping[str, Mapping_]) -> Column:
@@ -219,28 +225,58 @@ def routed(raw: DataFrame, mappings: Mapping[str, Mapping_]) -> Column:
     return chosen
 
 
+def _once(rows: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """``rows`` with more columns, each computed once a row whatever reads it."""
+    made = rows.select("*", F.explode(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))).alias("__made"))
+    return made.select(*rows.columns, *(F.col(f"__made.{n}").alias(n) for n in columns))
+
+
+def _owners(rows: DataFrame, message: str, paths: Sequence[str]) -> tuple[DataFrame, dict[str, Column]]:
+    """``rows`` with a map for each nested object on the way of ``paths``, and these maps by the path of the object."""
+    found = {"": F.col(message)}
+    above = {".".join(k[:n]) for k in (p.split(".") for p in paths) for n in range(1, len(k))}
+    for path in sorted(above, key=lambda p: (p.count("."), p)):
+        name = f"{message}_{len(found)}"
+        rows, found[path] = _once(rows, {name: as_map(_at(found, path)[0])}), F.col(name)
+    return rows, found
+
+
+def _at(owners: Mapping[str, Column], path: str) -> tuple[Column, Column]:
+    """Text and state at a dotted path, from the map of the object that it is in."""
+    above, _, key = path.rpartition(".")
+    return text_at(owners[above], key), state_at(owners[above], key)
+
+
 def apply(raw: DataFrame, m: Mapping_, payload: str = "payload", keep: Sequence[str] = ()) -> DataFrame:
     """Rows of one mapping: ``keep``, its columns, and ``code``, ``bad_field``, ``bad_state`` (null if accepted).
 
     A message of another role than the mapping's is refused as schema_unknown.
     """
-    # A message is parsed behind a generator, so that filters on fields aren't pushed below it and parse again.
-    rows = raw.select("*", F.explode(F.array(as_map(F.col(payload)))).alias("__m"))
-    parts = [(f, text_at(F.col("__m"), f.path), state_at(F.col("__m"), f.path)) for f in m.header]
+    # Messages, their nested objects and their fields are read behind generators: filters on fields aren't pushed below
+    # them, and nothing is parsed again for each field, its state and the code.
+    rows = _once(raw, {"__m": as_map(F.col(payload))})
+    paths = [f.path for f in m.header] + ([m.items] if m.items and m.items != "." else []) + ([m.when[0]] if m.when else [])
+    rows, around = _owners(rows, "__m", paths if m.items else [*paths, *(f.path for f in m.fields)])
+    within = around
+    parts = [(f, *_at(around, f.path)) for f in m.header]
     if m.items:
-        rows = rows.withColumn("__i", F.from_json(text_at(F.col("__m"), m.items) if m.items != "." else F.col(payload), "array<string>"))
+        listed = _at(around, m.items)[0] if m.items != "." else F.col(payload)
+        rows = _once(rows, {"__i": F.from_json(listed, "array<string>")})
         rows = rows.select("*", F.posexplode_outer("__i").alias("message_ordinal", "__t"))
-        rows = rows.select("*", F.explode(F.array(as_map(F.col("__t")))).alias("__r"))
+        rows = _once(rows, {"__r": as_map(F.col("__t"))})
+        rows, within = _owners(rows, "__r", [f.path for f in m.fields])
     else:
         rows = rows.withColumns({"message_ordinal": F.lit(0), "__r": F.col("__m")})
-    parts += [(f, text_at(F.col("__r"), f.path), state_at(F.col("__r"), f.path)) for f in m.fields]
+    parts += [(f, *_at(within, f.path)) for f in m.fields]
     read = {f"__f{i}": READERS[f.kind](t, f.name) for i, (f, t, _) in enumerate(parts)}
-    rows = rows.withColumns(read)
+    if read:
+        rows = _once(rows, read)
+    role = _at(around, m.when[0]) if m.when else None
     refused = lambda code, name, state: F.struct(F.lit(code).alias("code"), F.lit(name).cast("string").alias("bad_field"), state.alias("bad_state"))
     no_json = F.when(F.col("__r").isNull(), refused("schema_malformed", None, F.lit("value")))
-    other_role = F.when(~meant(F.col("__m"), m), refused("schema_unknown", m.when and m.when[0], state_at(F.col("__m"), m.when[0]) if m.when else F.lit("value")))
+    other_role = [F.when(~_is_role(role[0], m), refused("schema_unknown", m.when[0], role[1]))] if role else []
     broken = [F.when(F.col(c).isNull(), refused("invalid_field", f.name, s)) for c, (f, _, s) in zip(read, parts, strict=True) if f.required]
-    rows = rows.withColumn("__q", F.coalesce(no_json, other_role, *broken))
+    rows = _once(rows, {"__q": F.coalesce(no_json, *other_role, *broken)})
     values = [F.col(c).alias(f.name) for c, (f, _, _) in zip(read, parts, strict=True)]
     fixed = [F.lit(v).alias(k) for k, v in m.fixed.items()]
     return rows.select(*keep, F.col("message_ordinal").cast("long"), *values, *fixed, "__q.code", "__q.bad_field", "__q.bad_state")

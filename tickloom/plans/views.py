@@ -94,9 +94,10 @@ def book_levels(spark: SparkSession, d: str) -> DataFrame:
         F.when(gone, F.lit(0).cast("decimal(18,2)")).otherwise(short("l_quantity")).alias("amount"),
         F.when(gone, "delete").otherwise("upsert").alias("action"),
     )
-    # lines may repeat a line number within an order; the first by price and amount stands
+    # lines may repeat a line number within an order; the first by price and amount stands. They are dealt by order, which
+    # serves the window, the join and groupings by event
     w = Window.partitionBy("l_orderkey", "level_ordinal").orderBy("price", "amount")
-    rows = rows.withColumn("n", F.row_number().over(w)).where("n = 1").join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = rows.repartition("l_orderkey").withColumn("n", F.row_number().over(w)).where("n = 1").join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
     return rows.select(
         F.concat(F.lit("I"), F.col("o_custkey") % 50).alias("instrument_uid"),
         F.col("o_orderkey").alias("event_id"),
