@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.operators.windows import NS_PER_HOUR, carried, spans
+
 
 def small(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``most_rows`` rows, else as it is."""
@@ -127,6 +130,39 @@ def overlapping_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str], na
     return inside.unionByName(around)
 
 
+def overlap_counts(left: DataFrame, right: DataFrame, keys: Sequence[str], span: int = NS_PER_HOUR) -> DataFrame:
+    """(columns of ``right``..., n): how many rows of ``left`` of equal keys overlap each row of ``right``; none, no row.
+
+    The number of pairs of ``overlapping_pairs`` without making them. Of the intervals that begin before the right one's end,
+    those overlap it that don't end by its start; both counts are running sums along the key, in chunks of ``span``. Equal
+    rows of ``right`` are one row with the sum. Null keys meet nothing, and intervals that hold nothing overlap nothing.
+    """
+    known = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
+    held = lambda df, s: df.where(known).where(F.col(f"{s}_end").isNull() | (F.col(f"{s}_start") < F.col(f"{s}_end")))
+    left, right = held(left, "l"), held(right, "r")
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    # at one time: ends of right ask first, then left begins and ends, then starts of right ask
+    point = lambda df, at, place, begun, ended: df.withColumns({"__at": at, "__place": F.lit(place), "__begun": begun, "__ended": ended})
+    lefts = left.select(*keys, "l_start", "l_end")
+    points = [
+        point(lefts, F.col("l_start"), 1, one, none).drop("l_start", "l_end"),
+        point(lefts.where("l_end IS NOT NULL"), F.col("l_end"), 1, none, one).drop("l_start", "l_end"),
+        point(right, F.coalesce("r_end", F.lit((1 << 63) - 1)), 0, none, none),
+        point(right, F.col("r_start"), 2, none, none),
+    ]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), points)
+    rows = carried(rows, keys, spans("__at", span), ["__at", "__place"], sums={"__b": F.col("__begun"), "__e": F.col("__ended")})
+    n = F.sum(F.when(F.col("__place") == 0, F.col("__b")).otherwise(-F.col("__e"))).alias("n")
+    return rows.where("__place <> 1").groupBy(*right.columns).agg(n).where("n > 0")
+
+
+def repeated(rows: DataFrame, n: str, block: int = 4096) -> DataFrame:
+    """Each row as often as its column ``n`` says, without it, in arrays of ``block`` items at most."""
+    blocks = rows.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), F.call_function("div", F.col(n) - 1, F.lit(block)))))
+    size = F.least(F.lit(block).cast("long"), F.col(n) - F.col("__block") * block)
+    return blocks.withColumn("__size", size).select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__size")))).drop("col", "__block", "__size", n)
+
+
 def reconcile(listed: DataFrame, catalogued: DataFrame, key: str) -> DataFrame:
     """(key, verdict): objects found against objects catalogued, by a full outer join.
 

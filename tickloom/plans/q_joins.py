@@ -105,11 +105,13 @@ def j6_window_annotation(spark, d):
     ["windows_of", "gaps"],
 )
 def j7_dataset_references(spark, d):
+    """One row per window of the date and gap that overlap; the pairs of a gap are counted and then written out."""
     families = F.array(F.lit("click"), F.lit("view"))
     w = V.windows_of(spark, d).where("epoch_id = '2024-01-05'").select("source_id", "channel_id", "epoch_id", F.col("start_ns").alias("l_start"), F.col("end_ns").alias("l_end"))
     g = V.gaps(spark, d).where(F.array_contains(families, F.col("channel_id")))
     g = g.select("source_id", "channel_id", "gap_id", F.col("start_ns").alias("r_start"), F.col("end_ns").alias("r_end"))
-    return joins.overlapping_pairs(w, g, ["source_id", "channel_id"]).select("epoch_id", "gap_id")
+    found = joins.overlap_counts(w, g, ["source_id", "channel_id"]).select(F.lit("2024-01-05").alias("epoch_id"), "gap_id", "n")
+    return joins.repeated(found, "n")
 
 
 @query(
