@@ -570,7 +570,9 @@ def reconstruct(
             yield pa.RecordBatch.from_pylist(done, schema=types)
 
     grouping = [*key, *cut]
-    made = rows.repartition(*grouping).sortWithinPartitions(*grouping, *order).mapInArrow(run, schema)
+    # dealt by a hash of its own: over a union of sides that are dealt by these columns already Spark leaves the shuffle out,
+    # but coalesces the sides' partitions apart
+    made = rows.repartition(F.xxhash64(*grouping)).sortWithinPartitions(*grouping, *order).mapInArrow(run, schema)
     return made
 
 
