@@ -151,6 +151,10 @@ def r6_contiguous_books(spark, d):
 # ---- snapshots in the stream ------------------------------------------------------------------------------------
 
 
+#: Events that name a price twice on a side; venues with distinct or strict levels refuse such messages.
+_TWICE = "event_id IN (SELECT event_id FROM book_levels GROUP BY event_id, side, price HAVING count(*) > 1)"
+
+
 def _stream_sql(breaks: str) -> str:
     """Updates from a snapshot to the first break apply; after it nothing does until the next snapshot."""
     rows = f"""SELECT *, count_if(snap) OVER w AS part, lag(last_sequence) OVER w AS p FROM (SELECT *, n % 40 = 1 AS snap FROM (SELECT *, row_number() OVER
@@ -178,9 +182,9 @@ def r5_reset_books(spark, d):
     return _result(engine.reconstruct(_mapped(_kept(spark, d), message, venues.BYBIT["book"]), "reset"))
 
 
-@query(_stream_sql("NOT snap AND p <> first_sequence - 1 AS gap, event_id % 29 <> 0 AS ok"), ["book_events"])
+@query(_stream_sql(f"NOT snap AND p <> first_sequence - 1 AS gap, event_id % 29 <> 0 AND NOT {_TWICE} AS ok"), ["book_events"])
 def r7_previous_id_books(spark, d):
-    """Previous ids chain from a snapshot's -1; every 29th message has a checksum where zero is due."""
+    """Previous ids chain from a snapshot's -1; every 29th message has a checksum where zero is due; a price named twice is refused."""
     previous = F.when(C("snap"), -1).otherwise(C("first_sequence") - 1)
     wrong = F.when(C("event_id") % 29 == 0, 7).otherwise(0)
     body = F.struct(_texts("levels", "buy").alias("bids"), _texts("levels", "sell").alias("asks"), (C("ms") + LATER_MS).cast("string").alias("ts"), wrong.alias("checksum"), previous.alias("prevSeqId"), C("last_sequence").alias("seqId"))
