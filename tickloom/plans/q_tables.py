@@ -168,6 +168,30 @@ def _one_batch(spark, rows, *order):
     return folder, jobs.stream_files(spark, f"{folder}/in", rows.schema, files)
 
 
+#: Rows of one micro-batch of a stream whose state takes the rows of a key in memory.
+BATCH_ROWS = 1_000_000
+
+
+def _in_turn(spark, rows, key, time):
+    """The rows as a stream of batches of about BATCH_ROWS, in order of time.
+
+    Each slice of time is written after the one before, so its files are younger, and a key's rows of a slice lie in one file:
+    wherever a batch ends, a key's later rows come later.
+    """
+    folder = tables.shared_folder(spark)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.write.parquet(f"{folder}/all")
+    held = spark.read.schema(rows.schema).parquet(f"{folder}/all")
+    slices = max(1, -(-held.count() // BATCH_ROWS))
+    shares = [n / slices for n in range(1, slices)]
+    edges = sorted({int(e) for e in held.approxQuantile(time, shares, 0.1 / slices)}) if shares else []
+    for low, high in zip([None, *edges], [*edges, None], strict=True):
+        some = held if low is None else held.where(C(time) >= low)
+        some = some if high is None else some.where(C(time) < high)
+        some.repartition(files, key).write.mode("append").parquet(f"{folder}/in")
+    return folder, jobs.stream_files(spark, f"{folder}/in", rows.schema, files)
+
+
 def _trade_stream(spark, d):
     return _one_batch(spark, V.trades(spark, d), "received_time_ns")
 
@@ -282,8 +306,9 @@ def r1_stream_engine(spark, d):
     levels = V.book_levels(spark, d).groupBy("event_id").agg(F.array_sort(F.collect_list(F.struct("level_ordinal", level.alias("l")))).alias("x"))
     events = V.book_events(spark, d).drop("levels").join(levels, "event_id").withColumn("levels", C("x.l")).drop("x")
     events = events.withColumns({"epoch_id": L("c1"), "update_kind": F.when(F.row_number().over(first) == 1, "snapshot").otherwise("delta")})
-    folder, stream = _one_batch(spark, events, "received_time_ns", "event_id")
-    out = keyed.drained(keyed.sequential_books(stream, "bridge", False, idle_ns=10**18), folder).where("kind = 'book'")
+    folder, stream = _in_turn(spark, events, "instrument_uid", "received_time_ns")
+    # batches may share a slice of time, so no row is late
+    out = keyed.drained(keyed.sequential_books(stream, "bridge", False, idle_ns=10**18, late="36500 days"), folder).where("kind = 'book'")
     return out.groupBy("instrument_uid").agg(F.count("*").alias("books"), F.max("last_sequence").alias("last_sequence"))
 
 
