@@ -9,8 +9,13 @@ components of these links. No pair is missed and none below the bound links:
   seldom meet; the sample only bears on the number of candidates.
 * Each shingle's sets are first compared with the smallest of them. What this joins need not meet again: only
   pairs of different components are formed afterwards, in tiles of bounded size that any task can take. So a large
-  group of near copies costs a star and not a square. Pairs of too unequal sizes, and those whose sets must differ in
-  too many shingles by the parities of buckets of their hashes, a lower bound of the true difference, are left out both times.
+  group of near copies costs a star and not a square.
+* Tiles compare SimHashes of the sets by exclusive-or and bit counts. Their radius is so wide that a link lies beyond it
+  with a chance of ``LOSS`` at most (``radius``), as seldom as hashes of sets collide.
+* Pairs of too unequal sizes, and those whose sets must differ in too many shingles by the parities of buckets of their
+  hashes, a lower bound of the true difference, are left out both times.
+* A pair that shares several shingles is given by the first of them only. Each set brings its ``EARLY`` smallest ones for that;
+  what is shared beyond them may give a pair again, which costs a row and loses none.
 * Every candidate pair is decided by its texts' whole sets.
 """
 
@@ -27,9 +32,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import LOWER_ASCII, cut, drop_cut
-from tickloom.llm.simhash import _mixed, components
+from tickloom.llm.simhash import _mixed, components, majority
 
 _XXH = partial(xxhash.xxh64_intdigest, seed=42)
+#: Words of 64 bits of a SimHash, shingles that a set brings to its cells, and the chance that a link lies beyond the radius.
+WORDS, EARLY, LOSS = 8, 32, 1e-12
 
 
 def shingles(text: bytes | None, size: int = 5) -> np.ndarray:
@@ -82,6 +89,47 @@ def parities_differ(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def bit_differs(similarity: float, exact: int = 24) -> float:
+    """The greatest chance that one SimHash bit differs between two sets that link.
+
+    Hashes are fair coins, so shared ones and those of either set alone are binomial. Counted out for up to ``exact``
+    shared hashes; beyond, sums are as good as normal, and the angle of two sets of equal size is the widest.
+    """
+    odds = [np.array([math.comb(n, k) / 2**n for k in range(n + 1)]) for n in range(exact + 1)]
+    worst = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    for shared in range(1, exact + 1):
+        alone = min(math.floor(shared * (1 / similarity - 1) + 1e-9), exact)
+        ones = np.arange(shared + 1)
+        for a in range(alone + 1):
+            for b in range(min(a, alone - a) + 1):
+                high = [
+                    np.array([odds[m][[k for k in range(m + 1) if 2 * (k + s) > shared + m]].sum() for s in ones]) for m in (a, b)
+                ]
+                worst = max(worst, float((odds[shared] * (high[0] * (1 - high[1]) + high[1] * (1 - high[0]))).sum()))
+    return worst
+
+
+@lru_cache
+def radius(similarity: float, bits: int = WORDS * 64, loss: float = LOSS) -> int:
+    """In how many bits the SimHashes of two sets that link may differ: more have a chance of ``loss`` at most."""
+    p, beyond = bit_differs(similarity), 0.0
+    for d in range(bits, 0, -1):
+        beyond += math.comb(bits, d) * p**d * (1 - p) ** (bits - d)
+        if beyond > loss:
+            return d
+    return 0
+
+
+def met_before(early: np.ndarray, x: np.ndarray, y: np.ndarray, token: int) -> np.ndarray:
+    """Whether rows x and y of ``early`` (shingles in rising order, padded with the greatest) share one below ``token``."""
+    found = np.zeros(len(x), bool)
+    for a in range(0, len(x), 4096):
+        b = slice(a, a + 4096)
+        left, right = early[x[b]], early[y[b]]
+        found[b] = ((left[:, :, None] == right[:, None, :]) & (left < token)[:, :, None]).any((1, 2))
+    return found
+
+
 def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return both >= similarity * (len(a) + len(b) - both)
@@ -105,16 +153,23 @@ def common_shingles(texts: DataFrame, size: int, sample: int, most: int = 50_000
 
 
 def _pairs(similarity: float):
+    most = radius(similarity)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by cell; a cell may go on in the next batch."""
-        rest = np.empty((0, 13), np.int64)
+        """Rows come sorted by cell; a cell may go on in the next batch.
+
+        They hold cell, tile, key, root, n, token, the parities, the SimHash and the smallest tokens of the key.
+        """
+        rest = np.empty((0, 14 + WORDS + EARLY), np.int64)
 
         def pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
             cuts = [0, *(np.nonzero(rows[1:, 0] != rows[:-1, 0])[0] + 1), len(rows)]
             left, right, held = [], [], 0
             for s, e in zip(cuts, cuts[1:], strict=False):
                 _, tile, key, root, n = rows[s:e, :5].T
-                bits = rows[s:e, 5:].view(np.uint64)
+                token = rows[s, 5]
+                bits, prints = (rows[s:e, i:j].view(np.uint64) for i, j in ((6, 14), (14, 14 + WORDS)))
+                early = rows[s:e, 14 + WORDS :]
                 apart = (tile != tile[0]).any()
                 for a in range(0, e - s, 256):
                     b = slice(a, a + 256)
@@ -123,9 +178,13 @@ def _pairs(similarity: float):
                     if apart:
                         met &= tile[b, None] != tile
                     x, y = np.nonzero(met)
+                    near = np.bitwise_count(prints[x + a] ^ prints[y]).sum(1, dtype=np.int64) <= most
+                    x, y = x[near], y[near]
                     differ = np.bitwise_count(bits[x + a] ^ bits[y]).sum(1, dtype=np.int64)
                     near = differ <= (1 - similarity) / (1 + similarity) * (n[x + a] + n[y]) + 1e-6
                     x, y = x[near], y[near]
+                    new = ~met_before(early, x + a, y, token)
+                    x, y = x[new], y[new]
                     left.append(key[x + a])
                     right.append(key[y])
                     held += len(x)
@@ -236,13 +295,14 @@ def groups(
             values = np.concatenate([np.empty(0, np.uint64), *firsts]).view(np.int64)
             sizes = pa.array([len(s) for s in sets], pa.int64())
             bits, more = zip(*map(parities, sets), strict=True) if sets else ((), ())
-            columns = [pa.array(keys), sizes, pa.array(bits, pa.list_(pa.int64())), pa.array(more, pa.binary())]
+            prints = [np.array(majority(s, WORDS), np.uint64).view(np.int64) for s in sets]
+            columns = [pa.array(keys), sizes, *(pa.array(x, pa.list_(pa.int64())) for x in (prints, bits)), pa.array(more, pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], *columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(values))],
-                ["doc_id", "text_key", "key", "n", "bits", "more", "prefix"],
+                ["doc_id", "text_key", "key", "n", "print", "bits", "more", "prefix"],
             )
 
-    schema = "doc_id long, text_key long, key long, n long, bits array<long>, more binary, prefix array<long>"
+    schema = "doc_id long, text_key long, key long, n long, print array<long>, bits array<long>, more binary, prefix array<long>"
     prints = cut(picked.mapInArrow(run, schema))
     nodes = prints.groupBy("key").agg(F.min("doc_id").alias("low_id"), F.min("text_key").alias("text_key"))
     sets = prints.select("key", "n", "bits", "more").dropDuplicates(["key"])
@@ -260,12 +320,14 @@ def groups(
     mixed = placed.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("total"))
     tiles = F.ceil(F.col("total") / tile_rows)
     left = placed.join(mixed.where("a <> b").select("token", "total"), "token").withColumn("tile", F.pmod(F.xxhash64("key"), tiles))
+    early = left.groupBy("key").agg(F.slice(F.array_sort(F.collect_list("token")), 1, EARLY).alias("early"))
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)))
     cell = F.xxhash64("token", F.least("tile", "other"), F.greatest("tile", "other"))
-    left = left.select(cell.alias("cell"), "tile", "key", "root", "n")
-    wanted = left.select("key").distinct()
-    left = left.join(sets.select("key", "bits").join(wanted, "key", "left_semi"), "key")
-    dealt = left.select("cell", "tile", "key", "root", "n", *(F.col("bits")[i] for i in range(8))).repartition("cell")
+    left = left.select(cell.alias("cell"), "tile", "key", "root", "n", "token")
+    left = left.join(prints.select("key", "print", "bits").dropDuplicates(["key"]).join(early, "key"), "key")
+    width = {"bits": 8, "print": WORDS, "early": EARLY}
+    numbers = (F.coalesce(F.get(c, F.lit(i)), F.lit((1 << 63) - 1)) for c, n in width.items() for i in range(n))
+    dealt = left.select("cell", "tile", "key", "root", "n", "token", *numbers).repartition("cell")
     pairs = cut(dealt.sortWithinPartitions("cell").mapInArrow(_pairs(similarity), "u long, v long").distinct())
     fresh = cut(_possible(pairs.join(stars, ["u", "v"], "left_anti"), sets, similarity))
     links = links.unionByName(_linked(fresh, picked, nodes, shingle, similarity))

@@ -57,6 +57,11 @@ def fingerprint(text: bytes | None, shingle: int = 3, words: int = 1) -> list[in
     else:
         grams = zip(*(parts[i:] for i in range(shingle)), strict=False)
         hashes = np.fromiter(map(_XXH, map(b" ".join, grams)), np.uint64, len(parts) - shingle + 1)
+    return majority(hashes, words)
+
+
+def majority(hashes: np.ndarray, words: int) -> list[int]:
+    """SimHash of 64-bit hashes in ``words`` numbers of 64 bits: a bit is 1 if over half of the hashes have it."""
     out = []
     for word in range(words):
         bits = np.unpackbits(_mixed(hashes, word).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
