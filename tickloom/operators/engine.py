@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 from decimal import Decimal
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -513,9 +514,12 @@ def reconstruct(
     key: Sequence[str] = ("instrument_uid", "epoch_id"),
     bounds: Bounds | None = None,
     span: int = 3_600_000_000_000,
+    changes: bool = True,
 ) -> DataFrame:
     """Rows of kind book (one per change) and epoch (evidence of one reconstruction epoch) for mapped messages.
 
+    Without ``changes`` only epochs are given; books are rebuilt and digested as ever, but no row per change leaves the task.
+
     ``events`` has the columns of ``key`` (instrument, then connection epoch), ``order``, event_id, update_kind and levels
     or bids and asks; those of the ids that a venue doesn't give may be absent. Two messages with one place in
     ``order`` are a discontinuity, as is a row of kind ``discontinuity``.
@@ -555,13 +559,13 @@ def reconstruct(
 
         for batch in batches:
             types = types or _arrow_types(batch.schema, group, result)
-            for event in batch.to_pylist():
+            for event in _events(batch):
                 here = {c: event.get(c) if c != "segment" or cut else 0 for c in group}
                 if here != current:
                     end()
                     engine, current = Engine(rules(), bounds, check_crossed), here
                 event["coordinate"] = tuple(event[c] for c in order)
-                done += [{**here, **row} for row in engine.accept(event)]
+                done += [{**here, **row} for row in engine.accept(event) if changes or row["kind"] == "epoch"]
             if done:
                 yield pa.RecordBatch.from_pylist(done, schema=types)
                 done = []
@@ -576,6 +580,23 @@ def reconstruct(
     return made
 
 
+def _events(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch as ``to_pylist`` gives them, read by column: levels are many and most of their fields null."""
+    at = batch.schema.get_field_index("levels")
+    lists = batch.column(at)
+    flat = lists.flatten()
+    plain = lambda c: [None] * len(c) if c.null_count == len(c) else c.to_pylist()
+    names = [f.name for f in flat.type]
+    fields = [plain(c) for c in flat.flatten()]
+    levels = [dict(zip(names, x, strict=True)) for x in zip(*fields, strict=True)]
+    sizes = [n or 0 for n in pc.list_value_length(lists).to_pylist()]
+    others = [(c, plain(batch.column(i))) for i, c in enumerate(batch.schema.names) if i != at]
+    absent, start = lists.is_null().to_pylist(), 0
+    for n, size in enumerate(sizes):
+        yield {**{c: values[n] for c, values in others}, "levels": None if absent[n] else levels[start : start + size]}
+        start += size
+
+
 def _arrow_types(given: pa.Schema, group: dict, result: dict) -> pa.Schema:
     ids, price = given.field("event_id").type, pa.decimal128(38, 18)
     named = {"long": pa.int64(), "string": pa.string(), "decimal(38,18)": price}

@@ -65,7 +65,7 @@ _ENGINE_BOOK = f"""SELECT instrument_uid, epoch_id, count(*) FILTER (side = 'buy
 @query(_ENGINE_BOOK, ["book_levels"])
 def r1_reconstructed_book(spark, d):
     """The engine's last book of every epoch; the oracle is the declarative form."""
-    rows = engine.reconstruct(_single(spark, d), "bridge", check_crossed=False)
+    rows = engine.reconstruct(_single(spark, d), "bridge", check_crossed=False, changes=False)
     return rows.where("kind = 'epoch' AND bids + asks > 0").select("instrument_uid", "epoch_id", "bids", "asks")
 
 
@@ -74,13 +74,13 @@ def u3_snapshot_source(spark, d):
     """As r1_reconstructed_book, with the snapshots from a frame of their own."""
     events = _single(spark, d)
     merged = books.with_snapshots(events.where("update_kind = 'delta'"), events.where("update_kind = 'snapshot'"))
-    rows = engine.reconstruct(merged, "bridge", check_crossed=False)
+    rows = engine.reconstruct(merged, "bridge", check_crossed=False, changes=False)
     return rows.where("kind = 'epoch' AND bids + asks > 0").select("instrument_uid", "epoch_id", "bids", "asks")
 
 
 @query()
 def r1_crossing_books(spark, d):
-    rows = engine.reconstruct(_single(spark, d)).where("kind = 'epoch'")
+    rows = engine.reconstruct(_single(spark, d), changes=False).where("kind = 'epoch'")
     return rows.groupBy("instrument_uid", "close_reason").agg(F.count("*").alias("n"), F.sum("applied").alias("applied"), F.sum("refused").alias("refused"))
 
 
@@ -92,7 +92,7 @@ def r1_crossing_books(spark, d):
     ["book_events"],
 )
 def r2_epoch_evidence(spark, d):
-    rows = engine.linked_epochs(engine.reconstruct(_single(spark, d), "bridge", check_crossed=False))
+    rows = engine.linked_epochs(engine.reconstruct(_single(spark, d), "bridge", check_crossed=False, changes=False))
     names = ("instrument_uid", "epoch_id", "accepted", "applied", "first_accepted", "last_accepted", "close_reason", "opened_by", "number")
     return rows.select(*names, C("gaps").cast("int").alias("gaps"))
 
@@ -131,7 +131,7 @@ def r4_chained_books(spark, d):
     }
     snapshot = {"lastUpdateId": C("last_sequence"), "bids": _texts("levels", "buy"), "asks": _texts("levels", "sell")}
     events = _beside(spark, d, update, venues.USDM["depth"], snapshot, venues.SPOT_SNAPSHOT)
-    return _sums(engine.reconstruct(events, "chain", order=BESIDE), "applied", "stale", "gaps", "refused")
+    return _sums(engine.reconstruct(events, "chain", order=BESIDE, changes=False), "applied", "stale", "gaps", "refused")
 
 
 @query(
@@ -144,7 +144,7 @@ def r6_contiguous_books(spark, d):
     body = F.struct(C("instrument_uid").alias("s"), _texts("levels", "buy").alias("b"), _texts("levels", "sell").alias("a"), (C("n") + 1).alias("u"), (C("n") * 10).alias("seq"), C("ms").alias("ts"))
     update = {"topic": F.concat(L("orderbook.full."), "instrument_uid"), "type": L("delta"), "ts": C("ms"), "cts": C("ms"), "data": body}
     events = _beside(spark, d, update, venues.BYBIT["full_book"], {"retCode": L(0), "result": body}, venues.BYBIT_SNAPSHOT)
-    found = _sums(engine.reconstruct(events, "contiguous", order=BESIDE), "applied", "gaps", "refused", "outputs")
+    found = _sums(engine.reconstruct(events, "contiguous", order=BESIDE, changes=False), "applied", "gaps", "refused", "outputs")
     return found.withColumn("outputs", C("outputs") - C("applied"))
 
 
@@ -179,7 +179,7 @@ def r5_reset_books(spark, d):
     data = F.struct(C("instrument_uid").alias("s"), _texts("levels", "buy").alias("b"), _texts("levels", "sell").alias("a"), u.alias("u"), C("n").alias("seq"))
     kind = F.when(C("snap"), "snapshot").otherwise("delta")
     message = {"topic": L("orderbook.50.X"), "type": kind, "ts": C("ms"), "cts": C("ms"), "data": data}
-    return _result(engine.reconstruct(_mapped(_kept(spark, d), message, venues.BYBIT["book"]), "reset"))
+    return _result(engine.reconstruct(_mapped(_kept(spark, d), message, venues.BYBIT["book"]), "reset", changes=False))
 
 
 @query(_stream_sql(f"NOT snap AND p <> first_sequence - 1 AS gap, event_id % 29 <> 0 AND NOT {_TWICE} AS ok"), ["book_events"])
@@ -189,7 +189,7 @@ def r7_previous_id_books(spark, d):
     wrong = F.when(C("event_id") % 29 == 0, 7).otherwise(0)
     body = F.struct(_texts("levels", "buy").alias("bids"), _texts("levels", "sell").alias("asks"), (C("ms") + LATER_MS).cast("string").alias("ts"), wrong.alias("checksum"), previous.alias("prevSeqId"), C("last_sequence").alias("seqId"))
     message = {"arg": F.struct(L("books").alias("channel"), C("instrument_uid").alias("instId")), "action": F.when(C("snap"), "snapshot").otherwise("update"), "data": F.array(body)}
-    return _result(engine.reconstruct(_mapped(_kept(spark, d), message, venues.OKX["book"]), "previous"))
+    return _result(engine.reconstruct(_mapped(_kept(spark, d), message, venues.OKX["book"]), "previous", changes=False))
 
 
 def _tagged(spark, d) -> DataFrame:
@@ -213,7 +213,7 @@ def r8_change_id_books(spark, d):
         F.when(~C("snap"), C("first_sequence") - 1).alias("prev_change_id"), _texts("levels", "buy", True).alias("bids"), _texts("levels", "sell", True).alias("asks"),
     )
     message = {"params": F.struct(L("book.X.raw").alias("channel"), data.alias("data"))}
-    return _result(engine.reconstruct(_mapped(_tagged(spark, d), message, venues.DERIBIT["book"]), "change"))
+    return _result(engine.reconstruct(_mapped(_tagged(spark, d), message, venues.DERIBIT["book"]), "change", changes=False))
 
 
 # ---- two runs of a mapper ------------------------------------------------------------------------------------------
@@ -246,6 +246,6 @@ def t7_dual_run(spark, d):
     moved = F.regexp_replace("payload", '"q":"[^"]*"', '"q":"1234567.5"')
     payload = F.when(C("native_trade_id") % 307 == 0, F.substring("payload", 1, 9)).when(C("native_trade_id") % 211 == 0, moved).otherwise(C("payload"))
     events = _single(spark, d)
-    epochs = lambda e: engine.linked_epochs(engine.reconstruct(e, "bridge", check_crossed=False))
+    epochs = lambda e: engine.linked_epochs(engine.reconstruct(e, "bridge", check_crossed=False, changes=False))
     old, new = _run(raw, "v1", epochs(events)), _run(raw.withColumn("payload", payload), "v2", epochs(events.where("event_id % 499 <> 0")))
     return cutover.compare_runs(old, new, ["source_id"], ["received_time_ns", "record_id"], ["record_id"])
