@@ -74,14 +74,23 @@ def state_at(message: Column, path: str) -> Column:
     """missing, null, empty or value at a dotted path."""
     keys = path.split(".")
     owner = message if len(keys) == 1 else as_map(text_at(message, ".".join(keys[:-1])))
-    has = F.coalesce(F.map_contains_key(owner, F.lit(keys[-1])), F.lit(False))
-    value = F.try_element_at(owner, F.lit(keys[-1]))
+    return _state(owner, F.lit(keys[-1]))
+
+
+def _state(owner: Column, key: Column) -> Column:
+    has = F.coalesce(F.map_contains_key(owner, key), F.lit(False))
+    value = F.try_element_at(owner, key)
     return F.when(~has, "missing").when(value.isNull(), "null").when(value == "", "empty").otherwise("value")
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _whole(read: Column, fine: Callable[[Column], Column]) -> Column:
     """The levels if each is fine, else null; they are read once, for the test and the result."""
-    return F.get(F.transform(F.array(read), lambda r: F.when(F.coalesce(F.forall(r, fine), F.lit(False)), r)), F.lit(0))
+    return _let(read, lambda r: F.when(F.coalesce(F.forall(r, fine), F.lit(False)), r))
 
 
 def levels_of(text: Column, side: str) -> Column:
@@ -102,8 +111,18 @@ def levels_of(text: Column, side: str) -> Column:
 def texted_levels_of(text: Column, side: str) -> Column:
     """``levels_of`` with ``price_text`` and ``amount_text`` as the venue wrote them, which its checksum is over."""
     pairs = F.from_json(text, "array<array<string>>")
-    worded = lambda x, p: x.withField("price_text", F.get(p, F.lit(0))).withField("amount_text", F.get(p, F.lit(1)))
-    return F.zip_with(levels_of(text, side), pairs, worded)
+    read = F.transform(
+        pairs,
+        lambda x, i: F.struct(
+            F.lit(side).alias("side"),
+            i.cast("long").alias("level_ordinal"),
+            strict_decimal(F.get(x, F.lit(0))).alias("price"),
+            strict_decimal(F.get(x, F.lit(1))).alias("amount"),
+            F.get(x, F.lit(0)).alias("price_text"),
+            F.get(x, F.lit(1)).alias("amount_text"),
+        ),
+    )
+    return _whole(read, lambda x: x["price"].isNotNull() & x["amount"].isNotNull())
 
 
 def tagged_levels_of(text: Column, side: str) -> Column:
@@ -208,6 +227,39 @@ READERS: dict[str, Callable[[Column, str], Column]] = {
 }
 
 
+#: Kinds whose reader hangs on the column's name too: the side, or price or amount.
+BY_NAME = ("levels", "texted", "rpi", "named", "best", "named_best", "tagged")
+
+
+def _reader(read: Callable[[Column, str], Column], more: str) -> Callable[[Column], Column]:
+    return lambda x: read(x, more)
+
+
+def _read(parts: Sequence[tuple[Field, Column]]) -> tuple[dict[str, Column], list[Column]]:
+    """Columns to make, and each field's value from them. Fields of a kind are read as one array.
+
+    So a message of twenty fields is a few short expressions: as one expression a field, its generated code is longer
+    than the JVM compiles.
+    """
+    made: dict[str, Column] = {}
+    values: list[Column] = []
+    texts: dict[str, list[Column]] = {}
+    for n, (f, text) in enumerate(parts):
+        if f.kind in BY_NAME:
+            made[f"__f{n}"] = READERS[f.kind](text, f.name)
+            values.append(F.col(f"__f{n}"))
+        else:
+            texts.setdefault(f.kind, []).append(text)
+            values.append(F.get(F.col(f"__{f.kind}"), F.lit(len(texts[f.kind]) - 1)))
+    for kind, given in texts.items():
+        if kind in ("ms", "us"):
+            numbers = F.transform(F.array(*given), uint)
+            made[f"__{kind}"] = F.transform(numbers, _reader(native_to_ns, kind))
+        else:
+            made[f"__{kind}"] = F.transform(F.array(*given), _reader(READERS[kind], ""))
+    return made, values
+
+
 def _is_role(text: Column, m: Mapping_) -> Column:
     return F.coalesce(text.rlike(rf"^(?:{m.when[1]})\z"), F.lit(False))
 
@@ -237,14 +289,14 @@ def _owners(rows: DataFrame, message: str, paths: Sequence[str]) -> tuple[DataFr
     above = {".".join(k[:n]) for k in (p.split(".") for p in paths) for n in range(1, len(k))}
     for path in sorted(above, key=lambda p: (p.count("."), p)):
         name = f"{message}_{len(found)}"
-        rows, found[path] = _once(rows, {name: as_map(_at(found, path)[0])}), F.col(name)
+        rows, found[path] = _once(rows, {name: as_map(_at(found, path))}), F.col(name)
     return rows, found
 
 
-def _at(owners: Mapping[str, Column], path: str) -> tuple[Column, Column]:
-    """Text and state at a dotted path, from the map of the object that it is in."""
+def _at(owners: Mapping[str, Column], path: str) -> Column:
+    """Text at a dotted path, from the map of the object that it is in."""
     above, _, key = path.rpartition(".")
-    return text_at(owners[above], key), state_at(owners[above], key)
+    return F.try_element_at(owners[above], F.lit(key))
 
 
 def apply(raw: DataFrame, m: Mapping_, payload: str = "payload", keep: Sequence[str] = ()) -> DataFrame:
@@ -258,28 +310,35 @@ def apply(raw: DataFrame, m: Mapping_, payload: str = "payload", keep: Sequence[
     paths = [f.path for f in m.header] + ([m.items] if m.items and m.items != "." else []) + ([m.when[0]] if m.when else [])
     rows, around = _owners(rows, "__m", paths if m.items else [*paths, *(f.path for f in m.fields)])
     within = around
-    parts = [(f, *_at(around, f.path)) for f in m.header]
     if m.items:
-        listed = _at(around, m.items)[0] if m.items != "." else F.col(payload)
+        listed = _at(around, m.items) if m.items != "." else F.col(payload)
         rows = _once(rows, {"__i": F.from_json(listed, "array<string>")})
         rows = rows.select("*", F.posexplode_outer("__i").alias("message_ordinal", "__t"))
         rows = _once(rows, {"__r": as_map(F.col("__t"))})
         rows, within = _owners(rows, "__r", [f.path for f in m.fields])
     else:
         rows = rows.withColumns({"message_ordinal": F.lit(0), "__r": F.col("__m")})
-    parts += [(f, *_at(within, f.path)) for f in m.fields]
-    read = {f"__f{i}": READERS[f.kind](t, f.name) for i, (f, t, _) in enumerate(parts)}
-    if read:
-        rows = _once(rows, read)
-    role = _at(around, m.when[0]) if m.when else None
-    refused = lambda code, name, state: F.struct(F.lit(code).alias("code"), F.lit(name).cast("string").alias("bad_field"), state.alias("bad_state"))
-    no_json = F.when(F.col("__r").isNull(), refused("schema_malformed", None, F.lit("value")))
-    other_role = [F.when(~_is_role(role[0], m), refused("schema_unknown", m.when[0], role[1]))] if role else []
-    broken = [F.when(F.col(c).isNull(), refused("invalid_field", f.name, s)) for c, (f, _, s) in zip(read, parts, strict=True) if f.required]
-    rows = _once(rows, {"__q": F.coalesce(no_json, *other_role, *broken)})
-    values = [F.col(c).alias(f.name) for c, (f, _, _) in zip(read, parts, strict=True)]
+    fields = [*((f, around) for f in m.header), *((f, within) for f in m.fields)]
+    made, values = _read([(f, _at(owners, f.path)) for f, owners in fields])
+    if made:
+        rows = _once(rows, made)
+    refused = lambda code, name, state: F.struct(F.lit(code).alias("code"), name.cast("string").alias("bad_field"), state.alias("bad_state"))
+    fault = [F.when(F.col("__r").isNull(), refused("schema_malformed", F.lit(None), F.lit("value")))]
+    if m.when:
+        above, _, key = m.when[0].rpartition(".")
+        fault.append(F.when(~_is_role(_at(around, m.when[0]), m), refused("schema_unknown", F.lit(m.when[0]), _state(around[above], F.lit(key)))))
+    needed = [(f, owners, v) for (f, owners), v in zip(fields, values, strict=True) if f.required]
+    if needed:
+        # the place of the first field that can't be read; the state of that one only is looked up
+        place = F.array_position(F.array(*(v.isNull() for _, _, v in needed)), True).cast("int") - 1
+        names, keys = (F.array(*map(F.lit, x)) for x in ([f.name for f, _, _ in needed], [f.path.rpartition(".")[2] for f, _, _ in needed]))
+        owner = F.array(*(owners[f.path.rpartition(".")[0]] for f, owners, _ in needed))
+        broken = lambda n: F.when(n >= 0, refused("invalid_field", F.get(names, n), _state(F.get(owner, n), F.get(keys, n))))
+        fault.append(_let(place, broken))
+    rows = _once(rows, {"__q": F.coalesce(*fault)})
+    named = [v.alias(f.name) for (f, _), v in zip(fields, values, strict=True)]
     fixed = [F.lit(v).alias(k) for k, v in m.fixed.items()]
-    return rows.select(*keep, F.col("message_ordinal").cast("long"), *values, *fixed, "__q.code", "__q.bad_field", "__q.bad_state")
+    return rows.select(*keep, F.col("message_ordinal").cast("long"), *named, *fixed, "__q.code", "__q.bad_field", "__q.bad_state")
 
 
 def split(mapped: DataFrame) -> tuple[DataFrame, DataFrame]:
