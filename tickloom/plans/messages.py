@@ -23,10 +23,11 @@ def from_trades(spark, d: str, **fields: Column) -> DataFrame:
 
 def from_books(spark, d: str, build) -> DataFrame:
     """(event_id, payload): one message per book event; ``build`` makes named columns from bids, asks and sequences."""
-    level = F.array(_short("price"), _short("amount"))
-    pick = lambda s: F.transform(
-        F.array_sort(F.collect_list(F.when(F.col("side") == s, F.struct("level_ordinal", level.alias("x"))))), lambda x: x["x"]
-    )
-    sides = V.book_levels(spark, d).groupBy("event_id").agg(pick("buy").alias("bids"), pick("sell").alias("asks"))
-    rows = V.book_events(spark, d).join(sides, "event_id").withColumn("ms", F.expr(MS))
+    level = F.struct("level_ordinal", "side", F.col("price").cast("decimal(18,2)").alias("p"), F.col("amount").cast("decimal(18,2)").alias("q"))
+    rows = V.book_events(spark, d, F.collect_list(level).alias("all"))
+    # events are numbered by instrument, of which there are few; their messages are dealt anew
+    rows = rows.repartition("event_id").withColumn("all", F.array_sort("all"))
+    text = lambda x: F.array(x["p"].cast("string"), x["q"].cast("string"))
+    pick = lambda s: F.transform(F.filter("all", lambda x: x["side"] == s), text)
+    rows = rows.withColumns({"bids": pick("buy"), "asks": pick("sell"), "ms": F.expr(MS)})
     return rows.select("event_id", F.to_json(F.struct(*(c.alias(k) for k, c in build().items()))).alias("payload"))

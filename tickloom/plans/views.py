@@ -110,10 +110,13 @@ def book_levels(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def book_events(spark: SparkSession, d: str) -> DataFrame:
-    """One row per book event, with the running level count of its instrument as sequence range."""
+def book_events(spark: SparkSession, d: str, *more: F.Column) -> DataFrame:
+    """One row per book event, with the running level count of its instrument as sequence range.
+
+    ``more`` are aggregates over an event's levels, so that who needs the levels too doesn't make them again.
+    """
     w = Window.partitionBy("instrument_uid").orderBy("received_time_ns", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    events = book_levels(spark, d).groupBy("instrument_uid", "event_id", "received_time_ns").agg(F.count("*").alias("levels"))
+    events = book_levels(spark, d).groupBy("instrument_uid", "event_id", "received_time_ns").agg(F.count("*").alias("levels"), *more)
     return events.withColumn("last_sequence", F.sum("levels").over(w)).withColumn(
         "first_sequence", F.col("last_sequence") - F.col("levels") + 1
     )
