@@ -95,6 +95,10 @@ class Ladder:
         return found
 
 
+#: Where a level that a book holds keeps its digest.
+WEIGHT = "weight"
+
+
 def _weight(side: str, level: dict) -> int:
     text = f"{side}|{level['price'].normalize()}|{level['amount'].normalize()}|{level.get('rpi_amount')}"
     return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=16).digest(), "big")
@@ -115,12 +119,14 @@ class Book:
         ladder = self.sides[side]
         before = ladder.get(price)
         if before is not None:
-            self.held -= _weight(side, before)
+            self.held -= before[WEIGHT]
         if level is None:
             ladder.pop(price)
         else:
+            if WEIGHT not in level:  # a level is digested once, also if it is taken back or replaced
+                level[WEIGHT] = _weight(side, level)
             ladder.put(price, level)
-            self.held += _weight(side, level)
+            self.held += level[WEIGHT]
         return before
 
     def change(self, levels: Sequence[dict], strict: bool = False, crossed: bool = True, most: int | None = None, fits=None) -> str | None:
@@ -585,7 +591,6 @@ def _events(batch: pa.RecordBatch) -> Iterator[dict]:
     at = batch.schema.get_field_index("levels")
     lists = batch.column(at)
     flat = lists.flatten()
-    plain = lambda c: [None] * len(c) if c.null_count == len(c) else c.to_pylist()
     names = [f.name for f in flat.type]
     fields = [plain(c) for c in flat.flatten()]
     levels = [dict(zip(names, x, strict=True)) for x in zip(*fields, strict=True)]
@@ -597,6 +602,19 @@ def _events(batch: pa.RecordBatch) -> Iterator[dict]:
         start += size
 
 
+def plain(column: pa.Array) -> list:
+    """``to_pylist``, with texts and decimals made once for each value that differs."""
+    if column.null_count == len(column):
+        return [None] * len(column)
+    if not (pa.types.is_string(column.type) or pa.types.is_decimal128(column.type)):
+        return column.to_pylist()
+    coded = column.dictionary_encode()
+    values = coded.dictionary.cast(pa.string()).to_pylist()
+    if pa.types.is_decimal128(column.type):
+        values = [Decimal(v) for v in values]
+    return [None if n is None else values[n] for n in coded.indices.to_pylist()]
+
+
 def _arrow_types(given: pa.Schema, group: dict, result: dict) -> pa.Schema:
     ids, price = given.field("event_id").type, pa.decimal128(38, 18)
     named = {"long": pa.int64(), "string": pa.string(), "decimal(38,18)": price}

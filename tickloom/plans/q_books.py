@@ -11,6 +11,7 @@ from tickloom.operators import normalize as N
 from tickloom.plans import views as V
 from tickloom.plans.q_normalize import BROKEN
 from tickloom.plans.registry import query
+from tickloom.sources import tables
 
 C, L = F.col, F.lit
 YEAR_NS = 31_536_000_000_000_000
@@ -22,8 +23,7 @@ KEPT = ("instrument_uid", "epoch_id", "received_time_ns", "event_id")
 def _sides(spark, d) -> DataFrame:
     """Book events with their levels as structs per instrument and year, numbered ``n`` within."""
     level = F.struct("level_ordinal", "side", "price", "amount", "action")
-    levels = V.book_levels(spark, d).groupBy("event_id").agg(F.array_sort(F.collect_list(level)).alias("levels"))
-    rows = V.book_events(spark, d).drop("levels").join(levels, "event_id")
+    rows = V.book_events(spark, d, F.array_sort(F.collect_list(level)).alias("__levels")).drop("levels").withColumnRenamed("__levels", "levels")
     rows = rows.withColumn("epoch_id", F.expr(f"cast(received_time_ns div {YEAR_NS} AS string)"))
     n = F.row_number().over(Window.partitionBy("instrument_uid", "epoch_id").orderBy("received_time_ns", "event_id"))
     return rows.withColumns({"n": n.cast("long"), "ms": F.expr("received_time_ns div 1000000")})
@@ -109,7 +109,9 @@ _SEEDED = f"""SELECT *, min(n) FILTER (snap) OVER (PARTITION BY instrument_uid,
 
 def _beside(spark, d, update, update_map, snapshot, snapshot_map) -> DataFrame:
     """Mapped updates and, right behind the events marked as snapshots, mapped snapshots of the same moment."""
-    rows = _kept(spark, d)
+    kept, path = _kept(spark, d), f"{tables.shared_folder(spark)}/kept"
+    kept.write.parquet(path)  # once, as both kinds of message are made from it
+    rows = spark.read.schema(kept.schema).parquet(path)
     updates = _mapped(rows, update, update_map).withColumn("part", L(0))
     polled = _mapped(rows.where("snap"), snapshot, snapshot_map).withColumn("part", L(1))
     return books.with_snapshots(updates.drop("update_kind"), polled.drop("update_kind"))
