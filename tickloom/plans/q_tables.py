@@ -396,6 +396,4 @@ def q7_quality_rows(spark, d):
 )
 def r1_stream_books(spark, d):
     folder, stream = _one_batch(spark, V.book_levels(spark, d), "received_time_ns", "event_id")
-    out = jobs.books(stream, folder)
-    last = out.join(V.book_events(spark, d).select("event_id", "received_time_ns"), "event_id")
-    return last.groupBy("instrument_uid").agg(F.max_by(F.struct("bids", "asks"), F.struct("received_time_ns", "event_id")).alias("b")).select("instrument_uid", "b.*")
+    return jobs.books(stream, folder).groupBy("instrument_uid").agg(F.max_by(F.struct("bids", "asks"), F.struct("received_time_ns", "event_id")).alias("b")).select("instrument_uid", "b.*")

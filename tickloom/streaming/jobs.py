@@ -43,7 +43,7 @@ LEVEL = ("instrument_uid", "side", "price")
 
 
 def books(stream: DataFrame, folder: str) -> DataFrame:
-    """(instrument_uid, event_id, bids, asks): book sizes after each event of a stream of levels.
+    """(instrument_uid, received_time_ns, event_id, bids, asks): book sizes after each event of a stream of levels.
 
     Each batch compares every action with the one before it at the same price, in sorted partitions that can spill,
     and leaves the levels that are held to the next batch. Both go to Parquet under the batch's id, so a replayed
@@ -75,7 +75,7 @@ def books(stream: DataFrame, folder: str) -> DataFrame:
     hours = rows.groupBy(*span).agg(F.sum("bids").alias("b"), F.sum("asks").alias("a"))
     hours = hours.select(*span, *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in ("b", "a")))
     size = lambda n, c: (F.sum(n).over(within) + F.col(c)).alias(n)
-    return rows.join(hours, span).select("instrument_uid", "event_id", size("bids", "b"), size("asks", "a"))
+    return rows.join(hours, span).select("instrument_uid", "received_time_ns", "event_id", size("bids", "b"), size("asks", "a"))
 
 
 def hour_files(stream: DataFrame, staging: str, published: str, time: str, checkpoint: str) -> None:
