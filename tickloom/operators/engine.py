@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 from decimal import Decimal
 
@@ -30,30 +30,100 @@ SNAPSHOTS, DISCONTINUITIES = ("snapshot", "partial"), ("discontinuity",)
 
 # ---- price ladder -------------------------------------------------------------------------------------------
 
+#: What a level of a folded ladder keeps.
+HELD = {
+    "price": pa.decimal128(38, 18), "amount": pa.decimal128(38, 18), "action": pa.string(), "rpi_amount": pa.decimal128(38, 18), "price_text": pa.string(), "amount_text": pa.string(),
+}
+
 
 class Ladder:
     """The levels of one side in order of price, best first.
 
     Prices lie in sorted blocks of bounded length, so adding, dropping, the best price and the best few cost the
     same for a hundred levels and for a hundred thousand.
+
+    A ladder that waits for later messages is a table (``fold``), of which a level takes a twentieth of its objects' memory;
+    it is pickled so. ``unfold`` makes objects of the levels at the prices that come next; only those may be asked for.
     """
 
     BLOCK = 512
 
     def __init__(self, descending: bool):
         self.sign = -1 if descending else 1
+        self._clear()
+        self._rest(None)
+
+    def _clear(self) -> None:
         self.levels: dict[Decimal, dict] = {}
         self.blocks: list[list[Decimal]] = []
         self.ends: list[Decimal] = []
 
+    def _rest(self, rest: pa.Table | None) -> None:
+        """The levels that are no objects, in no order, with the best price and the best few, once they are asked for."""
+        self.rest = rest if rest is not None and len(rest) else None
+        self.left = len(self.rest) if self.rest is not None else 0
+        self.first = pc.min_max(self.rest["price"])["max" if self.sign < 0 else "min"].as_py() if self.left else None
+        self.near: list[dict] = []
+        self.asked: set[Decimal] = set()
+
+    def fold(self) -> None:
+        """Make a table of all levels."""
+        if self.levels:
+            levels = self.levels.values()
+            columns = [pa.array([x.get(c) for x in levels], t) for c, t in HELD.items()]
+            own = pa.table(columns, names=list(HELD))
+            rest = own if self.rest is None else pa.concat_tables([self.rest, own])
+            self._clear()
+            self._rest(rest)
+
+    def unfold(self, prices: Iterable[Decimal]) -> None:
+        """Make objects of the levels at ``prices``."""
+        if not self.left:
+            return
+        asked = {*prices} - self.asked
+        hit = pc.is_in(self.rest["price"], value_set=pa.array(asked, HELD["price"]))
+        found, before = _rows(self.rest.filter(hit)), self.asked
+        if found:
+            self._rest(self.rest.filter(pc.invert(hit)))
+            self.levels |= {x["price"]: x for x in found}
+            keys = sorted(p * self.sign for p in self.levels)
+            self.blocks = [keys[n : n + self.BLOCK // 2] for n in range(0, len(keys), self.BLOCK // 2)]
+            self.ends = [b[-1] for b in self.blocks]
+        self.asked = before | asked
+
+    def __getstate__(self) -> tuple[int, bytes | None]:
+        self.fold()
+        if self.rest is None:
+            return self.sign, None
+        used = self.rest.select([c for c in HELD if self.rest[c].null_count < self.left]).combine_chunks()
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, used.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(used)
+        return self.sign, sink.getvalue().to_pybytes()
+
+    def __setstate__(self, state: tuple[int, bytes | None]) -> None:
+        self.__init__(state[0] < 0)
+        if state[1]:
+            held = pa.ipc.open_stream(state[1]).read_all()
+            columns = [held[c] if c in held.column_names else pa.nulls(len(held), t) for c, t in HELD.items()]
+            self._rest(pa.table(columns, names=list(HELD)))
+
     def __len__(self) -> int:
-        return len(self.levels)
+        return len(self.levels) + self.left
+
+    def _known(self, price: Decimal) -> None:
+        if self.left and price not in self.asked:
+            raise ValueError(f"price {price} of a folded ladder was not unfolded")
 
     def get(self, price: Decimal) -> dict | None:
-        return self.levels.get(price)
+        found = self.levels.get(price)
+        if found is None:
+            self._known(price)
+        return found
 
     def put(self, price: Decimal, level: dict) -> None:
         if price not in self.levels:
+            self._known(price)
             self._insert(price * self.sign)
         self.levels[price] = level
 
@@ -84,7 +154,10 @@ class Ladder:
             self.ends[n] = block[-1]
 
     def best(self) -> Decimal | None:
-        return self.blocks[0][0] * self.sign if self.blocks else None
+        own = self.blocks[0][0] * self.sign if self.blocks else None
+        if self.first is None or own is None:
+            return self.first if own is None else own
+        return max(own, self.first) if self.sign < 0 else min(own, self.first)
 
     def top(self, depth: int) -> list[dict]:
         found: list[dict] = []
@@ -92,10 +165,19 @@ class Ladder:
             found += [self.levels[key * self.sign] for key in block[: depth - len(found)]]
             if len(found) == depth:
                 break
-        return found
+        if not self.left:
+            return found
+        if len(self.near) < min(depth, self.left):
+            order = "descending" if self.sign < 0 else "ascending"
+            self.near = _rows(self.rest.take(pc.select_k_unstable(self.rest, depth, [("price", order)])))
+        return sorted([*found, *self.near[:depth]], key=lambda x: x["price"] * self.sign)[:depth]
+
 
+def _rows(held: pa.Table) -> list[dict]:
+    return [dict(zip(HELD, x, strict=True)) for x in zip(*(plain(held[c].combine_chunks()) for c in HELD), strict=True)]
 
-#: Where a level that a book holds keeps its digest.
+
+#: Where a level that a book holds keeps its digest; one that was folded has none until it is needed.
 WEIGHT = "weight"
 
 
@@ -115,11 +197,25 @@ class Book:
     sides: dict[str, Ladder] = field(default_factory=lambda: {"buy": Ladder(True), "sell": Ladder(False)})
     held: int = 0
 
+    def fold(self) -> None:
+        """Keep all levels as tables; what later events name must be unfolded first."""
+        for ladder in self.sides.values():
+            ladder.fold()
+
+    def unfold(self, events: Iterable[dict]) -> None:
+        """Get ready for the levels of ``events``."""
+        prices: dict[str, set[Decimal]] = {side: set() for side in self.sides}
+        for event in events:
+            for x in event["levels"] or ():
+                prices[x["side"]].add(x["price"])
+        for side, ladder in self.sides.items():
+            ladder.unfold(prices[side])
+
     def _set(self, side: str, price: Decimal, level: dict | None) -> dict | None:
         ladder = self.sides[side]
         before = ladder.get(price)
         if before is not None:
-            self.held -= before[WEIGHT]
+            self.held -= before[WEIGHT] if WEIGHT in before else _weight(side, before)
         if level is None:
             ladder.pop(price)
         else:

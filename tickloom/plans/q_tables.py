@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -176,7 +178,8 @@ def _in_turn(spark, rows, key, time):
     """The rows as a stream of batches of about BATCH_ROWS, in order of time.
 
     Each slice of time is written after the one before, so its files are younger, and a key's rows of a slice lie in one file:
-    wherever a batch ends, a key's later rows come later.
+    wherever a batch ends, a key's later rows come later. A slice has fewer files than a shuffle has tasks where keys are few,
+    so files are counted: a batch of as many files as a shuffle has tasks would be several slices.
     """
     folder = tables.shared_folder(spark)
     files = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -185,11 +188,13 @@ def _in_turn(spark, rows, key, time):
     slices = max(1, -(-held.count() // BATCH_ROWS))
     shares = [n / slices for n in range(1, slices)]
     edges = sorted({int(e) for e in held.approxQuantile(time, shares, 0.1 / slices)}) if shares else []
-    for low, high in zip([None, *edges], [*edges, None], strict=True):
-        some = held if low is None else held.where(C(time) >= low)
-        some = some if high is None else some.where(C(time) < high)
+    number = reduce(lambda n, e: n + F.when(C(time) >= e, 1).otherwise(0), edges, L(0))
+    held.withColumn("__slice", number).write.partitionBy("__slice").parquet(f"{folder}/cut")  # each slice is read alone
+    for n in range(len(edges) + 1):
+        some = spark.read.parquet(f"{folder}/cut").where(C("__slice") == n).select(*rows.columns)
         some.repartition(files, key).write.mode("append").parquet(f"{folder}/in")
-    return folder, jobs.stream_files(spark, f"{folder}/in", rows.schema, files)
+    written = len(spark.read.schema(rows.schema).parquet(f"{folder}/in").inputFiles())
+    return folder, jobs.stream_files(spark, f"{folder}/in", rows.schema, max(1, round(written / (len(edges) + 1))))
 
 
 def _trade_stream(spark, d):
@@ -303,8 +308,8 @@ def r1_stream_engine(spark, d):
     """The sequential engine as a stream over mapped events: one book after each, for one connection an instrument."""
     first = Window.partitionBy("instrument_uid").orderBy("received_time_ns", "event_id")
     level = F.struct("side", "price", "amount")
-    levels = V.book_levels(spark, d).groupBy("event_id").agg(F.array_sort(F.collect_list(F.struct("level_ordinal", level.alias("l")))).alias("x"))
-    events = V.book_events(spark, d).drop("levels").join(levels, "event_id").withColumn("levels", C("x.l")).drop("x")
+    events = V.book_events(spark, d, F.array_sort(F.collect_list(F.struct("level_ordinal", level.alias("l")))).alias("x"))
+    events = events.withColumn("levels", C("x.l")).drop("x")
     events = events.withColumns({"epoch_id": L("c1"), "update_kind": F.when(F.row_number().over(first) == 1, "snapshot").otherwise("delta")})
     folder, stream = _in_turn(spark, events, "instrument_uid", "received_time_ns")
     # batches may share a slice of time, so no row is late

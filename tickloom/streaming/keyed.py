@@ -8,11 +8,13 @@ in which the source gives them, so a batch is bounded by the source's files per
 
 from __future__ import annotations
 
+import json
 import pickle
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
@@ -22,17 +24,22 @@ from tickloom.streaming.jobs import drain
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: All state stores of an executor share one bounded memory; by default each has its own.
+BOUNDED = "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage"
 
 
 @contextmanager
 def keyed_state(spark: SparkSession) -> Iterator[None]:
     """Queries that start inside keep their state in RocksDB, which state with timers needs and which may exceed memory."""
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    wanted = {PROVIDER: ROCKSDB, BOUNDED: "true"}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
+        for name, value in before.items():
+            spark.conf.set(name, value) if value else spark.conf.unset(name)
 
 
 def drained(stream: DataFrame, folder: str) -> DataFrame:
@@ -232,6 +239,26 @@ def deadlines(stream: DataFrame, by: Sequence[str], limit_ns: int, late: str = "
 BOOK = "event_id long, kind string, epoch_no long, state string, last_sequence long, best_bid decimal(38,18), best_ask decimal(38,18), bids long, asks long, applied long, gaps long, close_reason string"
 
 
+#: Rows that are objects at a time, and bytes of a value in the state store.
+TURN, PART = 20_000, 1 << 20
+LEVEL = tuple(books.LEVEL)
+
+
+def _packed(levels: Column) -> Column:
+    """Levels as one JSON text: a row's nested values are read one by one, which takes longer than all the rest."""
+    return F.to_json(F.transform(levels, lambda x: F.array(*(x[c].cast("string") for c in LEVEL))))
+
+
+def _unpacked(text: str | None) -> list[dict] | None:
+    if text is None:
+        return None
+    levels = [dict(zip(LEVEL, x, strict=True)) for x in json.loads(text)]
+    for x in levels:
+        x["price"], x["amount"] = Decimal(x["price"]), Decimal(x["amount"])
+        x["rpi_amount"] = None if x["rpi_amount"] is None else Decimal(x["rpi_amount"])
+    return levels
+
+
 class _Books(StatefulProcessor):
     def __init__(self, out: StructType, by: int, order: Sequence[str], policy: str, crossed: bool | None, bounds: books.Bounds | None, idle_ns: int):
         self.names, self.by, self.order, self.policy, self.crossed, self.bounds, self.idle = out.names, by, order, policy, crossed, bounds, idle_ns
@@ -239,31 +266,53 @@ class _Books(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.engine = handle.getValueState("engine", "engine binary, timer_ms long")
+        self.engine = handle.getValueState("engine", "parts int, timer_ms long")
+        self.parts = handle.getMapState("parts", "n int", "part binary")
 
     def _given(self, key, row: dict):
         return self.row(*key, *(row.get(c) for c in self.names[self.by :]))
 
+    def _held(self) -> tuple[books.Engine | None, int, int | None]:
+        """The engine, its number of parts and its timer."""
+        if not self.engine.exists():
+            return None, 0, None
+        parts, timer = self.engine.get()
+        return pickle.loads(b"".join(bytes(self.parts.getValue((n,))[0]) for n in range(parts))), parts, timer
+
+    def _keep(self, engine: books.Engine, before: int, timer: int) -> None:
+        held = pickle.dumps(engine)
+        starts = range(0, len(held), PART)
+        for n, start in enumerate(starts):
+            self.parts.updateValue((n,), (held[start : start + PART],))
+        for n in range(len(starts), before):
+            self.parts.removeKey((n,))
+        self.engine.update((len(starts), timer))
+
     def handleInputRows(self, key, rows, timerValues):
-        held, timer = self.engine.get() if self.engine.exists() else (None, None)
-        engine = pickle.loads(bytes(held)) if held else books.Engine(books.POLICIES[self.policy](), self.bounds, self.crossed)
+        engine, parts, timer = self._held()
+        engine = engine or books.Engine(books.POLICIES[self.policy](), self.bounds, self.crossed)
         latest = 0
-        for r in sorted(rows, key=lambda r: tuple(r[c] for c in self.order)):
-            event = r.asDict(recursive=True)
-            event["coordinate"] = tuple(event[c] for c in self.order)
-            latest = max(latest, event["received_time_ns"])
-            for row in engine.accept(event):
-                yield self._given(key, row)
+        ordered = sorted(rows, key=lambda r: tuple(r[c] for c in self.order))
+        for start in range(0, len(ordered), TURN):
+            events = [{**r.asDict(), "levels": _unpacked(r["levels"])} for r in ordered[start : start + TURN]]
+            engine.book.unfold(events)
+            for event in events:
+                event["coordinate"] = tuple(event[c] for c in self.order)
+                latest = max(latest, event["received_time_ns"])
+                for row in engine.accept(event):
+                    yield self._given(key, row)
+            engine.book.fold()
         if timer is not None:
             self.handle.deleteTimer(timer)
         timer = (latest + self.idle) // 1_000_000 + 1
         self.handle.registerTimer(timer)
-        self.engine.update((pickle.dumps(engine), timer))
+        self._keep(engine, parts, timer)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         """A connection that is silent for long has ended: its evidence is given and its state goes."""
-        engine = pickle.loads(bytes(self.engine.get()[0]))
+        engine, _, _ = self._held()
         self.engine.clear()
+        self.parts.clear()
         if engine.observed:
             yield self._given(key, engine.evidence(books.EXPLICIT))
 
@@ -278,10 +327,11 @@ def sequential_books(
     """Rows of kind book and epoch as ``engine.reconstruct`` gives them, from a stream of mapped messages.
 
     The state of a connection is its engine: the book it holds and what it buffers, both bounded by ``bounds``. It is
-    dropped, with a last row of evidence, when the connection has been silent for ``idle_ns`` of event time.
+    dropped, with a last row of evidence, when the connection has been silent for ``idle_ns`` of event time. A book is kept as
+    compressed tables, in values of a megabyte, and only the levels that the next messages name are made objects.
     """
     ids = [c for c in books.IDS if c in stream.columns and c not in (*key, *order)]
     kept = [*dict.fromkeys([*key, *order, "event_id", "update_kind", *ids])]
-    rows = _timed(stream.select(*kept, books.with_levels(stream).alias("levels")), "received_time_ns", late)
+    rows = _timed(stream.select(*kept, _packed(books.with_levels(stream)).alias("levels")), "received_time_ns", late)
     out = _schema(rows, key, BOOK)
     return rows.groupBy(*key).transformWithState(_Books(out, len(key), order, policy, check_crossed, bounds, idle_ns), out, "append", "eventtime")
