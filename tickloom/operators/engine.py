@@ -112,18 +112,19 @@ class Ladder:
         return len(self.levels) + self.left
 
     def _known(self, price: Decimal) -> None:
-        if self.left and price not in self.asked:
+        if price not in self.asked:
             raise ValueError(f"price {price} of a folded ladder was not unfolded")
 
     def get(self, price: Decimal) -> dict | None:
         found = self.levels.get(price)
-        if found is None:
+        if found is None and self.left:
             self._known(price)
         return found
 
     def put(self, price: Decimal, level: dict) -> None:
         if price not in self.levels:
-            self._known(price)
+            if self.left:
+                self._known(price)
             self._insert(price * self.sign)
         self.levels[price] = level
 
@@ -182,7 +183,7 @@ WEIGHT = "weight"
 
 
 def _weight(side: str, level: dict) -> int:
-    text = f"{side}|{level['price'].normalize()}|{level['amount'].normalize()}|{level.get('rpi_amount')}"
+    text = "|".join((side, str(level["price"].normalize()), str(level["amount"].normalize()), str(level.get("rpi_amount"))))
     return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=16).digest(), "big")
 
 
@@ -428,11 +429,12 @@ class Engine:
     """One instrument's books within one connection epoch.
 
     States: buffering (updates wait for a polled snapshot), needs_snapshot (of the stream), seeded (no update has met
-    the snapshot yet), live, closed. Each reconstruction epoch ends with a row of evidence, with its reason.
+    the snapshot yet), live, closed. Each reconstruction epoch ends with a row of evidence, with its reason. Without
+    ``changes`` the books are the same, but only epochs give a row.
     """
 
-    def __init__(self, policy: Policy, bounds: Bounds | None = None, check_crossed: bool | None = None):
-        self.policy, self.bounds = policy, bounds or Bounds()
+    def __init__(self, policy: Policy, bounds: Bounds | None = None, check_crossed: bool | None = None, changes: bool = True):
+        self.policy, self.bounds, self.changes = policy, bounds or Bounds(), changes
         self.crossed = policy.crossed if check_crossed is None else check_crossed
         self.number, self.seen = 0, None
         self._start("initial")
@@ -576,7 +578,8 @@ class Engine:
     def _give(self, event: dict) -> Iterator[dict]:
         self.counts["outputs"] += 1
         self.results = _chained(self.results, f"{event['event_id']}|{event['last_sequence']}|{self.book.held % (1 << 128):032x}")
-        yield self._row("book", event["event_id"])
+        if self.changes:
+            yield self._row("book", event["event_id"])
 
     def _row(self, kind: str, event_id) -> dict:
         bid, ask = self.book.best()
@@ -617,13 +620,16 @@ def reconstruct(
     bounds: Bounds | None = None,
     span: int = 3_600_000_000_000,
     changes: bool = True,
+    runs: Sequence[str] = (),
 ) -> DataFrame:
     """Rows of kind book (one per change) and epoch (evidence of one reconstruction epoch) for mapped messages.
 
     Without ``changes`` only epochs are given; books are rebuilt and digested as ever, but no row per change leaves the task.
 
     ``events`` has the columns of ``key`` (instrument, then connection epoch), ``order``, event_id, update_kind and levels
-    or bids and asks; those of the ids that a venue doesn't give may be absent. Two messages with one place in
+    or bids and asks; those of the ids that a venue doesn't give may be absent. ``runs`` are boolean columns: each names the
+    events of a run, whose books are rebuilt from these alone and whose rows have its name as ``run``; all runs share one
+    pass over the events. Snapshots of the stream would cut one run at another's, so runs are for polled ones. Two messages with one place in
     ``order`` are a discontinuity, as is a row of kind ``discontinuity``.
 
     Epochs restart from a snapshot, so each is a sequence of its own: a task streams through its sorted epochs and holds
@@ -635,7 +641,9 @@ def reconstruct(
     rules = POLICIES[policy]
     if not set(key[:2]) <= set(events.columns):
         raise ValueError(f"events must have {key}")
-    kept = [*key, *dict.fromkeys(c for c in (*order, "event_id", "update_kind", *IDS) if c in events.columns and c not in key)]
+    if runs and not rules.polled:
+        raise ValueError("runs need a policy with polled snapshots")
+    kept = [*key, *dict.fromkeys(c for c in (*order, "event_id", "update_kind", *IDS, *runs) if c in events.columns and c not in key)]
     rows = events.select(*kept, with_levels(events).alias("levels"))
     cut = [] if rules.polled else ["segment"]
     if cut:
@@ -649,15 +657,17 @@ def reconstruct(
         "bids": "long", "asks": "long", **dict.fromkeys(COUNTS, "long"), "opened_by": "string", "close_reason": "string", "first_observed": event_id,
         "last_observed": event_id, "first_accepted": event_id, "last_accepted": event_id, "input_digest": "string", "output_digest": "string",
     }
+    if runs:
+        result["run"] = "string"
     schema = ", ".join(f"`{c}` {t}" for c, t in {**group, **result}.items())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        engine, current, types = None, None, None
+        engines: dict[str | None, Engine] = {}
+        current, types = None, None
         done: list[dict] = []
 
         def end() -> None:
-            if engine and engine.observed:
-                done.append({**current, **engine.evidence(EXPLICIT)})
+            done.extend({**current, **engine.evidence(EXPLICIT), "run": name} for name, engine in engines.items() if engine.observed)
 
         for batch in batches:
             types = types or _arrow_types(batch.schema, group, result)
@@ -665,9 +675,11 @@ def reconstruct(
                 here = {c: event.get(c) if c != "segment" or cut else 0 for c in group}
                 if here != current:
                     end()
-                    engine, current = Engine(rules(), bounds, check_crossed), here
+                    engines, current = {name: Engine(rules(), bounds, check_crossed, changes) for name in runs or (None,)}, here
                 event["coordinate"] = tuple(event[c] for c in order)
-                done += [{**here, **row} for row in engine.accept(event) if changes or row["kind"] == "epoch"]
+                for name, engine in engines.items():
+                    if name is None or event[name]:
+                        done += [{**here, **row, "run": name} for row in engine.accept(event)]
             if done:
                 yield pa.RecordBatch.from_pylist(done, schema=types)
                 done = []

@@ -42,6 +42,13 @@ def _mapped(rows: DataFrame, message: dict, mapping: N.Mapping_, *more: str) ->
     return N.split(N.apply(made, mapping, keep=[*KEPT, *more]))[0].drop("message_ordinal")
 
 
+def _held(rows: DataFrame) -> DataFrame:
+    """What is read several times is computed once, in the folder that all share."""
+    folder = tables.shared_folder(rows.sparkSession)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def _kept(spark, d) -> DataFrame:
     """All but every 23rd event; the first of an epoch and every 40th is a snapshot."""
     return _sides(spark, d).where("event_id % 23 <> 0").withColumn("snap", C("n") % 40 == 1)
@@ -109,9 +116,7 @@ _SEEDED = f"""SELECT *, min(n) FILTER (snap) OVER (PARTITION BY instrument_uid,
 
 def _beside(spark, d, update, update_map, snapshot, snapshot_map) -> DataFrame:
     """Mapped updates and, right behind the events marked as snapshots, mapped snapshots of the same moment."""
-    kept, path = _kept(spark, d), f"{tables.shared_folder(spark)}/kept"
-    kept.write.parquet(path)  # once, as both kinds of message are made from it
-    rows = spark.read.schema(kept.schema).parquet(path)
+    rows = _held(_kept(spark, d))  # both kinds of message are made from it
     updates = _mapped(rows, update, update_map).withColumn("part", L(0))
     polled = _mapped(rows.where("snap"), snapshot, snapshot_map).withColumn("part", L(1))
     return books.with_snapshots(updates.drop("update_kind"), polled.drop("update_kind"))
@@ -223,7 +228,7 @@ def r8_change_id_books(spark, d):
 
 def _run(raw: DataFrame, version: str, epochs: DataFrame) -> cutover.Run:
     kept = ["source_id", "received_time_ns", "record_id"]
-    rows, bad = N.split(N.apply(raw.withColumnRenamed("native_trade_id", "record_id"), venues.SPOT["trade"], keep=kept))
+    rows, bad = N.split(_held(N.apply(raw.withColumnRenamed("native_trade_id", "record_id"), venues.SPOT["trade"], keep=kept)))
     return cutover.Run(rows.withColumn("mapper_version", L(version)), bad, epochs)
 
 
@@ -247,7 +252,8 @@ def t7_dual_run(spark, d):
     raw = V.raw_json(spark, d)
     moved = F.regexp_replace("payload", '"q":"[^"]*"', '"q":"1234567.5"')
     payload = F.when(C("native_trade_id") % 307 == 0, F.substring("payload", 1, 9)).when(C("native_trade_id") % 211 == 0, moved).otherwise(C("payload"))
-    events = _single(spark, d)
-    epochs = lambda e: engine.linked_epochs(engine.reconstruct(e, "bridge", check_crossed=False, changes=False))
-    old, new = _run(raw, "v1", epochs(events)), _run(raw.withColumn("payload", payload), "v2", epochs(events.where("event_id % 499 <> 0")))
+    events = _single(spark, d).withColumns({"v1": L(True), "v2": C("event_id") % 499 != 0})
+    rebuilt = _held(engine.reconstruct(events, "bridge", check_crossed=False, changes=False, runs=["v1", "v2"]))
+    epochs = lambda run: engine.linked_epochs(rebuilt.where(C("run") == run).drop("run"))
+    old, new = _run(raw, "v1", epochs("v1")), _run(raw.withColumn("payload", payload), "v2", epochs("v2"))
     return cutover.compare_runs(old, new, ["source_id"], ["received_time_ns", "record_id"], ["record_id"])
