@@ -156,11 +156,20 @@ def overlap_counts(left: DataFrame, right: DataFrame, keys: Sequence[str], span:
     return rows.where("__place <> 1").groupBy(*right.columns).agg(n).where("n > 0")
 
 
-def repeated(rows: DataFrame, n: str, block: int = 4096) -> DataFrame:
-    """Each row as often as its column ``n`` says, without it, in arrays of ``block`` items at most."""
+def repeated(rows: DataFrame, n: str, block: int = 4096, task_rows: int = 10_000_000) -> DataFrame:
+    """Each row as often as its column ``n`` says, without it, in arrays of ``block`` items at most.
+
+    What is read says little of how much is written: ``rows`` are held, and where they give more than ``task_rows`` their
+    blocks are dealt to tasks that write about as many, so that no task is long and all end together.
+    """
+    rows = _held(rows)
+    total = rows.agg(F.sum(n)).first()[0] or 0
     blocks = rows.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), F.call_function("div", F.col(n) - 1, F.lit(block)))))
     size = F.least(F.lit(block).cast("long"), F.col(n) - F.col("__block") * block)
-    return blocks.withColumn("__size", size).select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__size")))).drop("col", "__block", "__size", n)
+    blocks = blocks.withColumn("__size", size)
+    if total > task_rows:
+        blocks = blocks.repartition(-(-total // task_rows), *(c for c in rows.columns if c != n), "__block")
+    return blocks.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__size")))).drop("col", "__block", "__size", n)
 
 
 def reconcile(listed: DataFrame, catalogued: DataFrame, key: str) -> DataFrame:
